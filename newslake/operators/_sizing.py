@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when it is proven small: either it is built from a
+fixed in-code list (bounded by construction), or a cheap bounded count
+(``limit(max_rows + 1).count()``, which stops early) shows it under the bound.
+Otherwise the join is left to the planner (AQE switches to a broadcast at
+runtime only when the measured side is under its threshold).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -59,3 +59,159 @@ def versions_from_conversations(conversations: DataFrame) -> DataFrame:
         F.concat(F.lit("turn-"), c.turn.cast("string")).alias("url"),
         F.when(c.role == "user", F.lit(None).cast("string")).otherwise(F.substring(c.text, 1, 40)).alias("title"),
         c.text.alias("content"), c.turn.alias("seq")), extra=["seq"])
+
+
+# ---- Adapter J: documents as JSON listings ----------------------------------
+DOC_TS = "timestampadd(SECOND, -doc_id * 3607, timestamp_ntz'2024-03-01 00:00:00')"
+
+
+def _doc_ts():
+    return F.expr(DOC_TS)
+
+
+def _first_line(d):
+    return F.split_part(d.text, F.lit("\n"), F.lit(1))
+
+
+def listing_a(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shape A landing rows: (page, value) listing pages of 50 items, newest
+    first, and one detail record per item (some items have none)."""
+    d = documents
+    item = F.struct(d.doc_id.alias("_id"),
+                    F.date_format(_doc_ts(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("createdDateFull"),
+                    F.when(d.doc_id % 13 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.concat(d.lang, F.lit("/"), d.doc_id.cast("string"))).alias("slugline_url"),
+                    d.lang.alias("category"), _first_line(d).alias("title"), d.source.alias("author"),
+                    F.concat(d.lang, F.lit(","), d.source).alias("tags"))
+    pages = (d.select(F.expr("doc_id div 50").alias("page"), F.struct(d.doc_id.alias("k"), item.alias("it")).alias("x"))
+             .groupBy("page")
+             .agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["it"])
+                                     .alias("listItem"))).alias("value")))
+    details = d.filter(d.doc_id % 11 != 0).select(
+        F.to_json(F.struct(d.doc_id.alias("_id"), F.struct(d.text.alias("body_html")).alias("data"))).alias("value"))
+    return pages, details
+
+
+def listing_b(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shape B landing rows: per (section, page) summaries; detail records
+    with absent keys, empty bodies and failed responses mixed in."""
+    d = documents
+    ptime = F.date_format(_doc_ts(), "yyyy-MM-dd HH:mm:ss")
+    row = F.struct(d.doc_id.alias("cms_article_id"),
+                   F.when(d.doc_id % 19 == 0, F.lit("")).otherwise(ptime).alias("publish_time"))
+    pages = (d.select(d.source.alias("section"), F.expr("doc_id div 200").alias("page"),
+                      F.struct(d.doc_id.alias("k"), row.alias("r")).alias("x"))
+             .groupBy("section", "page")
+             .agg(F.to_json(F.struct(F.lit("success").alias("response"),
+                                     F.transform(F.array_sort(F.collect_list("x")), lambda x: x["r"]).alias("data")))
+                  .alias("value")))
+    data = F.struct(
+        d.doc_id.alias("cms_article_id"),
+        F.when(d.doc_id % 4 == 0, F.lit("")).otherwise(d.text).alias("body"),
+        F.when(d.doc_id % 8 == 0, F.lit(None).cast("string")).otherwise(_first_line(d)).alias("summary"),
+        F.concat(F.lit(" "), d.lang, F.lit(" ,, "), d.source, F.lit(" ")).alias("cf_article_tags"),
+        F.concat(F.lit("https://mb.com.ph/"), d.lang, F.lit("/"), d.doc_id.cast("string")).alias("link"),
+        F.when(d.doc_id % 6 == 0, F.lit(None).cast("string")).otherwise(F.upper(d.lang)).alias("section_name"),
+        F.when(d.doc_id % 9 == 0, F.lit(None).cast("string")).otherwise(_first_line(d)).alias("title"),
+        F.when(d.doc_id % 5 == 0, F.lit(None).cast("string")).otherwise(d.source).alias("author_name"),
+        ptime.alias("publish_time"))
+    details = d.select(F.to_json(F.struct(
+        F.when(d.doc_id % 23 == 0, F.lit("error")).otherwise(F.lit("success")).alias("response"),
+        data.alias("data"))).alias("value"))
+    return pages, details
+
+
+def _lang_code(d):
+    return F.ascii(F.substring(d.lang, 1, 1)).cast("bigint") * 1000 + F.ascii(F.substring(d.lang, 2, 1))
+
+
+def _source_num(d):
+    return F.substring(d.source, 4, 10).cast("bigint")
+
+
+def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shape C landing rows: pages of 10 posts with nested ``rendered``
+    fields and tag-id arrays, plus the tag dimension (id, slug)."""
+    d = documents
+    post = F.struct(
+        d.doc_id.alias("id"),
+        F.concat(F.lit("https://www.rappler.com/"), d.lang, F.lit("/"), d.doc_id.cast("string"), F.lit("/")).alias("link"),
+        F.date_format(_doc_ts(), "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+        F.when(d.doc_id % 9 == 0, F.lit(None)).otherwise(F.struct(_first_line(d).alias("rendered"))).alias("title"),
+        F.struct(d.text.alias("rendered")).alias("content"),
+        F.array(_lang_code(d), _source_num(d), F.lit(999999).cast("bigint")).alias("tags"))
+    pages = (d.select(F.expr("doc_id div 10").alias("page"), F.struct(d.doc_id.alias("k"), post.alias("p")).alias("x"))
+             .groupBy("page")
+             .agg(F.to_json(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"])).alias("value")))
+    dim = (d.select(_source_num(d).alias("id"), d.source.alias("slug"))
+           .unionByName(d.select(_lang_code(d).alias("id"), d.lang.alias("slug"))).distinct())
+    return pages, dim
+
+
+def raw_records(documents: DataFrame) -> DataFrame:
+    """Adapter for S11: untyped records as a buffered loader receives them."""
+    d = documents
+    stamp = F.date_format(_doc_ts(), "yyyy-MM-dd HH:mm:ss")
+    return d.select(d.doc_id.alias("id"), d.source, d.lang.alias("category"),
+                    F.concat(F.lit("https://example.com/"), d.doc_id.cast("string")).alias("url"),
+                    _first_line(d).alias("title"),
+                    F.when(d.doc_id % 3 == 0, F.lit("None")).otherwise(d.source).alias("author"),
+                    stamp.alias("date"), stamp.alias("publish_time"), d.text.alias("cleaned_content"),
+                    F.when(d.doc_id % 4 == 0, F.lit("None")).otherwise(d.lang).alias("tags"))
+
+
+# ---- Adapter G: lineitem as tag-id lists, part as the tag dimension --------
+def tag_lists(lineitem: DataFrame) -> DataFrame:
+    """Per order: l_partkey list in (l_linenumber, l_partkey) order."""
+    return (lineitem.groupBy(F.col("l_orderkey").cast("string").alias("id"))
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))),
+                             lambda x: x["l_partkey"]).alias("tag_ids")))
+
+
+# ---- Adapter L: events as a paged, newest-first listing ---------------------
+def paged_listing(events: DataFrame, page_size: int = 5) -> DataFrame:
+    """section = event_type; rows newest first (event_id desc) in pages of
+    ``page_size``; some rows lack a time; 'known' = stored before."""
+    from pyspark.sql import Window
+    rn = F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("event_id")))
+    e = events.withColumn("_rn", rn)
+    return e.select(F.col("event_type").alias("section"),
+                    (F.expr(f"(_rn - 1) div {page_size}") + 1).alias("page"), F.col("_rn").alias("pos"),
+                    F.col("event_id").cast("string").alias("id"),
+                    F.when(F.col("event_id") % 97 == 0, F.lit(None)).otherwise(F.col("ts")).alias("ts"),
+                    (F.col("user_id") < 75).alias("known"))
+
+
+# ---- Adapter P: events.ts written in the text forms pages use ---------------
+ZONES = ["PST", "PHT", "UTC", "GMT"]
+
+
+def formatted_times(events: DataFrame) -> DataFrame:
+    """(event_id, meta, body): meta in RFC-like / ISO forms, body date text,
+    or garbage; the expected parse of each is derivable from ts."""
+    e = events
+    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (e.event_id % 4 + 1).cast("int"))
+    k = e.event_id % 5
+    meta = (F.when(k == 0, F.concat(F.date_format(e.ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" "), zone))
+            .when(k == 1, F.concat(F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+08:00")))
+            .when(k == 2, F.date_format(e.ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .when(k == 4, F.lit("n/a")))
+    body = F.when(k == 3, F.date_format(e.ts, "MMMM d, yyyy"))
+    return e.select("event_id", meta.alias("meta"), body.alias("body"))
+
+
+def api_times(events: DataFrame) -> DataFrame:
+    """(event_id, kind, text): the three listing time formats."""
+    e = events
+    k = e.event_id % 3
+    text = (F.when(k == 0, F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+            .when(k == 1, F.date_format(e.ts, "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss")))
+    return e.select("event_id", k.alias("kind"), text.alias("text"))
+
+
+def raw_tags(part: DataFrame) -> DataFrame:
+    """(p_partkey, raw): comma text with spaces and empty pieces; some NULL."""
+    p = part
+    raw = F.concat(F.lit(" "), p.p_brand, F.lit(" ,, "), F.replace(p.p_type, F.lit(" "), F.lit(" , ")), F.lit(", "))
+    return p.select("p_partkey", F.when(p.p_partkey % 11 == 0, F.lit(None).cast("string")).otherwise(raw).alias("raw"))

@@ -119,6 +119,10 @@ def newest_first_cutoff(df: DataFrame, listing_cols: list[str], pos_col: str, ts
     gathered into one task; the join side has one row per listing.
     """
     start_c = F.lit(start).cast("timestamp_ntz") if not isinstance(start, Column) else start
+    if not listing_cols:
+        # One listing: the stop position is a scalar subquery.
+        stop = df.filter(F.col(ts_col) < start_c).select(F.min(pos_col)).scalar()
+        return df.filter(stop.isNull() | (F.col(pos_col) < stop))
     stops = (df.filter(F.col(ts_col) < start_c)
              .groupBy(*listing_cols).agg(F.min(pos_col).alias("_stop_pos")))
     joined = df.join(stops, on=listing_cols, how="left")

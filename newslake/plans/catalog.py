@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake import fixtures as fx
+from newslake.functions import dates as dts
 from newslake.functions import text as tx
+from newslake.functions import timeparse as tp
+from newslake.functions import urls as ur
 from newslake.operators import aggregates as ag
 from newslake.operators import filters as fl
 from newslake.operators import joins as jn
@@ -24,6 +27,7 @@ from newslake.operators import windows as wn
 from newslake.operators import writes as wr
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
 from newslake.session import shared_path
+from newslake.sources import listings as ls
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
 
@@ -292,4 +296,188 @@ def q_dq_report(spark, d):
     return dq.dq_report(_docs_null_ids(spark, d), unique=["id", "category"], not_null=["id", "title"])
 
 
+# ---------------------------------------------------------------- record normalisation
+@register("norm_listing_detail")
+def q_norm_listing_detail(spark, d):
+    pages, details = fx.listing_a(fx.load(spark, d, "documents"))
+    return ls.norm_listing_detail(pages, details, start="2024-02-01")
+
+
+@register("norm_sectioned")
+def q_norm_sectioned(spark, d):
+    pages, details = fx.listing_b(fx.load(spark, d, "documents"))
+    return ls.norm_sectioned(pages, details)
+
+
+@register("norm_nested_posts")
+def q_norm_nested_posts(spark, d):
+    pages, dim = fx.listing_c(fx.load(spark, d, "documents"))
+    return ls.norm_nested_posts(pages, dim)
+
+
+@register("union_sources")
+def q_union_sources(spark, d):
+    docs = fx.load(spark, d, "documents")
+    a = ls.norm_listing_detail(*fx.listing_a(docs), start="2024-02-01")
+    b = ls.norm_sectioned(*fx.listing_b(docs))
+    c = ls.norm_nested_posts(*fx.listing_c(docs))
+    return ls.union_sources(a, b, c)
+
+
+@register("load_normalise")
+def q_load_normalise(spark, d):
+    return ls.load_normalise(fx.raw_records(fx.load(spark, d, "documents")))
+
+
+def _pages_parts(spark, d):
+    pages = fx.load(spark, d, "pages")
+    return pages.select("page_id", "url", ur.url_parts("url").alias("p"))
+
+
+@register("url_parts")
+def q_url_parts(spark, d):
+    return _pages_parts(spark, d).select("page_id", "p.*")
+
+
+@register("article_key")
+def q_article_key(spark, d):
+    return _pages_parts(spark, d).select("page_id", ur.article_key("p").alias("article_key"))
+
+
+@register("url_absolute")
+def q_url_absolute(spark, d):
+    return _pages_parts(spark, d).select("page_id", ur.url_absolute(F.col("p.slug"), "https://www.example.com/")
+                                         .alias("abs_url"))
+
+
+@register("url_category")
+def q_url_category(spark, d):
+    return fx.load(spark, d, "pages").select("page_id", ur.url_category("url").alias("category"))
+
+
+@register("publish_time_parse")
+def q_publish_time_parse(spark, d):
+    t = fx.formatted_times(fx.load(spark, d, "events"))
+    return t.select("event_id", tp.publish_time_parse(F.col("meta"), F.col("body")).alias("publish_time"))
+
+
+@register("api_time_parse")
+def q_api_time_parse(spark, d):
+    t = fx.api_times(fx.load(spark, d, "events"))
+    parsed = (F.when(F.col("kind") == 0, tp.api_time_parse("text", tp.ISO_Z_FRACTION))
+              .when(F.col("kind") == 1, tp.api_time_parse("text", tp.SPACE_SECONDS))
+              .otherwise(tp.api_time_parse("text", tp.ISO_T_SECONDS)))
+    return t.select("event_id", parsed.alias("t")).select("event_id", "t.date", "t.publish_time")
+
+
+@register("tags_normalise")
+def q_tags_normalise(spark, d):
+    return fx.raw_tags(fx.load(spark, d, "part")).select("p_partkey", tx.tags_normalise("raw").alias("tags"))
+
+
+@register("tags_to_array")
+def q_tags_to_array(spark, d):
+    return fx.raw_tags(fx.load(spark, d, "part")).select("p_partkey", tx.tags_to_array("raw").alias("tags"))
+
+
+@register("fill_defaults")
+def q_fill_defaults(spark, d):
+    n = F.col("id").cast("bigint")
+    arts = (_docs(spark, d)
+            .withColumn("category", F.when(n % 6 == 0, F.lit(None)).otherwise(F.col("category")))
+            .withColumn("content", F.when(n % 8 == 0, F.lit(None)).otherwise(F.col("content"))))
+    return tx.fill_defaults(arts).select("id", "title", "author", "category", "content")
+
+
+@register("whitespace_collapse")
+def q_whitespace_collapse(spark, d):
+    return fx.load(spark, d, "documents").select("doc_id", tx.whitespace_collapse("text").alias("text"))
+
+
+@register("boilerplate_cut")
+def q_boilerplate_cut(spark, d):
+    return fx.load(spark, d, "documents").select("doc_id", tx.boilerplate_cut("text", " the ").alias("text"))
+
+
+@register("date_to_text")
+def q_date_to_text(spark, d):
+    o = fx.load(spark, d, "orders")
+    return o.select("o_orderkey", dts.date_to_text(F.col("o_orderdate").cast("date")).alias("date"))
+
+
+@register("date_spine")
+def q_date_spine(spark, d):
+    o = fx.load(spark, d, "orders")
+    bounds = o.groupBy("o_orderstatus").agg(F.min(F.col("o_orderdate").cast("date")).alias("start"),
+                                            F.max(F.col("o_orderdate").cast("date")).alias("end"))
+    return dts.date_spine(bounds)
+
+
+# ---------------------------------------------------------------- filters
+@register("pending_articles")
+def q_pending_articles(spark, d):
+    return fl.pending_articles(_docs(spark, d))
+
+
+@register("unextracted_articles")
+def q_unextracted_articles(spark, d):
+    return fl.unextracted_articles(_docs(spark, d))
+
+
+@register("category_allow")
+def q_category_allow(spark, d):
+    return fl.category_allow(_docs(spark, d), [" en", "FR"]).select("id", "category")
+
+
+@register("https_only")
+def q_https_only(spark, d):
+    return fl.https_only(fx.load(spark, d, "pages")).select("page_id", "url")
+
+
+@register("slug_block")
+def q_slug_block(spark, d):
+    parts = _pages_parts(spark, d).select("page_id", "p.subdomain", "p.slug")
+    return fl.slug_block(parts, rules=[("5", None), ("1", "blog")])
+
+
+@register("challenge_page_flag")
+def q_challenge_page_flag(spark, d):
+    return (fl.challenge_page_flag(fx.load(spark, d, "pages"), phrases=["ad 1 -->", 'lang="de"'])
+            .select("page_id", "is_challenge"))
+
+
+@register("newest_first_cutoff")
+def q_newest_first_cutoff(spark, d):
+    ev = fx.load(spark, d, "events")
+    return fl.newest_first_cutoff(ev, ["event_type"], "value", "ts", "2024-01-15").select("event_id", "event_type")
+
+
+@register("has_key")
+def q_has_key(spark, d):
+    n = F.col("id").cast("bigint")
+    arts = (_docs(spark, d).withColumn("url", F.when(n % 13 == 0, F.lit("")).otherwise(F.col("url")))
+            .withColumn("id", F.when(n % 17 == 0, F.lit(None)).otherwise(F.col("id"))))
+    return fl.has_key(arts, ["id", "url"]).select("id", "url")
+
+
+# ---------------------------------------------------------------- joins (listing side)
+@register("listing_detail")
+def q_listing_detail(spark, d):
+    listing = fx.load(spark, d, "documents").select("doc_id", "source")
+    detail = fx.load(spark, d, "labels").select("doc_id", F.col("quality").cast("string").alias("detail"))
+    return jn.listing_detail(listing, detail, "doc_id", mode="left", defaults={"detail": "No content found"})
+
+
+@register("tag_lookup")
+def q_tag_lookup(spark, d):
+    lists = fx.tag_lists(fx.load(spark, d, "lineitem"))
+    part = fx.load(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("slug"))
+    return jn.tag_lookup(lists, "id", "tag_ids", part).select("id", "tags")
+
+
+@register("listing_frontier")
+def q_listing_frontier(spark, d):
+    return ag.listing_frontier(fx.paged_listing(fx.load(spark, d, "events")), "2024-01-25")
+
+
 __all__ = ["REGISTRY", "ARTICLE_COLUMNS"]

@@ -168,3 +168,149 @@ union all select 'unique', 'category', coalesce(sum(n - 1), 0)::bigint from
   (select category, count(*) as n from anull where category is not null group by category)
 union all select 'single_source', 'id', count_if(k > 1) from
   (select id, count(distinct source) as k from anull where id is not null group by id)"""
+
+# ---------------------------------------------------------------- record normalisation
+DOCS_TS = """docs_ts as (
+  select *, timestamp '2024-03-01 00:00:00' - to_seconds(doc_id * 3607) as ts from documents)"""
+NORM_A = """norm_a as (
+  select cast(doc_id as varchar) as id, 'abs-cbn' as source,
+         concat('https://www.abs-cbn.com/', lang, '/', cast(doc_id as varchar)) as url, upper(lang) as category,
+         split_part(text, chr(10), 1) as title, source as author, cast(ts as date) as date, ts as publish_time,
+         case when doc_id % 11 != 0 then text else 'No content found' end as content,
+         concat(lang, ',', source) as tags
+  from docs_ts where doc_id % 13 != 0 and ts >= timestamp '2024-02-01')"""
+NORM_B = """norm_b as (
+  select cast(doc_id as varchar) as id, 'manila_bulletin' as source,
+         concat('https://mb.com.ph/', lang, '/', cast(doc_id as varchar)) as url,
+         case when doc_id % 6 = 0 then 'Unknown' else upper(lang) end as category,
+         case when doc_id % 9 = 0 then 'No title found' else split_part(text, chr(10), 1) end as title,
+         case when doc_id % 5 = 0 then 'Unknown' else source end as author,
+         cast(ts as date) as date, ts as publish_time,
+         case when doc_id % 4 != 0 and text != '' then text
+              when doc_id % 8 != 0 then split_part(text, chr(10), 1) else 'No content found' end as content,
+         concat(lang, ',', source) as tags
+  from docs_ts where doc_id % 19 != 0 and doc_id % 23 != 0)"""
+NORM_C = """norm_c as (
+  select cast(doc_id as varchar) as id, 'rappler' as source,
+         concat('https://www.rappler.com/', lang, '/', cast(doc_id as varchar), '/') as url, lang as category,
+         case when doc_id % 9 = 0 then 'No title found' else split_part(text, chr(10), 1) end as title,
+         cast(null as varchar) as author, cast(ts as date) as date, ts as publish_time, text as content,
+         concat(lang, ',', source) as tags
+  from docs_ts)"""
+ORACLE["norm_listing_detail"] = f"with {DOCS_TS}, {NORM_A} select * from norm_a"
+ORACLE["norm_sectioned"] = f"with {DOCS_TS}, {NORM_B} select * from norm_b"
+ORACLE["norm_nested_posts"] = f"with {DOCS_TS}, {NORM_C} select * from norm_c"
+ORACLE["union_sources"] = f"""with {DOCS_TS}, {NORM_A}, {NORM_B}, {NORM_C}
+select * from norm_a union all select * from norm_b union all select * from norm_c"""
+ORACLE["load_normalise"] = f"""with {DOCS_TS}
+select cast(doc_id as varchar) as id, source, concat('https://example.com/', cast(doc_id as varchar)) as url,
+       lang as category, split_part(text, chr(10), 1) as title,
+       case when doc_id % 3 = 0 then null else source end as author, cast(ts as date) as date,
+       ts as publish_time, text as content, case when doc_id % 4 = 0 then null else lang end as tags
+from docs_ts"""
+
+PAGE_PARTS = """parts as (
+  select page_id, url,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) as auth,
+         regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') as p
+  from pages),
+parts2 as (
+  select page_id, url, split_part(auth, '.', 1) as subdomain, split_part(auth, '.', 2) as origin,
+         split_part(p, '/', 1) as article_id,
+         case when strpos(p, '/') > 0 then substr(p, strpos(p, '/') + 1) else '' end as slug
+  from parts)"""
+ORACLE["url_parts"] = f"with {PAGE_PARTS} select page_id, subdomain, origin, article_id, slug from parts2"
+ORACLE["article_key"] = f"""with {PAGE_PARTS}
+select page_id, concat(subdomain, ':', article_id, ':', slug) as article_key from parts2"""
+ORACLE["url_absolute"] = f"with {PAGE_PARTS} select page_id, concat('https://www.example.com/', slug) as abs_url from parts2"
+ORACLE["url_category"] = """
+select page_id, split_part(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/', 2) as category
+from pages"""
+ORACLE["publish_time_parse"] = """
+select event_id,
+       case event_id % 5 when 0 then date_trunc('second', ts) when 1 then date_trunc('second', ts)
+                         when 2 then ts when 3 then date_trunc('day', ts) end as publish_time
+from events"""
+ORACLE["api_time_parse"] = """
+select event_id, cast(ts as date) as date, date_trunc('second', ts) as publish_time from events"""
+RAW_TAGS = """raw_tags as (
+  select p_partkey,
+         case when p_partkey % 11 = 0 then null
+              else concat(' ', p_brand, ' ,, ', replace(p_type, ' ', ' , '), ', ') end as raw
+  from part)"""
+ORACLE["tags_normalise"] = f"""with {RAW_TAGS}
+select p_partkey,
+       coalesce(array_to_string(list_filter(list_transform(string_split(raw, ','), lambda x: trim(x)), lambda x: x != ''), ','), '')
+         as tags
+from raw_tags"""
+ORACLE["tags_to_array"] = f"with {RAW_TAGS} select p_partkey, string_split(raw, ',') as tags from raw_tags"
+ORACLE["fill_defaults"] = f"""with {A}
+select id, coalesce(title, 'No title found') as title, coalesce(author, 'Unknown') as author,
+       case when cast(id as bigint) % 6 = 0 then 'Unknown' else category end as category,
+       case when cast(id as bigint) % 8 = 0 then 'No content found' else content end as content
+from articles"""
+ORACLE["whitespace_collapse"] = r"""
+select doc_id,
+       regexp_replace(regexp_replace(regexp_replace(text, '\n{3,}', chr(10) || chr(10), 'g'), ' +', ' ', 'g'),
+                      '^\s+|\s+$', '', 'g') as text
+from documents"""
+ORACLE["boilerplate_cut"] = """
+select doc_id, trim(replace(split_part(text, ' the ', 1), chr(10) || chr(10), ' ')) as text from documents"""
+ORACLE["date_to_text"] = "select o_orderkey, cast(cast(o_orderdate as date) as varchar) as date from orders"
+ORACLE["date_spine"] = """
+with b as (select o_orderstatus, min(cast(o_orderdate as date)) as s, max(cast(o_orderdate as date)) as e
+           from orders group by o_orderstatus),
+days as (select o_orderstatus, cast(unnest(generate_series(cast(s as timestamp), cast(e as timestamp), interval 1 day))
+                                    as date) as day from b)
+select o_orderstatus, day, concat('https://www.inquirer.net/article-index/?d=', cast(day as varchar)) as index_url
+from days"""
+
+ORACLE["pending_articles"] = f"""with {A}
+select url, category, cast(date as varchar) as date from articles where title is null"""
+ORACLE["unextracted_articles"] = f"""with {A}
+select id, url, category, cast(date as varchar) as date from articles
+where lower(title) like '%no title%' or lower(content) like '%cannot extract article%'"""
+ORACLE["category_allow"] = f"""with {A}
+select id, category from articles where upper(trim(category)) in ('EN', 'FR')"""
+ORACLE["https_only"] = "select page_id, url from pages where starts_with(url, 'https://')"
+ORACLE["slug_block"] = f"""with {PAGE_PARTS}
+select page_id, subdomain, slug from parts2
+where not coalesce(contains(slug, '5') or (subdomain = 'blog' and contains(slug, '1')), false)"""
+ORACLE["challenge_page_flag"] = """
+select page_id,
+       coalesce(contains(lower(substring(html, 1, 2000)), 'ad 1 -->')
+                or contains(lower(substring(html, 1, 2000)), 'lang="de"'), false) as is_challenge
+from pages"""
+ORACLE["newest_first_cutoff"] = """
+with s as (select event_type, min(value) as sp from events where ts < timestamp '2024-01-15' group by event_type)
+select e.event_id, e.event_type from events e left join s on e.event_type = s.event_type
+where s.sp is null or e.value < s.sp"""
+ORACLE["has_key"] = f"""with {A},
+x as (select case when cast(id as bigint) % 17 = 0 then null else id end as id,
+             case when cast(id as bigint) % 13 = 0 then '' else url end as url from articles)
+select id, url from x where id is not null and id != '' and url is not null and url != ''"""
+ORACLE["listing_detail"] = """
+select d.doc_id, d.source, coalesce(cast(l.quality as varchar), 'No content found') as detail
+from documents d left join labels l on d.doc_id = l.doc_id"""
+ORACLE["tag_lookup"] = """
+select cast(l_orderkey as varchar) as id,
+       coalesce(string_agg(p_name, ',' order by l_linenumber, l_partkey, p_name), '') as tags
+from lineitem left join part on l_partkey = p_partkey group by l_orderkey"""
+ORACLE["listing_frontier"] = """
+with l as (
+  select event_type as section, (rn - 1) // 5 + 1 as page, rn as pos,
+         case when event_id % 97 = 0 then null else ts end as ts, user_id < 75 as known
+  from (select *, row_number() over (partition by event_type order by event_id desc) as rn from events)),
+stops as (select section, page, min(pos) as stop_pos from l
+          where ts is not null and ts < timestamp '2024-01-25' group by section, page),
+pg as (
+  select l.section, l.page,
+         count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos)) as n_in_range,
+         count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos) and not l.known) as n_new,
+         bool_or(s.stop_pos is not null) as reached_old
+  from l left join stops s on l.section = s.section and l.page = s.page group by l.section, l.page),
+w as (select *, n_in_range = 0 or n_new = 0 or reached_old as stop_here from pg),
+fs as (select section, min(page) as sp from w where stop_here group by section)
+select w.section, w.page, w.n_in_range, w.n_new, w.reached_old
+from w left join fs on w.section = fs.section
+where fs.sp is null or w.page < fs.sp or (w.page = fs.sp and w.n_in_range > 0 and w.n_new > 0 and w.reached_old)"""

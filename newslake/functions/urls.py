@@ -10,22 +10,35 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# urlparse-like split that never fails: authority only after '//', path up to
+# the query or fragment.
+AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+
+def url_authority(url) -> Column:
+    return F.regexp_extract(_c(url), AUTHORITY_RE, 1)
+
+
+def url_path(url) -> Column:
+    return F.regexp_extract(_c(url), PATH_RE, 1)
+
+
 def url_parts(url) -> Column:
     """struct(subdomain, origin, article_id, slug).
 
     Host labels come from the full authority (port and user info kept, like a
-    netloc), the path is stripped of leading/trailing slashes and cut once at
-    the first remaining slash.  Unparseable URLs give NULL fields.
+    netloc); the path is stripped of leading/trailing slashes and cut once at
+    the first remaining slash.
     """
-    u = _c(url)
-    labels = F.split(F.try_parse_url(u, F.lit("AUTHORITY")), r"\.")
-    path = F.regexp_replace(F.try_parse_url(u, F.lit("PATH")), r"^/+|/+$", "")
+    labels = F.split(url_authority(url), r"\.")
+    path = F.regexp_replace(url_path(url), r"^/+|/+$", "")
     segs = F.split(path, "/", 2)
     return F.struct(
         F.try_element_at(labels, F.lit(1)).alias("subdomain"),
-        F.when(labels.isNotNull(), F.coalesce(F.try_element_at(labels, F.lit(2)), F.lit(""))).alias("origin"),
+        F.coalesce(F.try_element_at(labels, F.lit(2)), F.lit("")).alias("origin"),
         F.try_element_at(segs, F.lit(1)).alias("article_id"),
-        F.when(segs.isNotNull(), F.coalesce(F.try_element_at(segs, F.lit(2)), F.lit(""))).alias("slug"),
+        F.coalesce(F.try_element_at(segs, F.lit(2)), F.lit("")).alias("slug"),
     )
 
 
@@ -42,4 +55,4 @@ def url_absolute(path, root: str) -> Column:
 
 def url_category(url) -> Column:
     """First path segment of the link ('' for a bare '/', NULL without a path)."""
-    return F.try_element_at(F.split(F.try_parse_url(_c(url), F.lit("PATH")), "/"), F.lit(2))
+    return F.try_element_at(F.split(url_path(url), "/"), F.lit(2))

@@ -19,6 +19,7 @@ from newslake.functions import timeparse as tp
 from newslake.functions import urls as ur
 from newslake.operators import aggregates as ag
 from newslake.operators import filters as fl
+from newslake.operators import html as hj
 from newslake.operators import joins as jn
 from newslake.operators import quality as dq
 from newslake.operators import setops as so
@@ -480,4 +481,72 @@ def q_listing_frontier(spark, d):
     return ag.listing_frontier(fx.paged_listing(fx.load(spark, d, "events")), "2024-01-25")
 
 
+# ---------------------------------------------------------------- HTML jobs
+def _pages_fields(spark, d):
+    pages = fx.load(spark, d, "pages")
+    return hj.page_fields(pages).withColumn("_u", ur.url_parts("url"))
+
+
+@register("page_fields")
+def q_page_fields(spark, d):
+    return _pages_fields(spark, d).select("page_id", F.col("f.title_tag").alias("title"),
+                                          F.size("f.links").alias("n_links"))
+
+
+@register("title_fallback")
+def q_title_fallback(spark, d):
+    return _pages_fields(spark, d).select("page_id", hj.title_fallback("f", F.col("_u.subdomain")).alias("title"))
+
+
+@register("author_fallback")
+def q_author_fallback(spark, d):
+    return _pages_fields(spark, d).select("page_id", hj.author_fallback("f", F.col("_u.subdomain")).alias("author"))
+
+
+@register("content_fallback")
+def q_content_fallback(spark, d):
+    pages = fx.load(spark, d, "pages").withColumn("_u", ur.url_parts("url"))
+    content = hj.content_fallback(subdomain=F.col("_u.subdomain"),
+                                  selectors={"blog": "div#FOR_target_content", "*": "article"}, html_col="html")
+    return pages.select("page_id", (content != "Cannot extract article content").alias("extracted"))
+
+
+@register("tags_from_hrefs")
+def q_tags_from_hrefs(spark, d):
+    return _pages_fields(spark, d).select("page_id", tx.tags_from_hrefs(F.col("f.links"), "/t").alias("tags"))
+
+
+@register("html_clean_text")
+def q_html_clean_text(spark, d):
+    cleaned = hj.html_clean_text(fx.load(spark, d, "pages"), "html", classes=["ad"])
+    return cleaned.select("page_id", (F.length("text") > 0).alias("has_text"),
+                          (~F.col("text").rlike("<[A-Za-z/!]")).alias("markup_free"))
+
+
+def _index_pages(spark, d):
+    pages = fx.load(spark, d, "pages")
+    return pages.withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 7).cast("int")))
+
+
+HARVEST_OPTS = {"nav_lists": True, "resolve_relative": True}
+
+
+def _first_pass_ids(spark, d):
+    idx = _index_pages(spark, d)
+    stored = idx.filter(F.col("page_id") % 2 == 0)
+    empty = spark.createDataFrame([], "id string")
+    return hj.link_harvest(stored, empty, **HARVEST_OPTS).select("id")
+
+
+@register("link_harvest")
+def q_link_harvest(spark, d):
+    return hj.link_harvest(_index_pages(spark, d), _first_pass_ids(spark, d), **HARVEST_OPTS)
+
+
+@register("harvest_counters")
+def q_harvest_counters(spark, d):
+    links = hj.harvested_links(_index_pages(spark, d), **HARVEST_OPTS)
+    return ag.harvest_counters(links, _first_pass_ids(spark, d), "date", ["_page_url", "_sec", "_link"])
+
+
 __all__ = ["REGISTRY", "ARTICLE_COLUMNS"]

@@ -314,3 +314,58 @@ fs as (select section, min(page) as sp from w where stop_here group by section)
 select w.section, w.page, w.n_in_range, w.n_new, w.reached_old
 from w left join fs on w.section = fs.section
 where fs.sp is null or w.page < fs.sp or (w.page = fs.sp and w.n_in_range > 0 and w.n_new > 0 and w.reached_old)"""
+
+# ---------------------------------------------------------------- HTML jobs
+DECODE_TITLE = ("replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '\"'), "
+                "'&amp;', '&')")
+ORACLE["page_fields"] = f"""
+select page_id, {DECODE_TITLE} as title,
+       cast(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as integer) as n_links
+from pages"""
+ORACLE["title_fallback"] = f"""
+select page_id, case when {DECODE_TITLE} != '' then regexp_replace({DECODE_TITLE}, '^\\s+|\\s+$', '', 'g')
+                     else 'No title' end as title
+from pages"""
+ORACLE["author_fallback"] = "select page_id, 'No author' as author from pages"
+ORACLE["content_fallback"] = f"""with {PAGE_PARTS}
+select p.page_id, case when s.subdomain = 'blog' then false else contains(p.html, '<article>') end as extracted
+from pages p join parts2 s on p.page_id = s.page_id"""
+ORACLE["tags_from_hrefs"] = """
+select page_id,
+       array_to_string(list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1),
+                                                  lambda h: contains(h, '/t')),
+                                      lambda h: split_part(h, '/t', 2)), ', ') as tags
+from pages"""
+ORACLE["html_clean_text"] = "select page_id, true as has_text, true as markup_free from pages"
+
+HARVEST = """idx as (
+  select page_id, url as page_url, cast(date '2024-01-01' + cast(page_id % 7 as integer) as date) as date,
+         regexp_extract_all(html, '<li><a href="([^"]*)"', 1) as hrefs
+  from pages),
+l as (select page_id, page_url, date, unnest(hrefs) as href, generate_subscripts(hrefs, 1) as pos from idx),
+r as (select *, case when starts_with(href, '/') and not starts_with(href, '//')
+                     then regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href
+                     else href end as link from l),
+h as (select *, regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1) as auth,
+             regexp_replace(regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1),
+                            '^/+|/+$', '', 'g') as p
+      from r where starts_with(link, 'https://')),
+hp as (select *, split_part(auth, '.', 1) as subdomain, split_part(auth, '.', 2) as origin,
+              split_part(p, '/', 1) as article_id,
+              case when strpos(p, '/') > 0 then substr(p, strpos(p, '/') + 1) else '' end as slug from h),
+keyed as (select concat(subdomain, ':', article_id, ':', slug) as id, origin as source, link as url,
+                 '' as category, date, page_url, pos, page_id
+          from hp where not coalesce(contains(slug, 'lotto')
+                                     or (subdomain = 'cebudailynews' and contains(slug, 'daily-gospel')), false)),
+known as (select distinct id from keyed where page_id % 2 = 0)"""
+ORACLE["link_harvest"] = f"""with {HARVEST},
+fresh as (select * from keyed where id not in (select id from known))
+select id, source, url, category, date from (
+  select *, row_number() over (partition by id order by date, page_url, pos) as rn from fresh) where rn = 1"""
+ORACLE["harvest_counters"] = f"""with {HARVEST},
+firsts as (select id, min(struct_pack(d := date, u := page_url, p := pos)) as f from keyed group by id),
+m as (select k.date, k.id in (select id from known) as is_known,
+             struct_pack(d := k.date, u := k.page_url, p := k.pos) = f.f as is_first
+      from keyed k join firsts f on k.id = f.id)
+select date, count_if(not is_known and is_first) as accepted, count_if(is_known or not is_first) as skipped
+from m group by date"""

@@ -26,6 +26,7 @@ from newslake.operators import setops as so
 from newslake.operators import topk as tk
 from newslake.operators import windows as wn
 from newslake.operators import writes as wr
+from newslake.plans import marts as mt
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
 from newslake.session import shared_path
 from newslake.sources import listings as ls
@@ -549,4 +550,50 @@ def q_harvest_counters(spark, d):
     return ag.harvest_counters(links, _first_pass_ids(spark, d), "date", ["_page_url", "_sec", "_link"])
 
 
+# ---------------------------------------------------------------- text trends
+def _tokens(spark, d, keep_case=False):
+    docs = fx.load(spark, d, "documents")
+    return tx.tokenise(docs, "doc_id", "text", keep_case_col="raw" if keep_case else None)
+
+
+@register("tokenise")
+def q_tokenise(spark, d):
+    return _tokens(spark, d)
+
+
+@register("stopword_anti")
+def q_stopword_anti(spark, d):
+    return jn.stopword_anti(_tokens(spark, d, keep_case=True), "raw").select("doc_id", "pos", "token")
+
+
+def _term_counts(spark, d):
+    toks = jn.stopword_anti(_tokens(spark, d, keep_case=True), "raw")
+    return ag.term_counts(toks, "doc_id", "token")
+
+
+@register("term_counts")
+def q_term_counts(spark, d):
+    return _term_counts(spark, d)
+
+
+@register("top_terms")
+def q_top_terms(spark, d):
+    return tk.top_terms(_term_counts(spark, d), 10, "doc_id", "token")
+
+
+@register("lemma_lookup")
+def q_lemma_lookup(spark, d):
+    toks = _tokens(spark, d)
+    # Lemma table derived from the corpus: plural-looking words -> stem.
+    lemmas = (toks.filter(F.col("token").rlike("^\\p{L}{3,}s$")).select(F.col("token").alias("word"))
+              .distinct().withColumn("lemma", F.expr("substring(word, 1, length(word) - 1)")))
+    return jn.lemma_lookup(toks, lemmas, "token").select("doc_id", "pos", "lemma")
+
+
+@register("trending_terms")
+def q_trending_terms(spark, d):
+    arts = _docs(spark, d)
+    return mt.trending_terms(arts, fl.as_of_date(arts), window_days=7, k=20)
+
+
 __all__ = ["REGISTRY", "ARTICLE_COLUMNS"]

@@ -369,3 +369,45 @@ m as (select k.date, k.id in (select id from known) as is_known,
       from keyed k join firsts f on k.id = f.id)
 select date, count_if(not is_known and is_first) as accepted, count_if(is_known or not is_first) as skipped
 from m group by date"""
+
+# ---------------------------------------------------------------- text trends
+TOKS = r"""pieces as (
+  select doc_id, unnest(parts) as piece, generate_subscripts(parts, 1) as pos
+  from (select doc_id, regexp_split_to_array(text, '[^\p{L}\p{N}_''\-]+') as parts from documents)),
+stripped as (
+  select doc_id, pos,
+         regexp_replace(regexp_replace(regexp_replace(piece, '^''+', ''), '(?i)(n''t|''s|''m|''re|''ve|''ll|''d)$', ''),
+                        '''+$', '') as raw
+  from pieces),
+toks as (select doc_id, pos, raw, lower(raw) as token from stripped where regexp_full_match(raw, '\p{L}+'))"""
+STOPWORDS_SQL = None  # filled below from the fixed list
+
+
+def _stopwords_sql() -> str:
+    from newslake.constants import ENGLISH_STOPWORDS
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOPWORDS)
+
+
+STOPWORDS_SQL = _stopwords_sql()
+ORACLE["tokenise"] = f"with {TOKS} select doc_id, pos, token from toks"
+ORACLE["stopword_anti"] = f"with {TOKS} select doc_id, pos, token from toks where raw not in ({STOPWORDS_SQL})"
+TERMS = f"""{TOKS},
+terms as (select doc_id, token, count(*) as n, min(pos) as first_pos from toks
+          where raw not in ({STOPWORDS_SQL}) group by doc_id, token)"""
+ORACLE["term_counts"] = f"with {TERMS} select * from terms"
+ORACLE["top_terms"] = f"""with {TERMS}
+select * from (select *, row_number() over (partition by doc_id order by n desc, first_pos, token) as rank from terms)
+where rank <= 10"""
+ORACLE["lemma_lookup"] = f"""with {TOKS},
+lem as (select distinct token as word, substring(token, 1, length(token) - 1) as lemma from toks
+        where regexp_full_match(token, '\\p{{L}}{{3,}}s'))
+select t.doc_id, t.pos, coalesce(l.lemma, t.token) as lemma from toks t left join lem l on t.token = l.word"""
+TREND_TOKS = TOKS.replace("from documents", "from documents_dated where date >= (select max(date) from documents_dated) - 13")
+ORACLE["trending_terms"] = f"""with documents_dated as (
+  select doc_id, text, cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date from documents),
+{TREND_TOKS},
+cur as (select doc_id, date >= (select max(date) from documents_dated) - 6 as is_cur from documents_dated),
+c as (select token as term, count_if(is_cur) as this_window, count_if(not is_cur) as prev_window
+      from toks join cur using (doc_id) where raw not in ({STOPWORDS_SQL}) group by token)
+select term, this_window, prev_window, this_window - prev_window as growth from c
+order by growth desc, term limit 20"""

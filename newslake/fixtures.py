@@ -215,3 +215,28 @@ def raw_tags(part: DataFrame) -> DataFrame:
     p = part
     raw = F.concat(F.lit(" "), p.p_brand, F.lit(" ,, "), F.replace(p.p_type, F.lit(" "), F.lit(" , ")), F.lit(", "))
     return p.select("p_partkey", F.when(p.p_partkey % 11 == 0, F.lit(None).cast("string")).otherwise(raw).alias("raw"))
+
+
+# ---- landing files for the streaming jobs -----------------------------------
+def land(df: DataFrame, path: str, files: int) -> str:
+    """Write ``df`` as about ``files`` parquet files under ``path`` (append)."""
+    df.repartition(files).write.mode("append").parquet(path)
+    return path
+
+
+def article_arrivals(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(first arrivals, later repeats) of documents-as-articles, with ``seq``."""
+    arts = articles_from_documents(documents)
+    n = F.col("id").cast("bigint")
+    first = arts.withColumn("seq", n)
+    again = arts.filter(n % 4 == 0).withColumn("title", F.lit("again")).withColumn("seq", n + 1_000_000)
+    return first, again
+
+
+def event_arrivals(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(first arrivals, later repeats) of events-as-articles, with ``seq``."""
+    arts = conform_articles(articles_from_events(events))
+    n = F.col("id").cast("bigint")
+    first = arts.withColumn("seq", n)
+    again = arts.filter(n % 5 == 0).withColumn("category", F.lit("again")).withColumn("seq", n + 1_000_000)
+    return first, again

@@ -32,6 +32,7 @@ from newslake.session import shared_path
 from newslake.sources import listings as ls
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
+from newslake.streaming import ingest as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -596,4 +597,46 @@ def q_trending_terms(spark, d):
     return mt.trending_terms(arts, fl.as_of_date(arts), window_days=7, k=20)
 
 
+# ---------------------------------------------------------------- streaming
+def _seq_schema():
+    from pyspark.sql import types as T
+    from newslake.schema import ARTICLE_SCHEMA
+    return T.StructType(ARTICLE_SCHEMA.fields + [T.StructField("seq", T.LongType())])
+
+
+def _run_ingest(spark, d):
+    root = shared_path(spark, "ingest")
+    first, again = fx.article_arrivals(fx.load(spark, d, "documents"))
+    fx.land(first, root + "/landing", 4)
+    fx.land(again, root + "/landing", 2)
+    q = st.stream_ingest(spark, root + "/landing", _seq_schema(), root + "/log", root + "/ckpt", files_per_trigger=2)
+    q.awaitTermination()
+    return root, q
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, d):
+    root, _ = _run_ingest(spark, d)
+    return st.current_table(spark, root + "/log", _seq_schema())
+
+
+@register("stream_progress")
+def q_stream_progress(spark, d):
+    _, q = _run_ingest(spark, d)
+    return st.progress_frame(spark, q)
+
+
+@register("stream_known_ids")
+def q_stream_known_ids(spark, d):
+    root = shared_path(spark, "known")
+    first, again = fx.event_arrivals(fx.load(spark, d, "events"))
+    fx.land(first, root + "/landing", 3)
+    fx.land(again, root + "/landing", 2)
+    stored = first.filter(F.col("seq") % 3 == 0).select("id")
+    q = st.stream_known_ids(spark, root + "/landing", _seq_schema(), stored, root + "/log", root + "/ckpt",
+                            files_per_trigger=1)
+    q.awaitTermination()
+    return st.read_known_ids_log(spark, root + "/log", _seq_schema()).drop("batch")
+
+
 __all__ = ["REGISTRY", "ARTICLE_COLUMNS"]

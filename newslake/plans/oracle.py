@@ -411,3 +411,24 @@ c as (select token as term, count_if(is_cur) as this_window, count_if(not is_cur
       from toks join cur using (doc_id) where raw not in ({STOPWORDS_SQL}) group by token)
 select term, this_window, prev_window, this_window - prev_window as growth from c
 order by growth desc, term limit 20"""
+
+# ---------------------------------------------------------------- streaming
+ORACLE["stream_ingest"] = f"""with {A},
+arrivals as (
+  select *, cast(id as bigint) as seq from articles
+  union all
+  select id, source, url, category, 'again' as title, author, date, publish_time, content, tags,
+         cast(id as bigint) + 1000000 as seq from articles where cast(id as bigint) % 4 = 0)
+select {ACOLS} from (select *, row_number() over (partition by id order by seq) as rn from arrivals) where rn = 1"""
+ORACLE["stream_known_ids"] = f"""with {E},
+ea as (select id, source, cast(null as varchar) as url, category, cast(null as varchar) as title,
+              cast(null as varchar) as author, date, cast(null as timestamp) as publish_time,
+              cast(null as varchar) as content, cast(null as varchar) as tags, cast(id as bigint) as seq
+       from articles_e),
+arrivals as (
+  select * from ea
+  union all
+  select id, source, url, 'again' as category, title, author, date, publish_time, content, tags,
+         seq + 1000000 as seq from ea where seq % 5 = 0)
+select {ACOLS}, seq from (select *, row_number() over (partition by id order by seq) as rn from arrivals)
+where rn = 1 and seq % 3 != 0"""

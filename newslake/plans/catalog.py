@@ -639,4 +639,72 @@ def q_stream_known_ids(spark, d):
     return st.read_known_ids_log(spark, root + "/log", _seq_schema()).drop("batch")
 
 
+# ---------------------------------------------------------------- marts
+@register("stg_articles")
+def q_stg_articles(spark, d):
+    return mt.stg_articles(_docs(spark, d), marker=" is ", source="src3")
+
+
+def _docs_with_versions(spark, d):
+    arts = _docs(spark, d)
+    n = F.col("id").cast("bigint")
+    newer = (arts.filter(n % 5 == 0).withColumn("title", F.lit("newer"))
+             .withColumn("publish_time", F.col("publish_time") + F.expr("interval 1 day")))
+    return arts.unionByName(newer)
+
+
+def _cleaned(spark, d):
+    arts = _docs_with_versions(spark, d)
+    pages = _docs(spark, d).select("url", F.col("content").alias("html"))
+    return mt.int_articles_cleaned(mt.stg_articles(arts), pages=pages, challenge_phrases=[" und "])
+
+
+@register("int_articles_cleaned")
+def q_int_articles_cleaned(spark, d):
+    return _cleaned(spark, d)
+
+
+@register("fct_articles")
+def q_fct_articles(spark, d):
+    return mt.fct_articles(_cleaned(spark, d))
+
+
+@register("dim_sources")
+def q_dim_sources(spark, d):
+    return mt.dim_sources(_docs(spark, d))
+
+
+@register("agg_daily_trends")
+def q_agg_daily_trends(spark, d):
+    return mt.agg_daily_trends(_events(spark, d), fill_calendar=True)
+
+
+@register("incremental_refresh")
+def q_incremental_refresh(spark, d):
+    ev = _events(spark, d)
+    n = F.col("id").cast("bigint")
+    old, new = ev.filter(n % 10 != 0), ev.filter(n % 10 == 0)
+
+    def build(arts):
+        return ag.daily_counts(arts, by=["source"])
+
+    path = shared_path(spark, "mart_daily")
+    mt.write_partitions(build(old), path)
+    mart = spark.read.parquet(path)
+    refreshed = mt.incremental_refresh(mart, ev, new, build)
+    touched_only = refreshed.join(new.select("date").distinct(), on="date", how="left_semi")
+    mt.write_partitions(touched_only, path)
+    return spark.read.parquet(path)
+
+
+@register("layered_build")
+def q_layered_build(spark, d):
+    layers = [
+        ("stg_articles", "view", lambda s: mt.stg_articles(_docs(s, d))),
+        ("int_articles_cleaned", "view", lambda s: mt.int_articles_cleaned(s.table("stg_articles"))),
+        ("dim_sources", "table", lambda s: mt.dim_sources(s.table("int_articles_cleaned"))),
+    ]
+    return wr.layered_build(spark, layers, shared_path(spark, "layers"))["dim_sources"]
+
+
 __all__ = ["REGISTRY", "ARTICLE_COLUMNS"]

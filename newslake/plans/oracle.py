@@ -432,3 +432,58 @@ arrivals as (
          seq + 1000000 as seq from ea where seq % 5 = 0)
 select {ACOLS}, seq from (select *, row_number() over (partition by id order by seq) as rn from arrivals)
 where rn = 1 and seq % 3 != 0"""
+
+# ---------------------------------------------------------------- marts
+ORACLE["stg_articles"] = f"""with {A}
+select id, source, url, category,
+       case when source = 'src3' and contains(content, ' is ') then trim(replace(title, chr(10) || chr(10), ' '))
+            else title end as title,
+       author, date, publish_time,
+       case when source = 'src3' and contains(content, ' is ')
+            then trim(replace(split_part(content, ' is ', 1), chr(10) || chr(10), ' ')) else content end as content,
+       string_split(tags, ',') as tags
+from articles"""
+VERSIONED = f"""{A},
+versioned as (
+  select * from articles
+  union all
+  select id, source, url, category, 'newer' as title, author, date, publish_time + interval 1 day as publish_time,
+         content, tags from articles where cast(id as bigint) % 5 = 0),
+bad_pages as (select url from articles where contains(lower(substring(content, 1, 2000)), ' und ')),
+cleaned as (
+  select id, source, url, category, title, author, date, publish_time, content, string_split(tags, ',') as tags
+  from (select *, row_number() over (partition by id order by publish_time desc) as rn
+        from versioned
+        where title is not null
+          and not coalesce(contains(lower(title), 'no title') or contains(lower(content), 'cannot extract article'),
+                           false)
+          and url not in (select url from bad_pages))
+  where rn = 1)"""
+ORACLE["int_articles_cleaned"] = f"with {VERSIONED} select * from cleaned"
+ORACLE["fct_articles"] = f"""with {VERSIONED}
+select id, source, url, category, title, author, date, publish_time, cast(length(content) as bigint) as content_length,
+       cast(coalesce(len(list_filter(tags, lambda t: trim(t) != '')), 0) as integer) as tag_count,
+       cast(date_trunc('week', date) as date) as week
+from cleaned"""
+DIM = """select source, count(*) as total_articles, count(distinct category) as categories_covered,
+       avg(length(content)) as avg_article_length, min(date) as earliest_article, max(date) as latest_article,
+       cast(dense_rank() over (order by source) as integer) as source_id
+from {src} group by source"""
+ORACLE["dim_sources"] = f"with {A} " + DIM.format(src="articles")
+ORACLE["agg_daily_trends"] = f"""with {E},
+daily as (select date, source, category, count(*) as daily_count from articles_e group by date, source, category),
+b as (select source, category, min(date) as s, max(date) as e from daily group by source, category),
+spine as (select source, category,
+                 cast(unnest(generate_series(cast(s as timestamp), cast(e as timestamp), interval 1 day)) as date) as date
+          from b),
+f as (select sp.date, sp.source, sp.category, coalesce(d.daily_count, 0) as daily_count
+      from spine sp left join daily d on sp.date = d.date and sp.source = d.source and sp.category = d.category)
+select *, avg(daily_count) over (partition by source, category order by date
+                                 rows between 6 preceding and current row) as moving_avg_7d
+from f"""
+ORACLE["incremental_refresh"] = f"""with {E}
+select source, count(*) as daily_count, date from articles_e group by date, source"""
+ORACLE["layered_build"] = f"""with {A},
+c as (select * from articles where title is not null
+      and not coalesce(contains(lower(title), 'no title') or contains(lower(content), 'cannot extract article'), false))
+""" + DIM.format(src="c")

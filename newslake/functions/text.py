@@ -87,8 +87,12 @@ def tokenise(df: DataFrame, id_col: str, text_col: str, lower: bool = True,
     orders tokens by first occurrence.  With ``keep_case_col`` the token
     before lower-casing is kept too (stopword tests are case-sensitive).
     """
-    raw = F.transform(F.split(F.col(text_col), TOKEN_SPLIT), strip_clitics)
-    out = df.select(F.col(id_col), F.posexplode(raw).alias("pos", "piece"))
+    # Explode first, then clean each piece: plain column expressions stay in
+    # whole-stage codegen (a lambda over the array would not), and the
+    # clitic regexes only run on the few pieces holding an apostrophe.
+    out = df.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), TOKEN_SPLIT)).alias("pos", "piece"))
+    piece = F.col("piece")
+    out = out.withColumn("piece", F.when(piece.contains("'"), strip_clitics(piece)).otherwise(piece))
     out = out.filter(F.col("piece").rlike(ALPHA_TOKEN)).withColumn("pos", F.col("pos") + 1)
     cols = [F.col(id_col), "pos"]
     if keep_case_col:

@@ -28,6 +28,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Bound the Arrow batches fed to the HTML parser (pages can be large).
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

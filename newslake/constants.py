@@ -82,6 +82,11 @@ TAG_MARKER = "/tag/"
 PUBLISH_META_SELECTORS = ['meta[property="article:published_time"]', 'meta[name="parsely-pub-date"]']
 PUBLISH_BODY_SELECTOR = ".bmhead-headline .bpdate"
 
+# Source labels written by the three listing normalisers.
+SOURCE_LISTING_DETAIL = "abs-cbn"
+SOURCE_SECTIONED = "manila_bulletin"
+SOURCE_NESTED_POSTS = "rappler"
+
 # Site roots used to make listing links absolute.
 LISTING_A_SITE_ROOT = "https://www.abs-cbn.com/"
 INDEX_URL_TEMPLATE = "https://www.inquirer.net/article-index/?d={date}"

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.constants import LISTING_A_SITE_ROOT, NO_CONTENT_FOUND, NO_TITLE_FOUND, UNKNOWN
+from newslake.constants import (LISTING_A_SITE_ROOT, NO_CONTENT_FOUND, NO_TITLE_FOUND, SOURCE_LISTING_DETAIL,
+                                SOURCE_NESTED_POSTS, SOURCE_SECTIONED, UNKNOWN)
 from newslake.functions.text import tags_normalise
 from newslake.functions.timeparse import ISO_T_SECONDS, ISO_Z_FRACTION, SPACE_SECONDS, api_time_parse
 from newslake.functions.urls import url_category
@@ -24,7 +25,7 @@ LISTING_A_PAGE = ("struct<listItem: array<struct<_id: bigint, createdDateFull: s
 LISTING_A_DETAIL = "struct<_id: bigint, data: struct<body_html: string>>"
 
 
-def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source: str = "abs-cbn",
+def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source: str = SOURCE_LISTING_DETAIL,
                         site_root: str = LISTING_A_SITE_ROOT, page_col: str = "page",
                         value_col: str = "value") -> DataFrame:
     """Shape A -> articles.
@@ -64,7 +65,7 @@ LISTING_B_DETAIL = ("struct<response: string, data: struct<cms_article_id: bigin
                     "author_name: string, publish_time: string>>")
 
 
-def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = "manila_bulletin",
+def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SECTIONED,
                    value_col: str = "value") -> DataFrame:
     """Shape B -> articles.
 
@@ -102,7 +103,7 @@ LISTING_C_PAGE = ("array<struct<id: bigint, link: string, date: string, title: s
                   "content: struct<rendered: string>, tags: array<bigint>>>")
 
 
-def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = "rappler",
+def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE_NESTED_POSTS,
                       value_col: str = "value") -> DataFrame:
     """Shape C -> articles.
 

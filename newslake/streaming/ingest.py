@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from newslake.operators.windows import first_wins
-from newslake.operators.writes import insert_ignore
+from newslake.operators.writes import insert_ignore, upsert_two_phase
 from newslake.session import path_exists
 
 
@@ -37,11 +37,14 @@ def stream_ingest(spark: SparkSession, landing: str, schema: StructType, log_pat
 
 
 def current_table(spark: SparkSession, log_path: str, schema: StructType, snapshot: DataFrame | None = None,
-                  key: str = "id", order: str = "seq") -> DataFrame:
-    """The table as of the log: insert-if-absent of the logged records (first
-    arrival wins) over ``snapshot`` (or an empty table)."""
+                  key: str = "id", order: str = "seq", how: str = "insert_ignore") -> DataFrame:
+    """The table as of the log, folded over ``snapshot`` (or an empty table):
+    ``how="insert_ignore"`` (W1, first arrival wins) or ``how="upsert"`` (W2,
+    stubs then full records in ``order``)."""
     log = spark.read.schema(schema).parquet(log_path)
     base = snapshot if snapshot is not None else spark.createDataFrame([], schema).drop(order)
+    if how == "upsert":
+        return upsert_two_phase(base, log, order)
     return insert_ignore(base, log, key, order)
 
 

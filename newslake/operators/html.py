@@ -175,14 +175,43 @@ def _matches(n: Node, steps, i: int) -> bool:
     return False
 
 
-def select(root: Node, steps) -> list[Node]:
+def index_elements(root: Node) -> dict:
+    """Elements by tag, id and class, each list in document order."""
+    idx: dict = {"all": [], "tag": {}, "id": {}, "class": {}}
+    for n in iter_elements(root):
+        idx["all"].append(n)
+        idx["tag"].setdefault(n.tag, []).append(n)
+        if "id" in n.attrs:
+            idx["id"].setdefault(n.attrs["id"], []).append(n)
+        for c in set(n.attrs.get("class", "").split()):
+            idx["class"].setdefault(c, []).append(n)
+    return idx
+
+
+def select(root: Node, steps, idx: dict | None = None) -> list[Node]:
+    """Elements matching ``steps`` in document order.  With an index, only
+    the candidates of the last compound's most selective part are tested."""
     last = len(steps) - 1
-    return [n for n in iter_elements(root) if _matches(n, steps, last)]
+    if idx is None:
+        cands = list(iter_elements(root))
+    else:
+        tag, conds = steps[last][0]
+        ids = [c[1] for c in conds if c[0] == "id"]
+        classes = [c[1] for c in conds if c[0] == "class"]
+        if ids:
+            cands = idx["id"].get(ids[0], [])
+        elif classes:
+            cands = idx["class"].get(classes[0], [])
+        elif tag is not None:
+            cands = idx["tag"].get(tag, [])
+        else:
+            cands = idx["all"]
+    return [n for n in cands if _matches(n, steps, last)]
 
 
-def extract(root: Node, steps, mode: str):
+def extract(root: Node, steps, mode: str, idx: dict | None = None):
     """Apply one (selector, mode) spec: text / texts / attr:NAME / attrs:NAME / outer."""
-    nodes = select(root, steps)
+    nodes = select(root, steps, idx)
     if mode in ("text", "texts"):
         texts = [c for n in nodes for c in n.children if isinstance(c, str)]
         return texts if mode == "texts" else (texts[0] if texts else None)
@@ -310,7 +339,8 @@ def extract_fields(html_col, specs: dict[str, tuple[str, str]]) -> Column:
         if markup is None:
             return {k: None for k in names}
         root = parse(markup)
-        return {k: extract(root, steps, m) for k, (steps, m) in compiled.items()}
+        idx = index_elements(root)
+        return {k: extract(root, steps, m, idx) for k, (steps, m) in compiled.items()}
 
     @F.pandas_udf(schema)
     def _fields(s: pd.Series) -> pd.DataFrame:

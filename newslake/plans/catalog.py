@@ -28,7 +28,7 @@ from newslake.operators import windows as wn
 from newslake.operators import writes as wr
 from newslake.plans import marts as mt
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
-from newslake.session import shared_path
+from newslake.session import checkpoint_root, shared_path
 from newslake.sources import listings as ls
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
@@ -584,10 +584,13 @@ def q_top_terms(spark, d):
 
 @register("lemma_lookup")
 def q_lemma_lookup(spark, d):
+    checkpoint_root(spark)
     toks = _tokens(spark, d)
     # Lemma table derived from the corpus: plural-looking words -> stem.
+    # Materialised once (reliable checkpoint in the shared folder), so its
+    # size check and the join do not both recompute the token pipeline.
     lemmas = (toks.filter(F.col("token").rlike("^\\p{L}{3,}s$")).select(F.col("token").alias("word"))
-              .distinct().withColumn("lemma", F.expr("substring(word, 1, length(word) - 1)")))
+              .distinct().withColumn("lemma", F.expr("substring(word, 1, length(word) - 1)"))).checkpoint()
     return jn.lemma_lookup(toks, lemmas, "token").select("doc_id", "pos", "lemma")
 
 

@@ -40,3 +40,17 @@ def test_known_ids_skips_stored_and_repeats(spark):
     assert log.join(stored, "id").count() == 0
     assert log.filter(F.col("category") == "again").count() == 0
     assert log.count() == first.filter(F.col("seq") % 2 != 0).count()
+
+
+def test_dedup_state_variant_emits_each_new_id_once(spark):
+    root = shared_path(spark, "t_state")
+    first, again = fx.event_arrivals(fx.load(spark, SF, "events"))
+    fx.land(first, root + "/landing", 2)
+    fx.land(again, root + "/landing", 1)
+    stored = first.filter(F.col("seq") % 2 == 0).select("id")
+    q = st.stream_dedup_state(spark, root + "/landing", _seq_schema(), stored, root + "/log", root + "/ckpt")
+    q.awaitTermination()
+    log = spark.read.parquet(root + "/log")
+    expected = first.filter(F.col("seq") % 2 != 0).select("id")
+    assert log.count() == expected.count()
+    assert log.select("id").subtract(expected).count() == 0

@@ -65,6 +65,28 @@ def versions_from_conversations(conversations: DataFrame) -> DataFrame:
 DOC_TS = "timestampadd(SECOND, -doc_id * 3607, timestamp_ntz'2024-03-01 00:00:00')"
 
 
+def ts_text(ts, form: str):
+    """Text of a ``timestamp_ntz`` without involving the session time zone
+    (``date_format`` would route it through a zoned timestamp)."""
+    base = F.substring(ts.cast("string"), 1, 19)                      # yyyy-MM-dd HH:mm:ss
+    sec = F.date_part(F.lit("SECOND"), ts)
+    frac = lambda digits: F.lpad(F.pmod(F.floor(sec * (10 ** digits)), F.lit(10 ** digits)).cast("string"),
+                                 digits, "0")
+    if form == "space":
+        return base
+    if form == "iso":
+        return F.replace(base, F.lit(" "), F.lit("T"))
+    if form == "iso_millis_z":
+        return F.concat(F.replace(base, F.lit(" "), F.lit("T")), F.lit("."), frac(3), F.lit("Z"))
+    if form == "space_micros":
+        return F.concat(base, F.lit("."), frac(6))
+    if form == "rfc":
+        return F.concat(F.date_format(F.to_date(ts), "EEE, dd MMM yyyy"), F.lit(" "), F.substring(base, 12, 8))
+    if form == "long_date":
+        return F.date_format(F.to_date(ts), "MMMM d, yyyy")
+    raise ValueError(form)
+
+
 def _doc_ts():
     return F.expr(DOC_TS)
 
@@ -78,7 +100,7 @@ def listing_a(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     first, and one detail record per item (some items have none)."""
     d = documents
     item = F.struct(d.doc_id.alias("_id"),
-                    F.date_format(_doc_ts(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("createdDateFull"),
+                    ts_text(_doc_ts(), "iso_millis_z").alias("createdDateFull"),
                     F.when(d.doc_id % 13 == 0, F.lit(None).cast("string"))
                     .otherwise(F.concat(d.lang, F.lit("/"), d.doc_id.cast("string"))).alias("slugline_url"),
                     d.lang.alias("category"), _first_line(d).alias("title"), d.source.alias("author"),
@@ -96,7 +118,7 @@ def listing_b(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Shape B landing rows: per (section, page) summaries; detail records
     with absent keys, empty bodies and failed responses mixed in."""
     d = documents
-    ptime = F.date_format(_doc_ts(), "yyyy-MM-dd HH:mm:ss")
+    ptime = ts_text(_doc_ts(), "space")
     row = F.struct(d.doc_id.alias("cms_article_id"),
                    F.when(d.doc_id % 19 == 0, F.lit("")).otherwise(ptime).alias("publish_time"))
     pages = (d.select(d.source.alias("section"), F.expr("doc_id div 200").alias("page"),
@@ -136,7 +158,7 @@ def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     post = F.struct(
         d.doc_id.alias("id"),
         F.concat(F.lit("https://www.rappler.com/"), d.lang, F.lit("/"), d.doc_id.cast("string"), F.lit("/")).alias("link"),
-        F.date_format(_doc_ts(), "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+        ts_text(_doc_ts(), "iso").alias("date"),
         F.when(d.doc_id % 9 == 0, F.lit(None)).otherwise(F.struct(_first_line(d).alias("rendered"))).alias("title"),
         F.struct(d.text.alias("rendered")).alias("content"),
         F.array(_lang_code(d), _source_num(d), F.lit(999999).cast("bigint")).alias("tags"))
@@ -151,7 +173,7 @@ def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def raw_records(documents: DataFrame) -> DataFrame:
     """Adapter for S11: untyped records as a buffered loader receives them."""
     d = documents
-    stamp = F.date_format(_doc_ts(), "yyyy-MM-dd HH:mm:ss")
+    stamp = ts_text(_doc_ts(), "space")
     return d.select(d.doc_id.alias("id"), d.source, d.lang.alias("category"),
                     F.concat(F.lit("https://example.com/"), d.doc_id.cast("string")).alias("url"),
                     _first_line(d).alias("title"),
@@ -192,11 +214,11 @@ def formatted_times(events: DataFrame) -> DataFrame:
     e = events
     zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (e.event_id % 4 + 1).cast("int"))
     k = e.event_id % 5
-    meta = (F.when(k == 0, F.concat(F.date_format(e.ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" "), zone))
-            .when(k == 1, F.concat(F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+08:00")))
-            .when(k == 2, F.date_format(e.ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    meta = (F.when(k == 0, F.concat(ts_text(e.ts, "rfc"), F.lit(" "), zone))
+            .when(k == 1, F.concat(ts_text(e.ts, "iso"), F.lit("+08:00")))
+            .when(k == 2, ts_text(e.ts, "space_micros"))
             .when(k == 4, F.lit("n/a")))
-    body = F.when(k == 3, F.date_format(e.ts, "MMMM d, yyyy"))
+    body = F.when(k == 3, ts_text(e.ts, "long_date"))
     return e.select("event_id", meta.alias("meta"), body.alias("body"))
 
 
@@ -204,9 +226,9 @@ def api_times(events: DataFrame) -> DataFrame:
     """(event_id, kind, text): the three listing time formats."""
     e = events
     k = e.event_id % 3
-    text = (F.when(k == 0, F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-            .when(k == 1, F.date_format(e.ts, "yyyy-MM-dd HH:mm:ss"))
-            .otherwise(F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss")))
+    text = (F.when(k == 0, ts_text(e.ts, "iso_millis_z"))
+            .when(k == 1, ts_text(e.ts, "space"))
+            .otherwise(ts_text(e.ts, "iso")))
     return e.select("event_id", k.alias("kind"), text.alias("text"))
 
 

@@ -13,6 +13,13 @@ def date_to_text(d) -> Column:
     return (F.col(d) if isinstance(d, str) else d).cast("string")
 
 
+def monday_of(d) -> Column:
+    """Monday of the ISO week holding date ``d`` (date arithmetic only, so no
+    session time zone is involved)."""
+    c = F.col(d) if isinstance(d, str) else d
+    return F.date_sub(c, F.pmod(F.dayofweek(c) + 5, F.lit(7)))
+
+
 def date_spine(bounds: DataFrame, start_col: str = "start", end_col: str = "end",
                url_template: str = INDEX_URL_TEMPLATE) -> DataFrame:
     """One row per day from start to end inclusive, with its index-page URL.

@@ -16,10 +16,18 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _ntz(s: Column, fmt: str) -> Column:
-    # try_to_timestamp parses in the session zone; casting back to NTZ in the
-    # same zone keeps the wall clock.
-    return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
+def _ntz(s: Column, fmt: str, whole_seconds: bool = False) -> Column:
+    """Parse ``s`` with ``fmt`` straight to a wall-clock ``timestamp_ntz``.
+
+    The text is parsed as a UTC instant (an explicit ``+0000`` is appended)
+    and rebuilt from its epoch microseconds, so the session time zone never
+    shifts it (a local time inside a DST gap stays as written).
+    """
+    instant = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(fmt + " Z"))
+    micros = F.unix_micros(instant)
+    if whole_seconds:
+        micros = micros - F.pmod(micros, F.lit(1_000_000))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def parse_meta_time(v) -> Column:
@@ -64,5 +72,5 @@ def publish_time_parse_array(metas, body_text=None) -> Column:
 
 def api_time_parse(text, fmt: str) -> Column:
     """Listing timestamp text -> struct(date, publish_time), second precision."""
-    ts = F.date_trunc("second", _ntz(_c(text), fmt)).cast("timestamp_ntz")
+    ts = _ntz(_c(text), fmt, whole_seconds=True)
     return F.struct(F.to_date(ts).alias("date"), ts.alias("publish_time"))

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newslake.functions.dates import monday_of
+
 
 def by_source(articles: DataFrame) -> DataFrame:
     """A1: per source: article count and distinct categories, busiest first."""
@@ -35,7 +37,7 @@ def daily_counts(articles: DataFrame, by: list[str] | None = None) -> DataFrame:
 def weekly_counts(articles: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A4: count per Monday-starting week (and category by default)."""
     keys = list(by if by is not None else ["category"])
-    week = F.date_trunc("week", F.col("date")).cast("date").alias("week")
+    week = monday_of(F.col("date").cast("date")).alias("week")
     return articles.groupBy(*keys, week).agg(F.count(F.lit(1)).alias("weekly_count"))
 
 

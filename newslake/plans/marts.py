@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.constants import BOILERPLATE_MARKER, BOILERPLATE_SOURCE
-from newslake.functions.dates import date_spine
+from newslake.functions.dates import date_spine, monday_of
 from newslake.functions.text import boilerplate_cut, tags_to_array, title_cut, tokenise
 from newslake.operators.aggregates import source_comparison
 from newslake.operators.filters import challenge_flag
@@ -52,7 +52,7 @@ def fct_articles(cleaned: DataFrame) -> DataFrame:
         "id", "source", "url", "category", "title", "author", "date", "publish_time",
         F.length("content").cast("bigint").alias("content_length"),
         F.coalesce(F.size(F.filter(F.col("tags"), lambda t: F.trim(t) != "")), F.lit(0)).alias("tag_count"),
-        F.date_trunc("week", F.col("date")).cast("date").alias("week"))
+        monday_of("date").alias("week"))
 
 
 def dim_sources(articles: DataFrame) -> DataFrame:

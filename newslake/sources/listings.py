@@ -149,7 +149,7 @@ def load_normalise(records: DataFrame) -> DataFrame:
     out = {}
     for c in df.columns:
         if c == "date":
-            out[c] = F.to_date(F.try_to_timestamp(F.col(c).cast("string")))
+            out[c] = F.to_date(F.col(c).cast("string").try_cast("timestamp_ntz"))
         elif c == "publish_time":
             out[c] = F.col(c).cast("string").try_cast("timestamp_ntz")
         else:

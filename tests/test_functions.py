@@ -83,3 +83,17 @@ def test_tokenise_rules(spark):
     assert [t for _, _, t in got] == ["the", "cat", "do", "run", "quoted", "été"]
     assert got[0][1] == "The"                              # K11: case kept for stopword test
     assert [p for p, _, _ in got] == sorted(p for p, _, _ in got)
+
+
+def test_parsing_ignores_session_time_zone(spark):
+    # 02:30 on 2024-03-10 does not exist in New York; the wall clock must
+    # still come back as written (K16: stored as wall-clock timestamp_ntz).
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("Sun, 10 Mar 2024 02:30:00 PST", "2024-03-10 02:30:45.5")], "m string, t string")
+        r = df.select(tp.publish_time_parse("m").alias("a"),
+                      tp.api_time_parse("t", "yyyy-MM-dd HH:mm:ss.S")["publish_time"].alias("b")).first()
+        assert r.a == dt.datetime(2024, 3, 10, 2, 30) and r.b == dt.datetime(2024, 3, 10, 2, 30, 45)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

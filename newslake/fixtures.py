@@ -191,17 +191,20 @@ def tag_lists(lineitem: DataFrame) -> DataFrame:
 
 
 # ---- Adapter L: events as a paged, newest-first listing ---------------------
-def paged_listing(events: DataFrame, page_size: int = 5) -> DataFrame:
-    """section = event_type; rows newest first (event_id desc) in pages of
-    ``page_size``; some rows lack a time; 'known' = stored before."""
-    from pyspark.sql import Window
-    rn = F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("event_id")))
-    e = events.withColumn("_rn", rn)
-    return e.select(F.col("event_type").alias("section"),
-                    (F.expr(f"(_rn - 1) div {page_size}") + 1).alias("page"), F.col("_rn").alias("pos"),
-                    F.col("event_id").cast("string").alias("id"),
-                    F.when(F.col("event_id") % 97 == 0, F.lit(None)).otherwise(F.col("ts")).alias("ts"),
-                    (F.col("user_id") < 75).alias("known"))
+def paged_listing(events: DataFrame, page_size: int = 25) -> DataFrame:
+    """section = event_type; rows newest first (highest event_id first); the
+    listing is cut into pages of ``page_size`` consecutive event ids, so a
+    section's page may hold a few rows or none (a gap ends that section's
+    walk).  Some rows lack a time; 'known' = stored before.  No window: page
+    and position come from the id and a scalar max, so no section is
+    gathered into one task."""
+    newest = events.select(F.max("event_id")).scalar()
+    back = newest - F.col("event_id")
+    return events.select(F.col("event_type").alias("section"),
+                         (F.floor(back / page_size) + 1).cast("long").alias("page"), back.alias("pos"),
+                         F.col("event_id").cast("string").alias("id"),
+                         F.when(F.col("event_id") % 97 == 0, F.lit(None)).otherwise(F.col("ts")).alias("ts"),
+                         (F.col("user_id") < 75).alias("known"))
 
 
 # ---- Adapter P: events.ts written in the text forms pages use ---------------

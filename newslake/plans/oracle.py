@@ -297,10 +297,12 @@ select cast(l_orderkey as varchar) as id,
        coalesce(string_agg(p_name, ',' order by l_linenumber, l_partkey, p_name), '') as tags
 from lineitem left join part on l_partkey = p_partkey group by l_orderkey"""
 ORACLE["listing_frontier"] = """
-with l as (
-  select event_type as section, (rn - 1) // 5 + 1 as page, rn as pos,
+with m as (select max(event_id) as newest from events),
+l as (
+  select event_type as section, cast(floor((m.newest - event_id) / 25) + 1 as bigint) as page,
+         m.newest - event_id as pos,
          case when event_id % 97 = 0 then null else ts end as ts, user_id < 75 as known
-  from (select *, row_number() over (partition by event_type order by event_id desc) as rn from events)),
+  from events, m),
 stops as (select section, page, min(pos) as stop_pos from l
           where ts is not null and ts < timestamp '2024-01-25' group by section, page),
 pg as (
@@ -309,11 +311,16 @@ pg as (
          count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos) and not l.known) as n_new,
          bool_or(s.stop_pos is not null) as reached_old
   from l left join stops s on l.section = s.section and l.page = s.page group by l.section, l.page),
+nxt as (select p.section, p.page, q.page is not null as has_next
+        from pg p left join pg q on q.section = p.section and q.page = p.page + 1),
+gaps as (select section, case when min(page) > 1 then 1 else min(case when not has_next then page + 1 end) end as gp
+         from nxt group by section),
 w as (select *, n_in_range = 0 or n_new = 0 or reached_old as stop_here from pg),
 fs as (select section, min(page) as sp from w where stop_here group by section)
 select w.section, w.page, w.n_in_range, w.n_new, w.reached_old
-from w left join fs on w.section = fs.section
-where fs.sp is null or w.page < fs.sp or (w.page = fs.sp and w.n_in_range > 0 and w.n_new > 0 and w.reached_old)"""
+from w join gaps g on w.section = g.section left join fs on w.section = fs.section
+where w.page < g.gp
+  and (fs.sp is null or w.page < fs.sp or (w.page = fs.sp and w.n_in_range > 0 and w.n_new > 0 and w.reached_old))"""
 
 # ---------------------------------------------------------------- HTML jobs
 DECODE_TITLE = ("replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '\"'), "

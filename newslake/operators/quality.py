@@ -21,15 +21,13 @@ def dq_report(df: DataFrame, unique: list[str] = ("id",), not_null: list[str] =
               multi_source_key: str | None = "id") -> DataFrame:
     """Q3: every check as a row (check, column, failures).
 
-    ``not_null`` counts and the per-key duplicate counts come from
-    aggregations (partial, map-side); the uniqueness failures are the number
-    of surplus rows: rows minus distinct non-NULL keys minus NULL keys.
+    ``not_null`` failures are NULL counts; ``unique`` failures are surplus
+    rows of repeated non-NULL keys; ``single_source`` counts keys seen with
+    more than one source.  All are aggregations with a map-side partial step.
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in not_null:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"nn_{c}"))
-    for c in unique:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"un_null_{c}"))
     base = df.agg(*aggs)
     parts = []
     for c in not_null:

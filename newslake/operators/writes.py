@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators.windows import dedupe_latest, first_wins
-from newslake.schema import ARTICLE_COLUMNS, CONTENT_COLUMNS, KEY_COLUMNS, conform_articles
-from newslake.session import path_exists, shared_path
+from newslake.schema import ARTICLE_COLUMNS, CONTENT_COLUMNS, KEY_COLUMNS
+from newslake.session import shared_path
 
 
 def split_rejects(batch: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -128,12 +128,8 @@ def layered_build(spark: SparkSession, layers: list[tuple[str, str, object]], ro
     return built
 
 
-def articles_with_seq(df: DataFrame, seq: str = "seq") -> DataFrame:
-    return conform_articles(df, extra=[seq])
-
-
 __all__ = ["insert_ignore", "upsert_two_phase", "compact", "conditional_update", "sync_incremental",
-           "commit_snapshot", "layered_build", "split_rejects", "path_exists", "articles_with_seq"]
+           "commit_snapshot", "layered_build", "split_rejects", "create_bucketed", "merge_into_bucketed"]
 
 
 # ------------------------------------------------------------------ bucketed tables

@@ -46,8 +46,4 @@ def query_parquet(spark: SparkSession, sql: str, **paths: str) -> DataFrame:
     return spark.sql(sql.format(**rel))
 
 
-def table_version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v{version:06d}"
-
-
 __all__ = ["open_articles", "save_articles", "scan", "export_parquet", "query_parquet"]

@@ -160,13 +160,13 @@ ANULL = f"""{A}, anull as (
          source, url, category, title, author, date, publish_time, content, tags from articles)"""
 ORACLE["dq_not_null"] = f"with {ANULL} select * from anull where id is null"
 ORACLE["dq_report"] = f"""with {ANULL}
-select 'not_null' as "check", 'id' as "column", count_if(id is null) as failures from anull
-union all select 'not_null', 'title', count_if(title is null) from anull
+select 'not_null' as "check", 'id' as "column", cast(count_if(id is null) as bigint) as failures from anull
+union all select 'not_null', 'title', cast(count_if(title is null) as bigint) from anull
 union all select 'unique', 'id', coalesce(sum(n - 1), 0)::bigint from
   (select id, count(*) as n from anull where id is not null group by id)
 union all select 'unique', 'category', coalesce(sum(n - 1), 0)::bigint from
   (select category, count(*) as n from anull where category is not null group by category)
-union all select 'single_source', 'id', count_if(k > 1) from
+union all select 'single_source', 'id', cast(count_if(k > 1) as bigint) from
   (select id, count(distinct source) as k from anull where id is not null group by id)"""
 
 # ---------------------------------------------------------------- record normalisation
@@ -307,8 +307,8 @@ stops as (select section, page, min(pos) as stop_pos from l
           where ts is not null and ts < timestamp '2024-01-25' group by section, page),
 pg as (
   select l.section, l.page,
-         count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos)) as n_in_range,
-         count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos) and not l.known) as n_new,
+         cast(count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos)) as bigint) as n_in_range,
+         cast(count_if(l.ts is not null and (s.stop_pos is null or l.pos < s.stop_pos) and not l.known) as bigint) as n_new,
          bool_or(s.stop_pos is not null) as reached_old
   from l left join stops s on l.section = s.section and l.page = s.page group by l.section, l.page),
 nxt as (select p.section, p.page, q.page is not null as has_next
@@ -374,12 +374,12 @@ firsts as (select id, min(struct_pack(d := date, u := page_url, p := pos)) as f
 m as (select k.date, k.id in (select id from known) as is_known,
              struct_pack(d := k.date, u := k.page_url, p := k.pos) = f.f as is_first
       from keyed k join firsts f on k.id = f.id)
-select date, count_if(not is_known and is_first) as accepted, count_if(is_known or not is_first) as skipped
+select date, cast(count_if(not is_known and is_first) as bigint) as accepted, cast(count_if(is_known or not is_first) as bigint) as skipped
 from m group by date"""
 
 # ---------------------------------------------------------------- text trends
 TOKS = r"""pieces as (
-  select doc_id, unnest(parts) as piece, generate_subscripts(parts, 1) as pos
+  select doc_id, unnest(parts) as piece, cast(generate_subscripts(parts, 1) as integer) as pos
   from (select doc_id, regexp_split_to_array(text, '[^\p{L}\p{N}_''\-]+') as parts from documents)),
 stripped as (
   select doc_id, pos,
@@ -403,7 +403,7 @@ terms as (select doc_id, token, count(*) as n, min(pos) as first_pos from toks
           where raw not in ({STOPWORDS_SQL}) group by doc_id, token)"""
 ORACLE["term_counts"] = f"with {TERMS} select * from terms"
 ORACLE["top_terms"] = f"""with {TERMS}
-select * from (select *, row_number() over (partition by doc_id order by n desc, first_pos, token) as rank from terms)
+select * from (select *, cast(row_number() over (partition by doc_id order by n desc, first_pos, token) as integer) as rank from terms)
 where rank <= 10"""
 ORACLE["lemma_lookup"] = f"""with {TOKS},
 lem as (select distinct token as word, substring(token, 1, length(token) - 1) as lemma from toks
@@ -414,7 +414,7 @@ ORACLE["trending_terms"] = f"""with documents_dated as (
   select doc_id, text, cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date from documents),
 {TREND_TOKS},
 cur as (select doc_id, date >= (select max(date) from documents_dated) - 6 as is_cur from documents_dated),
-c as (select token as term, count_if(is_cur) as this_window, count_if(not is_cur) as prev_window
+c as (select token as term, cast(count_if(is_cur) as bigint) as this_window, cast(count_if(not is_cur) as bigint) as prev_window
       from toks join cur using (doc_id) where raw not in ({STOPWORDS_SQL}) group by token)
 select term, this_window, prev_window, this_window - prev_window as growth from c
 order by growth desc, term limit 20"""

@@ -25,6 +25,9 @@ UNEXTRACTED_CONTENT_MARKER = "cannot extract article"
 BOILERPLATE_MARKER = "Read Next"
 BOILERPLATE_SOURCE = "inquirer"
 
+# Weekday abbreviations accepted in RFC-822-like publish times (any case).
+WEEKDAY_ABBREVIATIONS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
+
 # Zone labels stripped (not converted) from RFC-822-like publish times.
 ZONE_LABELS = ["PST", "PHT", "UTC", "GMT"]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newslake.constants import ZONE_LABELS
+from newslake.constants import WEEKDAY_ABBREVIATIONS, ZONE_LABELS
 
 ISO_Z_FRACTION = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 SPACE_SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -39,13 +39,16 @@ def parse_meta_time(v) -> Column:
     explicit offset is dropped and the wall clock kept.
     """
     s = F.trim(_c(v))
-    rfc_form = s.contains(",") & F.regexp_like(F.split_part(s, F.lit(","), F.lit(1)),
-                                               F.lit(r"^\s*[A-Za-z]+\s*$"))
+    head = F.trim(F.split_part(s, F.lit(","), F.lit(1)))
+    # Text before the first comma is one alphabetic word -> the RFC form,
+    # which only parses with an English weekday abbreviation.
+    rfc_form = s.contains(",") & F.regexp_like(head, F.lit(r"^\p{L}+$"))
+    weekday_ok = F.lower(head).isin(WEEKDAY_ABBREVIATIONS)
     stripped = s
     for label in ZONE_LABELS:
         stripped = F.replace(stripped, F.lit(label), F.lit(""))
-    stripped = F.trim(F.regexp_replace(stripped, r"^\s*[A-Za-z]+,\s*", ""))
-    rfc = _ntz(stripped, "d MMM yyyy HH:mm:ss")
+    stripped = F.trim(F.regexp_replace(stripped, r"^\s*\p{L}+,\s*", ""))
+    rfc = F.when(weekday_ok, _ntz(stripped, "d MMM yyyy HH:mm:ss"))
     iso = F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz")
     return F.when(rfc_form, rfc).otherwise(iso)
 

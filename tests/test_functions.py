@@ -37,6 +37,8 @@ def test_publish_time_forms(spark):
         (None, "March 5, 2024", dt.datetime(2024, 3, 5)),
         (None, "- March 5, 2024 -", dt.datetime(2024, 3, 5)),
         ("garbage", None, None),
+        ("Lundi, 05 Mar 2024 10:20:30", None, None),          # not an English weekday: no parse
+        ("tue, 05 Mar 2024 10:20:30", None, dt.datetime(2024, 3, 5, 10, 20, 30)),
         ("garbage", "not a date", None),
     ]
     df = spark.createDataFrame([(m, b) for m, b, _ in cases], "m string, b string")

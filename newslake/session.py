@@ -8,7 +8,6 @@ fresh local folder when nothing is configured (unit tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,16 +68,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return root.rstrip("/") + "/newslake/" + "/".join(leaf)
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for Python-side existence checks."""
-    if uri.startswith("file:"):
-        p = uri[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return uri
-
-
 def path_exists(spark: SparkSession, uri: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -87,4 +76,4 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists", "local_path"]
+__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists"]

@@ -692,11 +692,8 @@ def q_incremental_refresh(spark, d):
         return ag.daily_counts(arts, by=["source"])
 
     path = shared_path(spark, "mart_daily")
-    mt.write_partitions(build(old), path)
-    mart = spark.read.parquet(path)
-    refreshed = mt.incremental_refresh(mart, ev, new, build)
-    touched_only = refreshed.join(new.select("date").distinct(), on="date", how="left_semi")
-    mt.write_partitions(touched_only, path)
+    mt.write_partitions(build(old), path)                 # the mart before the new rows
+    mt.refresh_partitions(path, ev, new, build)           # only touched dates rewritten
     return spark.read.parquet(path)
 
 

@@ -117,6 +117,18 @@ def incremental_refresh(mart: DataFrame, all_articles: DataFrame, new_rows: Data
     return kept.unionByName(recomputed.select(*mart.columns))
 
 
+def refresh_partitions(mart_path: str, all_articles: DataFrame, new_rows: DataFrame, build,
+                       partition_col: str = "date") -> DataFrame:
+    """D6 on a stored mart: recompute the partitions of the dates touched by
+    ``new_rows`` from the articles alone and replace just those partitions
+    (dynamic overwrite).  The mart itself is never read by this job, so no
+    partition is read while it is being replaced.  Returns the rows written."""
+    touched = new_rows.select(partition_col).distinct()
+    recomputed = build(all_articles.join(touched, on=partition_col, how="left_semi"))
+    write_partitions(recomputed, mart_path, partition_col)
+    return recomputed
+
+
 def write_partitions(df: DataFrame, path: str, partition_col: str = "date") -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -100,9 +100,15 @@ def sync_incremental(source: DataFrame, target: DataFrame, key: str = "id") -> t
 
 
 def commit_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new snapshot directory under ``root``; return its path."""
+    """Write ``df`` as a new snapshot directory under ``root``; return its path.
+
+    Names sort by commit time (``snap-<nanoseconds>-<random>``), so the newest
+    complete snapshot is found by listing; a failed write leaves no
+    ``_SUCCESS`` marker and is skipped by :func:`latest_snapshot`.
+    """
+    import time
     import uuid
-    path = root.rstrip("/") + "/snap-" + uuid.uuid4().hex
+    path = f"{root.rstrip('/')}/snap-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -110,6 +116,21 @@ def commit_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = N
     return path
 
 
+def latest_snapshot(spark: SparkSession, root: str) -> str | None:
+    """Path of the newest complete snapshot under ``root`` (None if none)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return None
+    names = sorted((st.getPath().getName() for st in fs.listStatus(base)
+                    if st.isDirectory() and st.getPath().getName().startswith("snap-")), reverse=True)
+    for n in names:
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{n}/_SUCCESS")):
+            return f"{root.rstrip('/')}/{n}"
+    return None
+
+
 def layered_build(spark: SparkSession, layers: list[tuple[str, str, object]], root: str | None = None) -> dict:
     """Build layers in order.  Each layer is (name, kind, build) where
     ``kind`` is ``"view"`` (temp view) or ``"table"`` (written to parquet and
@@ -129,7 +150,7 @@ def layered_build(spark: SparkSession, layers: list[tuple[str, str, object]], ro
 
 
 __all__ = ["insert_ignore", "upsert_two_phase", "compact", "conditional_update", "sync_incremental",
-           "commit_snapshot", "layered_build", "split_rejects", "create_bucketed", "merge_into_bucketed"]
+           "commit_snapshot", "latest_snapshot", "layered_build", "split_rejects", "create_bucketed", "merge_into_bucketed"]
 
 
 # ------------------------------------------------------------------ bucketed tables

@@ -139,6 +139,8 @@ def test_snapshot_commit_never_overwrites(spark, tmp_path):
     p1 = wr.commit_snapshot(df, str(tmp_path))
     p2 = wr.commit_snapshot(spark.read.parquet(p1), str(tmp_path))
     assert p1 != p2 and spark.read.parquet(p2).count() == 3
+    assert wr.latest_snapshot(spark, str(tmp_path)) == p2
+    assert wr.latest_snapshot(spark, str(tmp_path / "none")) is None
 
 
 def test_bucketed_merge_equals_replay(spark, tmp_path):

@@ -521,7 +521,8 @@ def q_tags_from_hrefs(spark, d):
 @register("html_clean_text")
 def q_html_clean_text(spark, d):
     cleaned = hj.html_clean_text(fx.load(spark, d, "pages"), "html", classes=["ad"])
-    return cleaned.select("page_id", (F.length("text") > 0).alias("has_text"),
+    words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)
+    return cleaned.select("page_id", F.array_join(words, " ").alias("words"), F.size(words).alias("n_words"),
                           (~F.col("text").rlike("<[A-Za-z/!]")).alias("markup_free"))
 
 

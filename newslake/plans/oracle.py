@@ -323,8 +323,9 @@ where w.page < g.gp
   and (fs.sp is null or w.page < fs.sp or (w.page = fs.sp and w.n_in_range > 0 and w.n_new > 0 and w.reached_old))"""
 
 # ---------------------------------------------------------------- HTML jobs
-DECODE_TITLE = ("replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '\"'), "
-                "'&amp;', '&')")
+# Entities in titles: &quot; and &amp; (also without ';', as an HTML parser accepts).
+DECODE_TITLE = ("regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;?', '\"', 'g'), "
+                "'&amp;?', '&', 'g')")
 ORACLE["page_fields"] = f"""
 select page_id, {DECODE_TITLE} as title,
        cast(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as integer) as n_links
@@ -343,7 +344,14 @@ select page_id,
                                                   lambda h: contains(h, '/t')),
                                       lambda h: split_part(h, '/t', 2)), ', ') as tags
 from pages"""
-ORACLE["html_clean_text"] = "select page_id, true as has_text, true as markup_free from pages"
+# Text of the page minus head, scripts, styles, comments and the dropped ad
+# blocks; inline tags join, block tags separate; entities (also the legacy
+# names an HTML parser accepts without ';') are not letters.
+ORACLE["html_clean_text"] = r"""
+with a as (select page_id, regexp_replace(html, '<head>.*?</head>|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<div class="ad">.*?</div>', ' ', 'gs') as h from pages),
+b as (select page_id, regexp_replace(regexp_replace(h, '</?(b|a|i|em|strong|span)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g') as t from a),
+c as (select page_id, regexp_extract_all(regexp_replace(t, '&(#[0-9]+;|#[xX][0-9A-Fa-f]+;|[A-Za-z][A-Za-z0-9]*;|amp|lt|gt|quot|copy|reg|nbsp)', ' ', 'g'), '(\p{L}+)', 1) as w from b)
+select page_id, array_to_string(w, ' ') as words, cast(len(w) as integer) as n_words, true as markup_free from c"""
 
 HARVEST = """idx as (
   select page_id, url as page_url, cast(date '2024-01-01' + cast(page_id % 7 as integer) as date) as date,

@@ -7,9 +7,10 @@
   (:func:`current_table`).
 * :func:`stream_known_ids` (M2): per micro-batch, first arrival per id wins
   and ids already stored or already logged are skipped.  The known-id set is
-  the durable log itself (a shuffle anti-join, not driver memory); every batch
-  writes its own directory, so a replayed batch overwrites instead of
-  appending twice.
+  the durable log itself (not driver memory): the batch's ids are broadcast
+  and the log is probed with a semi-join, so the growing log is scanned but
+  never shuffled; every batch writes its own directory, so a replayed batch
+  overwrites instead of appending twice.
 * :func:`progress_frame` (M3): micro-batch progress as a DataFrame.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from newslake.operators._sizing import broadcast_if_small
 from newslake.operators.windows import first_wins
 from newslake.operators.writes import insert_ignore, upsert_two_phase
 from newslake.session import path_exists
@@ -58,13 +60,21 @@ def stream_known_ids(spark: SparkSession, landing: str, schema: StructType, stor
     log_schema = StructType(schema.fields + [StructField("batch", LongType())])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        firsts = first_wins(batch.filter(F.col(key).isNotNull()), key, order)
-        fresh = firsts.join(stored, on=key, how="left_anti")
+        # Reused three times below; cached for this micro-batch only (a lost
+        # executor just recomputes it from the source files).
+        firsts = first_wins(batch.filter(F.col(key).isNotNull()), key, order).persist()
+        # The micro-batch's own ids (bounded by the trigger size, and size
+        # checked) are broadcast; the stored ids and the log are only scanned
+        # and probed, never shuffled, to find which of them were seen before.
+        ids = broadcast_if_small(firsts.select(key))
+        seen = stored.join(ids, on=key, how="left_semi")
         if path_exists(spark, log_root):
             # Earlier batches only: a replay of this batch must not see itself.
             logged = spark.read.schema(log_schema).parquet(log_root).filter(F.col("batch") < batch_id)
-            fresh = fresh.join(logged.select(key), on=key, how="left_anti")
+            seen = seen.unionByName(logged.select(key).join(ids, on=key, how="left_semi"))
+        fresh = firsts.join(seen, on=key, how="left_anti")
         fresh.write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch={batch_id}")
+        firsts.unpersist()
 
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(landing)
     return (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

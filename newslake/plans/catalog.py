@@ -27,7 +27,7 @@ from newslake.operators import topk as tk
 from newslake.operators import windows as wn
 from newslake.operators import writes as wr
 from newslake.plans import marts as mt
-from newslake.schema import ARTICLE_COLUMNS, conform_articles
+from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newslake.session import checkpoint_root, shared_path
 from newslake.sources import listings as ls
 from newslake.sources import sql as sq
@@ -247,7 +247,7 @@ def q_insert_ignore(spark, d):
 @register("upsert_two_phase")
 def q_upsert_two_phase(spark, d):
     v = _versions(spark, d)
-    empty = conform_articles(v.limit(0))
+    empty = spark.createDataFrame([], ARTICLE_SCHEMA)
     stored = wr.upsert_two_phase(empty, v.filter(F.col("seq") <= 1))
     return wr.upsert_two_phase(stored, v.filter(F.col("seq") >= 2))
 

@@ -16,7 +16,7 @@ from newslake.functions.text import tags_normalise
 from newslake.functions.timeparse import ISO_T_SECONDS, ISO_Z_FRACTION, SPACE_SECONDS, api_time_parse
 from newslake.functions.urls import url_category
 from newslake.operators.filters import has_key, newest_first_cutoff
-from newslake.operators.joins import listing_detail, tag_lookup
+from newslake.operators.joins import listing_detail, new_only, tag_lookup
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
 
 # ---- shape A: listing of items + a detail record per item -----------------
@@ -27,7 +27,7 @@ LISTING_A_DETAIL = "struct<_id: bigint, data: struct<body_html: string>>"
 
 def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source: str = SOURCE_LISTING_DETAIL,
                         site_root: str = LISTING_A_SITE_ROOT, page_col: str = "page",
-                        value_col: str = "value") -> DataFrame:
+                        value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
     """Shape A -> articles.
 
     Items are read in listing order (page, then position); with ``start``
@@ -35,7 +35,8 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
     a slug are dropped; the category is upper-cased; the URL is the site root
     plus the slug; the ISO time (``...T...fZ``) gives date and second-precision
     publish time; content is the detail's ``body_html``, or 'No content found'
-    when the item has no detail data.
+    when the item has no detail data.  With ``known_ids`` (an ``id`` column),
+    items already stored are dropped before the detail join (J1).
     """
     items = pages.select(F.col(page_col).alias("_page"),
                          F.posexplode(F.from_json(F.col(value_col), LISTING_A_PAGE)["listItem"]).alias("_idx", "it"))
@@ -44,6 +45,8 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
     if start is not None:
         items = newest_first_cutoff(items.withColumn("_ts", F.col("_t.publish_time")), [], "_pos", "_ts", start)
     items = has_key(items, ["slugline_url"])
+    if known_ids is not None:        # skip stored ids before the detail join
+        items = new_only(items.withColumn("id", F.col("_id").cast("string")), known_ids, "id").drop("id")
     det = (details.select(F.from_json(F.col(value_col), LISTING_A_DETAIL).alias("d"))
            .select(F.col("d._id").alias("_id"), F.col("d.data").isNotNull().alias("_has_data"),
                    F.col("d.data.body_html").alias("_body"))
@@ -66,7 +69,7 @@ LISTING_B_DETAIL = ("struct<response: string, data: struct<cms_article_id: bigin
 
 
 def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SECTIONED,
-                   value_col: str = "value") -> DataFrame:
+                   value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
     """Shape B -> articles.
 
     Listing rows with an empty publish time are skipped (F9); only
@@ -74,13 +77,16 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     (inner J3).  Content is the body, or the summary when the body is empty,
     else 'No content found'; title, author and category take their defaults
     when absent; tags are normalised (P10); the date is the text before the
-    first space of the publish time.
+    first space of the publish time.  With ``known_ids``, stored ids are
+    dropped before the detail join (J1).
     """
     rows = (pages.select(F.from_json(F.col(value_col), LISTING_B_PAGE).alias("p"))
             .filter(F.col("p.response") == "success")
             .select(F.explode("p.data").alias("r"))
             .select(F.col("r.cms_article_id").alias("cms_article_id"), F.col("r.publish_time").alias("_lt")))
     rows = has_key(rows, ["cms_article_id", "_lt"]).select("cms_article_id").distinct()
+    if known_ids is not None:        # skip stored ids before the detail join
+        rows = new_only(rows.withColumn("id", F.col("cms_article_id").cast("string")), known_ids, "id").drop("id")
     det = (details.select(F.from_json(F.col(value_col), LISTING_B_DETAIL).alias("d"))
            .filter((F.col("d.response") == "success") & F.col("d.data").isNotNull())
            .select("d.data.*"))
@@ -104,19 +110,22 @@ LISTING_C_PAGE = ("array<struct<id: bigint, link: string, date: string, title: s
 
 
 def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE_NESTED_POSTS,
-                      value_col: str = "value") -> DataFrame:
+                      value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
     """Shape C -> articles.
 
     Nested ``rendered`` fields (defaults when absent), category = first path
     segment of the link (P7), author NULL, ``T``-separated time, tag ids
     resolved through ``tag_dim`` (id, slug) in their listed order with
-    unmatched ids dropped (J4).
+    unmatched ids dropped (J4).  With ``known_ids``, stored ids are dropped
+    before the tag lookups (J1).
     """
     posts = (pages.select(F.explode(F.from_json(F.col(value_col), LISTING_C_PAGE)).alias("p"))
              .select("p.*").filter(F.col("id").isNotNull()))
     posts = posts.select(F.col("id").cast("string").alias("id"), "link", "date",
                          F.col("title.rendered").alias("_title"), F.col("content.rendered").alias("_content"),
                          F.coalesce(F.col("tags"), F.array().cast("array<bigint>")).alias("_tag_ids"))
+    if known_ids is not None:        # skip stored ids before the tag lookups
+        posts = new_only(posts, known_ids, "id")
     tagged = tag_lookup(posts, "id", "_tag_ids", tag_dim, tag_id="id", slug="slug", out_col="tags", sep=",")
     return conform_articles(tagged.select(
         "id", F.lit(source).alias("source"), F.col("link").alias("url"),

@@ -80,3 +80,21 @@ def test_load_normalise_and_union(spark):
     b = spark.createDataFrame([("t", "2")], "source string, id string")
     got = sorted((x.id, x.source) for x in ls.union_sources(a, b).collect())
     assert got == [("1", "s"), ("2", "t")]
+
+
+def test_known_ids_skipped_before_details(spark):
+    pages = _rows(spark, [{"listItem": [
+        {"_id": 1, "createdDateFull": "2024-03-05T00:00:00.000Z", "slugline_url": "a", "category": "c"},
+        {"_id": 2, "createdDateFull": "2024-03-05T00:00:00.000Z", "slugline_url": "b", "category": "c"}]}], page=True)
+    details = _rows(spark, [{"_id": 1, "data": {"body_html": "x"}}, {"_id": 2, "data": {"body_html": "y"}}])
+    known = spark.createDataFrame([("2",)], "id string")
+    assert [r.id for r in ls.norm_listing_detail(pages, details, known_ids=known).collect()] == ["1"]
+    posts = _rows(spark, [[{"id": 1, "link": "https://h/n/", "date": "2024-03-05T00:00:00"},
+                           {"id": 2, "link": "https://h/n/", "date": "2024-03-05T00:00:00"}]])
+    dim = spark.createDataFrame([], "id long, slug string")
+    assert [r.id for r in ls.norm_nested_posts(posts, dim, known_ids=known).collect()] == ["1"]
+    sec = _rows(spark, [{"response": "success", "data": [{"cms_article_id": 1, "publish_time": "2024-03-05 00:00:00"},
+                                                         {"cms_article_id": 2, "publish_time": "2024-03-05 00:00:00"}]}])
+    det = _rows(spark, [{"response": "success", "data": {"cms_article_id": i, "publish_time": "2024-03-05 00:00:00"}}
+                        for i in (1, 2)])
+    assert [r.id for r in ls.norm_sectioned(sec, det, known_ids=known).collect()] == ["1"]

@@ -108,8 +108,8 @@ def incremental_refresh(mart: DataFrame, all_articles: DataFrame, new_rows: Data
     ``build(articles)`` recomputes mart rows (keyed by ``date``) from
     articles; it runs over the articles of the touched dates only (a
     semi-join), and the untouched dates of ``mart`` are kept as they are.
-    Written with dynamic partition overwrite, only touched date partitions
-    are rewritten.
+    Returns the refreshed mart as a DataFrame; :func:`refresh_partitions` is
+    the stored form that rewrites only the touched date partitions.
     """
     touched = new_rows.select("date").distinct()
     recomputed = build(all_articles.join(touched, on="date", how="left_semi"))

@@ -21,29 +21,25 @@ def dq_report(df: DataFrame, unique: list[str] = ("id",), not_null: list[str] =
               multi_source_key: str | None = "id") -> DataFrame:
     """Q3: every check as a row (check, column, failures).
 
-    ``not_null`` failures are NULL counts; ``unique`` failures are surplus
-    rows of repeated non-NULL keys; ``single_source`` counts keys seen with
-    more than one source.  All are aggregations with a map-side partial step.
+    ``not_null`` and ``unique`` checks come from one aggregate over one scan
+    (NULL counts, and surplus rows of repeated keys = non-NULL count minus
+    distinct count), turned into rows with ``stack``.  ``single_source``
+    (keys seen with more than one source) needs its own grouping by key.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in not_null:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"nn_{c}"))
-    base = df.agg(*aggs)
-    parts = []
-    for c in not_null:
-        parts.append(base.select(F.lit("not_null").alias("check"), F.lit(c).alias("column"),
-                                 F.col(f"nn_{c}").alias("failures")))
-    for c in unique:
-        dup = (df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("failures")))
-        parts.append(dup.select(F.lit("unique").alias("check"), F.lit(c).alias("column"), "failures"))
+    aggs, cells = [], []
+    for i, c in enumerate(not_null):
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_n{i}"))
+        cells.append(("not_null", c, f"_n{i}"))
+    for i, c in enumerate(unique):
+        aggs.append((F.count(F.col(c)) - F.countDistinct(F.col(c))).alias(f"_u{i}"))
+        cells.append(("unique", c, f"_u{i}"))
+    one_pass = df.agg(*aggs)
+    args = ", ".join(f"'{chk}', '{col}', `{ref}`" for chk, col, ref in cells)
+    out = one_pass.select(F.expr(f"stack({len(cells)}, {args}) as (`check`, `column`, failures)"))
     if multi_source_key:
         multi = (df.filter(F.col(multi_source_key).isNotNull()).groupBy(multi_source_key)
                  .agg(F.countDistinct("source").alias("k"))
                  .agg(F.count_if(F.col("k") > 1).alias("failures")))
-        parts.append(multi.select(F.lit("single_source").alias("check"), F.lit(multi_source_key).alias("column"),
-                                  "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(multi.select(F.lit("single_source").alias("check"),
+                                           F.lit(multi_source_key).alias("column"), "failures"))
     return out

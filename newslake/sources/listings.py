@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.constants import (LISTING_A_SITE_ROOT, NO_CONTENT_FOUND, NO_TITLE_FOUND, SOURCE_LISTING_DETAIL,
-                                SOURCE_NESTED_POSTS, SOURCE_SECTIONED, UNKNOWN)
+from newslake.constants import (LISTING_A_SITE_ROOT, LISTING_UNWANTED_TAGS, NO_CONTENT_FOUND, NO_TITLE_FOUND,
+                                SOURCE_LISTING_DETAIL, SOURCE_NESTED_POSTS, SOURCE_SECTIONED, UNKNOWN)
 from newslake.functions.text import tags_normalise
 from newslake.functions.timeparse import ISO_T_SECONDS, ISO_Z_FRACTION, SPACE_SECONDS, api_time_parse
 from newslake.functions.urls import url_category
@@ -19,6 +19,15 @@ from newslake.operators.filters import has_key, newest_first_cutoff
 from newslake.operators.joins import listing_detail, new_only, tag_lookup
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
 
+
+def clean_listing_content(articles: DataFrame) -> DataFrame:
+    """Listing bodies -> text (H1, listing path: unescape first, drop
+    img/figure/iframe, links/images/emphasis reduced to text)."""
+    from newslake.operators.html import html_clean_text
+    return html_clean_text(articles, "content", out_col="content", ids=(), classes=(),
+                           tags=LISTING_UNWANTED_TAGS, mode="listing")
+
+
 # ---- shape A: listing of items + a detail record per item -----------------
 LISTING_A_PAGE = ("struct<listItem: array<struct<_id: bigint, createdDateFull: string, slugline_url: string, "
                   "category: string, title: string, author: string, tags: string>>>")
@@ -27,7 +36,8 @@ LISTING_A_DETAIL = "struct<_id: bigint, data: struct<body_html: string>>"
 
 def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source: str = SOURCE_LISTING_DETAIL,
                         site_root: str = LISTING_A_SITE_ROOT, page_col: str = "page",
-                        value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
+                        value_col: str = "value", known_ids: DataFrame | None = None,
+                        clean_content: bool = False) -> DataFrame:
     """Shape A -> articles.
 
     Items are read in listing order (page, then position); with ``start``
@@ -36,7 +46,8 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
     plus the slug; the ISO time (``...T...fZ``) gives date and second-precision
     publish time; content is the detail's ``body_html``, or 'No content found'
     when the item has no detail data.  With ``known_ids`` (an ``id`` column),
-    items already stored are dropped before the detail join (J1).
+    items already stored are dropped before the detail join (J1).  With
+    ``clean_content`` the body is converted to text (H1, listing path).
     """
     items = pages.select(F.col(page_col).alias("_page"),
                          F.posexplode(F.from_json(F.col(value_col), LISTING_A_PAGE)["listItem"]).alias("_idx", "it"))
@@ -53,12 +64,13 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
            .filter(F.col("_id").isNotNull()))
     joined = listing_detail(items, det, key="_id", mode="left")
     content = F.when(F.col("_has_data"), F.col("_body")).otherwise(F.lit(NO_CONTENT_FOUND))
-    return conform_articles(joined.select(
+    out = conform_articles(joined.select(
         F.col("_id").cast("string").alias("id"), F.lit(source).alias("source"),
         F.concat(F.lit(site_root), F.col("slugline_url")).alias("url"),
         F.upper("category").alias("category"), "title", "author",
         F.col("_t.date").alias("date"), F.col("_t.publish_time").alias("publish_time"),
         content.alias("content"), "tags"))
+    return clean_listing_content(out) if clean_content else out
 
 
 # ---- shape B: sectioned, paginated summaries + detail per id --------------
@@ -69,7 +81,8 @@ LISTING_B_DETAIL = ("struct<response: string, data: struct<cms_article_id: bigin
 
 
 def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SECTIONED,
-                   value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
+                   value_col: str = "value", known_ids: DataFrame | None = None,
+                   clean_content: bool = False) -> DataFrame:
     """Shape B -> articles.
 
     Listing rows with an empty publish time are skipped (F9); only
@@ -78,7 +91,8 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     else 'No content found'; title, author and category take their defaults
     when absent; tags are normalised (P10); the date is the text before the
     first space of the publish time.  With ``known_ids``, stored ids are
-    dropped before the detail join (J1).
+    dropped before the detail join (J1); with ``clean_content`` the body is
+    converted to text (H1, listing path).
     """
     rows = (pages.select(F.from_json(F.col(value_col), LISTING_B_PAGE).alias("p"))
             .filter(F.col("p.response") == "success")
@@ -93,7 +107,7 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     j = listing_detail(rows, det, key="cms_article_id", mode="inner")
     pt = F.coalesce(F.col("publish_time"), F.lit(""))
     content = F.coalesce(F.nullif(F.col("body"), F.lit("")), F.col("summary"), F.lit(NO_CONTENT_FOUND))
-    return conform_articles(j.select(
+    out = conform_articles(j.select(
         F.col("cms_article_id").cast("string").alias("id"), F.lit(source).alias("source"),
         F.coalesce(F.col("link"), F.lit("")).alias("url"),
         F.coalesce(F.col("section_name"), F.lit(UNKNOWN)).alias("category"),
@@ -102,6 +116,7 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
         F.try_to_date(F.split_part(pt, F.lit(" "), F.lit(1))).alias("date"),
         api_time_parse(pt, SPACE_SECONDS)["publish_time"].alias("publish_time"),
         content.alias("content"), tags_normalise(F.col("cf_article_tags")).alias("tags")))
+    return clean_listing_content(out) if clean_content else out
 
 
 # ---- shape C: posts with nested rendered fields + tag dimension -----------
@@ -110,14 +125,16 @@ LISTING_C_PAGE = ("array<struct<id: bigint, link: string, date: string, title: s
 
 
 def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE_NESTED_POSTS,
-                      value_col: str = "value", known_ids: DataFrame | None = None) -> DataFrame:
+                      value_col: str = "value", known_ids: DataFrame | None = None,
+                   clean_content: bool = False) -> DataFrame:
     """Shape C -> articles.
 
     Nested ``rendered`` fields (defaults when absent), category = first path
     segment of the link (P7), author NULL, ``T``-separated time, tag ids
     resolved through ``tag_dim`` (id, slug) in their listed order with
     unmatched ids dropped (J4).  With ``known_ids``, stored ids are dropped
-    before the tag lookups (J1).
+    before the tag lookups (J1); with ``clean_content`` the rendered content
+    is converted to text (H1, listing path).
     """
     posts = (pages.select(F.explode(F.from_json(F.col(value_col), LISTING_C_PAGE)).alias("p"))
              .select("p.*").filter(F.col("id").isNotNull()))
@@ -127,7 +144,7 @@ def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE
     if known_ids is not None:        # skip stored ids before the tag lookups
         posts = new_only(posts, known_ids, "id")
     tagged = tag_lookup(posts, "id", "_tag_ids", tag_dim, tag_id="id", slug="slug", out_col="tags", sep=",")
-    return conform_articles(tagged.select(
+    out = conform_articles(tagged.select(
         "id", F.lit(source).alias("source"), F.col("link").alias("url"),
         url_category(F.col("link")).alias("category"),
         F.coalesce(F.col("_title"), F.lit(NO_TITLE_FOUND)).alias("title"),
@@ -135,6 +152,7 @@ def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE
         F.try_to_date(F.split_part(F.col("date"), F.lit("T"), F.lit(1))).alias("date"),
         api_time_parse(F.col("date"), ISO_T_SECONDS)["publish_time"].alias("publish_time"),
         F.coalesce(F.col("_content"), F.lit(NO_CONTENT_FOUND)).alias("content"), "tags"))
+    return clean_listing_content(out) if clean_content else out
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:

@@ -98,3 +98,13 @@ def test_known_ids_skipped_before_details(spark):
     det = _rows(spark, [{"response": "success", "data": {"cms_article_id": i, "publish_time": "2024-03-05 00:00:00"}}
                         for i in (1, 2)])
     assert [r.id for r in ls.norm_sectioned(sec, det, known_ids=known).collect()] == ["1"]
+
+
+def test_clean_content_listing_path(spark):
+    pages = _rows(spark, [[{"id": 1, "link": "https://h/n/", "date": "2024-03-05T00:00:00",
+                            "content": {"rendered": "&lt;p&gt;Hello &lt;b&gt;world&lt;/b&gt;&lt;/p&gt;"
+                                                    "<figure><img src='x'><figcaption>cap</figcaption></figure>"
+                                                    "<p>Two  <a href='/l'>link</a></p>"}}]])
+    dim = spark.createDataFrame([], "id long, slug string")
+    r = ls.norm_nested_posts(pages, dim, clean_content=True).first()
+    assert r.content == "Hello world\n\nTwo link"

@@ -80,21 +80,24 @@ def strip_clitics(t: Column) -> Column:
 
 
 def tokenise(df: DataFrame, id_col: str, text_col: str, lower: bool = True,
-             keep_case_col: str | None = None) -> DataFrame:
+             keep_case_col: str | None = None, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """text -> rows (id, pos, token): alphabetic word tokens with position.
 
     ``pos`` is the 1-based index of the raw piece in the split text, so it
     orders tokens by first occurrence.  With ``keep_case_col`` the token
     before lower-casing is kept too (stopword tests are case-sensitive).
+    ``carry`` columns of the document ride along on every token, so callers
+    never join the token stream back to its documents.
     """
     # Explode first, then clean each piece: plain column expressions stay in
     # whole-stage codegen (a lambda over the array would not), and the
     # clitic regexes only run on the few pieces holding an apostrophe.
-    out = df.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), TOKEN_SPLIT)).alias("pos", "piece"))
+    out = df.select(F.col(id_col), *[F.col(c) for c in carry],
+                    F.posexplode(F.split(F.col(text_col), TOKEN_SPLIT)).alias("pos", "piece"))
     piece = F.col("piece")
     out = out.withColumn("piece", F.when(piece.contains("'"), strip_clitics(piece)).otherwise(piece))
     out = out.filter(F.col("piece").rlike(ALPHA_TOKEN)).withColumn("pos", F.col("pos") + 1)
-    cols = [F.col(id_col), "pos"]
+    cols = [F.col(id_col), *[F.col(c) for c in carry], "pos"]
     if keep_case_col:
         cols.append(F.col("piece").alias(keep_case_col))
     cols.append((F.lower("piece") if lower else F.col("piece")).alias("token"))

@@ -93,8 +93,7 @@ def trending_terms(articles: DataFrame, as_of: Column, window_days: int = 7, k:
     prev_start = F.date_sub(as_of, 2 * window_days - 1)
     scoped = articles.filter((F.col("date") >= prev_start) & (F.col("date") <= as_of))
     scoped = scoped.withColumn("_cur", F.col("date") >= cur_start)
-    toks = tokenise(scoped, id_col, text_col, keep_case_col="_raw")
-    toks = stopword_anti(toks, "_raw").join(scoped.select(id_col, "_cur"), on=id_col)
+    toks = stopword_anti(tokenise(scoped, id_col, text_col, keep_case_col="_raw", carry=["_cur"]), "_raw")
     counts = toks.groupBy(F.col("token").alias("term")).agg(
         F.count_if(F.col("_cur")).alias("this_window"), F.count_if(~F.col("_cur")).alias("prev_window"))
     counts = counts.withColumn("growth", F.col("this_window") - F.col("prev_window"))

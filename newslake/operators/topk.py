@@ -19,7 +19,9 @@ def top_terms(term_counts: DataFrame, k: int = 10, id_col: str = "id", term: str
     before the shuffle, so each map task forwards at most ``k`` rows per
     article.
     """
-    w = Window.partitionBy(id_col).orderBy(F.desc("n"), F.asc("first_pos"), F.asc(term))
+    # first_pos is unique per (article, term), so (n, first_pos) is already a
+    # total order inside an article: no string tie-break is needed.
+    w = Window.partitionBy(id_col).orderBy(F.desc("n"), F.asc("first_pos"))
     return (term_counts.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k))
 

@@ -79,29 +79,37 @@ def parse(markup: str) -> Node:
 
 
 def iter_elements(node: Node):
-    for c in node.children:
-        if isinstance(c, Node):
-            yield c
-            yield from iter_elements(c)
+    """Elements below ``node`` in document order (explicit stack: unclosed
+    tags can nest arbitrarily deep)."""
+    stack = [iter(node.children)]
+    while stack:
+        for c in stack[-1]:
+            if isinstance(c, Node):
+                yield c
+                stack.append(iter(c.children))
+                break
+        else:
+            stack.pop()
 
 
 def serialize(node: Node) -> str:
     """Outer markup of an element (text re-escaped, like a parser's str())."""
     out: list[str] = []
-
-    def walk(n):
+    stack: list = [(node, False)]
+    while stack:
+        n, closing = stack.pop()
         if isinstance(n, str):
             out.append(_html.escape(n, quote=False))
-            return
+            continue
+        if closing:
+            out.append(f"</{n.tag}>")
+            continue
         if n.tag != "#root":
             attrs = "".join(f' {k}="{_html.escape(v)}"' for k, v in n.attrs.items())
             out.append(f"<{n.tag}{attrs}>")
-        for c in n.children:
-            walk(c)
-        if n.tag != "#root" and n.tag not in VOID:
-            out.append(f"</{n.tag}>")
-
-    walk(node)
+            if n.tag not in VOID:
+                stack.append((n, True))
+        stack.extend((c, False) for c in reversed(n.children))
     return "".join(out)
 
 
@@ -235,33 +243,33 @@ def render_text(root: Node) -> str:
     paragraphs separated by blank lines; links, images and emphasis reduced
     to their text (or nothing for images)."""
     out: list[str] = []
-
-    def walk(n):
-        for c in n.children:
-            if isinstance(c, str):
-                out.append(re.sub(r"\s+", " ", c))
-                continue
-            t = c.tag
-            if t in _SKIP:
-                continue
-            if t == "br":
-                out.append("\n")
-            elif len(t) == 2 and t[0] == "h" and t[1] in "123456":
-                out.append("\n\n" + "#" * int(t[1]) + " ")
-                walk(c)
-                out.append("\n\n")
-            elif t == "li":
-                out.append("\n  * ")
-                walk(c)
-                out.append("\n")
-            elif t in _BLOCK:
-                out.append("\n\n")
-                walk(c)
-                out.append("\n\n")
-            else:
-                walk(c)
-
-    walk(root)
+    # Items are text nodes, elements, or ("emit", text) markers closing an element.
+    stack: list = list(reversed(root.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, tuple):
+            out.append(c[1])
+            continue
+        if isinstance(c, str):
+            out.append(re.sub(r"\s+", " ", c))
+            continue
+        t = c.tag
+        if t in _SKIP:
+            continue
+        if t == "br":
+            out.append("\n")
+            continue
+        if len(t) == 2 and t[0] == "h" and t[1] in "123456":
+            pre, post = "\n\n" + "#" * int(t[1]) + " ", "\n\n"
+        elif t == "li":
+            pre, post = "\n  * ", "\n"
+        elif t in _BLOCK:
+            pre, post = "\n\n", "\n\n"
+        else:
+            pre, post = "", ""
+        out.append(pre)
+        stack.append(("emit", post))
+        stack.extend(reversed(c.children))
     return "\n".join(line.strip(" ") for line in "".join(out).split("\n"))
 
 

@@ -97,3 +97,11 @@ def test_clean_text_drops_and_unescapes(spark):
     assert "escaped & done" in text and "\n\n\n" not in text
     listing = hj.html_clean_text(df, "html", ids=[], classes=[], tags=["img"], mode="listing").first().text
     assert "gone" in listing
+
+
+def test_deeply_nested_unclosed_tags(spark):
+    # Unclosed tags nest one level per occurrence; traversal must not recurse.
+    page = "<div id='FOR_target_content'>" + "<p>word " * 5000 + "</div>"
+    df = spark.createDataFrame([(page,)], "html string")
+    text = hj.html_clean_text(df, "html").first().text
+    assert text.split() == ["word"] * 5000

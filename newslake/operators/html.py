@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from newslake import constants as K
 from newslake.functions.text import tags_from_hrefs, whitespace_collapse
 from newslake.functions.timeparse import publish_time_parse_array
-from newslake.functions.urls import article_key, url_authority, url_parts
+from newslake.functions.urls import article_key, url_parts
 from newslake.operators.filters import category_allow, https_only, slug_blocked
 from newslake.operators.joins import new_only
 from newslake.operators.windows import first_wins
@@ -558,7 +558,3 @@ def link_harvest(index_pages: DataFrame, known_ids: DataFrame, **kw) -> DataFram
     fresh = new_only(links, known_ids, "id")
     first = first_wins(fresh, "id", ["date", "_page_url", "_sec", "_link"])
     return first.select("id", "source", "url", "category", "date")
-
-
-def page_host(url_col: str = "url") -> Column:
-    return url_authority(F.col(url_col))

@@ -40,7 +40,3 @@ def conform_articles(df: DataFrame, extra: list[str] | None = None) -> DataFrame
     for e in extra or []:
         cols.append(F.col(e))
     return df.select(*cols)
-
-
-def empty_articles(spark) -> DataFrame:
-    return spark.createDataFrame([], ARTICLE_SCHEMA)

@@ -47,19 +47,22 @@ def tag_lookup(df: DataFrame, id_col: str, tag_ids_col: str, tags: DataFrame, ta
                slug: str = "slug", out_col: str = "tags", sep: str = ",") -> DataFrame:
     """Resolve an array of tag ids to their slugs, joined in the original
     order (ties on equal positions broken by the slug); unmatched ids drop.
+    Rows whose tags all fail to resolve get ''.
 
-    Each input row's tags are regrouped on ``id_col`` (a listing primary key),
-    so a group is never larger than that row's own tag array.  Rows whose
-    tags all fail to resolve get ''.
+    Resolved tags are regrouped on the row's own (id, tag ids) with a set
+    aggregate: copies of one row reduce map-side, so even an id repeated in
+    a third of the rows never builds a group larger than its own tag list,
+    and two rows with the same id but different lists stay apart.
     """
-    exploded = df.select(F.col(id_col), F.posexplode(tag_ids_col).alias("_pos", "_tag"))
+    key = [id_col, tag_ids_col]
+    exploded = df.select(*key, F.posexplode(tag_ids_col).alias("_pos", "_tag"))
     dim = broadcast_if_small(tags.select(F.col(tag_id).alias("_tag"), F.col(slug).alias("_slug")))
     resolved = (exploded.join(dim, on="_tag", how="inner")
-                .groupBy(id_col)
-                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_slug"))),
+                .groupBy(*key)
+                .agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("_pos", "_slug"))),
                                               lambda s: s["_slug"]), sep).alias(out_col)))
     base = df.drop(out_col) if out_col in df.columns else df
-    return (base.join(resolved, on=id_col, how="left")
+    return (base.join(resolved, on=key, how="left")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))))
 
 

@@ -92,3 +92,12 @@ def test_lemma_lookup(spark):
     lem = spark.createDataFrame([("cats", "cat"), ("cats", "cat2")], "word string, lemma string")
     got = sorted((r.token, r.lemma) for r in jn.lemma_lookup(toks, lem).collect())
     assert got == [("cats", "cat"), ("dog", "dog")]
+
+
+def test_tag_lookup_repeated_ids_keep_their_own_lists(spark):
+    rows = [("hot", [1, 2])] * 300 + [("hot", [2])] + [("x", [2, 1])]
+    df = spark.createDataFrame(rows, "id string, tag_ids array<long>")
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "deux")], "id long, slug string")
+    got = sorted({(r.id, tuple(r.tag_ids), r.tags) for r in jn.tag_lookup(df, "id", "tag_ids", dim).collect()})
+    assert got == [("hot", (1, 2), "one,deux,two"), ("hot", (2,), "deux,two"), ("x", (2, 1), "deux,two,one")]
+    assert jn.tag_lookup(df, "id", "tag_ids", dim).count() == len(rows)

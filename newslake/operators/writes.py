@@ -156,22 +156,25 @@ __all__ = ["insert_ignore", "upsert_two_phase", "compact", "conditional_update",
 # ------------------------------------------------------------------ bucketed tables
 # At scale a table version is not rewritten whole per batch: the table is
 # hash-partitioned on the key into a fixed number of bucket directories and a
-# batch reads and rewrites only the buckets it touches.
+# batch reads and rewrites only the buckets it touches.  A batch of k ids
+# touches at most min(k, buckets) buckets, so small frequent batches (the
+# streaming case) rewrite a small fraction; a batch larger than the bucket
+# count rewrites most buckets, as a file-level MERGE would.
 BUCKET_COL = "_bucket"
 
 
-def bucket_of(key: str = "id", buckets: int = 256):
+def bucket_of(key: str = "id", buckets: int = 1024):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def create_bucketed(df: DataFrame, path: str, buckets: int = 256, key: str = "id") -> str:
+def create_bucketed(df: DataFrame, path: str, buckets: int = 1024, key: str = "id") -> str:
     """Write ``df`` as a bucketed table (one directory per hash bucket)."""
     (df.withColumn(BUCKET_COL, bucket_of(key, buckets)).write.mode("errorifexists")
      .partitionBy(BUCKET_COL).parquet(path))
     return path
 
 
-def merge_into_bucketed(spark: SparkSession, path: str, batch: DataFrame, buckets: int = 256, key: str = "id",
+def merge_into_bucketed(spark: SparkSession, path: str, batch: DataFrame, buckets: int = 1024, key: str = "id",
                         seq: str = "seq", how: str = "upsert") -> list[int]:
     """Apply ``batch`` to the bucketed table at ``path`` (W2 ``upsert`` or W1
     ``insert_ignore``), rewriting only the touched buckets.

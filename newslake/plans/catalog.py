@@ -3,6 +3,10 @@
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 test tables (through the adapters in :mod:`newslake.fixtures`).  The DuckDB
 twin of each lives in :mod:`newslake.plans.oracle` under the same key.
+
+Where an operator needs two inputs (a stored table and an incoming batch, a
+source and a target), a rule on the id splits the whole table into the two
+roles; the batch side is always the whole table, never a sample.
 """
 
 from __future__ import annotations

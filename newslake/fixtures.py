@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.schema import conform_articles
+from newslake.session import rebalance_scan
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -22,8 +23,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Tables whose rows carry whole texts or pages: per-row work on them is CPU
+# heavy (regex tokenising, HTML parsing, JSON building).
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Read one test table.  The driver's tables are single-row-group files,
+    so a text table is spread over the session's parallelism first (see
+    :func:`newslake.session.rebalance_scan`)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return rebalance_scan(df) if name in TEXT_TABLES else df
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:

@@ -45,6 +45,22 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+# Scans of few, large parquet row groups (a row group is the smallest unit a
+# scan can split) yield one busy task.  When this setting is true, the test
+# tables holding text are spread round-robin over the session's parallelism
+# before CPU-heavy per-row work; on a lake of many files / row groups set it
+# to false, the scan is parallel already.
+REBALANCE_CONF = "spark.newslake.rebalanceScans"
+
+
+def rebalance_scan(df):
+    """Round-robin ``df`` over the default parallelism when enabled."""
+    spark = df.sparkSession
+    if spark.conf.get(REBALANCE_CONF, "true").lower() != "true":
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (set only if unset)."""
     sc = spark.sparkContext
@@ -76,4 +92,4 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists"]
+__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists", "rebalance_scan", "REBALANCE_CONF"]

@@ -23,17 +23,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables whose rows carry whole texts or pages: per-row work on them is CPU
-# heavy (regex tokenising, HTML parsing, JSON building).
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table.  The driver's tables are single-row-group files,
-    so a text table is spread over the session's parallelism first (see
-    :func:`newslake.session.rebalance_scan`)."""
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one test table.  ``spread=True`` is for queries that do CPU-heavy
+    per-row work (regex tokenising, HTML parsing): the driver's tables are
+    single-row-group files, so the scan is spread over the session's
+    parallelism first (see :func:`newslake.session.rebalance_scan`)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return rebalance_scan(df) if name in TEXT_TABLES else df
+    return rebalance_scan(df) if spread else df
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def register(name: str):
     return deco
 
 
-def _docs(spark, d, spread=False):
+def _docs(spark, d, spread=None):
     return fx.articles_from_documents(fx.load(spark, d, "documents", spread))
 
 

@@ -21,7 +21,9 @@ def url_authority(url) -> Column:
 
 
 def url_path(url) -> Column:
-    return F.regexp_extract(_c(url), PATH_RE, 1)
+    """Path without query/fragment and without ``;params`` of the last segment
+    (as ``urlparse`` splits them off for web schemes)."""
+    return F.regexp_replace(F.regexp_extract(_c(url), PATH_RE, 1), r";[^/]*$", "")
 
 
 def url_parts(url) -> Column:

@@ -212,7 +212,7 @@ from docs_ts"""
 PAGE_PARTS = """parts as (
   select page_id, url,
          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) as auth,
-         regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') as p
+         regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', ''), '^/+|/+$', '', 'g') as p
   from pages),
 parts2 as (
   select page_id, url, split_part(auth, '.', 1) as subdomain, split_part(auth, '.', 2) as origin,
@@ -224,7 +224,7 @@ ORACLE["article_key"] = f"""with {PAGE_PARTS}
 select page_id, concat(subdomain, ':', article_id, ':', slug) as article_key from parts2"""
 ORACLE["url_absolute"] = f"with {PAGE_PARTS} select page_id, concat('https://www.example.com/', slug) as abs_url from parts2"
 ORACLE["url_category"] = """
-select page_id, split_part(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/', 2) as category
+select page_id, split_part(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', ''), '/', 2) as category
 from pages"""
 ORACLE["publish_time_parse"] = """
 select event_id,
@@ -362,7 +362,7 @@ r as (select *, case when starts_with(href, '/') and not starts_with(href, '//')
                      then regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href
                      else href end as link from l),
 h as (select *, regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1) as auth,
-             regexp_replace(regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1),
+             regexp_replace(regexp_replace(regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', ''),
                             '^/+|/+$', '', 'g') as p
       from r where starts_with(link, 'https://')),
 hp as (select *, split_part(auth, '.', 1) as subdomain, split_part(auth, '.', 2) as origin,

@@ -54,3 +54,44 @@ def test_whitespace_collapse_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "t string")
     got = [r[0] for r in df.select(tx.whitespace_collapse("t")).collect()]
     assert got == [py(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="abÉéßçñ019 ,.'-_\n", max_size=40), min_size=1, max_size=40))
+def test_tokenise_matches_python_regex(spark, texts):
+    import regex
+    from pyspark.sql import functions as F
+
+    def py(doc_id, text):
+        out = []
+        for pos, piece in enumerate(regex.split(tx.TOKEN_SPLIT, text), start=1):
+            if "'" in piece:
+                piece = regex.sub(r"^'+", "", piece)
+                piece = regex.sub(tx.CLITIC, "", piece)
+                piece = regex.sub(r"'+$", "", piece)
+            if regex.fullmatch(r"\p{L}+", piece):
+                out.append((doc_id, pos, piece.lower()))
+        return out
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in tx.tokenise(df, "doc_id", "text").select("doc_id", "pos", F.col("token")).collect())
+    assert got == sorted(t for i, s in enumerate(texts) for t in py(i, s))
+
+
+@SETTINGS
+@given(st.lists(st.datetimes(min_value=__import__("datetime").datetime(1990, 1, 1),
+                             max_value=__import__("datetime").datetime(2030, 12, 31)), min_size=1, max_size=40))
+def test_publish_time_forms_round_trip(spark, stamps):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from newslake.functions import timeparse as tp
+    zones = ["PST", "PHT", "UTC", "GMT"]
+    rows, expected = [], []
+    for i, ts in enumerate(stamps):
+        ts = ts.replace(microsecond=0)
+        rows += [(ts.strftime("%a, %d %b %Y %H:%M:%S ") + zones[i % 4], None),
+                 (ts.isoformat() + "+08:00", None), (None, ts.strftime("%B %-d, %Y"))]
+        expected += [ts, ts, dt.datetime(ts.year, ts.month, ts.day)]
+    df = spark.createDataFrame(rows, "m string, b string")
+    got = [r[0] for r in df.select(tp.publish_time_parse(F.col("m"), F.col("b"))).collect()]
+    assert got == expected

@@ -95,3 +95,22 @@ def test_publish_time_forms_round_trip(spark, stamps):
     df = spark.createDataFrame(rows, "m string, b string")
     got = [r[0] for r in df.select(tp.publish_time_parse(F.col("m"), F.col("b"))).collect()]
     assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["L1", "L2", "L3"]), st.integers(0, 10_000), st.integers(1, 30)),
+                min_size=1, max_size=80, unique_by=lambda r: (r[0], r[1])))
+def test_take_while_matches_python(spark, rows):
+    import datetime as dt
+    from newslake.operators import filters as fl
+    data = [(lst, pos, dt.datetime(2024, 1, day)) for lst, pos, day in rows]
+    start = dt.datetime(2024, 1, 10)
+    expected = set()
+    for lst in {r[0] for r in data}:
+        for l_, pos, ts in sorted((r for r in data if r[0] == lst), key=lambda r: r[1]):
+            if ts < start:
+                break
+            expected.add((l_, pos))
+    df = spark.createDataFrame(data, "listing string, pos int, ts timestamp_ntz")
+    got = {(r.listing, r.pos) for r in fl.newest_first_cutoff(df, ["listing"], "pos", "ts", start).collect()}
+    assert got == expected

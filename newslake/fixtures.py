@@ -146,7 +146,7 @@ def listing_b(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(d.doc_id % 4 == 0, F.lit("")).otherwise(d.text).alias("body"),
         F.when(d.doc_id % 8 == 0, F.lit(None).cast("string")).otherwise(_first_line(d)).alias("summary"),
         F.concat(F.lit(" "), d.lang, F.lit(" ,, "), d.source, F.lit(" ")).alias("cf_article_tags"),
-        F.concat(F.lit("https://mb.com.ph/"), d.lang, F.lit("/"), d.doc_id.cast("string")).alias("link"),
+        F.concat(F.lit("https://sections.example.com/"), d.lang, F.lit("/"), d.doc_id.cast("string")).alias("link"),
         F.when(d.doc_id % 6 == 0, F.lit(None).cast("string")).otherwise(F.upper(d.lang)).alias("section_name"),
         F.when(d.doc_id % 9 == 0, F.lit(None).cast("string")).otherwise(_first_line(d)).alias("title"),
         F.when(d.doc_id % 5 == 0, F.lit(None).cast("string")).otherwise(d.source).alias("author_name"),
@@ -171,7 +171,7 @@ def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     d = documents
     post = F.struct(
         d.doc_id.alias("id"),
-        F.concat(F.lit("https://www.rappler.com/"), d.lang, F.lit("/"), d.doc_id.cast("string"), F.lit("/")).alias("link"),
+        F.concat(F.lit("https://posts.example.com/"), d.lang, F.lit("/"), d.doc_id.cast("string"), F.lit("/")).alias("link"),
         ts_text(_doc_ts(), "iso").alias("date"),
         F.when(d.doc_id % 9 == 0, F.lit(None)).otherwise(F.struct(_first_line(d).alias("rendered"))).alias("title"),
         F.struct(d.text.alias("rendered")).alias("content"),

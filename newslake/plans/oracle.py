@@ -181,7 +181,7 @@ NORM_A = """norm_a as (
   from docs_ts where doc_id % 13 != 0 and ts >= timestamp '2024-02-01')"""
 NORM_B = """norm_b as (
   select cast(doc_id as varchar) as id, 'manila_bulletin' as source,
-         concat('https://mb.com.ph/', lang, '/', cast(doc_id as varchar)) as url,
+         concat('https://sections.example.com/', lang, '/', cast(doc_id as varchar)) as url,
          case when doc_id % 6 = 0 then 'Unknown' else upper(lang) end as category,
          case when doc_id % 9 = 0 then 'No title found' else split_part(text, chr(10), 1) end as title,
          case when doc_id % 5 = 0 then 'Unknown' else source end as author,
@@ -192,7 +192,7 @@ NORM_B = """norm_b as (
   from docs_ts where doc_id % 19 != 0 and doc_id % 23 != 0)"""
 NORM_C = """norm_c as (
   select cast(doc_id as varchar) as id, 'rappler' as source,
-         concat('https://www.rappler.com/', lang, '/', cast(doc_id as varchar), '/') as url, lang as category,
+         concat('https://posts.example.com/', lang, '/', cast(doc_id as varchar), '/') as url, lang as category,
          case when doc_id % 9 = 0 then 'No title found' else split_part(text, chr(10), 1) end as title,
          cast(null as varchar) as author, cast(ts as date) as date, ts as publish_time, text as content,
          concat(lang, ',', source) as tags

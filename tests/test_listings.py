@@ -58,9 +58,9 @@ def test_sectioned_shape(spark):
 
 def test_nested_posts_shape(spark):
     pages = _rows(spark, [[
-        {"id": 10, "link": "https://www.rappler.com/nation/x/", "date": "2024-03-05T10:20:30",
+        {"id": 10, "link": "https://posts.example.com/nation/x/", "date": "2024-03-05T10:20:30",
          "title": {"rendered": "T"}, "content": {"rendered": "C"}, "tags": [2, 99, 1]},
-        {"id": 11, "link": "https://www.rappler.com/world/y/", "date": "2024-03-06T00:00:00", "tags": []}]])
+        {"id": 11, "link": "https://posts.example.com/world/y/", "date": "2024-03-06T00:00:00", "tags": []}]])
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "id long, slug string")
     out = {r.id: r for r in ls.norm_nested_posts(pages, dim).collect()}
     assert out["10"].tags == "two,one" and out["10"].category == "nation" and out["10"].author is None

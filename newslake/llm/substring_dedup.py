@@ -30,11 +30,11 @@ WINDOW = 35
 #: Bytes of text handled at once in a task.
 PIECE = 8 << 20
 
-_PACKED = pa.schema([("bin", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("ths", pa.binary()),
-                     ("lens", pa.binary()), ("h", pa.binary()), ("g", pa.binary())])
-_PACKED_DDL = "bin int, kind int, ids binary, ths binary, lens binary, h binary, g binary"
-_HITS = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("bin", pa.int32()), ("hits", pa.binary())])
-_HITS_DDL = "id long, th long, bin int, hits binary"
+_PACKED = pa.schema([("bin", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("lens", pa.binary()),
+                     ("h", pa.binary()), ("g", pa.binary())])
+_PACKED_DDL = "bin int, kind int, ids binary, lens binary, h binary, g binary"
+_HITS = pa.schema([("id", pa.int64()), ("bin", pa.int32()), ("hits", pa.binary())])
+_HITS_DDL = "id long, bin int, hits binary"
 
 # Odd multipliers of the two rolling hashes and the multipliers that finish them.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -79,16 +79,16 @@ def _bins(h: np.ndarray, bins: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
 
 
-def _probes(words: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A text's rolling hashes, the distinct ones in order, which of these occur
-    once and only as an indexed block, and the hashes of its indexed blocks."""
+def _probes(words: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text's distinct rolling hashes in order, which of these occur once and
+    only as an indexed block, and the hashes of its indexed blocks."""
     h = gram_hashes(words, block)
     order = np.argsort(h, kind="stable")
     s = h[order]
     starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
     alone = np.diff(np.append(starts, len(s))) == 1
     own = alone & (order[starts] % block == 0)
-    return h, s[starts], own, h[::block]
+    return s[starts], own, h[::block]
 
 
 def _cut(bins: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +97,7 @@ def _cut(bins: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bins[order], np.arange(count + 1))
 
 
-def _pack_rows(ids: list, ths: list, lists: list[np.ndarray], seconds: list[np.ndarray] | None, index: np.ndarray,
+def _pack_rows(ids: list, lists: list[np.ndarray], seconds: list[np.ndarray] | None, index: np.ndarray,
                index_g: np.ndarray | None, bins: int, low: bool) -> list[dict]:
     """Rows of one piece: for each bin the index entries (kind 0) and, text by
     text, the probes (kind 1)."""
@@ -125,12 +125,12 @@ def _pack_rows(ids: list, ths: list, lists: list[np.ndarray], seconds: list[np.n
             g = None if seconds is None else np.concatenate(seconds)
             order, at = _cut(_bins(h, bins), bins)
             h, doc, g = h[order], doc[order], None if g is None else g[order]
-            ids_a, ths_a = np.array(ids, np.int64), np.array(ths, np.int64)
+            ids_a = np.array(ids, np.int64)
             for k in np.flatnonzero(np.diff(at)):
                 d = doc[at[k]:at[k + 1]]
                 first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
                 part = h[at[k]:at[k + 1]]
-                rows.append({"bin": k, "kind": 1, "ids": ids_a[d[first]].tobytes(), "ths": ths_a[d[first]].tobytes(),
+                rows.append({"bin": k, "kind": 1, "ids": ids_a[d[first]].tobytes(),
                              "lens": np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(),
                              "h": (part.astype(np.uint32) if low else part).tobytes(),
                              "g": None if g is None else g[at[k]:at[k + 1]].tobytes()})
@@ -146,20 +146,18 @@ def _emit(rows: list[dict]) -> Iterator[pa.RecordBatch]:
 def _probe_side(block: int, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
-            ids, ths, lists, blocks = [], [], [], []
-            for i, th, text in zip(b.column("id").to_pylist(), b.column("th").to_pylist(),
-                                   b.column("text").to_pylist(), strict=True):
+            ids, lists, blocks = [], [], []
+            for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 words = words_of(text)
                 if len(words) < block:
                     continue
-                _, u, own, idx = _probes(word_hashes(words), block)
+                u, own, idx = _probes(word_hashes(words), block)
                 # The last bit of a probe says that the text itself gives the index this block and no more.
                 lists.append((u & np.uint64(0xFFFFFFFFFFFFFFFE)) | own.astype(np.uint64))
                 ids.append(i)
-                ths.append(th)
                 blocks.append(idx)
-            yield from _emit(_pack_rows(ids, ths, lists, None, np.concatenate(blocks) if blocks else np.empty(0, np.uint64),
-                                        None, bins, True))
+            yield from _emit(_pack_rows(ids, lists, None, np.concatenate(blocks) if blocks else np.empty(0, np.uint64), None,
+                                        bins, True))
     return run
 
 
@@ -167,24 +165,19 @@ def _by_bin(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict]
     for b in batches:
         cols = {f.name: b.column(f.name) for f in _PACKED}
         for r in range(b.num_rows):
-            yield cols["bin"][r].as_py(), cols["kind"][r].as_py(), {k: cols[k][r].as_py() for k in ("ids", "ths", "lens", "h", "g")}
+            yield cols["bin"][r].as_py(), cols["kind"][r].as_py(), {k: cols[k][r].as_py() for k in ("ids", "lens", "h", "g")}
 
 
 def _answers(k: int, row: dict, hit: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each text of a probe row with hits, the values of its hits."""
+    """For each text of a probe row with hits, the values that hit."""
     lens = np.frombuffer(row["lens"], np.uint32)
-    ends = np.cumsum(lens)
     doc = np.repeat(np.arange(len(lens)), lens)[hit]
     if not len(doc):
         return
     value = value[hit]
     first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
     cut = np.append(first, len(doc))
-    which = doc[first]
-    if value.dtype == np.uint32:  # places: within the text's own list
-        value = value - np.repeat((ends - lens)[which], np.diff(cut)).astype(np.uint32)
-    yield batch(_HITS, id=np.frombuffer(row["ids"], np.int64)[which], th=np.frombuffer(row["ths"], np.int64)[which],
-                bin=np.full(len(which), k, np.int32),
+    yield batch(_HITS, id=np.frombuffer(row["ids"], np.int64)[doc[first]], bin=np.full(len(first), k, np.int32),
                 hits=[value[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)])
 
 
@@ -209,7 +202,7 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = p & np.uint32(0xFFFFFFFE)
         at = np.minimum(np.searchsorted(known, base), len(known) - 1)
         hit = (known[at] == base) & (many[at] | ((p & 1) == 0))
-        yield from _answers(k, row, hit, np.arange(len(p), dtype=np.uint32))
+        yield from _answers(k, row, hit, base)
 
 
 def _meet_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,19 +238,20 @@ def _meet_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _run_side(window: int, block: int, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
-            ids, ths, lists, seconds, all_h, all_g = [], [], [], [], [], []
-            for i, th, text, anchors in zip(*(b.column(c).to_pylist() for c in ("id", "th", "text", "anchors")), strict=True):
+            ids, lists, seconds, all_h, all_g = [], [], [], [], []
+            for i, text, anchors in zip(*(b.column(c).to_pylist() for c in ("id", "text", "anchors")), strict=True):
                 if not anchors or text is None:
                     continue
                 words = word_hashes(words_of(text))
                 if len(words) < window:
                     continue
-                h, u, _, _ = _probes(words, block)
-                start = np.searchsorted(_bins(u, bins), np.arange(bins))
-                met = np.zeros(len(u), bool)
-                for a in anchors:
-                    met[start[a["bin"]] + np.frombuffer(a["hits"], np.uint32)] = True
-                seen = np.concatenate(([0], np.cumsum(met[np.searchsorted(u, h)])))
+                h = gram_hashes(words, block)
+                hits = [np.frombuffer(a["hits"], np.uint32) for a in anchors]
+                places = [np.full(len(x), a["bin"], np.int64) for a, x in zip(anchors, hits, strict=True)]
+                # A bin and 31 bits beside it name a probe.
+                met = np.isin(_bins(h, bins) << 32 | (h & np.uint64(0xFFFFFFFE)).astype(np.int64),
+                              np.concatenate(places) << 32 | np.concatenate(hits))
+                seen = np.concatenate(([0], np.cumsum(met)))
                 reach = window - block + 1
                 near = np.flatnonzero(seen[reach:] > seen[:-reach])  # runs with an anchor inside
                 if not len(near):
@@ -270,9 +264,8 @@ def _run_side(window: int, block: int, bins: int):
                 lists.append(u)
                 seconds.append(rg[first])
                 ids.append(i)
-                ths.append(th)
             if lists:
-                yield from _emit(_pack_rows(ids, ths, lists, seconds, np.concatenate(all_h), np.concatenate(all_g), bins, False))
+                yield from _emit(_pack_rows(ids, lists, seconds, np.concatenate(all_h), np.concatenate(all_g), bins, False))
     return run
 
 
@@ -315,26 +308,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_text`` (remaining words joined by one space, unchanged otherwise).
     Runs are judged on the input: all places of a repeated run go, the first as
     well, within a text as across texts; a row that repeats counts as another
-    place.  Null or empty text: no words, nothing removed.  The id only helps to
-    spread the work: null or repeated ids do no harm.  Runs are compared by 96
-    bits of hash.
+    place.  Null or empty text: no words, nothing removed.  Answers return to their
+    texts by a hash of id and text; null or repeated ids do no harm, and since an
+    answer names the runs that repeat, one that reaches another text does none
+    either.  Runs are compared by 96 bits of hash.
     """
     spark = docs.sparkSession
     block = (window + 1) // 2
-    bins = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bins = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in docs.columns if c != text_col]
     texts = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_col}`").alias("text"),
-        F.coalesce(F.xxhash64(F.col(f"`{id_col}`")), F.lit(0)).alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"))
+        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("id"))
 
     def meet(packed: DataFrame, how, name: str) -> DataFrame:
         answers = packed.repartition("bin").sortWithinPartitions("bin", "kind").mapInArrow(how, _HITS_DDL)
-        return answers.groupBy("id", "th").agg(F.collect_list(F.struct("bin", "hits")).alias(name))
+        return answers.groupBy("id").agg(F.collect_list(F.struct("bin", "hits")).alias(name))
 
-    probes = texts.select("id", "th", "text").mapInArrow(_probe_side(block, bins), _PACKED_DDL)
-    anchored = texts.join(meet(probes, _meet_blocks, "anchors"), ["id", "th"], "left")
+    probes = texts.select("id", "text").mapInArrow(_probe_side(block, bins), _PACKED_DDL)
+    anchored = texts.join(meet(probes, _meet_blocks, "anchors"), "id", "left")
     runs = anchored.mapInArrow(_run_side(window, block, bins), _PACKED_DDL)
-    judged = texts.join(meet(runs, _meet_runs, "runs"), ["id", "th"], "left")
+    judged = texts.join(meet(runs, _meet_runs, "runs"), "id", "left")
     out = T.StructType([texts.schema["rest"], texts.schema["text"], T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return judged.select("rest", "text", "runs").mapInArrow(_final_side(window), out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -17,9 +18,8 @@ from pyspark.sql import types as T
 from newslake.llm.common import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Bytes of text sampled at once, and chunks whose lattices a worker keeps.
+#: Bytes of text sampled at once.
 PIECE_BYTES = 4 << 20
-KEPT_CHUNKS = 150_000
 
 # No piece holds a blank but at its start, and none a line feed, so every path of
 # the lattice passes the ends of these chunks and they can be sampled one by one.
@@ -33,7 +33,7 @@ class Vocabulary:
     pieces: dict[str, int]
     weights: dict[str, float]
     bytes_: tuple[int, ...]
-    decoded: tuple[bytes | None, ...]
+    decoded: tuple[bytes, ...]
     longest: int
 
 
@@ -51,7 +51,7 @@ def read_vocabulary(path: str = MODEL, alpha: float = 1.0) -> Vocabulary:
             bytes_[int(name[3:5], 16)] = i
             decoded.append(bytes([int(name[3:5], 16)]))
         elif m.is_control(i) or m.is_unknown(i) or m.is_unused(i):
-            decoded.append(None)
+            decoded.append(b"")
         else:
             text = name.replace("▁", " ")
             if " " not in text.lstrip(" ") and "\n" not in text:
@@ -61,75 +61,118 @@ def read_vocabulary(path: str = MODEL, alpha: float = 1.0) -> Vocabulary:
 
 
 class Lattice:
-    """Forward-filtered lattices of chunks, kept as one table of edges by end node."""
+    """Sampler of segmentations: all distinct chunks of many texts at once."""
 
     def __init__(self, vocab: Vocabulary):
         self.v = vocab
-        self.clear()
-
-    def clear(self) -> None:
-        self.first: dict[str, int] = {}
-        self.runs: list[list[int]] = []
-        self.nodes, self.cum, self.back, self.sym, self.node = 0, [], [], [], []
-
-    def _filter(self, chunk: str) -> int:
-        """Forward weights of a chunk; each end node gets the chances of its edges."""
-        get, weight, longest = self.v.pieces.get, self.v.weights, self.v.longest
-        base, n = self.nodes, len(chunk)
-        self.nodes += n + 1
-        total = [0.0]
-        for end in range(1, n + 1):
-            edges = []
-            for start in range(max(0, end - longest), end):
-                part = chunk[start:end]
-                i = get(part)
-                if i is not None:
-                    edges.append((total[start] + weight[part], start, i))
-            if get(chunk[end - 1]) is None:  # a character without a piece: its bytes, as one edge
-                raw = chunk[end - 1].encode()
-                if len(raw) == 1:
-                    sym = self.v.bytes_[raw[0]]
-                else:
-                    sym = -1 - len(self.runs)
-                    self.runs.append([self.v.bytes_[b] for b in raw])
-                edges.append((total[end - 1], end - 1, sym))
-            top = max(e[0] for e in edges)
-            odds = [math.exp(e[0] - top) for e in edges]
-            mass = sum(odds)
-            total.append(top + math.log(mass))
-            run = 0.0
-            for (_, start, sym), o in zip(edges, odds, strict=True):
-                run += o / mass
-                self.cum.append(run)
-                self.back.append(base + start)
-                self.sym.append(sym)
-                self.node.append(base + end)
-            self.cum[-1] = 1.0
-        return base
+        chars = sorted({c for p in vocab.pieces for c in p})
+        self.chars = np.array([ord(c) for c in chars], np.int64)
+        place = {c: i for i, c in enumerate(chars)}
+        # A trie of the pieces: sorted keys (node, character) -> child.
+        self.width, moves, ids = len(chars) + 1, {}, [-1]
+        weights = [0.0]
+        for piece, i in vocab.pieces.items():
+            node = 0
+            for c in piece:
+                key = node * self.width + place[c]
+                if key not in moves:
+                    moves[key] = len(ids)
+                    ids.append(-1)
+                    weights.append(0.0)
+                node = moves[key]
+            ids[node], weights[node] = i, vocab.weights[piece]
+        self.keys = np.array(sorted(moves), np.int64)
+        self.child = np.array([moves[k] for k in self.keys.tolist()], np.int64)
+        self.ids, self.weights = np.array(ids, np.int64), np.array(weights)
+        self.byte_weight = min(weights) * 1.5
+
+    def _edges(self, codes: np.ndarray, begin: np.ndarray, end_of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Every piece at every place of the chunks: start, end, symbol, log weight.
+
+        ``begin`` and ``end_of`` give the bounds of the chunk of each character.  A
+        character that is no piece gets its UTF-8 bytes as one edge, with a symbol
+        below zero: -1 - code point.
+        """
+        at = np.minimum(np.searchsorted(self.chars, codes), len(self.chars) - 1)
+        char = np.where(self.chars[at] == codes, at, self.width - 1)
+        start, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        single = np.zeros(len(codes), bool)
+        found = []
+        for depth in range(self.v.longest):
+            key = node * self.width + char[start + depth]
+            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            ok = self.keys[k] == key
+            start, node = start[ok], self.child[k[ok]]
+            full = self.ids[node] >= 0
+            if depth == 0:
+                single[start[full]] = True
+            found.append((start[full], start[full] + depth + 1, self.ids[node[full]], self.weights[node[full]]))
+            more = start + depth + 1 < end_of[start]
+            start, node = start[more], node[more]
+            if not len(start):
+                break
+        lone = np.flatnonzero(~single)
+        raw = 1 + (codes[lone] > 0x7F) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
+        found.append((lone, lone + 1, -1 - codes[lone], self.byte_weight * raw))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _filter(self, chunks: list[str], size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Forward weights of all chunks, one place of every chunk at a time.
+
+        Returns the edges' start places and symbols, the running chance of each edge
+        added to the rank of its end node, and the rank of each end place.
+        """
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+        stop = np.cumsum(size)
+        begin, end_of = np.repeat(stop - size, size), np.repeat(stop, size)
+        start, end, sym, weight = self._edges(codes, begin, end_of)
+        depth = end - begin[start]
+        order = np.argsort(depth << 40 | end << 5 | (end - start))
+        start, end, sym, weight, depth = start[order], end[order], sym[order], weight[order], depth[order]
+        new = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))  # first edge of each node
+        rank = np.zeros(len(codes) + 1, np.int64)
+        rank[end[new]] = np.arange(len(new))
+        total = np.zeros(len(codes) + 1)  # by end place; what a start place holds is set below
+        first = begin[start] == start
+        chance = np.empty(len(start))
+        levels = np.searchsorted(depth, np.arange(1, depth[-1] + 2)) if len(depth) else np.zeros(1, np.int64)
+        heads = np.searchsorted(new, levels)
+        for lo, hi, a, b in zip(levels[:-1].tolist(), levels[1:].tolist(), heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            value = np.where(first[lo:hi], 0.0, total[start[lo:hi]]) + weight[lo:hi]
+            cut = new[a:b] - lo
+            top = np.maximum.reduceat(value, cut)
+            width = np.diff(np.append(cut, hi - lo))
+            odds = np.exp(value - np.repeat(top, width))
+            mass = np.add.reduceat(odds, cut)
+            total[end[new[a:b]]] = top + np.log(mass)
+            run = np.cumsum(odds)
+            base = np.repeat(run[cut] - odds[cut], width)
+            part = np.minimum((run - base) / np.repeat(mass, width), 1.0)
+            part[np.append(cut[1:], hi - lo) - 1] = 1.0
+            chance[lo:hi] = part
+        return start, sym, np.repeat(np.arange(len(new)), np.diff(np.append(new, len(start)))) + chance, rank
 
     def sample(self, texts: list[str | None], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has.
 
-        Walks every chunk backward at once from its end; the draw at a node is a hash
-        of the row's seed and the node's place in the text.
+        Walks every chunk backward from its end, all at once; the draw at a node is a
+        hash of the row's seed and the node's place in the text.
         """
-        if len(self.first) > KEPT_CHUNKS:
-            self.clear()
         chunks, per = [], []
         for t in texts:
             found = _CHUNKS(t) if t else []
             chunks += found
             per.append(len(found))
-        for c in set(chunks).difference(self.first):
-            self.first[c] = self._filter(c)
         if not chunks:
             return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-        node_of, cum, back, sym = (np.array(x) for x in (self.node, self.cum, self.back, self.sym))
-        edge_end = node_of + cum
+        distinct = list(dict.fromkeys(chunks))
+        place = {c: i for i, c in enumerate(distinct)}
+        lens = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        start, sym, edge_end, rank = self._filter(distinct, lens)
+        which = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))
         doc = np.repeat(np.arange(len(texts)), per)
-        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        base = np.fromiter(map(self.first.__getitem__, chunks), np.int64, len(chunks))
-        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+        size, base = lens[which], (np.cumsum(lens) - lens)[which]
+        begin = np.cumsum(size) - size
         begin -= begin[np.searchsorted(doc, doc)]  # place of a chunk in its text
         seed = seeds.view(np.uint64)[doc]
         live, at = np.arange(len(chunks)), base + size
@@ -141,9 +184,9 @@ class Lattice:
                 x *= np.uint64(by)
             x ^= x >> np.uint64(31)
             u = (x >> np.uint64(38)).astype(np.float64) / (1 << 26)
-            edge = np.searchsorted(edge_end, at + u, side="right")
+            edge = np.searchsorted(edge_end, rank[at] + u, side="right")
             steps.append((live, sym[edge]))
-            at = back[edge]
+            at = start[edge]
             go = at > base[live]
             live, at = live[go], at[go]
         n = np.zeros(len(chunks), np.int64)
@@ -155,26 +198,27 @@ class Lattice:
             ids[ends[who] - 1 - k] = s
         doc_of = np.repeat(doc, n)
         if (ids < 0).any():  # put the bytes of characters without a piece in place
-            widths = np.ones(len(ids), np.int64)
             odd = np.flatnonzero(ids < 0)
-            widths[odd] = [len(self.runs[-1 - i]) for i in ids[odd].tolist()]
-            put = np.concatenate(([0], np.cumsum(widths)))
+            raw = [[self.v.bytes_[b] for b in chr(-1 - i).encode()] for i in ids[odd].tolist()]
+            widths = np.ones(len(ids), np.int64)
+            widths[odd] = [len(r) for r in raw]
+            put = np.cumsum(widths) - widths
             out = np.repeat(ids, widths)
-            for i in odd.tolist():
-                out[put[i]:put[i + 1]] = self.runs[-1 - ids[i]]
+            out[np.concatenate([np.arange(p, p + len(r)) for p, r in zip(put[odd].tolist(), raw, strict=True)])] = np.concatenate(raw)
             ids, doc_of = out, np.repeat(doc_of, widths)
         return ids.astype(np.int32), np.bincount(doc_of, minlength=len(texts))
 
 
 def decode_ids(ids: list[int], vocab: Vocabulary) -> str:
     """The text of a list of piece ids; special ids carry no text."""
-    return b"".join(d for i in ids if (d := vocab.decoded[i]) is not None).decode("utf-8", "replace")
+    return b"".join([vocab.decoded[i] for i in ids]).decode("utf-8", "replace")
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
-           decoded: bool = False) -> DataFrame:
+           decoded: bool = False, digest: bool = False) -> DataFrame:
     """One row per input row: ``rest`` (struct of all columns but the text), ``text``,
-    ``ids`` (array of int) and, if asked for, ``decoded`` (the text of the ids).
+    ``ids`` (array of int) and, if asked for, ``decoded`` (the text of the ids) and
+    ``ids_sha256`` (hex digest of the ids, 4 bytes each, little end first).
 
     The segmentation is drawn from all that give the text, each with a chance
     proportional to the product of its pieces' weights (forward filtering,
@@ -196,14 +240,20 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
             mask = pa.array([t is None for t in texts], pa.bool_())
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
             cols = [b.column("rest"), b.column("text"), lists]
+            spans = [None if t is None else (x, y)
+                     for t, x, y in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             if decoded:
                 flat = ids.tolist()
-                cols.append(pa.array([None if t is None else decode_ids(flat[s:e], vocab)
-                                      for t, s, e in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, names=["rest", "text", "ids", "decoded"][:len(cols)])
+                cols.append(pa.array([p and decode_ids(flat[p[0]:p[1]], vocab) for p in spans], pa.string()))
+            if digest:
+                raw = ids.astype("<i4").tobytes()
+                cols.append(pa.array([p and hashlib.sha256(raw[4 * p[0]:4 * p[1]]).hexdigest() for p in spans], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=out.fieldNames())
 
-    fields = [rows.schema["rest"], rows.schema["text"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    return rows.mapInArrow(run, T.StructType(fields + [T.StructField("decoded", T.StringType())] * decoded))
+    out = T.StructType([rows.schema["rest"], rows.schema["text"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+                       + [T.StructField("decoded", T.StringType())] * decoded
+                       + [T.StructField("ids_sha256", T.StringType())] * digest)
+    return rows.mapInArrow(run, out)
 
 
 def decode(rows: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out_col: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import simhash, substring_dedup
+from newslake.llm import langid, mixing, pieces, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,32 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rest.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, its source's words and target, and the words the mix takes."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("row.doc_id", "size", "source_size", "target",
+                                   (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a third by id hash is never learned from."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 3
+    sample = langid.learn(docs, rest != 1)
+    return langid.predict_language(docs.select("doc_id", "text"), sample).select(
+        "doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), F.col("language_id.lang").alias("lang_pred"),
+        F.col("language_id.score").alias("score"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every document as a digest (4 bytes an id, little end
+    first), their number, and whether they decode to the text itself."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.read_vocabulary(), decoded=True, digest=True).select(
+        "rest.doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids_sha256",
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 bits."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,7 +56,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op6_language_id, op7_simhash_near_dedup,
+                                  op9_sentencepiece)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -47,4 +74,24 @@ ORACLE = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id
     """,
+    "op3_mix_sources": r"""
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                          coalesce(doc_id::VARCHAR, '') || '/' || coalesce(md5(text), '') || '/' AS k FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+        w AS (SELECT *, [3, 1, 2][(place - 1) % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
+        o AS (SELECT *, cap / weight AS reach, row_number() OVER (ORDER BY cap / weight, place) AS turn FROM w),
+        l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+                         - coalesce(sum(cap) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                        / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM o),
+        t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, turn) FROM l WHERE level <= reach) * weight, cap)) AS target FROM l),
+        r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+        u AS (SELECT d.doc_id, d.source, d.size, source_size, target, rate, n,
+                     ('0x' || md5(k || (n // 4)::VARCHAR)[1 + 8 * (n % 4):8 + 8 * (n % 4)])::BIGINT / 4294967296.0::DOUBLE AS u
+              FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, range(16) AS g(n)),
+        c AS (SELECT *, floor(rate) + (u < rate - floor(rate))::INT AS copies FROM u),
+        x AS (SELECT source, n, abs(sum(size * copies) - any_value(target)) AS off FROM c GROUP BY source, n),
+        b AS (SELECT source, arg_min(n, (off, n)) AS n FROM x GROUP BY source)
+        SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken
+        FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source AND c.n = b.n
+    """,
 }

@@ -97,43 +97,53 @@ def _cut(bins: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bins[order], np.arange(count + 1))
 
 
-def _pack_rows(ids: list, lists: list[np.ndarray], seconds: list[np.ndarray] | None, index: np.ndarray,
-               index_g: np.ndarray | None, bins: int, low: bool) -> list[dict]:
-    """Rows of one piece: for each bin the index entries (kind 0) and, text by
-    text, the probes (kind 1)."""
+def _text_rows(kind: int, ids: np.ndarray, doc: np.ndarray, h: np.ndarray, g: np.ndarray | None, bins: int, low: bool) -> list[dict]:
+    """Rows of one piece that name their texts: for each bin the hashes text by text."""
+    if not len(h):
+        return []
+    order, at = _cut(_bins(h, bins), bins)
+    doc, h, g = doc[order], h[order], None if g is None else g[order]
     rows = []
-    if len(index):
-        order, at = _cut(_bins(index, bins), bins)
-        idx, g = index[order], None if index_g is None else index_g[order]
-        for k in np.flatnonzero(np.diff(at)):
-            part = idx[at[k]:at[k + 1]]
-            if low:  # 31 bits beside the bin; the last bit says that the piece has the block twice
-                v, n = np.unique(part.astype(np.uint32) & np.uint32(0xFFFFFFFE), return_counts=True)
-                rows.append({"bin": k, "kind": 0, "h": (v | (n > 1)).astype(np.uint32).tobytes()})
-            else:
-                gp = g[at[k]:at[k + 1]]
-                o = np.lexsort((gp, part))
-                part, gp = part[o], gp[o]
-                first = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (gp[1:] != gp[:-1]))))
-                n = np.diff(np.append(first, len(part)))
-                rows.append({"bin": k, "kind": 0, "h": part[first].tobytes(), "g": gp[first].tobytes(),
-                             "lens": (n > 1).astype(np.uint8).tobytes()})
-    if lists:
-        h = np.concatenate(lists)
-        if len(h):
-            doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            g = None if seconds is None else np.concatenate(seconds)
-            order, at = _cut(_bins(h, bins), bins)
-            h, doc, g = h[order], doc[order], None if g is None else g[order]
-            ids_a = np.array(ids, np.int64)
-            for k in np.flatnonzero(np.diff(at)):
-                d = doc[at[k]:at[k + 1]]
-                first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
-                part = h[at[k]:at[k + 1]]
-                rows.append({"bin": k, "kind": 1, "ids": ids_a[d[first]].tobytes(),
-                             "lens": np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(),
-                             "h": (part.astype(np.uint32) if low else part).tobytes(),
-                             "g": None if g is None else g[at[k]:at[k + 1]].tobytes()})
+    for k in np.flatnonzero(np.diff(at)):
+        d, part = doc[at[k]:at[k + 1]], h[at[k]:at[k + 1]]
+        first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
+        rows.append({"bin": k, "kind": kind, "ids": ids[d[first]].tobytes(),
+                     "lens": np.diff(np.append(first, len(d))).astype(np.uint32).tobytes(),
+                     "h": (part.astype(np.uint32) if low else part).tobytes(),
+                     "g": None if g is None else g[at[k]:at[k + 1]].tobytes()})
+    return rows
+
+
+def _block_rows(index: np.ndarray, bins: int) -> list[dict]:
+    """Index rows of one piece: 31 bits of each block beside its bin, once; the last
+    bit says that the piece has the block more than once."""
+    order, at = _cut(_bins(index, bins), bins)
+    rows = []
+    for k in np.flatnonzero(np.diff(at)):
+        v, n = np.unique(index[order[at[k]:at[k + 1]]].astype(np.uint32) & np.uint32(0xFFFFFFFE), return_counts=True)
+        rows.append({"bin": k, "kind": 0, "h": (v | (n > 1)).astype(np.uint32).tobytes()})
+    return rows
+
+
+def _run_rows(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, g: np.ndarray, bins: int) -> list[dict]:
+    """Rows of one piece's runs (``doc`` -1: of a text with copies): kind 0 the runs
+    known to repeat, once each; kind 1 the others with their text; kind 2 the texts
+    of the known ones, to be answered as they are."""
+    order = np.lexsort((doc, g, h))
+    doc, h, g = doc[order], h[order], g[order]
+    first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))))
+    count = np.diff(np.append(first, len(h)))
+    known = (count > 1) | (doc[first] < 0)
+    again = np.repeat(known, count)
+    rows = []
+    hk, gk = h[first[known]], g[first[known]]
+    at = np.searchsorted(_bins(hk, bins), np.arange(bins + 1))
+    for k in np.flatnonzero(np.diff(at)):
+        rows.append({"bin": k, "kind": 0, "h": hk[at[k]:at[k + 1]].tobytes(), "g": gk[at[k]:at[k + 1]].tobytes()})
+    for kind, pick in ((1, ~again), (2, again & (doc >= 0))):
+        by_doc = np.flatnonzero(pick)
+        by_doc = by_doc[np.argsort(doc[by_doc], kind="stable")]
+        rows += _text_rows(kind, ids, doc[by_doc], h[by_doc], g[by_doc] if kind == 1 else None, bins, False)
     return rows
 
 
@@ -156,8 +166,10 @@ def _probe_side(block: int, bins: int):
                 lists.append((u & np.uint64(0xFFFFFFFFFFFFFFFE)) | own.astype(np.uint64))
                 ids.append(i)
                 blocks.append(idx)
-            yield from _emit(_pack_rows(ids, lists, None, np.concatenate(blocks) if blocks else np.empty(0, np.uint64), None,
-                                        bins, True))
+            if lists:
+                doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                yield from _emit(_block_rows(np.concatenate(blocks), bins) + _text_rows(
+                    1, np.array(ids, np.int64), doc, np.concatenate(lists), None, bins, True))
     return run
 
 
@@ -206,73 +218,81 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meet_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answer, bin by bin, the runs that occur at two places or more."""
-    now, parts, known, second = None, [], None, None
+    """Answer, bin by bin, the runs that occur at two places or more.  A bin holds
+    each piece's known runs once and the runs that a piece has at one place."""
+    now, known, single = None, [], []
+
+    def answer() -> Iterator[pa.RecordBatch]:
+        if not single:
+            return
+        h = np.concatenate([np.frombuffer(r["h"], np.uint64) for r in [*known, *single]])
+        g = np.concatenate([np.frombuffer(r["g"], np.uint32) for r in [*known, *single]])
+        sure = sum(len(r["h"]) for r in known) // 8
+        order = np.lexsort((g, h))
+        first = np.flatnonzero(np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1]))))
+        count = np.diff(np.append(first, len(h)))
+        many = (count > 1) | (np.minimum.reduceat(order, first) < sure)
+        hit = np.empty(len(h), bool)
+        hit[order] = np.repeat(many, count)
+        at = sure
+        for r in single:
+            n = len(r["h"]) // 8
+            yield from _answers(now, r, hit[at:at + n], h[at:at + n])
+            at += n
+
     for k, kind, row in _by_bin(batches):
         if k != now:
-            now, parts, known = k, [], None
+            yield from answer()
+            now, known, single = k, [], []
         if kind == 0:
-            parts.append((np.frombuffer(row["h"], np.uint64), np.frombuffer(row["g"], np.uint32),
-                          np.frombuffer(row["lens"], np.uint8)))
-            continue
-        if known is None:
-            h, g, m = (np.concatenate(x) for x in zip(*parts, strict=True))
-            o = np.lexsort((g, h))
-            h, g, m = h[o], g[o], m[o]
-            first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))))
-            many = np.add.reduceat(1 + m.astype(np.int64), first) > 1
-            known, second, parts = h[first][many], g[first][many], []
-        if not len(known):
-            continue
-        h, g = np.frombuffer(row["h"], np.uint64), np.frombuffer(row["g"], np.uint32)
-        at = np.searchsorted(known, h)
-        hit = np.zeros(len(h), bool)
-        live = np.flatnonzero(at < len(known))
-        while len(live := live[known[at[live]] == h[live]]):  # more than once only where first hashes are equal
-            hit[live] |= second[at[live]] == g[live]
-            at[live] += 1
-            live = live[(at[live] < len(known)) & ~hit[live]]
-        yield from _answers(k, row, hit, h)
+            known.append(row)
+        elif kind == 1:
+            single.append(row)
+        else:
+            h = np.frombuffer(row["h"], np.uint64)
+            yield from _answers(k, row, np.ones(len(h), bool), h)
+    yield from answer()
 
 
 def _run_side(window: int, block: int, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
-            ids, lists, seconds, all_h, all_g = [], [], [], [], []
-            for i, text, anchors in zip(*(b.column(c).to_pylist() for c in ("id", "text", "anchors")), strict=True):
-                if not anchors or text is None:
+            ids, docs, all_h, all_g = [], [], [], []
+            for i, text, anchors, first in zip(*(b.column(c).to_pylist() for c in ("id", "text", "anchors", "first_copy")), strict=True):
+                if text is None or first is False or not (anchors or first):
                     continue
                 words = word_hashes(words_of(text))
                 if len(words) < window:
                     continue
-                h = gram_hashes(words, block)
-                hits = [np.frombuffer(a["hits"], np.uint32) for a in anchors]
-                places = [np.full(len(x), a["bin"], np.int64) for a, x in zip(anchors, hits, strict=True)]
-                # A bin and 31 bits beside it name a probe.
-                met = np.isin(_bins(h, bins) << 32 | (h & np.uint64(0xFFFFFFFE)).astype(np.int64),
-                              np.concatenate(places) << 32 | np.concatenate(hits))
-                seen = np.concatenate(([0], np.cumsum(met)))
-                reach = window - block + 1
-                near = np.flatnonzero(seen[reach:] > seen[:-reach])  # runs with an anchor inside
-                if not len(near):
-                    continue
+                if first:  # every run of a text with copies repeats; its first copy tells the others
+                    near = slice(None)
+                else:
+                    h = gram_hashes(words, block)
+                    hits = [np.frombuffer(a["hits"], np.uint32) for a in anchors]
+                    places = [np.full(len(x), a["bin"], np.int64) for a, x in zip(anchors, hits, strict=True)]
+                    # A bin and 31 bits beside it name a probe.
+                    met = np.isin(_bins(h, bins) << 32 | (h & np.uint64(0xFFFFFFFE)).astype(np.int64),
+                                  np.concatenate(places) << 32 | np.concatenate(hits))
+                    seen = np.concatenate(([0], np.cumsum(met)))
+                    reach = window - block + 1
+                    near = np.flatnonzero(seen[reach:] > seen[:-reach])  # runs with an anchor inside
                 rh = gram_hashes(words, window)[near]
-                rg = (gram_hashes(words, window, 1)[near] >> np.uint64(32)).astype(np.uint32)
                 all_h.append(rh)
-                all_g.append(rg)
-                u, first = np.unique(rh, return_index=True)
-                lists.append(u)
-                seconds.append(rg[first])
+                all_g.append((gram_hashes(words, window, 1)[near] >> np.uint64(32)).astype(np.uint32))
+                docs.append(np.full(len(rh), -1 if first else len(ids), np.int64))
                 ids.append(i)
-            if lists:
-                yield from _emit(_pack_rows(ids, lists, seconds, np.concatenate(all_h), np.concatenate(all_g), bins, False))
+            if docs and sum(map(len, docs)):
+                yield from _emit(_run_rows(np.array(ids, np.int64), np.concatenate(docs), np.concatenate(all_h),
+                                           np.concatenate(all_g), bins))
     return run
 
 
-def kept_words(text: str | None, window: int, repeats: np.ndarray | None) -> tuple[int, int, list[bytes]]:
-    """Number of words, number removed, and the words left, given the hashes of
-    the text's runs that occur elsewhere."""
+def kept_words(text: str | None, window: int, repeats: np.ndarray | None, copied: bool = False) -> tuple[int, int, list[bytes]]:
+    """Number of words, number removed, and the words left, given the hashes of the
+    text's runs that occur elsewhere, or that the whole text does (``copied``)."""
     words = words_of(text)
+    if copied and len(words) >= window:
+        return len(words), len(words), []
     if repeats is None or not len(repeats):
         return len(words), 0, words
     again = np.isin(gram_hashes(word_hashes(words), window), repeats)
@@ -288,9 +308,9 @@ def _final_side(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
             n, gone, kept = [], [], []
-            for text, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
+            for text, runs, first in zip(*(b.column(c).to_pylist() for c in ("text", "runs", "first_copy")), strict=True):
                 rep = np.concatenate([np.frombuffer(r["hits"], np.uint64) for r in runs]) if runs else None
-                x, y, left = kept_words(text, window, rep)
+                x, y, left = kept_words(text, window, rep, first is not None)
                 n.append(x)
                 gone.append(y)
                 kept.append(b" ".join(left).decode("utf-8"))
@@ -315,20 +335,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     block = (window + 1) // 2
-    bins = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in docs.columns if c != text_col]
     texts = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_col}`").alias("text"),
         F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("id"))
 
+    # Texts with exact copies repeat as a whole, which takes two narrow shuffles and no run.
+    prints = docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t1"),
+                         F.xxhash64(F.lit(1), F.col(f"`{text_col}`")).alias("t2"))
+    copied = prints.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
+    copies = prints.join(copied, ["t1", "t2"]).groupBy("id").agg(F.max(F.col("id") == F.col("low")).alias("first_copy"))
+
     def meet(packed: DataFrame, how, name: str) -> DataFrame:
         answers = packed.repartition("bin").sortWithinPartitions("bin", "kind").mapInArrow(how, _HITS_DDL)
         return answers.groupBy("id").agg(F.collect_list(F.struct("bin", "hits")).alias(name))
 
     probes = texts.select("id", "text").mapInArrow(_probe_side(block, bins), _PACKED_DDL)
-    anchored = texts.join(meet(probes, _meet_blocks, "anchors"), "id", "left")
+    anchored = texts.join(meet(probes, _meet_blocks, "anchors"), "id", "left").join(copies, "id", "left")
     runs = anchored.mapInArrow(_run_side(window, block, bins), _PACKED_DDL)
-    judged = texts.join(meet(runs, _meet_runs, "runs"), "id", "left")
+    judged = texts.join(meet(runs, _meet_runs, "runs"), "id", "left").join(copies, "id", "left")
     out = T.StructType([texts.schema["rest"], texts.schema["text"], T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return judged.select("rest", "text", "runs").mapInArrow(_final_side(window), out)
+    return judged.select("rest", "text", "runs", "first_copy").mapInArrow(_final_side(window), out)

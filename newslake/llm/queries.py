@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import langid, mixing, pieces, simhash, substring_dedup
+from newslake.llm import chat, embedding_dedup, langid, main_text, mixing, pieces, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,36 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and -7 whose texts hold control strings, formatted and read back."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    back = chat.read_conversations(chat.format_conversations(rows.unionByName(extra)))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+                       F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and keeper of every vector at cosine 0.95."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.near_duplicates(vectors, 0.95).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages).select("rest.page_id", "rest.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector among all others."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, scale=1024)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a third by id hash is never learned from."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -56,8 +86,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op6_language_id, op7_simhash_near_dedup,
-                                  op9_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op4_chat_format, op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
+                                  op8_exact_top_k, op9_sentencepiece, op10_html_main_text)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -94,4 +124,39 @@ ORACLE = {
         SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken
         FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source AND c.n = b.n
     """,
+    "op4_chat_format": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+        e AS (SELECT *, regexp_replace(text, '\\|###|</turn>', '\\\0', 'g') AS esc FROM c)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(4 + length(role) + 2 + length(esc) + 9)::BIGINT AS formatted_chars,
+               coalesce(regexp_full_match(string_agg(CASE role WHEN 'assistant' THEN 'a' WHEN 'user' THEN 'u' WHEN 'system' THEN 's'
+                   WHEN 'tool' THEN 't' ELSE 'x' END, '' ORDER BY turn, role, text), 's?(ua)(ua|t+a)*'), false) AS valid
+        FROM e GROUP BY conv_id
+    """,
+    "op8_exact_top_k": r"""
+        WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id,
+                     list_sum([p[1] * p[2] FOR p IN list_zip(q.e, v.e)])::BIGINT AS score
+              FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+    "op5_embedding_near_dedup": r"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+                     AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+              ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+               vec_id = coalesce(component_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+    """,
 }

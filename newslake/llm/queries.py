@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, embedding_dedup, langid, main_text, mixing, pieces, simhash, substring_dedup, topk
+from newslake.llm import chat, embedding_dedup, langid, lm_score, main_text, mixing, pieces, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rest.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo log likelihood of every document under a network trained on all of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, lm_score.learn(docs)).select("rest.doc_id", "n_tokens", "log_likelihood", "score")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, its source's words and target, and the words the mix takes."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -86,7 +92,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op4_chat_format, op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_score, op3_mix_sources, op4_chat_format,
+                                  op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
                                   op8_exact_top_k, op9_sentencepiece, op10_html_main_text)}
 
 ORACLE = {

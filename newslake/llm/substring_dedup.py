@@ -335,7 +335,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     block = (window + 1) // 2
-    bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # An executor holds the index of one bin; answers are one row a text and bin.
+    bins = 32 + int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
     rest = [c for c in docs.columns if c != text_col]
     texts = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_col}`").alias("text"),

@@ -202,22 +202,39 @@ def common_lines(a: list, b: list) -> list[int]:
     return sorted(out)
 
 
-def main_lines(lines: list[tuple[str, int]], shared: set[int]) -> list[str]:
-    """Lines of the main text: those of article elements if the page has any, else
-    the unmarked ones that the neighbour does not share."""
+def candidates(lines: list[tuple[str, int]]) -> tuple[str, bytes | None]:
+    """Lines that can be main text, joined by line feeds.  With an article element: its
+    lines and null.  Without: the unmarked lines and their places in the page."""
     if any(z == ARTICLE for _, z in lines):
-        return [t for t, z in lines if z == ARTICLE]
-    return [t for i, (t, z) in enumerate(lines) if z == OPEN and i not in shared]
+        return "\n".join(t for t, z in lines if z == ARTICLE), None
+    places = [i for i, (_, z) in enumerate(lines) if z == OPEN]
+    return "\n".join(lines[i][0] for i in places), np.array(places, np.int32).tobytes()
+
+
+def main_text(text: str, places: bytes | None, shared: bytes | None) -> str:
+    """The candidates without the unmarked lines that the neighbour shares."""
+    if not places or not shared:
+        return text
+    gone = set(np.frombuffer(shared, np.int32).tolist())
+    return "\n".join(t for t, i in zip(text.split("\n"), np.frombuffer(places, np.int32).tolist(), strict=True) if i not in gone)
 
 
 def _digest_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line as 32 bits: enough to align the lines of two pages."""
     for b in slices(batches, "html", 8 << 20):
-        lines = [np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t, _ in page_lines(p)], np.uint64).tobytes()
+        lines = [np.array([xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) for t, _ in page_lines(p)], np.uint32).tobytes()
                  for p in b.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("host"), b.column("path"), pa.array(lines, pa.binary())],
                                          names=["id", "host", "path", "lines"])
 
 
+def _candidate_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "html", 8 << 20):
+        texts, places = zip(*(candidates(page_lines(p)) for p in b.column("html").to_pylist()), strict=True)
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rest"), pa.array(texts, pa.string()), pa.array(places, pa.binary())],
+                                         names=["id", "rest", "text", "places"])
+
+
 def _align_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shared lines of each page with the neighbour whose path has the longer common start."""
     def alike(x: str, y: str | None) -> int:
@@ -231,16 +248,15 @@ def _align_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, lines, bp, bl, ap, al in zip(*(b.column(c).to_pylist() for c in
                                                  ("path", "lines", "before_path", "before", "after_path", "after")), strict=True):
             near = bl if alike(path, bp) >= alike(path, ap) else al
-            mine = np.frombuffer(lines, np.uint64).tolist()
-            other = [] if near is None else np.frombuffer(near, np.uint64).tolist()
+            mine = np.frombuffer(lines, np.uint32).tolist()
+            other = [] if near is None else np.frombuffer(near, np.uint32).tolist()
             shared.append(np.array(common_lines(mine, other), np.int32).tobytes())
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(shared, pa.binary())], names=["id", "shared"])
 
 
 def _text_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, "html", 8 << 20):
-        texts = ["\n".join(main_lines(page_lines(p), set(np.frombuffer(s or b"", np.int32).tolist())))
-                 for p, s in zip(b.column("html").to_pylist(), b.column("shared").to_pylist(), strict=True)]
+    for b in batches:
+        texts = [main_text(*x) for x in zip(*(b.column(c).to_pylist() for c in ("text", "places", "shared")), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("rest"), pa.array(texts, pa.string())], names=["rest", "text"])
 
 
@@ -287,6 +303,8 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     pairs = nearest_pairs(digests)
     aligned = digests.join(pairs, ["host", "path"]).select("id", "path", "lines", "before_path", "before", "after_path", "after") \
         .mapInArrow(_align_side, "id long, shared binary").groupBy("id").agg(F.first("shared").alias("shared"))
-    found = rows.select("rest", "html", "id").join(aligned, "id", "left")
+    half = T.StructType([T.StructField("id", T.LongType()), rows.schema["rest"], T.StructField("text", T.StringType()),
+                         T.StructField("places", T.BinaryType())])
+    found = rows.select("id", "rest", "html").mapInArrow(_candidate_side, half).join(aligned, "id", "left")
     out = T.StructType([rows.schema["rest"], T.StructField("text", T.StringType())])
-    return found.select("rest", "html", "shared").mapInArrow(_text_side, out)
+    return found.select("rest", "text", "places", "shared").mapInArrow(_text_side, out)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.schema import conform_articles
-from newslake.session import rebalance_scan
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -23,21 +22,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables of whole texts / pages: nearly every query on them does CPU-heavy
-# per-row work (regex, JSON building, HTML parsing).
-SPREAD_TABLES = ("documents", "pages")
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Read one test table.  The driver's tables are single-row-group files,
-    so a scan has one busy task; text tables (or any table with
-    ``spread=True``) are spread over the session's parallelism first (see
-    :func:`newslake.session.rebalance_scan`).  Measured at sf0.1: 1.6-2x on
-    text work, neutral on light queries."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if spread is None:
-        spread = name in SPREAD_TABLES
-    return rebalance_scan(df) if spread else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one test table."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:

@@ -49,13 +49,17 @@ def parse_meta_time(v) -> Column:
         stripped = F.replace(stripped, F.lit(label), F.lit(""))
     stripped = F.trim(F.regexp_replace(stripped, r"^\s*\p{L}+,\s*", ""))
     rfc = F.when(weekday_ok, _ntz(stripped, "d MMM yyyy HH:mm:ss"))
-    iso = F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz")
+    # A whole date is required; the basic form (20240105T101500) is written out first.
+    plain = F.regexp_replace(s, r"(?<=[T ].{2,40})(Z|[+-]\d{2}:?\d{2})$", "")
+    plain = F.regexp_replace(plain, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    plain = F.regexp_replace(plain, r"(?<=[T ])(\d{2})(\d{2})(\d{2})(?=$|\.)", "$1:$2:$3")
+    iso = F.when(plain.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), plain.try_cast("timestamp_ntz"))
     return F.when(rfc_form, rfc).otherwise(iso)
 
 
 def parse_body_date(text) -> Column:
     """Body date text such as ``January 5, 2024`` (dashes removed first)."""
-    body = F.trim(F.replace(_c(text), F.lit("-"), F.lit("")))
+    body = F.trim(F.regexp_replace(F.replace(_c(text), F.lit("-"), F.lit("")), r"\s+", " "))
     return F.when(body != "", _ntz(body, "MMMM d, yyyy"))
 
 

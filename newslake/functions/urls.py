@@ -45,9 +45,9 @@ def url_parts(url) -> Column:
 
 
 def article_key(parts) -> Column:
-    """``subdomain:article_id:slug`` from a :func:`url_parts` struct."""
+    """``subdomain:article_id:slug`` from a :func:`url_parts` struct; NULL without a URL."""
     p = _c(parts)
-    return F.concat_ws(":", p["subdomain"], p["article_id"], p["slug"])
+    return F.when(p["subdomain"].isNotNull(), F.concat_ws(":", p["subdomain"], p["article_id"], p["slug"]))
 
 
 def url_absolute(path, root: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
@@ -125,7 +127,9 @@ def newest_first_cutoff(df: DataFrame, listing_cols: list[str], pos_col: str, ts
         return df.filter(stop.isNull() | (F.col(pos_col) < stop))
     stops = (df.filter(F.col(ts_col) < start_c)
              .groupBy(*listing_cols).agg(F.min(pos_col).alias("_stop_pos")))
-    joined = df.join(stops, on=listing_cols, how="left")
+    stops = stops.select(*[F.col(c).alias(f"_stop_{c}") for c in listing_cols], "_stop_pos")
+    same = functools.reduce(lambda a, b: a & b, [df[c].eqNullSafe(stops[f"_stop_{c}"]) for c in listing_cols])
+    joined = df.join(stops, same, "left").drop(*[f"_stop_{c}" for c in listing_cols])
     return (joined.filter(F.col("_stop_pos").isNull() | (F.col(pos_col) < F.col("_stop_pos")))
             .drop("_stop_pos"))
 

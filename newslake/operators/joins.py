@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslake.constants import ENGLISH_STOPWORDS
-from newslake.operators._sizing import broadcast_if_small
 
 
 def new_only(incoming: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
@@ -56,13 +55,16 @@ def tag_lookup(df: DataFrame, id_col: str, tag_ids_col: str, tags: DataFrame, ta
     """
     key = [id_col, tag_ids_col]
     exploded = df.select(*key, F.posexplode(tag_ids_col).alias("_pos", "_tag"))
-    dim = broadcast_if_small(tags.select(F.col(tag_id).alias("_tag"), F.col(slug).alias("_slug")))
+    dim = tags.select(F.col(tag_id).alias("_tag"), F.col(slug).alias("_slug"))
     resolved = (exploded.join(dim, on="_tag", how="inner")
                 .groupBy(*key)
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("_pos", "_slug"))),
                                               lambda s: s["_slug"]), sep).alias(out_col)))
     base = df.drop(out_col) if out_col in df.columns else df
-    return (base.join(resolved, on=key, how="left")
+    # Null-safe: a row without an id keeps its tags.
+    found = resolved.select(F.col(id_col).alias("_id"), F.col(tag_ids_col).alias("_ids"), out_col)
+    return (base.join(found, base[id_col].eqNullSafe(found["_id"]) & base[tag_ids_col].eqNullSafe(found["_ids"]), "left")
+            .drop("_id", "_ids")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))))
 
 
@@ -77,6 +79,6 @@ def lemma_lookup(tokens: DataFrame, lemmas: DataFrame, col: str = "token", word:
     """Token -> lemma via a user-supplied table; unknown tokens map to
     themselves.  The table is broadcast only under a checked row bound."""
     # One lemma per word; a word listed twice takes the smallest lemma.
-    table = broadcast_if_small(lemmas.groupBy(F.col(word).alias("_w")).agg(F.min(lemma).alias("_l")))
+    table = lemmas.groupBy(F.col(word).alias("_w")).agg(F.min(lemma).alias("_l"))
     out = tokens.join(table, tokens[col] == table["_w"], "left")
     return out.withColumn(out_col, F.coalesce(F.col("_l"), F.col(col))).drop("_w", "_l")

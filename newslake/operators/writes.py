@@ -80,10 +80,14 @@ def sync_incremental(source: DataFrame, target: DataFrame, key: str = "id") -> t
 
     Returns (new target version, one-row summary with source_total,
     inserted, skipped, target_total).  Only key columns of the target are
-    read for the anti-join.  Running it again inserts nothing.
+    read for the anti-join.  A key that repeats in ``source`` is inserted once (its
+    smallest row), a row without a key never.  Running it again inserts nothing.
     """
     cols = target.columns
-    missing = source.join(target.select(key), on=key, how="left_anti").select(*cols)
+    fresh = source.join(target.select(key), on=key, how="left_anti").filter(F.col(key).isNotNull())
+    # One row per missing key, whichever repeats there are; rows without a key stay out.
+    first = F.min(F.struct(*[F.col(c) for c in cols])).alias("_row")
+    missing = fresh.groupBy(F.col(key).alias("_key")).agg(first).select("_row.*")
     new_target = target.unionByName(missing)
     # Three tagged counts folded by one aggregate (no joins between them).
     tagged = (source.select(F.lit(1).alias("_s"), F.lit(0).alias("_i"), F.lit(0).alias("_t"))

@@ -49,8 +49,8 @@ def register(name: str):
     return deco
 
 
-def _docs(spark, d, spread=None):
-    return fx.articles_from_documents(fx.load(spark, d, "documents", spread))
+def _docs(spark, d):
+    return fx.articles_from_documents(fx.load(spark, d, "documents"))
 
 
 def _events(spark, d):
@@ -278,7 +278,7 @@ def q_conditional_update(spark, d):
 def q_sync_incremental(spark, d):
     arts = _docs(spark, d)
     n = F.col("id").cast("bigint")
-    _, summary = wr.sync_incremental(arts.filter(n % 3 != 0), arts.filter(n % 2 == 0))
+    _, summary = wr.sync_incremental(arts, arts.filter(n % 2 == 0))
     return summary
 
 
@@ -489,7 +489,7 @@ def q_listing_frontier(spark, d):
 
 # ---------------------------------------------------------------- HTML jobs
 def _pages_fields(spark, d):
-    pages = fx.load(spark, d, "pages", spread=True)
+    pages = fx.load(spark, d, "pages")
     return hj.page_fields(pages).withColumn("_u", ur.url_parts("url"))
 
 
@@ -511,7 +511,7 @@ def q_author_fallback(spark, d):
 
 @register("content_fallback")
 def q_content_fallback(spark, d):
-    pages = fx.load(spark, d, "pages", spread=True).withColumn("_u", ur.url_parts("url"))
+    pages = fx.load(spark, d, "pages").withColumn("_u", ur.url_parts("url"))
     content = hj.content_fallback(subdomain=F.col("_u.subdomain"),
                                   selectors={"blog": "div#FOR_target_content", "*": "article"}, html_col="html")
     return pages.select("page_id", (content != "Cannot extract article content").alias("extracted"))
@@ -524,14 +524,14 @@ def q_tags_from_hrefs(spark, d):
 
 @register("html_clean_text")
 def q_html_clean_text(spark, d):
-    cleaned = hj.html_clean_text(fx.load(spark, d, "pages", spread=True), "html", classes=["ad"])
+    cleaned = hj.html_clean_text(fx.load(spark, d, "pages"), "html", classes=["ad"])
     words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)
     return cleaned.select("page_id", F.array_join(words, " ").alias("words"), F.size(words).alias("n_words"),
                           (~F.col("text").rlike("<[A-Za-z/!]")).alias("markup_free"))
 
 
 def _index_pages(spark, d):
-    pages = fx.load(spark, d, "pages", spread=True)
+    pages = fx.load(spark, d, "pages")
     return pages.withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 7).cast("int")))
 
 
@@ -558,7 +558,7 @@ def q_harvest_counters(spark, d):
 
 # ---------------------------------------------------------------- text trends
 def _tokens(spark, d, keep_case=False):
-    docs = fx.load(spark, d, "documents", spread=True)
+    docs = fx.load(spark, d, "documents")
     return tx.tokenise(docs, "doc_id", "text", keep_case_col="raw" if keep_case else None)
 
 
@@ -601,7 +601,7 @@ def q_lemma_lookup(spark, d):
 
 @register("trending_terms")
 def q_trending_terms(spark, d):
-    arts = _docs(spark, d, spread=True)
+    arts = _docs(spark, d)
     return mt.trending_terms(arts, fl.as_of_date(arts), window_days=7, k=20)
 
 

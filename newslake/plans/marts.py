@@ -7,6 +7,8 @@ Layering: ``stg_articles`` (staging view) -> ``int_articles_cleaned``
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,9 @@ def agg_daily_trends(articles: DataFrame, fill_calendar: bool = False) -> DataFr
     daily = articles.groupBy("date", *keys).agg(F.count(F.lit(1)).alias("daily_count"))
     bounds = daily.groupBy(*keys).agg(F.min("date").alias("start"), F.max("date").alias("end"))
     spine = date_spine(bounds).select(*keys, F.col("day").alias("date"))
-    filled = (spine.join(daily, on=["date", *keys], how="left")
+    had = daily.select("daily_count", *[F.col(c).alias(f"_{c}") for c in ("date", *keys)])
+    same = functools.reduce(lambda a, b: a & b, [spine[c].eqNullSafe(had[f"_{c}"]) for c in ("date", *keys)])
+    filled = (spine.join(had, same, "left").drop("_date", *[f"_{c}" for c in keys])
               .withColumn("daily_count", F.coalesce("daily_count", F.lit(0)).cast("bigint")))
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy("date").rowsBetween(-6, 0)

@@ -146,7 +146,7 @@ select id, source, url, category,
 from articles"""
 
 ORACLE["sync_incremental"] = f"""with {A},
-src as (select * from articles where cast(id as bigint) % 3 != 0),
+src as (select * from articles),
 tgt as (select * from articles where cast(id as bigint) % 2 = 0),
 ins as (select count(*) as n from src where id not in (select id from tgt))
 select (select count(*) from src) as source_total, (select n from ins) as inserted,

@@ -2,14 +2,17 @@
 
 Intermediate tables (snapshots, landing files, stream logs) must live on a
 folder every executor can see.  The cluster names that folder in
-``spark.checkpoint.dir``; we read it from the session and only fall back to a
-fresh local folder when nothing is configured (unit tests, laptops).
+``spark.checkpoint.dir``; we read it from the session.  Without it a session on one
+machine (tests, laptops) gets a fresh local folder, and any other an error.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,22 +48,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-# Scans of few, large parquet row groups (a row group is the smallest unit a
-# scan can split) yield one busy task.  When this setting is true, the test
-# tables holding text are spread round-robin over the session's parallelism
-# before CPU-heavy per-row work; on a lake of many files / row groups set it
-# to false, the scan is parallel already.
-REBALANCE_CONF = "spark.newslake.rebalanceScans"
-
-
-def rebalance_scan(df):
-    """Round-robin ``df`` over the default parallelism when enabled."""
-    spark = df.sparkSession
-    if spark.conf.get(REBALANCE_CONF, "true").lower() != "true":
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (set only if unset)."""
     sc = spark.sparkContext
@@ -69,8 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        # Nothing configured: only happens in tests / local runs.
-        configured = tempfile.mkdtemp(prefix="newslake-ckpt-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="newslake-ckpt-")  # one machine only: tests, laptops
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -84,6 +72,23 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return root.rstrip("/") + "/newslake/" + "/".join(leaf)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session: Python workers that do not
+    share the driver's folders import the functions they run from it."""
+    sc = spark.sparkContext
+    if any(os.path.basename(p) == "newslake.zip" for p in getattr(sc, "_python_includes", [])):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="newslake-ship-"), "newslake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -92,4 +97,4 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists", "rebalance_scan", "REBALANCE_CONF"]
+__all__ = ["DEFAULT_CONF", "build_session", "checkpoint_root", "shared_path", "path_exists", "ship_package"]

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from newslake.operators._sizing import broadcast_if_small
 from newslake.operators.windows import first_wins
 from newslake.operators.writes import insert_ignore, upsert_two_phase
 from newslake.session import path_exists
@@ -66,7 +65,7 @@ def stream_known_ids(spark: SparkSession, landing: str, schema: StructType, stor
         # The micro-batch's own ids (bounded by the trigger size, and size
         # checked) are broadcast; the stored ids and the log are only scanned
         # and probed, never shuffled, to find which of them were seen before.
-        ids = broadcast_if_small(firsts.select(key))
+        ids = firsts.select(key)
         seen = stored.join(ids, on=key, how="left_semi")
         if path_exists(spark, log_root):
             # Earlier batches only: a replay of this batch must not see itself.

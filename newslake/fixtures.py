@@ -58,7 +58,7 @@ def versions_from_conversations(conversations: DataFrame) -> DataFrame:
     return conform_articles(c.select(
         c.conv_id.cast("string").alias("id"), c.role.alias("source"),
         F.concat(F.lit("turn-"), c.turn.cast("string")).alias("url"),
-        F.when(c.role == "user", F.lit(None).cast("string")).otherwise(F.substring(c.text, 1, 40)).alias("title"),
+        F.when(c.role == "user", F.lit(None).cast("string")).otherwise(_first_line(c)).alias("title"),
         c.text.alias("content"), c.turn.alias("seq")), extra=["seq"])
 
 

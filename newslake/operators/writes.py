@@ -154,55 +154,4 @@ def layered_build(spark: SparkSession, layers: list[tuple[str, str, object]], ro
 
 
 __all__ = ["insert_ignore", "upsert_two_phase", "compact", "conditional_update", "sync_incremental",
-           "commit_snapshot", "latest_snapshot", "layered_build", "split_rejects", "create_bucketed", "merge_into_bucketed"]
-
-
-# ------------------------------------------------------------------ bucketed tables
-# At scale a table version is not rewritten whole per batch: the table is
-# hash-partitioned on the key into a fixed number of bucket directories and a
-# batch reads and rewrites only the buckets it touches.  A batch of k ids
-# touches at most min(k, buckets) buckets, so small frequent batches (the
-# streaming case) rewrite a small fraction; a batch larger than the bucket
-# count rewrites most buckets, as a file-level MERGE would.
-BUCKET_COL = "_bucket"
-
-
-def bucket_of(key: str = "id", buckets: int = 1024):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def create_bucketed(df: DataFrame, path: str, buckets: int = 1024, key: str = "id") -> str:
-    """Write ``df`` as a bucketed table (one directory per hash bucket)."""
-    (df.withColumn(BUCKET_COL, bucket_of(key, buckets)).write.mode("errorifexists")
-     .partitionBy(BUCKET_COL).parquet(path))
-    return path
-
-
-def merge_into_bucketed(spark: SparkSession, path: str, batch: DataFrame, buckets: int = 1024, key: str = "id",
-                        seq: str = "seq", how: str = "upsert") -> list[int]:
-    """Apply ``batch`` to the bucketed table at ``path`` (W2 ``upsert`` or W1
-    ``insert_ignore``), rewriting only the touched buckets.
-
-    The touched bucket numbers (at most ``buckets`` small ints) select the
-    bucket directories to read (partition pruning); the next version of
-    those buckets is materialised with a reliable ``checkpoint()`` in the
-    shared checkpoint folder before it replaces them (dynamic partition
-    overwrite), so the job never reads what it is overwriting and a lost
-    executor only recomputes from the checkpoint.  Returns the buckets
-    rewritten.
-    """
-    from newslake.session import checkpoint_root
-    checkpoint_root(spark)
-    keyed = batch.filter(F.col(key).isNotNull()).withColumn(BUCKET_COL, bucket_of(key, buckets))
-    touched = sorted(r[0] for r in keyed.select(BUCKET_COL).distinct().collect())
-    if not touched:
-        return []
-    current = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
-    cols = [c for c in current.columns if c != BUCKET_COL]
-    cur = current.select(*cols)
-    b = keyed.drop(BUCKET_COL)
-    nxt = upsert_two_phase(cur, b, seq) if how == "upsert" else insert_ignore(cur, b, key, seq)
-    nxt = nxt.select(*cols).withColumn(BUCKET_COL, bucket_of(key, buckets)).checkpoint(eager=True)
-    (nxt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
-    return touched
+           "commit_snapshot", "latest_snapshot", "layered_build", "split_rejects"]

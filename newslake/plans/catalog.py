@@ -304,30 +304,37 @@ def q_dq_report(spark, d):
 
 
 # ---------------------------------------------------------------- record normalisation
+# Bodies of the stand-in listings are plain text, so their HTML clean-up is off.
 @register("norm_listing_detail")
 def q_norm_listing_detail(spark, d):
     pages, details = fx.listing_a(fx.load(spark, d, "documents"))
-    return ls.norm_listing_detail(pages, details, start="2024-02-01")
+    return ls.norm_listing_detail(pages, details, start="2024-02-01", clean_content=False)
 
 
 @register("norm_sectioned")
 def q_norm_sectioned(spark, d):
     pages, details = fx.listing_b(fx.load(spark, d, "documents"))
-    return ls.norm_sectioned(pages, details)
+    return ls.norm_sectioned(pages, details, clean_content=False)
+
+
+@register("sectioned_walk")
+def q_sectioned_walk(spark, d):
+    pages, details = fx.listing_b(fx.load(spark, d, "documents"))
+    return ls.norm_sectioned(pages, details, known_ids=_label_ids(spark, d), clean_content=False, start="2024-02-10")
 
 
 @register("norm_nested_posts")
 def q_norm_nested_posts(spark, d):
     pages, dim = fx.listing_c(fx.load(spark, d, "documents"))
-    return ls.norm_nested_posts(pages, dim)
+    return ls.norm_nested_posts(pages, dim, clean_content=False)
 
 
 @register("union_sources")
 def q_union_sources(spark, d):
     docs = fx.load(spark, d, "documents")
-    a = ls.norm_listing_detail(*fx.listing_a(docs), start="2024-02-01")
-    b = ls.norm_sectioned(*fx.listing_b(docs))
-    c = ls.norm_nested_posts(*fx.listing_c(docs))
+    a = ls.norm_listing_detail(*fx.listing_a(docs), start="2024-02-01", clean_content=False)
+    b = ls.norm_sectioned(*fx.listing_b(docs), clean_content=False)
+    c = ls.norm_nested_posts(*fx.listing_c(docs), clean_content=False)
     return ls.union_sources(a, b, c)
 
 
@@ -587,16 +594,28 @@ def q_top_terms(spark, d):
     return tk.top_terms(_term_counts(spark, d), 10, "doc_id", "token")
 
 
+def _lemmas(spark, toks):
+    """Stand-in lemma table from the corpus, plural-looking words -> stem, written
+    once (reliable checkpoint in the shared folder)."""
+    checkpoint_root(spark)
+    return (toks.filter(F.col("token").rlike("^\\p{L}{3,}s$")).select(F.col("token").alias("word"))
+            .distinct().withColumn("lemma", F.expr("substring(word, 1, length(word) - 1)"))).checkpoint()
+
+
 @register("lemma_lookup")
 def q_lemma_lookup(spark, d):
-    checkpoint_root(spark)
     toks = _tokens(spark, d)
-    # Lemma table derived from the corpus: plural-looking words -> stem.
-    # Materialised once (reliable checkpoint in the shared folder), so its
-    # size check and the join do not both recompute the token pipeline.
-    lemmas = (toks.filter(F.col("token").rlike("^\\p{L}{3,}s$")).select(F.col("token").alias("word"))
-              .distinct().withColumn("lemma", F.expr("substring(word, 1, length(word) - 1)"))).checkpoint()
-    return jn.lemma_lookup(toks, lemmas, "token").select("doc_id", "pos", "lemma")
+    return jn.lemma_lookup(toks, _lemmas(spark, toks), "token").select("doc_id", "pos", "lemma")
+
+
+@register("token_bag")
+def q_token_bag(spark, d):
+    """The ten most common lemmas of every article, stopwords left out, with its
+    title and date."""
+    words = jn.stopword_anti(_tokens(spark, d, keep_case=True), "raw")
+    bag = ag.term_counts(jn.lemma_lookup(words, _lemmas(spark, _tokens(spark, d)), "token"), "doc_id", "lemma")
+    heads = _docs(spark, d).select(F.col("id").cast("bigint").alias("doc_id"), "title", "date")
+    return tk.top_terms(bag, 10, "doc_id", "lemma").join(heads, "doc_id")
 
 
 @register("trending_terms")
@@ -628,6 +647,15 @@ def q_stream_ingest(spark, d):
     return st.current_table(spark, root + "/log", _seq_schema())
 
 
+@register("stream_upsert")
+def q_stream_upsert(spark, d):
+    root = shared_path(spark, "ingest_upsert")
+    fx.land(_versions(spark, d).withColumn("seq", F.col("seq").cast("bigint")), root + "/landing", 4)
+    q = st.stream_ingest(spark, root + "/landing", _seq_schema(), root + "/log", root + "/ckpt", files_per_trigger=2)
+    q.awaitTermination()
+    return st.current_table(spark, root + "/log", _seq_schema(), how="upsert")
+
+
 @register("stream_progress")
 def q_stream_progress(spark, d):
     _, q = _run_ingest(spark, d)

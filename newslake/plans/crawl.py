@@ -6,7 +6,7 @@ Phase 2 (:func:`resolve_articles`): work list (pending stubs, or the
 re-crawl list of failed extractions) joined with the fetched article pages
 on URL -> fields with all fallbacks -> content cleaned to text -> upsert.
 Both return the next table version; the caller commits it
-(:func:`newslake.operators.writes.commit_snapshot` or the bucketed merge).
+(:func:`newslake.operators.writes.commit_snapshot`).
 """
 
 from __future__ import annotations

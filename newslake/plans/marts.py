@@ -58,11 +58,11 @@ def fct_articles(cleaned: DataFrame) -> DataFrame:
 
 
 def dim_sources(articles: DataFrame) -> DataFrame:
-    """D3: one row per source (A2) with a stable surrogate id (dense rank of
-    the source name; the window runs over the per-source rows only)."""
-    from pyspark.sql import Window
-    per = source_comparison(articles)
-    return per.withColumn("source_id", F.dense_rank().over(Window.orderBy("source")))
+    """D3: one row per source (A2) with a surrogate id that depends on the
+    name alone (first 60 bits of its MD5), so it stays the same when sources
+    are added; NULL for a NULL source."""
+    digest = F.md5(F.col("source").cast("binary"))
+    return source_comparison(articles).withColumn("source_id", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"))
 
 
 def agg_daily_trends(articles: DataFrame, fill_calendar: bool = False) -> DataFrame:

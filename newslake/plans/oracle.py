@@ -26,7 +26,7 @@ E = """articles_e as (
 V = """versions as (
   select cast(conv_id as varchar) as id, role as source, concat('turn-', cast(turn as varchar)) as url,
          cast(null as varchar) as category,
-         case when role = 'user' then null else substring(text, 1, 40) end as title,
+         case when role = 'user' then null else split_part(text, chr(10), 1) end as title,
          cast(null as varchar) as author, cast(null as date) as date, cast(null as timestamp) as publish_time,
          text as content, cast(null as varchar) as tags, turn as seq
   from conversations)"""
@@ -199,6 +199,17 @@ NORM_C = """norm_c as (
   from docs_ts)"""
 ORACLE["norm_listing_detail"] = f"with {DOCS_TS}, {NORM_A} select * from norm_a"
 ORACLE["norm_sectioned"] = f"with {DOCS_TS}, {NORM_B} select * from norm_b"
+ORACLE["sectioned_walk"] = f"""with {DOCS_TS}, {NORM_B},
+k as (select cast(doc_id as varchar) as id from labels),
+r as (select source as section, doc_id // 200 as page, cast(doc_id as varchar) as id, ts >= timestamp '2024-02-10' as recent,
+             cast(doc_id as varchar) in (select id from k) as known
+      from docs_ts where doc_id % 19 != 0),
+f as (select section, min(page) as first_page from r group by section),
+pg as (select section, page, row_number() over (partition by section order by page) - 1 as nth
+       from (select distinct section, page from r where recent and not known)),
+walked as (select pg.section, pg.page from pg join f on pg.section = f.section where first_page <= 1 and page = first_page + nth)
+select b.* from norm_b b join r on b.id = r.id join walked w on r.section = w.section and r.page = w.page
+where r.recent and not r.known"""
 ORACLE["norm_nested_posts"] = f"with {DOCS_TS}, {NORM_C} select * from norm_c"
 ORACLE["union_sources"] = f"""with {DOCS_TS}, {NORM_A}, {NORM_B}, {NORM_C}
 select * from norm_a union all select * from norm_b union all select * from norm_c"""
@@ -417,6 +428,13 @@ ORACLE["lemma_lookup"] = f"""with {TOKS},
 lem as (select distinct token as word, substring(token, 1, length(token) - 1) as lemma from toks
         where regexp_full_match(token, '\\p{{L}}{{3,}}s'))
 select t.doc_id, t.pos, coalesce(l.lemma, t.token) as lemma from toks t left join lem l on t.token = l.word"""
+ORACLE["token_bag"] = f"""with {A}, {TOKS},
+lem as (select distinct token as word, substring(token, 1, length(token) - 1) as lemma from toks
+        where regexp_full_match(token, '\\p{{L}}{{3,}}s')),
+bag as (select doc_id, coalesce(l.lemma, t.token) as lemma, count(*) as n, min(pos) as first_pos
+        from toks t left join lem l on t.token = l.word where raw not in ({STOPWORDS_SQL}) group by 1, 2),
+ranked as (select *, cast(row_number() over (partition by doc_id order by n desc, first_pos) as integer) as rank from bag)
+select r.*, a.title, a.date from ranked r join articles a on cast(r.doc_id as varchar) = a.id where rank <= 10"""
 TREND_TOKS = TOKS.replace("from documents", "from documents_dated where date >= (select max(date) from documents_dated) - 13")
 ORACLE["trending_terms"] = f"""with documents_dated as (
   select doc_id, text, cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date from documents),
@@ -435,6 +453,7 @@ arrivals as (
   select id, source, url, category, 'again' as title, author, date, publish_time, content, tags,
          cast(id as bigint) + 1000000 as seq from articles where cast(id as bigint) % 4 = 0)
 select {ACOLS} from (select *, row_number() over (partition by id order by seq) as rn from arrivals) where rn = 1"""
+ORACLE["stream_upsert"] = ORACLE["upsert_two_phase"]
 ORACLE["stream_known_ids"] = f"""with {E},
 ea as (select id, source, cast(null as varchar) as url, category, cast(null as varchar) as title,
               cast(null as varchar) as author, date, cast(null as timestamp) as publish_time,
@@ -482,7 +501,7 @@ select id, source, url, category, title, author, date, publish_time, cast(length
 from cleaned"""
 DIM = """select source, count(*) as total_articles, count(distinct category) as categories_covered,
        avg(length(content)) as avg_article_length, min(date) as earliest_article, max(date) as latest_article,
-       cast(dense_rank() over (order by source) as integer) as source_id
+       cast('0x' || substr(md5(source), 1, 15) as bigint) as source_id
 from {src} group by source"""
 ORACLE["dim_sources"] = f"with {A} " + DIM.format(src="articles")
 ORACLE["agg_daily_trends"] = f"""with {E},

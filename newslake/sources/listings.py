@@ -15,8 +15,9 @@ from newslake.constants import (LISTING_A_SITE_ROOT, LISTING_UNWANTED_TAGS, NO_C
 from newslake.functions.text import tags_normalise
 from newslake.functions.timeparse import ISO_T_SECONDS, ISO_Z_FRACTION, SPACE_SECONDS, api_time_parse
 from newslake.functions.urls import url_category
+from newslake.operators.aggregates import listing_frontier
 from newslake.operators.filters import has_key, newest_first_cutoff
-from newslake.operators.joins import listing_detail, new_only, tag_lookup
+from newslake.operators.joins import listing_detail, new_only, record_exists, tag_lookup
 from newslake.schema import ARTICLE_COLUMNS, conform_articles
 
 
@@ -37,7 +38,7 @@ LISTING_A_DETAIL = "struct<_id: bigint, data: struct<body_html: string>>"
 def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source: str = SOURCE_LISTING_DETAIL,
                         site_root: str = LISTING_A_SITE_ROOT, page_col: str = "page",
                         value_col: str = "value", known_ids: DataFrame | None = None,
-                        clean_content: bool = False) -> DataFrame:
+                        clean_content: bool = True) -> DataFrame:
     """Shape A -> articles.
 
     Items are read in listing order (page, then position); with ``start``
@@ -80,9 +81,20 @@ LISTING_B_DETAIL = ("struct<response: string, data: struct<cms_article_id: bigin
                     "author_name: string, publish_time: string>>")
 
 
+def _walked_rows(rows: DataFrame, start, known_ids: DataFrame | None, section: str, page: str) -> DataFrame:
+    """Timed listing rows that a newest-first walk of each section takes: those of
+    the pages that A7 processes, up to the page's first row older than ``start``."""
+    rows = rows.withColumn("_ts", api_time_parse(F.col("_lt"), SPACE_SECONDS)["publish_time"]).filter(F.col("_ts").isNotNull())
+    rows = rows.withColumn("id", F.col("cms_article_id").cast("string"))
+    rows = rows.withColumn("_known", F.lit(False)) if known_ids is None else record_exists(rows, known_ids, "id", "_known")
+    walked = listing_frontier(rows, start, section, page, "_pos", "_ts", "_known").select(section, page)
+    return newest_first_cutoff(rows, [section, page], "_pos", "_ts", start).join(walked, on=[section, page], how="left_semi")
+
+
 def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SECTIONED,
                    value_col: str = "value", known_ids: DataFrame | None = None,
-                   clean_content: bool = False) -> DataFrame:
+                   clean_content: bool = True, start=None, section_col: str = "section",
+                   page_col: str = "page") -> DataFrame:
     """Shape B -> articles.
 
     Listing rows with an empty publish time are skipped (F9); only
@@ -92,13 +104,20 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     when absent; tags are normalised (P10); the date is the text before the
     first space of the publish time.  With ``known_ids``, stored ids are
     dropped before the detail join (J1); with ``clean_content`` the body is
-    converted to text (H1, listing path).
+    converted to text (H1, listing path).  With ``start``, ``section_col`` and
+    ``page_col`` of ``pages`` give the walk's order: each section's pages are
+    taken until one is missing, holds nothing new in range, or reaches a row
+    older than ``start`` (A7), and rows from that one on are left out.
     """
-    rows = (pages.select(F.from_json(F.col(value_col), LISTING_B_PAGE).alias("p"))
+    walk = [] if start is None else [section_col, page_col]
+    rows = (pages.select(*walk, F.from_json(F.col(value_col), LISTING_B_PAGE).alias("p"))
             .filter(F.col("p.response") == "success")
-            .select(F.explode("p.data").alias("r"))
-            .select(F.col("r.cms_article_id").alias("cms_article_id"), F.col("r.publish_time").alias("_lt")))
-    rows = has_key(rows, ["cms_article_id", "_lt"]).select("cms_article_id").distinct()
+            .select(*walk, F.posexplode("p.data").alias("_pos", "r"))
+            .select(*walk, "_pos", F.col("r.cms_article_id").alias("cms_article_id"), F.col("r.publish_time").alias("_lt")))
+    rows = has_key(rows, ["cms_article_id", "_lt"])
+    if start is not None:
+        rows = _walked_rows(rows, start, known_ids, section_col, page_col)
+    rows = rows.select("cms_article_id").distinct()
     if known_ids is not None:        # skip stored ids before the detail join
         rows = new_only(rows.withColumn("id", F.col("cms_article_id").cast("string")), known_ids, "id").drop("id")
     det = (details.select(F.from_json(F.col(value_col), LISTING_B_DETAIL).alias("d"))
@@ -126,7 +145,7 @@ LISTING_C_PAGE = ("array<struct<id: bigint, link: string, date: string, title: s
 
 def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE_NESTED_POSTS,
                       value_col: str = "value", known_ids: DataFrame | None = None,
-                   clean_content: bool = False) -> DataFrame:
+                      clean_content: bool = True, after=None) -> DataFrame:
     """Shape C -> articles.
 
     Nested ``rendered`` fields (defaults when absent), category = first path
@@ -134,13 +153,16 @@ def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE
     resolved through ``tag_dim`` (id, slug) in their listed order with
     unmatched ids dropped (J4).  With ``known_ids``, stored ids are dropped
     before the tag lookups (J1); with ``clean_content`` the rendered content
-    is converted to text (H1, listing path).
+    is converted to text (H1, listing path); with ``after`` only posts later
+    than that time are kept.
     """
     posts = (pages.select(F.explode(F.from_json(F.col(value_col), LISTING_C_PAGE)).alias("p"))
              .select("p.*").filter(F.col("id").isNotNull()))
     posts = posts.select(F.col("id").cast("string").alias("id"), "link", "date",
                          F.col("title.rendered").alias("_title"), F.col("content.rendered").alias("_content"),
                          F.coalesce(F.col("tags"), F.array().cast("array<bigint>")).alias("_tag_ids"))
+    if after is not None:
+        posts = posts.filter(api_time_parse(F.col("date"), ISO_T_SECONDS)["publish_time"] > F.lit(after).cast("timestamp_ntz"))
     if known_ids is not None:        # skip stored ids before the tag lookups
         posts = new_only(posts, known_ids, "id")
     tagged = tag_lookup(posts, "id", "_tag_ids", tag_dim, tag_id="id", slug="slug", out_col="tags", sep=",")

@@ -24,7 +24,7 @@ def test_listing_detail_shape(spark):
             {"_id": 7, "createdDateFull": "2024-03-09T00:00:00.000Z", "slugline_url": "after-old", "category": "x"}]},
     ], page=True)
     details = _rows(spark, [{"_id": 3, "data": {"body_html": "<p>Body</p>"}}, {"_id": 5}])
-    out = {r.id: r for r in ls.norm_listing_detail(pages, details, start="2024-03-01").collect()}
+    out = {r.id: r for r in ls.norm_listing_detail(pages, details, start="2024-03-01", clean_content=False).collect()}
     assert set(out) == {"3", "5"}                      # 4: no slug; 6 is old and 7 comes after it
     a = out["3"]
     assert (a.source, a.url, a.category) == ("abs-cbn", "https://www.abs-cbn.com/news/a", "NEWS")
@@ -47,7 +47,7 @@ def test_sectioned_shape(spark):
         {"response": "success", "data": {"cms_article_id": 4, "publish_time": "2024-03-05 12:00:00",
                                          "title": "T", "section_name": "Nation", "author_name": "Au"}},
         {"response": "success", "data": {"cms_article_id": 9, "body": "B9"}}])
-    out = {r.id: r for r in ls.norm_sectioned(pages, details).collect()}
+    out = {r.id: r for r in ls.norm_sectioned(pages, details, clean_content=False).collect()}
     assert set(out) == {"1", "4"}       # 2: empty publish time; 3: failed detail; 9: failed listing page
     one, four = out["1"], out["4"]
     assert one.content == "Sum" and one.tags == "a,b" and one.title == "No title found"        # K7
@@ -62,7 +62,7 @@ def test_nested_posts_shape(spark):
          "title": {"rendered": "T"}, "content": {"rendered": "C"}, "tags": [2, 99, 1]},
         {"id": 11, "link": "https://posts.example.com/world/y/", "date": "2024-03-06T00:00:00", "tags": []}]])
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "id long, slug string")
-    out = {r.id: r for r in ls.norm_nested_posts(pages, dim).collect()}
+    out = {r.id: r for r in ls.norm_nested_posts(pages, dim, clean_content=False).collect()}
     assert out["10"].tags == "two,one" and out["10"].category == "nation" and out["10"].author is None
     assert out["11"].title == "No title found" and out["11"].content == "No content found" and out["11"].tags == ""
     assert out["10"].publish_time == dt.datetime(2024, 3, 5, 10, 20, 30)
@@ -108,3 +108,27 @@ def test_clean_content_listing_path(spark):
     dim = spark.createDataFrame([], "id long, slug string")
     r = ls.norm_nested_posts(pages, dim, clean_content=True).first()
     assert r.content == "Hello world\n\nTwo link"
+
+
+def test_sectioned_walk_stops_at_old_rows_and_gaps(spark):
+    def page(*items):
+        return json.dumps({"response": "success", "data": [{"cms_article_id": i, "publish_time": t} for i, t in items]})
+    new, old = "2024-03-05 10:00:00", "2024-02-01 10:00:00"
+    pages = spark.createDataFrame([
+        ("a", 1, page((1, new), (2, ""), (3, new))), ("a", 2, page((4, new), (5, old), (6, new))), ("a", 3, page((7, new))),
+        ("b", 1, page((8, new))), ("b", 3, page((9, new))),                       # a gap ends the walk
+        ("c", 1, page((10, new))), ("c", 2, page((11, new)))], "section string, page int, value string")   # c: all known
+    details = spark.createDataFrame([(json.dumps({"response": "success", "data": {
+        "cms_article_id": i, "body": f"<p>b{i}</p>", "publish_time": new}}),) for i in range(1, 12)], "value string")
+    known = spark.createDataFrame([("10",), ("3",)], "id string")
+    out = ls.norm_sectioned(pages, details, known_ids=known, start="2024-03-01").collect()
+    assert sorted(int(r.id) for r in out) == [1, 4, 8]
+    assert {r.content.strip() for r in out} == {"b1", "b4", "b8"}                 # bodies become text by default
+
+
+def test_nested_posts_after(spark):
+    posts = json.dumps([{"id": i, "link": "https://x.com/a/b", "date": t, "tags": []}
+                        for i, t in ((1, "2024-03-01T00:00:00"), (2, "2024-03-01T00:00:01"))])
+    pages = spark.createDataFrame([(posts,)], "value string")
+    dim = spark.createDataFrame([], "id long, slug string")
+    assert [r.id for r in ls.norm_nested_posts(pages, dim, after="2024-03-01").collect()] == ["2"]

@@ -141,23 +141,3 @@ def test_snapshot_commit_never_overwrites(spark, tmp_path):
     assert p1 != p2 and spark.read.parquet(p2).count() == 3
     assert wr.latest_snapshot(spark, str(tmp_path)) == p2
     assert wr.latest_snapshot(spark, str(tmp_path / "none")) is None
-
-
-def test_bucketed_merge_equals_replay(spark, tmp_path):
-    recs = _records(11)
-    first, rest = recs[:150], recs[150:]
-    table = replay_upsert({}, first)
-    tdf = spark.createDataFrame([tuple(v[c] for c in ARTICLE_COLUMNS) for v in table.values()], ARTICLE_SCHEMA)
-    path = str(tmp_path / "tbl")
-    wr.create_bucketed(tdf, path, buckets=8)
-    touched = wr.merge_into_bucketed(spark, path, _df(spark, rest[:40]), buckets=8)
-    assert 0 < len(touched) <= 8
-    wr.merge_into_bucketed(spark, path, _df(spark, rest[40:]), buckets=8)
-    got = _collect(spark.read.parquet(path).drop(wr.BUCKET_COL))
-    expected = replay_upsert(replay_upsert(table, rest[:40]), rest[40:])     # two batches, in arrival order
-    assert got == expected
-    # insert-if-absent through the same path; running the batch twice changes nothing
-    wr.merge_into_bucketed(spark, path, _df(spark, recs), buckets=8, how="insert_ignore")
-    once = _collect(spark.read.parquet(path).drop(wr.BUCKET_COL))
-    wr.merge_into_bucketed(spark, path, _df(spark, recs), buckets=8, how="insert_ignore")
-    assert _collect(spark.read.parquet(path).drop(wr.BUCKET_COL)) == once == expected

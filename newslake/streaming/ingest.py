@@ -7,9 +7,9 @@
   (:func:`current_table`).
 * :func:`stream_known_ids` (M2): per micro-batch, first arrival per id wins
   and ids already stored or already logged are skipped.  The known-id set is
-  the durable log itself (not driver memory): the batch's ids are broadcast
-  and the log is probed with a semi-join, so the growing log is scanned but
-  never shuffled; every batch writes its own directory, so a replayed batch
+  the durable log itself (not driver memory), probed with a semi-join whose
+  strategy is left to adaptive execution; each batch scans the ids of the
+  whole log.  Every batch writes its own directory, so a replayed batch
   overwrites instead of appending twice.
 * :func:`progress_frame` (M3): micro-batch progress as a DataFrame.
 """
@@ -62,9 +62,8 @@ def stream_known_ids(spark: SparkSession, landing: str, schema: StructType, stor
         # Reused three times below; cached for this micro-batch only (a lost
         # executor just recomputes it from the source files).
         firsts = first_wins(batch.filter(F.col(key).isNotNull()), key, order).persist()
-        # The micro-batch's own ids (bounded by the trigger size, and size
-        # checked) are broadcast; the stored ids and the log are only scanned
-        # and probed, never shuffled, to find which of them were seen before.
+        # Which of the batch's ids were stored or logged before: only key columns
+        # are read, and adaptive execution broadcasts the batch's ids if small.
         ids = firsts.select(key)
         seen = stored.join(ids, on=key, how="left_semi")
         if path_exists(spark, log_root):

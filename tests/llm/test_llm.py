@@ -117,6 +117,17 @@ def test_simhash_links_find_every_pair(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    rows = [(None, texts[0], "en", "s", 1), (None, texts[1], None, None, None), (7, texts[2], "en", "s", 1),
+            (7, texts[2], "en", "s", 1), (7, texts[0], "en", None, 1), (9, texts[2], None, "s", 1), (None, texts[1], None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("row_key", F.lit("x")).withColumn("group", F.lit(1))
+    got = simhash.drop_near_copies(docs)
+    assert got.dtypes == docs.dtypes
+    assert sorted((r[:5] for r in got.collect()), key=str) == sorted([rows[1], rows[2], rows[4]], key=str)
+    assert simhash.drop_near_copies(empty(spark)).count() == 0
+
+
 def test_components_long_path(spark):
     n = 70
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5, 5), (200, 201), (201, 200)], "a long, b long")

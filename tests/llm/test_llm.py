@@ -354,6 +354,22 @@ def test_lm_score(spark):
     assert lm_score.score(empty(spark), lm_score.learn(empty(spark))).count() == 0
 
 
+def test_lm_score_learns_from_all_partitions(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").orderBy("doc_id").collect()
+    held = lm_score.lay_out([lm_score.codes_of(r.text) for r in rows[:100]])[:2]
+    mean = lambda flat: lm_score.log_chances(lm_score.views(flat), *held).mean()
+    # Partitions of one size, more and more of them.
+    got = []
+    for parts in (1, 3, 9):
+        texts = spark.sparkContext.parallelize([(r.text,) for r in rows[100:100 + 100 * parts]], parts).toDF("text string")
+        start = lm_score.fresh(lm_score.corpus_counts(texts))
+        got.append(mean(lm_score.learn(texts)) - mean(start))
+    assert 0 < got[0] < got[1] < got[2] and got[2] > 8 * got[0]
+    # The same texts in more partitions: still above the start.
+    texts = spark.sparkContext.parallelize([(r.text,) for r in rows[100:]], 18).toDF("text string")
+    assert mean(lm_score.learn(texts)) > mean(lm_score.fresh(lm_score.corpus_counts(texts)))
+
+
 def test_gradient():
     r = np.random.default_rng(0)
     codes = [r.integers(0, lm_score.CODES, 30)]

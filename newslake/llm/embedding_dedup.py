@@ -14,8 +14,8 @@ from newslake.llm.components import components
 
 #: Tables, projections a table and width of a projection's cells.  Two vectors of
 #: length 1 at cosine 0.95 share a cell with chance 0.75 a projection, hence one of
-#: the 32 buckets with 0.96 (at 0.97: 0.998), unrelated ones with 0.001.
-TABLES, PROJECTIONS, WIDTH, SEED = 32, 8, 1.0, 20_240
+#: the 48 buckets with 0.993 (at 0.97: 0.9999), unrelated ones with 0.0014.
+TABLES, PROJECTIONS, WIDTH, SEED = 48, 8, 1.0, 20_240
 
 _rows: dict[int, np.ndarray] = {}
 

@@ -204,6 +204,27 @@ def test_embedding_dedup_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_embedding_dedup_finds_links_at_the_threshold(spark):
+    r = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    found, planted = Counter(), Counter()
+    a = unit(r.standard_normal((3000, 64)))
+    side = r.standard_normal(a.shape)
+    side = unit(side - (side * a).sum(1, keepdims=True) * a)
+    c = r.uniform(0.9501, 0.97, (3000, 1))
+    b = c * a + np.sqrt(1 - c * c) * side
+    rows = [(2 * k + j, x.tolist()) for k in range(3000) for j, x in enumerate((a[k], b[k]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # No two bases come near 0.95, so every link is a planted one.
+    assert np.sort(a @ a.T, axis=1)[:, -2].max() < 0.8
+    for x in embedding_dedup.near_duplicates(df, 0.95).where("vec_id % 2 = 0").collect():
+        at = c[x.vec_id // 2, 0] >= 0.955
+        planted[at] += 1
+        found[at] += x.n_links
+    print({("0.955-0.97" if at else "0.95-0.955"): (found[at], planted[at]) for at in planted})
+    assert found[False] >= 0.985 * planted[False] and found[True] >= 0.995 * planted[True]
+
+
 def test_top_k_brute_force(spark):
     df, rows = vectors(spark, [(500, [5e30] * 16)])
     rows = rows + [(500, [5e30] * 16)]

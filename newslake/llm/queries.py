@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, embedding_dedup, langid, lm_score, main_text, mixing, pieces, simhash, substring_dedup, topk
+from newslake.llm import chat, clustering, embedding_dedup, langid, lm_score, main_text, mixing, pieces, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,9 +92,18 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return clustering.cluster(vectors, k=8, rounds=10, dimensions=64, scale=1024, seed=3).select(
+        "rest.vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        clustering.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_score, op3_mix_sources, op4_chat_format,
                                   op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
-                                  op8_exact_top_k, op9_sentencepiece, op10_html_main_text)}
+                                  op8_exact_top_k, op9_sentencepiece, op10_html_main_text,
+                                  op12_centroid_clustering)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -167,3 +176,30 @@ ORACLE = {
         FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
     """,
 }
+
+
+def _lloyd_sql(k: int, rounds: int) -> str:
+    """Plain rounds, one pair of steps after another."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+        d{t} AS MATERIALIZED (SELECT v.i, v.vec_id, v.e, c.j, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.e, c.e)])::BIGINT AS d
+               FROM v, c{t} AS c),
+        a{t} AS MATERIALIZED (SELECT i, arg_min(vec_id, (d, j)) AS vec_id, any_value(e) AS e, arg_min(j, (d, j)) AS j, min(d) AS d FROM d{t} GROUP BY i)""")
+        if t < rounds:
+            steps.append(f"""
+        s{t} AS (SELECT j, p, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT j, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{t}) GROUP BY j, p),
+        m{t} AS (SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY p) AS e FROM s{t} GROUP BY j),
+        c{t + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.e, c.e) AS e FROM c{t} AS c LEFT JOIN m{t} AS m ON c.j = m.j)""")
+    return f"""
+        WITH v AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+                   WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), e) - 1 AS j, e FROM v
+               QUALIFY j < {k}), {','.join(steps)}
+        SELECT vec_id, a.j::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+        FROM a{rounds} AS a JOIN c{rounds} AS c ON a.j = c.j
+    """
+
+
+ORACLE["op12_centroid_clustering"] = _lloyd_sql(8, 10)

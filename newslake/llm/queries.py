@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, clustering, embedding_dedup, langid, lm_score, main_text, mixing, pieces, simhash, substring_dedup, topk
+from newslake.llm import chat, clustering, embedding_dedup, langid, lm_score, main_text, mixing, pieces, prefix_trie, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,13 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each rebuilt to start like every fifth one."""
+    keys = prefix_trie.conversation_keys(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    c = F.col("conv_id")
+    return prefix_trie.trie(prefix_trie.spliced(keys, c - c % 5, F.crc32(c.cast("string")) % 9))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight clusters of all vectors after ten rounds."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -103,7 +110,7 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_score, op3_mix_sources, op4_chat_format,
                                   op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
                                   op8_exact_top_k, op9_sentencepiece, op10_html_main_text,
-                                  op12_centroid_clustering)}
+                                  op11_conversation_trie, op12_centroid_clustering)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -153,6 +160,27 @@ ORACLE = {
                    WHEN 'tool' THEN 't' ELSE 'x' END, '' ORDER BY turn, role, text), 's?(ua)(ua|t+a)*'), false) AS valid
         FROM e GROUP BY conv_id
     """,
+    "op11_conversation_trie": r"""
+        WITH t AS (SELECT conv_id, coalesce(turn, -9223372036854775808) AS o, turn IS NOT NULL AS late, coalesce(role, '') AS r, coalesce(text, '') AS x
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT conv_id AS c, list({'k': md5(length(r)::VARCHAR || ':' || r || x), 'b': strlen(x)} ORDER BY late, o, r, md5(length(r)::VARCHAR || ':' || r || x)) AS w
+              FROM t GROUP BY conv_id),
+        h AS (SELECT c, w, c - c % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(z), 0, 0, 0, 0, 0, 0, 0]::BIGINT[] FOR z IN string_split(c::VARCHAR, '')])),
+                     LAMBDA x, y: xor(xor(x, y) >> 1, CASE WHEN xor(x, y) & 1 = 1 THEN 3988292384 ELSE 0 END))) % 9 AS h FROM c),
+        m AS MATERIALIZED (SELECT h.c, coalesce(b.w[1:h], []) || h.w[h + 1:] AS w FROM h LEFT JOIN c AS b ON b.c = h.base),
+        p AS MATERIALIZED (SELECT c, w, len(w) AS n, unnest(range(0, len(w) + 1)) AS depth FROM m),
+        q AS MATERIALIZED (SELECT c, n, depth, md5(array_to_string([x.k FOR x IN w[1:depth]], '')) AS k,
+                     CASE WHEN depth > 0 THEN md5(array_to_string([x.k FOR x IN w[1:depth - 1]], '')) END AS pk,
+                     [md5(array_to_string([x.k FOR x IN w[1:d]], '')) FOR d IN range(0, depth + 1)] AS path,
+                     CASE WHEN depth > 0 THEN w[depth].b ELSE 0 END AS b FROM p),
+        g AS MATERIALIZED (SELECT k, any_value(pk) AS pk, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(b) AS b, any_value(path) AS path,
+                     coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = depth), '') AS ends FROM q GROUP BY k),
+        d AS (SELECT pk AS k, count(*) AS n FROM g GROUP BY pk),
+        u AS (SELECT unnest(g.path) AS k, (coalesce(d.n, 0) = 0)::INT AS leaf, (g.n_convs - 1) * g.b AS saved FROM g LEFT JOIN d ON d.k = g.k),
+        s AS (SELECT k, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM u GROUP BY k)
+        SELECT g.conv_id, g.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, g.n_convs, coalesce(d.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, sha256(g.ends) AS ends_sha256
+        FROM g JOIN s ON s.k = g.k LEFT JOIN d ON d.k = g.k LEFT JOIN g AS a ON a.k = g.pk
+    """,
     "op8_exact_top_k": r"""
         WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
                    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),

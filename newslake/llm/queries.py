@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, clustering, embedding_dedup, langid, lm_score, main_text, mixing, pieces, prefix_trie, simhash, substring_dedup, topk
+from newslake.llm import chat, clustering, embedding_dedup, langid, lm_score, main_text, mixing, pieces, prefix_trie, secret_scan, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,10 +107,18 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
         clustering.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [secret_scan.count_kind(F.col("base"), p.kind).alias(f"n_{p.kind}") for p in secret_scan.PATTERNS]
+    return found.select("rest.doc_id", *kinds, F.sha2(secret_scan.span_list(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.span_list(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_score, op3_mix_sources, op4_chat_format,
                                   op5_embedding_near_dedup, op6_language_id, op7_simhash_near_dedup,
                                   op8_exact_top_k, op9_sentencepiece, op10_html_main_text,
-                                  op11_conversation_trie, op12_centroid_clustering)}
+                                  op11_conversation_trie, op12_centroid_clustering, op13_secret_scan)}
 
 ORACLE = {
     "op1_substring_dedup": r"""
@@ -231,3 +239,46 @@ def _lloyd_sql(k: int, rounds: int) -> str:
 
 
 ORACLE["op12_centroid_clustering"] = _lloyd_sql(8, 10)
+
+
+def _secrets_sql(fdr: float = 0.05, alpha: float = 0.001) -> str:
+    """Places by running lengths, characters of the tokens as rows, the battery by groups."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"          # noqa: E731
+    values = ", ".join(f"({i}, '^{e.only}$', '{e.alphabet}', '{e.levels()}', {len(e.alphabet)}, {e.moments()[0]!r}::DOUBLE, {e.moments()[1]!r}::DOUBLE, {e.coincidence}::DOUBLE)"
+                       for i, e in enumerate(secret_scan.ENCODINGS))
+    kinds = " UNION ALL ".join(
+        f"""SELECT r, {i} AS place, '{p.kind}' AS kind, {p.least} AS least, unnest(regexp_extract_all(t, {quoted(p.regex)}, {p.group})) AS token,
+                   unnest(regexp_extract_all(t, {quoted(p.regex)})) AS whole, unnest(string_split_regex(t, {quoted(p.regex)})[1:len(regexp_extract_all(t, {quoted(p.regex)}))]) AS gap,
+                   generate_subscripts(regexp_extract_all(t, {quoted(p.regex)}), 1) AS i FROM d"""
+        for i, p in enumerate((*secret_scan.PATTERNS, secret_scan.Pattern("random", secret_scan.CANDIDATE, 0, 0))))
+    return f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        m AS MATERIALIZED (SELECT *, (sum(length(gap) + length(whole)) OVER (PARTITION BY r, place ORDER BY i))::BIGINT AS e FROM ({kinds})),
+        f AS (SELECT r, place, kind, e - length(whole) AS s, e, token FROM m WHERE length(token) >= least),
+        enc(eno, rx, abc, lev, k, mean, var, ic) AS (VALUES {values}),
+        c AS MATERIALIZED (SELECT r, s, e, arg_min(x, eno) AS x, min(eno) AS eno FROM (SELECT r, s, e, rtrim(token, '=') AS x FROM f WHERE place = 3) JOIN enc ON regexp_matches(x, rx)
+              WHERE regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]') GROUP BY r, s, e),
+        z AS MATERIALIZED (SELECT r, s, e, c.eno, p, ch, lev[strpos(abc, ch)]::INT AS q FROM
+              (SELECT *, unnest(string_split(x, '')) AS ch, unnest(range(1, length(x) + 1)) AS p FROM c) AS c JOIN enc ON enc.eno = c.eno),
+        y AS (SELECT *, lag(q) OVER (PARTITION BY r, s ORDER BY p) AS o FROM z),
+        w1 AS (SELECT r, s, eno, sum(n)::DOUBLE AS n, sum(n * n)::DOUBLE AS sq FROM (SELECT r, s, eno, ch, count(*) AS n FROM z GROUP BY ALL) GROUP BY ALL),
+        w2 AS (SELECT r, s, 1 + sum(((q >= 2) <> (o >= 2))::INT) AS runs, sum((q - mean) * (o - mean)) / any_value(var) AS serial FROM y JOIN enc USING (eno) GROUP BY r, s),
+        w AS (SELECT w1.r, w1.s, n, k, k * sq / n - n AS chi2, runs, serial, (n - 1) * (k * ic - 1) AS shift FROM w1 JOIN w2 ON w1.r = w2.r AND w1.s = w2.s JOIN enc USING (eno)),
+        v AS (SELECT r, s, n, (chi2 - (k - 1)) / sqrt(2 * (k - 1) * (1 - 1 / n)) AS z1, (runs - (1 + (n - 1) / 2)) / (sqrt(n - 1) / 2) AS z2, serial / sqrt(n - 1) AS z3,
+                     (chi2 - (k - 1) - shift) / sqrt(2 * (k - 1) + 4 * shift) AS below FROM w),
+        b AS MATERIALIZED (SELECT r, s, least(1, 3 * least(CASE WHEN z1 > 0 THEN exp(-z1 * z1 / 2) ELSE 1 END, exp(-z2 * z2 / 2), exp(-z3 * z3 / 2))) AS p,
+                     least({secret_scan.LAST_BIN}, floor({secret_scan.BINS} * CASE WHEN below < 0 THEN below * below / 2 + ln(2) ELSE 0 END)) AS bin, floor(log2(n)) AS class FROM v),
+        l AS (SELECT class, bin, count(*) OVER (PARTITION BY class ORDER BY bin DESC) AS beyond, count(*) OVER (PARTITION BY class) AS n FROM b),
+        h AS (SELECT class, min(bin) AS bin FROM l WHERE exp(-bin / {secret_scan.BINS}) <= {fdr} * beyond / n GROUP BY class),
+        g AS (SELECT r, place, kind, s, e FROM f WHERE place < 3
+              UNION ALL SELECT c.r, 3, 'random', c.s, c.e FROM c JOIN b ON b.r = c.r AND b.s = c.s JOIN h ON h.class = b.class AND b.bin >= h.bin WHERE b.p >= {alpha}),
+        a AS (SELECT r, count(*) FILTER (WHERE place = 0) AS n0, count(*) FILTER (WHERE place = 1) AS n1, count(*) FILTER (WHERE place = 2) AS n2,
+                     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (WHERE place < 3) AS base,
+                     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans FROM g GROUP BY r)
+        SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN a ON a.r = d.r
+    """
+
+
+ORACLE["op13_secret_scan"] = _secrets_sql()

@@ -337,10 +337,12 @@ def trie(keys: DataFrame, fan: int = FAN, partitions: int | None = None) -> Data
         level = materialise(forests, "trie")
         found = level.where("kind = 'n'")
         upper = found if upper is None else upper.unionByName(found)
-    upper = upper.drop("ends_sha256").join(lists, "prefix", "left").withColumn("ends_sha256", F.coalesce("sha", F.lit(hashlib.sha256(b"").hexdigest())))
+    upper = materialise(upper.drop("ends_sha256").join(lists, "prefix", "left").withColumn(
+        "ends_sha256", F.coalesce("sha", F.lit(hashlib.sha256(b"").hexdigest()))), "trie-upper")
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     both = inner.select(*columns, "parent").unionByName(upper.select(*columns, "parent"))
-    # Only children of nodes that crossed partitions still look for their parent.
+    # Only children of nodes that crossed partitions still look for their parent; both sides
+    # are plain shuffles, so adaptive execution can split the children of a wide node.
     above = upper.select(F.col("prefix").alias("parent"), F.col("conv_id").alias("above"))
     late = both.where("parent IS NOT NULL").join(above, "parent").withColumn("parent_conv_id", F.col("above"))
     out = both.where("parent IS NULL").select(*columns).unionByName(late.select(*columns))

@@ -30,6 +30,7 @@ from newslake.operators import setops as so
 from newslake.operators import topk as tk
 from newslake.operators import windows as wn
 from newslake.operators import writes as wr
+from newslake.operators.versions import FileTable
 from newslake.plans import marts as mt
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newslake.session import checkpoint_root, shared_path
@@ -37,6 +38,8 @@ from newslake.sources import listings as ls
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
 from newslake.streaming import ingest as st
+from newslake.streaming.known import stream_known_ids
+from newslake.streaming.progress import ProgressLog, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -265,13 +268,34 @@ def q_compact(spark, d):
     return spark.read.parquet(wr.commit_snapshot(compacted, root))
 
 
-@register("conditional_update")
-def q_conditional_update(spark, d):
-    arts = _docs(spark, d)
+def _boilerplate_update():
     marker = " is "
     pred = (F.col("source") == "src3") & F.col("content").contains(marker)
-    return wr.conditional_update(arts, pred, {"content": tx.boilerplate_cut(F.col("content"), marker),
-                                              "title": tx.title_cut(F.col("title"))})
+    return pred, {"content": tx.boilerplate_cut(F.col("content"), marker), "title": tx.title_cut(F.col("title"))}
+
+
+@register("conditional_update")
+def q_conditional_update(spark, d):
+    return wr.conditional_update(_docs(spark, d), *_boilerplate_update())
+
+
+@register("update_touched_files")
+def q_update_touched_files(spark, d):
+    """W4 on a stored table clustered by source: only files with such rows are rewritten."""
+    table = FileTable(spark, shared_path(spark, "file_table"), cluster=("source", "id"))
+    table.append(_docs(spark, d))
+    table.update(*_boilerplate_update())
+    return table.read()
+
+
+@register("upsert_touched_files")
+def q_upsert_touched_files(spark, d):
+    """W2 on a stored table: the first turns are loaded, all later ones folded in."""
+    table = FileTable(spark, shared_path(spark, "file_table"))
+    records = _versions(spark, d)
+    table.upsert(records.filter(F.col("seq") <= 1))
+    table.upsert(records.filter(F.col("seq") >= 2))
+    return table.read()
 
 
 @register("sync_incremental")
@@ -656,10 +680,35 @@ def q_stream_upsert(spark, d):
     return st.current_table(spark, root + "/log", _seq_schema(), how="upsert")
 
 
+@register("stream_upsert_table")
+def q_stream_upsert_table(spark, d):
+    """Versions of records, landed in three drops by their order, folded batch by batch
+    into a table that rewrites only the files a batch touches."""
+    root = shared_path(spark, "upsert_table")
+    table = FileTable(spark, root + "/table")
+    records = _versions(spark, d).withColumn("seq", F.col("seq").cast("bigint"))
+    for low, high in ((0, 1), (2, 4), (5, 1 << 40)):
+        fx.land(records.filter(F.col("seq").between(low, high)), root + "/landing", 3)
+        st.stream_upsert_table(table, root + "/landing", _seq_schema(), root + "/ckpt", "records", files_per_trigger=None).awaitTermination()
+    return table.read()
+
+
+DROPS = 6
+
+
 @register("stream_progress")
 def q_stream_progress(spark, d):
-    _, q = _run_ingest(spark, d)
-    return st.progress_frame(spark, q)
+    """Progress of an ingest that is stopped and started for each of six drops: one batch
+    a drop, all recorded."""
+    root = shared_path(spark, "progress")
+    arrivals, _ = fx.event_arrivals(fx.load(spark, d, "events"))
+    with ProgressLog(spark, root + "/progress") as log:
+        for k in range(DROPS):
+            fx.land(arrivals.filter(F.col("seq") % DROPS == k), root + "/landing", 2)
+            q = st.stream_ingest(spark, root + "/landing", _seq_schema(), root + "/log", root + "/ckpt", files_per_trigger=None)
+            q.awaitTermination()
+            log.wait(q)
+    return read_progress(spark, root + "/progress").select("batch_id", "num_input_rows")
 
 
 @register("stream_known_ids")
@@ -670,11 +719,10 @@ def q_stream_known_ids(spark, d):
     fx.land(again, root + "/landing", 2)
     stored = first.filter(F.col("seq") % 3 == 0).select("id")
     # Two files per trigger: some repeats share a micro-batch with their first
-    # arrival (within-batch first-wins), others arrive in a later batch (log).
-    q = st.stream_known_ids(spark, root + "/landing", _seq_schema(), stored, root + "/log", root + "/ckpt",
-                            files_per_trigger=2)
+    # arrival (within-batch first-wins), others arrive in a later batch (state).
+    q = stream_known_ids(spark, root + "/landing", _seq_schema(), stored, root + "/log", root + "/ckpt", files_per_trigger=2)
     q.awaitTermination()
-    return st.read_known_ids_log(spark, root + "/log", _seq_schema()).drop("batch")
+    return spark.read.schema(_seq_schema()).parquet(root + "/log")
 
 
 # ---------------------------------------------------------------- marts

@@ -445,6 +445,9 @@ c as (select token as term, cast(count_if(is_cur) as bigint) as this_window, cas
 select term, this_window, prev_window, this_window - prev_window as growth from c
 order by growth desc, term limit 20"""
 
+ORACLE["update_touched_files"] = ORACLE["conditional_update"]
+ORACLE["upsert_touched_files"] = ORACLE["upsert_two_phase"]
+
 # ---------------------------------------------------------------- streaming
 ORACLE["stream_ingest"] = f"""with {A},
 arrivals as (
@@ -454,6 +457,8 @@ arrivals as (
          cast(id as bigint) + 1000000 as seq from articles where cast(id as bigint) % 4 = 0)
 select {ACOLS} from (select *, row_number() over (partition by id order by seq) as rn from arrivals) where rn = 1"""
 ORACLE["stream_upsert"] = ORACLE["upsert_two_phase"]
+ORACLE["stream_upsert_table"] = ORACLE["upsert_two_phase"]
+ORACLE["stream_progress"] = """select event_id % 6 as batch_id, count(*) as num_input_rows from events group by all"""
 ORACLE["stream_known_ids"] = f"""with {E},
 ea as (select id, source, cast(null as varchar) as url, category, cast(null as varchar) as title,
               cast(null as varchar) as author, date, cast(null as timestamp) as publish_time,

@@ -1,36 +1,34 @@
-"""Structured Streaming ingest (M1-M3).
+"""Structured Streaming ingest (M1, and M2's variant with a watermark).
 
 * :func:`stream_ingest` (M1): landed record files -> an append-only parquet
   log through the file sink (exactly-once with its checkpoint);
   ``maxFilesPerTrigger`` plays the buffer size, ``availableNow`` is the final
   flush.  The current table is the insert-if-absent fold of the log
   (:func:`current_table`).
-* :func:`stream_known_ids` (M2): per micro-batch, first arrival per id wins
-  and ids already stored or already logged are skipped.  The known-id set is
-  the durable log itself (not driver memory), probed with a semi-join whose
-  strategy is left to adaptive execution; each batch scans the ids of the
-  whole log.  Every batch writes its own directory, so a replayed batch
-  overwrites instead of appending twice.
-* :func:`progress_frame` (M3): micro-batch progress as a DataFrame.
+* :func:`stream_upsert_table` (M1 + W2): micro-batches folded into a table of file lists,
+  each exactly once.
+* known ids as keyed state (M2) are in :mod:`newslake.streaming.known`, progress as a
+  table (M3) in :mod:`newslake.streaming.progress`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from newslake.operators.windows import first_wins
+from newslake.operators.versions import FileTable
 from newslake.operators.writes import insert_ignore, upsert_two_phase
-from newslake.session import path_exists
 
 
 def stream_ingest(spark: SparkSession, landing: str, schema: StructType, log_path: str, checkpoint: str,
-                  files_per_trigger: int = 1, available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
-    """M1: start the landing -> log stream; returns the running query."""
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-           .format(fmt).load(landing))
+                  files_per_trigger: int | None = 1, available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
+    """M1: start the landing -> log stream; returns the running query.  Without
+    ``files_per_trigger`` a micro-batch takes all files that have landed."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.load(landing)
     w = (src.writeStream.format("parquet").option("path", log_path).option("checkpointLocation", checkpoint)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -49,33 +47,22 @@ def current_table(spark: SparkSession, log_path: str, schema: StructType, snapsh
     return insert_ignore(base, log, key, order)
 
 
-def stream_known_ids(spark: SparkSession, landing: str, schema: StructType, stored_ids: DataFrame, log_root: str,
-                     checkpoint: str, key: str = "id", order: str = "seq", files_per_trigger: int = 1,
-                     fmt: str = "parquet") -> StreamingQuery:
-    """M2: skip repeats across batches: first arrival per id within the batch
-    (N5), then drop ids stored before the stream or logged by an earlier
-    batch.  Batch ``n`` is written to ``log_root/batch=n`` (overwrite)."""
-    stored = stored_ids.select(key)
-    log_schema = StructType(schema.fields + [StructField("batch", LongType())])
+def stream_upsert_table(table: FileTable, landing: str, schema: StructType, checkpoint: str, name: str, seq: str = "seq",
+                        files_per_trigger: int | None = 1, fmt: str = "parquet") -> StreamingQuery:
+    """M1 + W2: fold every micro-batch of landed records into ``table`` by two-phase upsert.
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Reused three times below; cached for this micro-batch only (a lost
-        # executor just recomputes it from the source files).
-        firsts = first_wins(batch.filter(F.col(key).isNotNull()), key, order).persist()
-        # Which of the batch's ids were stored or logged before: only key columns
-        # are read, and adaptive execution broadcasts the batch's ids if small.
-        ids = firsts.select(key)
-        seen = stored.join(ids, on=key, how="left_semi")
-        if path_exists(spark, log_root):
-            # Earlier batches only: a replay of this batch must not see itself.
-            logged = spark.read.schema(log_schema).parquet(log_root).filter(F.col("batch") < batch_id)
-            seen = seen.unionByName(logged.select(key).join(ids, on=key, how="left_semi"))
-        fresh = firsts.join(seen, on=key, how="left_anti")
-        fresh.write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch={batch_id}")
-        firsts.unpersist()
+    The batch's number is committed in the same step as its rows (under ``name``, which
+    stands for this stream and its checkpoint), so a batch that is replayed after a
+    failure changes nothing.  Per id, records must arrive in ``seq`` order across batches.
+    """
+    reader = table.spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(landing)
-    return (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        table.upsert_once(batch, name, batch_id, seq)
+
+    return (reader.load(landing).writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
@@ -97,16 +84,3 @@ def stream_dedup_state(spark: SparkSession, landing: str, schema: StructType, st
         fresh = fresh.dropDuplicates([key])
     return (fresh.writeStream.format("parquet").option("path", log_path).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start())
-
-
-def read_known_ids_log(spark: SparkSession, log_root: str, schema: StructType) -> DataFrame:
-    log_schema = StructType(schema.fields + [StructField("batch", LongType())])
-    return spark.read.schema(log_schema).parquet(log_root)
-
-
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """M3: one row per completed micro-batch of ``query``."""
-    rows = [(int(p["batchId"]), int(p["numInputRows"]), str(p["timestamp"]),
-             int(p.get("durationMs", {}).get("triggerExecution", 0)))
-            for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, num_input_rows long, timestamp string, trigger_ms long")

@@ -37,6 +37,7 @@ from newslake.session import checkpoint_root, shared_path
 from newslake.sources import listings as ls
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
+from newslake.sources.dated import DatedTable
 from newslake.streaming import ingest as st
 from newslake.streaming.known import stream_known_ids
 from newslake.streaming.progress import ProgressLog, read_progress
@@ -164,26 +165,30 @@ def q_table_count(spark, d):
 
 @register("date_window")
 def q_date_window(spark, d):
-    orders = fx.load(spark, d, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
-    return fl.date_window(orders, days=365, as_of=fl.as_of_date(orders)).select("o_orderkey", "date")
+    """The last year of orders, stored in folders by month."""
+    orders = fx.load(spark, d, "orders").withColumn("date", F.col("o_orderdate").cast("date")).select("o_orderkey", "date")
+    table = DatedTable(spark, shared_path(spark, "orders_by_month"), orders.schema, unit="month").save(orders)
+    return table.window(days=365).select("o_orderkey", "date")
+
+
+def _events_by_day(spark, d) -> DatedTable:
+    ev = _events(spark, d)
+    return DatedTable(spark, shared_path(spark, "events_by_day"), ev.schema).save(ev)
 
 
 @register("rolling_7")
 def q_rolling_7(spark, d):
-    ev = _events(spark, d)
-    return wn.rolling_7(fl.date_window(ev, days=30, as_of=fl.as_of_date(ev)))
+    return wn.rolling_7(_events_by_day(spark, d).window(days=30))
 
 
 @register("rolling_7_by_source")
 def q_rolling_7_by_source(spark, d):
-    ev = _events(spark, d)
-    return wn.rolling_7_by_source(fl.date_window(ev, days=90, as_of=fl.as_of_date(ev)))
+    return wn.rolling_7_by_source(_events_by_day(spark, d).window(days=90))
 
 
 @register("week_over_week")
 def q_week_over_week(spark, d):
-    ev = _events(spark, d)
-    return wn.week_over_week(fl.date_window(ev, days=14, as_of=fl.as_of_date(ev)))
+    return wn.week_over_week(_events_by_day(spark, d).window(days=14))
 
 
 @register("ordered_report")
@@ -644,8 +649,9 @@ def q_token_bag(spark, d):
 
 @register("trending_terms")
 def q_trending_terms(spark, d):
-    arts = _docs(spark, d)
-    return mt.trending_terms(arts, fl.as_of_date(arts), window_days=7, k=20)
+    """Over articles stored in folders by day: the text of the two weeks is read, no other."""
+    table = DatedTable(spark, shared_path(spark, "articles_by_day")).save(_docs(spark, d))
+    return mt.trending_terms(table.read(), table.latest(), window_days=7, k=20)
 
 
 # ---------------------------------------------------------------- streaming

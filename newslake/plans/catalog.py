@@ -24,6 +24,7 @@ from newslake.functions import urls as ur
 from newslake.operators import aggregates as ag
 from newslake.operators import filters as fl
 from newslake.operators import html as hj
+from newslake.operators import idfilter as idf
 from newslake.operators import joins as jn
 from newslake.operators import quality as dq
 from newslake.operators import setops as so
@@ -222,6 +223,25 @@ def q_record_exists(spark, d):
     return jn.record_exists(_docs(spark, d).select("id", "source"), _label_ids(spark, d), flag="exists")
 
 
+def _label_filter(spark, d):
+    """Stored ids and their filter, written beside them."""
+    stored = _label_ids(spark, d)
+    blocks = idf.blocks_for(1_000_000)
+    path = shared_path(spark, "label_filter")
+    idf.build(stored, blocks).write.parquet(path)
+    return stored, spark.read.parquet(path), blocks
+
+
+@register("new_only_filtered")
+def q_new_only_filtered(spark, d):
+    return idf.new_only(_docs(spark, d), *_label_filter(spark, d))
+
+
+@register("record_exists_filtered")
+def q_record_exists_filtered(spark, d):
+    return idf.record_exists(_docs(spark, d).select("id", "source"), *_label_filter(spark, d), flag="exists")
+
+
 @register("exists_limit1")
 def q_exists_limit1(spark, d):
     return tk.exists_limit1(_docs(spark, d), "id", "42")
@@ -256,6 +276,16 @@ def q_insert_ignore(spark, d):
     return wr.insert_ignore(table, batch, "id", "seq")
 
 
+@register("insert_filtered")
+def q_insert_filtered(spark, d):
+    """W1 into a stored table with an id filter."""
+    rows, batch = _w1_inputs(spark, d)
+    table = FileTable(spark, shared_path(spark, "file_table"), expected_ids=1_000_000)
+    table.append(rows)
+    table.insert(batch)
+    return table.read()
+
+
 @register("upsert_two_phase")
 def q_upsert_two_phase(spark, d):
     v = _versions(spark, d)

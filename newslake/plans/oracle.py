@@ -445,6 +445,9 @@ c as (select token as term, cast(count_if(is_cur) as bigint) as this_window, cas
 select term, this_window, prev_window, this_window - prev_window as growth from c
 order by growth desc, term limit 20"""
 
+ORACLE["insert_filtered"] = ORACLE["insert_ignore"]
+ORACLE["new_only_filtered"] = ORACLE["new_only"]
+ORACLE["record_exists_filtered"] = ORACLE["record_exists"]
 ORACLE["update_touched_files"] = ORACLE["conditional_update"]
 ORACLE["upsert_touched_files"] = ORACLE["upsert_two_phase"]
 

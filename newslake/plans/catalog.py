@@ -27,6 +27,7 @@ from newslake.operators import html as hj
 from newslake.operators import idfilter as idf
 from newslake.operators import joins as jn
 from newslake.operators import quality as dq
+from newslake.operators import rules as ru
 from newslake.operators import setops as so
 from newslake.operators import topk as tk
 from newslake.operators import windows as wn
@@ -513,6 +514,24 @@ def q_slug_block(spark, d):
     return fl.slug_block(parts, rules=[("5", None), ("1", "blog")])
 
 
+@register("slug_block_rules")
+def q_slug_block_rules(spark, d):
+    """F6 with a rule table: pieces of every fortieth page's URL tail, half of them for its
+    own subdomain only."""
+    parts = _pages_parts(spark, d).select("page_id", "p.subdomain", "url")
+    tail = F.substring("url", -7, 4)
+    rules = parts.filter(F.col("page_id") % 40 == 0).select(tail.alias("needle"), F.when(F.col("page_id") % 80 == 0, F.col("subdomain")).alias("scope"))
+    return ru.block_by_rules(parts, rules, "url", "subdomain").select("page_id", "subdomain")
+
+
+@register("challenge_page_rules")
+def q_challenge_page_rules(spark, d):
+    """F7 with a table of phrases: pieces of every hundredth page's head."""
+    pages = fx.load(spark, d, "pages")
+    phrases = pages.filter(F.col("page_id") % 100 == 0).select(F.substring("html", 400, 14).alias("needle"))
+    return ru.challenge_by_rules(pages, phrases).select("page_id", "is_challenge")
+
+
 @register("challenge_page_flag")
 def q_challenge_page_flag(spark, d):
     return (fl.challenge_page_flag(fx.load(spark, d, "pages"), phrases=["ad 1 -->", 'lang="de"'])

@@ -292,6 +292,13 @@ select page_id,
        coalesce(contains(lower(substring(html, 1, 2000)), 'ad 1 -->')
                 or contains(lower(substring(html, 1, 2000)), 'lang="de"'), false) as is_challenge
 from pages"""
+ORACLE["slug_block_rules"] = f"""with {PAGE_PARTS},
+rules as (select distinct substr(url, -7, 4) as needle, case when page_id % 80 = 0 then subdomain end as scope from parts2 where page_id % 40 = 0)
+select page_id, subdomain from parts2
+where not exists (select 1 from rules where length(needle) > 0 and contains(url, needle) and (scope is null or scope = subdomain))"""
+ORACLE["challenge_page_rules"] = """
+with rules as (select distinct lower(substr(html, 400, 14)) as needle from pages where page_id % 100 = 0)
+select page_id, exists (select 1 from rules where length(needle) > 0 and contains(lower(substr(html, 1, 2000)), needle)) as is_challenge from pages"""
 ORACLE["newest_first_cutoff"] = """
 with s as (select event_type, min(value) as sp from events where ts < timestamp '2024-01-15' group by event_type)
 select e.event_id, e.event_type from events e left join s on e.event_type = s.event_type

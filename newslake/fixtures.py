@@ -183,6 +183,35 @@ def raw_records(documents: DataFrame) -> DataFrame:
                     F.when(d.doc_id % 4 == 0, F.lit("None")).otherwise(d.lang).alias("tags"))
 
 
+def faulty_records(documents: DataFrame) -> DataFrame:
+    """:func:`raw_records` with ids, dates and times that are missing or unreadable."""
+    n = F.col("id")
+    return raw_records(documents).withColumns({
+        "date": F.when(n % 7 == 2, F.lit("some day")).when(n % 5 == 1, F.lit("None")).otherwise(F.col("date")),
+        "publish_time": F.when(n % 11 == 3, F.lit("soon")).otherwise(F.col("publish_time")),
+        "id": F.when(n % 13 != 0, n)})
+
+
+def faulty_pages(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Listing pages of which every seventh is cut short and every eleventh is missing."""
+    return pages.withColumn("value", F.when(F.col(page) % 11 == 4, F.lit(None))
+                            .when(F.col(page) % 7 == 3, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value")))
+
+
+CUSTOMER_CSV = "c_custkey long, c_name string, c_acctbal double"
+
+
+def faulty_csv(customer: DataFrame, path: str) -> str:
+    """Customers as CSV lines, some with a field too few or too many, or a word for a number."""
+    k = customer.c_custkey
+    line = (F.when(k % 9 == 1, F.concat_ws(",", k, customer.c_name))
+            .when(k % 9 == 2, F.concat_ws(",", k, customer.c_name, customer.c_acctbal, F.lit("more")))
+            .when(k % 9 == 3, F.concat_ws(",", k, customer.c_name, F.lit("plenty")))
+            .otherwise(F.concat_ws(",", k, customer.c_name, customer.c_acctbal)))
+    customer.select(line.alias("value")).write.text(path)
+    return path
+
+
 # ---- Adapter G: lineitem as tag-id lists, part as the tag dimension --------
 def tag_lists(lineitem: DataFrame) -> DataFrame:
     """Per order: l_partkey list in (l_linenumber, l_partkey) order."""

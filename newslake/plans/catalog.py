@@ -11,6 +11,7 @@ roles; the batch side is always the whole table, never a sample.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,7 @@ from newslake.plans import marts as mt
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newslake.session import checkpoint_root, shared_path
 from newslake.sources import listings as ls
+from newslake.sources import rejects as rj
 from newslake.sources import sql as sq
 from newslake.sources import tables as tb
 from newslake.sources.dated import DatedTable
@@ -403,6 +405,45 @@ def q_load_normalise(spark, d):
     return ls.load_normalise(fx.raw_records(fx.load(spark, d, "documents")))
 
 
+@register("load_rejects")
+def q_load_rejects(spark, d):
+    """S11 with rejects: every record, accepted or with the reasons against it."""
+    split = rj.load_records(fx.faulty_records(fx.load(spark, d, "documents")))
+    accepted = split.accepted().select("id", "date", "publish_time", F.lit("").alias("reasons"), F.lit(None).cast("string").alias("url"))
+    rejected = split.rejected().select(
+        F.get_json_object("raw", "$._record.id").alias("id"), F.lit(None).cast("date").alias("date"), F.lit(None).cast("timestamp_ntz").alias("publish_time"),
+        F.array_join("reasons", ", ").alias("reasons"), F.get_json_object("raw", "$._record.url").alias("url"))
+    return accepted.unionByName(rejected)
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, d):
+    """S5 with rejects: customer lines by outcome."""
+    path = fx.faulty_csv(fx.load(spark, d, "customer"), shared_path(spark, "customer_csv"))
+    split = rj.read_csv(spark, path, fx.CUSTOMER_CSV, header=False)
+    accepted = split.accepted().withColumn("raw", F.lit(None).cast("string"))
+    broken = split.rejected().select(F.get_json_object("raw", f"$.{rj.BAD}").alias("raw"))
+    return accepted.unionByName(broken, allowMissingColumns=True)
+
+
+def _listing_rejects(split):
+    reason = F.array_join("reasons", ", ").alias("reasons")
+    return (split.accepted().select(F.lit("").alias("reasons")).unionByName(split.rejected().select(reason))
+            .groupBy("reasons").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("listing_rejects")
+def q_listing_rejects(spark, d):
+    """S7-S9 with rejects: items and details of the three listing shapes by outcome."""
+    docs = fx.load(spark, d, "documents")
+    (a, da), (b, db), (c, _) = fx.listing_a(docs), fx.listing_b(docs), fx.listing_c(docs)
+    splits = {"detail": rj.listing_items(fx.faulty_pages(a), "detail"), "detail record": rj.listing_details(da, "detail"),
+              "sectioned": rj.listing_items(fx.faulty_pages(b), "sectioned"), "sectioned record": rj.listing_details(db, "sectioned"),
+              "posts": rj.listing_items(fx.faulty_pages(c), "posts")}
+    parts = [_listing_rejects(s).withColumn("shape", F.lit(name)) for name, s in splits.items()]
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def _pages_parts(spark, d):
     pages = fx.load(spark, d, "pages")
     return pages.select("page_id", "url", ur.url_parts("url").alias("p"))

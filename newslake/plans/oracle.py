@@ -220,6 +220,31 @@ select cast(doc_id as varchar) as id, source, concat('https://example.com/', cas
        ts as publish_time, text as content, case when doc_id % 4 = 0 then null else lang end as tags
 from docs_ts"""
 
+ORACLE["load_rejects"] = f"""with {DOCS_TS},
+j as (select *, concat_ws(', ', case when doc_id % 13 = 0 then 'id missing' end, case when doc_id % 7 = 2 then 'date unreadable' end,
+                          case when doc_id % 11 = 3 then 'publish_time unreadable' end) as reasons from docs_ts)
+select case when doc_id % 13 <> 0 then cast(doc_id as varchar) end as id,
+       case when reasons = '' and doc_id % 5 <> 1 then cast(ts as date) end as date, case when reasons = '' then ts end as publish_time,
+       reasons, case when reasons <> '' then concat('https://example.com/', cast(doc_id as varchar)) end as url
+from j"""
+ORACLE["csv_rejects"] = """
+select case when c_custkey % 9 not in (1, 2, 3) then c_custkey end as c_custkey, case when c_custkey % 9 not in (1, 2, 3) then c_name end as c_name,
+       case when c_custkey % 9 not in (1, 2, 3) then cast(c_acctbal as double) end as c_acctbal,
+       case c_custkey % 9 when 1 then concat_ws(',', c_custkey, c_name) when 2 then concat_ws(',', c_custkey, c_name, c_acctbal, 'more')
+                          when 3 then concat_ws(',', c_custkey, c_name, 'plenty') end as raw
+from customer"""
+ORACLE["listing_rejects"] = """
+with a as (select 'detail' as shape, concat_ws(', ', case when doc_id % 13 = 0 then 'slug missing' end) as reasons, doc_id // 50 as page, '' as section from documents),
+b as (select 'sectioned' as shape, case when doc_id % 19 = 0 then 'time unreadable' else '' end as reasons, doc_id // 200 as page, source as section from documents),
+c as (select 'posts' as shape, '' as reasons, doc_id // 10 as page, '' as section from documents),
+items as (select * from a union all select * from b union all select * from c),
+broken as (select *, page % 11 = 4 or page % 7 = 3 as bad from items),
+rows as (select shape, reasons from broken where not bad
+         union all select shape, 'malformed page' from (select distinct shape, section, page from broken where bad)
+         union all select 'detail record', '' from documents where doc_id % 11 <> 0
+         union all select 'sectioned record', case when doc_id % 23 = 0 then 'failed response' else '' end from documents)
+select shape, reasons, count(*) as n from rows group by all"""
+
 PAGE_PARTS = """parts as (
   select page_id, url,
          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) as auth,

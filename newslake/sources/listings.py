@@ -185,8 +185,8 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out.select(*ARTICLE_COLUMNS)
 
 
-def load_normalise(records: DataFrame) -> DataFrame:
-    """Type-normalising bulk load of raw records.
+def load_normalise(records: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Type-normalising bulk load of raw records (``extra`` columns pass through).
 
     id -> text; ``cleaned_content`` -> ``content``; the date text is cut to
     its day; the publish time is parsed; the text 'None' (a NULL that was
@@ -197,6 +197,8 @@ def load_normalise(records: DataFrame) -> DataFrame:
         df = df.withColumnRenamed("cleaned_content", "content")
     out = {}
     for c in df.columns:
+        if c in (extra or []):
+            continue
         if c == "date":
             out[c] = F.to_date(F.col(c).cast("string").try_cast("timestamp_ntz"))
         elif c == "publish_time":
@@ -204,4 +206,4 @@ def load_normalise(records: DataFrame) -> DataFrame:
         else:
             s = F.col(c).cast("string")
             out[c] = F.when(s == "None", F.lit(None).cast("string")).otherwise(s)
-    return conform_articles(df.withColumns(out))
+    return conform_articles(df.withColumns(out), extra)

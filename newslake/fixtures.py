@@ -237,6 +237,44 @@ def paged_listing(events: DataFrame, page_size: int = 25) -> DataFrame:
                          (F.col("user_id") < 75).alias("known"))
 
 
+# ---- Adapter W: documents as article pages of every site layout -------------
+def _escaped(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+LAYOUT_HOSTS = ["newsinfo", "lifestyle", "pop", "cebudailynews", "bandera", "newsinfo", "newsinfo"]
+LAYOUT_BLOCKS = ['div id="FOR_target_content"', 'div class="x elementor-widget-theme-post-content"', 'div id="TO_target_content"',
+                 'div id="article-content"', 'div id="FOR_target_content"', 'div id="FOR_target_content"', 'div id="other"']
+
+
+def article_pages(documents: DataFrame) -> DataFrame:
+    """(doc_id, url, html, category, date): a page per document, in seven layouts by id; the
+    last has none of the fields.  Titles, bylines, times, tags and blocks vary by row."""
+    d = documents
+    k = d.doc_id % 7
+    title = F.concat(F.lit("Title "), d.doc_id, F.lit(" of "), d.source)
+    author = F.concat(F.lit("Writer "), d.doc_id % 37)
+    pick = lambda xs: F.element_at(F.array(*[x if not isinstance(x, str) else F.lit(x) for x in xs]), (k + 1).cast("int"))
+    c = F.concat
+    head = pick([c(F.lit('<meta property="og:title" content=" '), title, F.lit(' "><title>Site</title><meta name="author" content="'), author, F.lit('">')),
+                 "", "", "", "", "", ""])
+    byline = pick(["",
+                   c(F.lit('<h1 class="a elementor-heading-title">'), title, F.lit('</h1><div class="elementor-widget-post-info"><ul class="elementor-post-info"><li>'
+                     '<span class="elementor-post-info__terms-list"><a href="#">'), author, F.lit("</a></span></li></ul></div>")),
+                   c(F.lit('<div class="single-post-banner-inner"><h1>'), title, F.lit('</h1></div><ul class="blog-meta-list"><li><a href="/x">no</a><a href="/byline/w">'),
+                     author, F.lit('</a></li></ul><div class="tags-box"><span class="tags-links"><a href="https://pop/tag/'), d.lang, F.lit('">t</a></span></div>')),
+                   c(F.lit('<div id="art-hgroup"><h1>'), title, F.lit('</h1></div><div id="m-pd2"><span>Posted</span><span>By: '), author, F.lit("</span></div>")),
+                   c(F.lit('<div id="landing-headline"><h1>'), title, F.lit('</h1></div><div id="m-pd2"><span>'), author, F.lit(" - Bandera</span></div>")),
+                   c(F.lit('<h1 class="entry-title">'), title, F.lit('</h1><div id="art_author" data-byline-strips="'), author,
+                     F.lit('"></div><div id="article_tags"><a href="/tag/'), d.lang, F.lit('">p</a><a href="/other">o</a></div>')),
+                   "<p>nothing here</p>"])
+    block = c(F.lit("<"), pick(LAYOUT_BLOCKS), F.lit("><h2>Part</h2><p>"), _escaped(d.text), F.lit("</p><table><tr><td>c1</td><td>c2</td></tr></table></div>"))
+    host = pick(LAYOUT_HOSTS)
+    return d.select("doc_id", c(F.lit("https://"), host, F.lit(".press.example/"), d.doc_id, F.lit("/story")).alias("url"),
+                    c(F.lit("<html><head>"), head, F.lit('</head><body><div class="ztoop">advert</div>'), byline, block, F.lit("<script>var a = 1;</script></body></html>")).alias("html"),
+                    d.lang.alias("category"), F.date_add(F.lit(_dt.date(2024, 1, 1)), (d.doc_id % 90).cast("int")).alias("date"))
+
+
 # ---- Adapter P: events.ts written in the text forms pages use ---------------
 ZONES = ["PST", "PHT", "UTC", "GMT"]
 

@@ -1,22 +1,19 @@
-"""HTML jobs over page tables (H1-H3) and the field fallbacks built on them.
+"""HTML jobs over page tables (H1-H3) and the field fallbacks built on them.
 
-Parsing markup is the one step Spark has no built-in for, so it runs in Arrow
-``pandas_udf``s over a small DOM built with the standard-library parser.  The
-UDFs only turn one page into plain values (texts, attributes, link lists);
-every decision after that (fallback chains, filters, keys, anti-joins,
-first-wins) is ordinary Catalyst work.
+A page is parsed once into rows of elements and pieces of text
+(:mod:`newslake.operators.pageparse`).  Selectors are predicates on an element's path
+and attributes; fields, fallbacks, dropped parts, section links and the joining of text
+are column expressions over these rows, and only the branch of a page's layout is
+evaluated.
 """
 
 from __future__ import annotations
 
-import html as _html
 import re
-from html.parser import HTMLParser
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newslake import constants as K
 from newslake.functions.text import tags_from_hrefs, whitespace_collapse
@@ -24,374 +21,102 @@ from newslake.functions.timeparse import publish_time_parse_array
 from newslake.functions.urls import article_key, url_parts
 from newslake.operators.filters import category_allow, https_only, slug_blocked
 from newslake.operators.joins import new_only
+from newslake.operators.pageparse import parse_page, segment
 from newslake.operators.windows import first_wins
 
-# --------------------------------------------------------------------- DOM
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-
-
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
-
-    def elements(self):
-        return [c for c in self.children if isinstance(c, Node)]
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None)
-        self.cur = self.root
-
-    def _node(self, tag, attrs):
-        n = Node(tag, {k: ("" if v is None else v) for k, v in attrs}, self.cur)
-        self.cur.children.append(n)
-        return n
-
-    def handle_starttag(self, tag, attrs):
-        n = self._node(tag, attrs)
-        if tag not in VOID:
-            self.cur = n
-
-    def handle_startendtag(self, tag, attrs):
-        self._node(tag, attrs)
-
-    def handle_endtag(self, tag):
-        n = self.cur
-        while n is not self.root and n.tag != tag:
-            n = n.parent
-        if n is not self.root:          # a stray end tag is ignored
-            self.cur = n.parent
-
-    def handle_data(self, data):
-        if data:
-            self.cur.children.append(data)
-
-
-def parse(markup: str) -> Node:
-    b = _Builder()
-    b.feed(markup)
-    b.close()
-    return b.root
-
-
-def iter_elements(node: Node):
-    """Elements below ``node`` in document order (explicit stack: unclosed
-    tags can nest arbitrarily deep)."""
-    stack = [iter(node.children)]
-    while stack:
-        for c in stack[-1]:
-            if isinstance(c, Node):
-                yield c
-                stack.append(iter(c.children))
-                break
-        else:
-            stack.pop()
-
-
-def serialize(node: Node) -> str:
-    """Outer markup of an element (text re-escaped, like a parser's str())."""
-    out: list[str] = []
-    stack: list = [(node, False)]
-    while stack:
-        n, closing = stack.pop()
-        if isinstance(n, str):
-            out.append(_html.escape(n, quote=False))
-            continue
-        if closing:
-            out.append(f"</{n.tag}>")
-            continue
-        if n.tag != "#root":
-            attrs = "".join(f' {k}="{_html.escape(v)}"' for k, v in n.attrs.items())
-            out.append(f"<{n.tag}{attrs}>")
-            if n.tag not in VOID:
-                stack.append((n, True))
-        stack.extend((c, False) for c in reversed(n.children))
-    return "".join(out)
-
-
-# ------------------------------------------------- CSS selector subset
-_COMPOUND = re.compile(r"""([a-zA-Z0-9*]+)?((?:[#.][\w-]+|\[[^\]]+\])*)""")
-_PART = re.compile(r"""#([\w-]+)|\.([\w-]+)|\[\s*([\w:-]+)\s*(?:([*^$~]?=)\s*["']?(.*?)["']?\s*)?\]""")
-
-
-def compile_selector(sel: str):
-    """'a b > c.x[href*="/y/"]' -> [(compound, combinator-to-previous), ...]."""
-    tokens = re.split(r"\s*(>)\s*|\s+", sel.strip())
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# ------------------------------------------------------------------ selectors
+_COMPOUND = re.compile(r"""([a-zA-Z0-9]+|\*)?((?:[#.][\w-]+|\[[^\]]+\])*)""")
+_PART = re.compile(r"""#([\w-]+)|\.([\w-]+)|\[\s*([\w:-]+)\s*(?:([*^$]?=)\s*["']?(.*?)["']?\s*)?\]""")
+
+
+def _steps(selector: str) -> list[tuple[str, str | None, list]]:
+    """Compounds of a selector: combinator before it (" " or ">"), tag, and its conditions."""
     steps, comb = [], " "
-    for t in tokens:
-        if not t:
-            continue
-        if t == ">":
+    for token in re.split(r"\s*(>)\s*|\s+", selector.strip()):
+        if token == ">":
             comb = ">"
-            continue
-        m = _COMPOUND.fullmatch(t)
-        if not m:
-            raise ValueError(f"unsupported selector {sel!r}")
-        tag = m.group(1) if m.group(1) not in (None, "*") else None
-        conds = []
-        for pm in _PART.finditer(m.group(2) or ""):
-            if pm.group(1):
-                conds.append(("id", pm.group(1)))
-            elif pm.group(2):
-                conds.append(("class", pm.group(2)))
-            else:
-                conds.append(("attr", pm.group(3), pm.group(4), pm.group(5)))
-        steps.append(((tag, conds), comb))
-        comb = " "
+        elif token:
+            m = _COMPOUND.fullmatch(token)
+            if not m:
+                raise ValueError(f"unsupported selector {selector!r}")
+            steps.append((comb, None if m[1] in (None, "*") else m[1], _PART.findall(m[2] or "")))
+            comb = " "
+    if any(name for _, _, conds in steps[:-1] for _, _, name, _, _ in conds):
+        raise ValueError(f"attributes are tested on the last part only: {selector!r}")
     return steps
 
 
-def _matches_compound(n: Node, compound) -> bool:
-    tag, conds = compound
-    if tag is not None and n.tag != tag:
-        return False
-    for c in conds:
-        if c[0] == "id":
-            if n.attrs.get("id") != c[1]:
-                return False
-        elif c[0] == "class":
-            if c[1] not in n.attrs.get("class", "").split():
-                return False
-        else:
-            _, name, op, val = c
-            if name not in n.attrs:
-                return False
-            v = n.attrs[name]
-            if (op == "=" and v != val) or (op == "*=" and val not in v) or (op == "^=" and not v.startswith(val)) \
-                    or (op == "$=" and not v.endswith(val)) or (op == "~=" and val not in v.split()):
-                return False
-    return True
-
-
-def _matches(n: Node, steps, i: int) -> bool:
-    compound, comb = steps[i]
-    if not _matches_compound(n, compound):
-        return False
-    if i == 0:
-        return True
-    p = n.parent
-    if comb == ">":
-        return p is not None and p.tag != "#root" and _matches(p, steps, i - 1)
-    while p is not None and p.tag != "#root":
-        if _matches(p, steps, i - 1):
-            return True
-        p = p.parent
-    return False
-
-
-def index_elements(root: Node) -> dict:
-    """Elements by tag, id and class, each list in document order."""
-    idx: dict = {"all": [], "tag": {}, "id": {}, "class": {}}
-    for n in iter_elements(root):
-        idx["all"].append(n)
-        idx["tag"].setdefault(n.tag, []).append(n)
-        if "id" in n.attrs:
-            idx["id"].setdefault(n.attrs["id"], []).append(n)
-        for c in set(n.attrs.get("class", "").split()):
-            idx["class"].setdefault(c, []).append(n)
-    return idx
-
-
-def select(root: Node, steps, idx: dict | None = None) -> list[Node]:
-    """Elements matching ``steps`` in document order.  With an index, only
-    the candidates of the last compound's most selective part are tested."""
-    last = len(steps) - 1
-    if idx is None:
-        cands = list(iter_elements(root))
-    else:
-        tag, conds = steps[last][0]
-        ids = [c[1] for c in conds if c[0] == "id"]
-        classes = [c[1] for c in conds if c[0] == "class"]
-        if ids:
-            cands = idx["id"].get(ids[0], [])
-        elif classes:
-            cands = idx["class"].get(classes[0], [])
-        elif tag is not None:
-            cands = idx["tag"].get(tag, [])
-        else:
-            cands = idx["all"]
-    return [n for n in cands if _matches(n, steps, last)]
-
-
-def extract(root: Node, steps, mode: str, idx: dict | None = None):
-    """Apply one (selector, mode) spec: text / texts / attr:NAME / attrs:NAME / outer."""
-    nodes = select(root, steps, idx)
-    if mode in ("text", "texts"):
-        texts = [c for n in nodes for c in n.children if isinstance(c, str)]
-        return texts if mode == "texts" else (texts[0] if texts else None)
-    if mode.startswith("attr"):
-        name = mode.split(":", 1)[1]
-        vals = [n.attrs[name] for n in nodes if name in n.attrs]
-        return vals if mode.startswith("attrs:") else (vals[0] if vals else None)
-    if mode == "outer":
-        return serialize(nodes[0]) if nodes else None
-    raise ValueError(mode)
-
-
-# ------------------------------------------------------------- text render
-_BLOCK = {"p", "div", "article", "section", "header", "footer", "nav", "ul", "ol", "table", "tr", "blockquote",
-          "pre", "form", "main", "aside", "figure", "figcaption", "address", "dl", "dt", "dd", "body", "html"}
-_SKIP = {"script", "style", "head", "img", "noscript", "template"}
-
-
-def render_text(root: Node) -> str:
-    """Markdown-like text: headings as '#' lines, list items as '  * ',
-    paragraphs separated by blank lines; links, images and emphasis reduced
-    to their text (or nothing for images)."""
-    out: list[str] = []
-    # Items are text nodes, elements, or ("emit", text) markers closing an element.
-    stack: list = list(reversed(root.children))
-    while stack:
-        c = stack.pop()
-        if isinstance(c, tuple):
-            out.append(c[1])
-            continue
-        if isinstance(c, str):
-            out.append(re.sub(r"\s+", " ", c))
-            continue
-        t = c.tag
-        if t in _SKIP:
-            continue
-        if t == "br":
-            out.append("\n")
-            continue
-        if len(t) == 2 and t[0] == "h" and t[1] in "123456":
-            pre, post = "\n\n" + "#" * int(t[1]) + " ", "\n\n"
-        elif t == "li":
-            pre, post = "\n  * ", "\n"
-        elif t in _BLOCK:
-            pre, post = "\n\n", "\n\n"
-        else:
-            pre, post = "", ""
-        out.append(pre)
-        stack.append(("emit", post))
-        stack.extend(reversed(c.children))
-    return "\n".join(line.strip(" ") for line in "".join(out).split("\n"))
-
-
-def drop_elements(root: Node, ids=(), classes=(), tags=()) -> None:
-    """Remove elements (with their content) by id, class or tag name."""
-    ids, classes, tags = set(ids), set(classes), set(tags)
-
-    def keep(n) -> bool:
-        if isinstance(n, str):
-            return True
-        if n.tag in tags or n.attrs.get("id") in ids:
-            return False
-        return not (classes and classes.intersection(n.attrs.get("class", "").split()))
-
-    stack = [root]
-    while stack:
-        n = stack.pop()
-        n.children = [c for c in n.children if keep(c)]
-        stack.extend(c for c in n.children if isinstance(c, Node))
-
-
-def clean_markup(markup: str, ids=(), classes=(), tags=(), mode: str = "crawl") -> str:
-    """One page -> text.  ``mode="listing"``: unescape, parse, drop, render.
-    ``mode="crawl"``: parse, drop, re-serialise, then unescape and parse
-    again before rendering (escaped markup in the page becomes markup)."""
-    if mode == "listing":
-        root = parse(_html.unescape(markup))
-        drop_elements(root, ids, classes, tags)
-    else:
-        first = parse(markup)
-        drop_elements(first, ids, classes, tags)
-        root = parse(_html.unescape(serialize(first)))
-        drop_elements(root, (), (), ("script", "style"))
-    return render_text(root)
-
-
-def sections(root: Node, heading: str = "h4", nav_lists: bool = False):
-    """Index-page sections: for each heading, the links ``li > a[href]`` of
-    its first following sibling ``ul``.  ``nav_lists`` instead treats each
-    ``ul`` inside a ``nav`` as one heading-less section."""
-    out = []
-    if nav_lists:
-        for nav in (n for n in iter_elements(root) if n.tag == "nav"):
-            for ul in (n for n in iter_elements(nav) if n.tag == "ul"):
-                out.append(("", _list_links(ul)))
-        return out
-    for h in (n for n in iter_elements(root) if n.tag == heading):
-        txt = next((c for c in h.children if isinstance(c, str)), "")
-        sib = h.parent.elements() if h.parent else []
-        after = sib[sib.index(h) + 1:]
-        ul = next((e for e in after if e.tag == "ul"), None)
-        out.append((txt.strip(), _list_links(ul) if ul is not None else []))
+def path_pattern(selector: str) -> str:
+    """Regular expression for the paths of elements that a selector's tags, ids and classes
+    and their nesting allow."""
+    out = ""
+    for comb, tag, conds in _steps(selector):
+        own = f"/{re.escape(tag)}(?=[#./]|$)" if tag else "/[^/#.]+"
+        for ident, cls, *_ in conds:
+            if ident or cls:
+                mark, name = ("#", ident) if ident else (r"\.", cls)
+                own += f"(?=[^/]*{mark}{re.escape(segment('', {'class': name})[2:])}(?=[#./]|$))"
+        out += ("(?:/[^/]+)*" if comb == " " and out else "") + own + "[^/]*"
+    return out + "$"
+
+
+def matches(e: Column, selector: str) -> Column:
+    """Whether an element is one that ``selector`` names (tags, ``#id``, ``.class``, descendants,
+    ``>``; attribute tests on the last part)."""
+    _, tag, conds = _steps(selector)[-1]
+    out = F.lit(True) if tag is None else e["tag"] == tag
+    for _, _, name, op, value in conds:
+        if name:
+            a = e["attrs"][name]
+            test = {"": a.isNotNull(), "=": a == value, "*=": F.contains(a, F.lit(value)), "^=": F.startswith(a, F.lit(value)), "$=": F.endswith(a, F.lit(value))}[op]
+            out = out & F.coalesce(test, F.lit(False))
+    if len(_steps(selector)) > 1 or any(i or c for i, c, *_ in conds):
+        out = out & e["path"].rlike(path_pattern(selector))
     return out
 
 
-def _list_links(ul: Node) -> list[str]:
-    return [a.attrs["href"] for li in ul.elements() if li.tag == "li"
-            for a in li.elements() if a.tag == "a" and "href" in a.attrs]
-
+def select(page: Column, selector: str) -> Column:
+    """Elements a selector names, in document order."""
+    return F.filter(page["elements"], lambda e: matches(e, selector))
 
-# ------------------------------------------------------------ Spark UDFs
-def _specs_type(specs: dict[str, tuple[str, str]]) -> T.StructType:
-    def typ(mode):
-        return T.ArrayType(T.StringType()) if mode in ("texts",) or mode.startswith("attrs:") else T.StringType()
-    return T.StructType([T.StructField(k, typ(m), True) for k, (_, m) in specs.items()])
 
+def texts(page: Column, selector: str) -> Column:
+    """Text that stands directly in these elements, piece by piece."""
+    return F.flatten(F.transform(select(page, selector), lambda e: e["texts"]))
 
-def extract_fields(html_col, specs: dict[str, tuple[str, str]]) -> Column:
-    """One parse per page -> struct with one field per (selector, mode) spec."""
-    compiled = {k: (compile_selector(s), m) for k, (s, m) in specs.items()}
-    schema = _specs_type(specs)
-    names = list(specs)
 
-    def one(markup):
-        if markup is None:
-            return {k: None for k in names}
-        root = parse(markup)
-        idx = index_elements(root)
-        return {k: extract(root, steps, m, idx) for k, (steps, m) in compiled.items()}
+def text(page: Column, selector: str) -> Column:
+    return F.get(texts(page, selector), F.lit(0))
 
-    @F.pandas_udf(schema)
-    def _fields(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(x) for x in s], columns=names)
 
-    return _fields(F.col(html_col) if isinstance(html_col, str) else html_col)
+def attrs(page: Column, selector: str, name: str) -> Column:
+    return F.array_compact(F.transform(select(page, selector), lambda e: e["attrs"][name]))
 
 
-def _name(sub: str) -> str:
-    return "default" if sub == "*" else sub
+def attr(page: Column, selector: str, name: str) -> Column:
+    return F.get(attrs(page, selector, name), F.lit(0))
 
 
-def _page_field_specs() -> dict[str, tuple[str, str]]:
-    specs = {"og_title": ('meta[property="og:title"]', "attr:content"), "title_tag": ("title", "text")}
-    for sub, sels in K.TITLE_SELECTORS.items():
-        for i, s in enumerate(sels):
-            specs[f"t_{_name(sub)}_{i}"] = (s, "text")
-    for i, s in enumerate(K.AUTHOR_META_SELECTORS):
-        specs[f"a_meta_{i}"] = (s, "attr:content")
-    for sub, sels in K.AUTHOR_SELECTORS.items():
-        for i, s in enumerate(sels):
-            specs[f"a_{sub}_{i}"] = (s, "text")
-    specs["a_spans"] = (K.AUTHOR_SPAN_SELECTOR, "texts")
-    specs["a_cebu_last"] = (K.AUTHOR_CEBU_LAST, "text")
-    specs["a_byline"] = (K.AUTHOR_DEFAULT_BYLINE_ATTR[0], "attr:" + K.AUTHOR_DEFAULT_BYLINE_ATTR[1])
-    specs["a_platform"] = (K.AUTHOR_DEFAULT_PLATFORM + " *", "texts")
-    for sub, s in K.CONTENT_SELECTORS.items():
-        specs[f"c_{_name(sub)}"] = (s, "outer")
-    for sub, s in K.TAG_LINK_SELECTORS.items():
-        specs[f"tags_{_name(sub)}"] = (s, "attrs:href")
-    for i, s in enumerate(K.PUBLISH_META_SELECTORS):
-        specs[f"pub_meta_{i}"] = (s, "attrs:content")
-    specs["pub_body"] = (K.PUBLISH_BODY_SELECTOR, "texts")
-    specs["links"] = ("a", "attrs:href")
-    return specs
+def element(page: Column, selector: str) -> Column:
+    """The first element a selector names."""
+    return F.get(select(page, selector), F.lit(0))
 
 
-PAGE_FIELD_SPECS = _page_field_specs()
+def outer(html: Column, e: Column) -> Column:
+    """An element's markup as it stands in the page."""
+    return F.substring(html, e["start"] + 1, e["stop"] - e["start"])
 
 
-def page_fields(pages: DataFrame, html_col: str = "html", out: str = "f") -> DataFrame:
-    """H2: parse each page once into a struct of candidate fields."""
-    return pages.withColumn(out, extract_fields(html_col, PAGE_FIELD_SPECS))
+# ------------------------------------------------------------------ H2 and fallbacks
+def page_fields(pages: DataFrame, html_col: str = "html", out: str = "f", mode: str = "page") -> DataFrame:
+    """H2: parse each page once; fields are asked of ``out`` with the functions above."""
+    return pages.withColumn(out, parse_page(F.col(html_col), mode))
 
 
 def _truthy(c: Column) -> Column:
@@ -402,139 +127,183 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def _first(*columns: Column) -> Column:
+    return F.coalesce(*columns)
+
+
 def title_fallback(f: str = "f", subdomain: Column | None = None) -> Column:
     """Og:title -> <title> (trimmed) -> layout heading -> 'No title'."""
-    s = F.col(f)
-    meta = F.coalesce(_truthy(s["og_title"]), _truthy(s["title_tag"]))
-    by_layout = F.when(subdomain == "lifestyle", F.coalesce(s["t_lifestyle_0"], F.lit(K.NO_TITLE)))
-    by_layout = by_layout.when(subdomain == "pop", F.coalesce(s["t_pop_0"], F.lit(K.NO_TITLE)))
-    by_layout = by_layout.when(subdomain == "cebudailynews",
-                               F.coalesce(s["t_cebudailynews_0"], s["t_cebudailynews_1"], s["t_cebudailynews_2"],
-                                          F.lit(K.NO_TITLE)))
-    by_layout = by_layout.when(subdomain == "bandera", F.coalesce(s["t_bandera_0"], F.lit(K.NO_TITLE)))
-    by_layout = by_layout.otherwise(F.coalesce(s["t_default_0"], F.lit(K.NO_TITLE)))
-    return F.when(meta.isNotNull(), _strip(meta)).otherwise(by_layout)
-
-
-def _first_capture(texts: Column, pattern: str) -> Column:
-    hits = F.filter(texts, lambda t: t.rlike(pattern))
+    p = F.col(f)
+    meta = _first(_truthy(attr(p, 'meta[property="og:title"]', "content")), _truthy(text(p, "title")))
+    layout = F.lit(None).cast("string")
+    for sub, selectors in K.TITLE_SELECTORS.items():
+        if sub != "*":
+            layout = F.when(subdomain == sub, _first(*[text(p, s) for s in selectors], F.lit(K.NO_TITLE))).otherwise(layout)
+    named = subdomain.isin([s for s in K.TITLE_SELECTORS if s != "*"])
+    default = _first(*[text(p, s) for s in K.TITLE_SELECTORS["*"]], F.lit(K.NO_TITLE))
+    return F.when(meta.isNotNull(), _strip(meta)).when(named, layout).otherwise(default)
+
+
+def _first_capture(found: Column, pattern: str) -> Column:
+    hits = F.filter(found, lambda t: t.rlike(pattern))
     return F.regexp_extract(F.try_element_at(hits, F.lit(1)), pattern, 1)
 
 
 def author_fallback(f: str = "f", subdomain: Column | None = None) -> Column:
     """P5: three author metas -> layout byline (two regex forms) -> 'No author'."""
-    s = F.col(f)
-    meta = F.coalesce(_truthy(s["a_meta_0"]), _truthy(s["a_meta_1"]), _truthy(s["a_meta_2"]))
-    spans = F.coalesce(s["a_spans"], F.array().cast("array<string>"))
-    cebu_re = _truthy(_first_capture(spans, "(?U)" + K.AUTHOR_SPAN_PATTERN_CEBU))
-    bandera_re = _truthy(_first_capture(spans, "(?U)" + K.AUTHOR_SPAN_PATTERN_BANDERA))
-    platform = F.coalesce(s["a_platform"], F.array().cast("array<string>"))
-    default = F.coalesce(_truthy(s["a_byline"]),
-                         F.when(F.size(platform) > 2, F.try_element_at(platform, F.lit(2))),
-                         F.lit(K.NO_AUTHOR))
-    by_layout = (F.when(subdomain == "lifestyle", F.coalesce(s["a_lifestyle_0"], F.lit(K.NO_AUTHOR)))
-                 .when(subdomain == "pop", F.coalesce(s["a_pop_0"], F.lit(K.NO_AUTHOR)))
-                 .when(subdomain == "cebudailynews",
-                       F.coalesce(s["a_cebudailynews_0"], cebu_re, s["a_cebu_last"], F.lit(K.NO_AUTHOR)))
-                 .when(subdomain == "bandera", F.coalesce(bandera_re, F.lit(K.NO_AUTHOR)))
-                 .otherwise(default))
-    return F.when(meta.isNotNull(), _strip(meta)).otherwise(by_layout)
-
-
-def content_fallback(f: str = "f", subdomain: Column | None = None,
-                     selectors: dict[str, str] | None = None, html_col: str | None = None) -> Column:
-    """The content block chosen by subdomain, else the sentinel.
-
-    With the default selectors the parsed struct already holds each block;
-    ``selectors`` (a {subdomain or '*': css} map) re-extracts from
-    ``html_col`` instead.
-    """
-    if selectors is None:
-        s = F.col(f)
-        keys = {k: s[f"c_{_name(k)}"] for k in K.CONTENT_SELECTORS}
-    else:
-        specs = {f"c_{i}": (sel, "outer") for i, sel in enumerate(selectors.values())}
-        st = extract_fields(html_col, specs)
-        keys = {k: st[f"c_{i}"] for i, k in enumerate(selectors)}
-    chosen = None
-    for sub, col in keys.items():
-        if sub == "*":
-            continue
-        chosen = (F.when(subdomain == sub, col) if chosen is None else chosen.when(subdomain == sub, col))
-    default = keys.get("*", F.lit(None))
-    chosen = default if chosen is None else chosen.otherwise(default)
-    return F.coalesce(chosen, F.lit(K.NO_CONTENT_EXTRACTED))
+    p = F.col(f)
+    meta = _first(*[_truthy(attr(p, s, "content")) for s in K.AUTHOR_META_SELECTORS])
+    none = F.lit(K.NO_AUTHOR)
+    spans = texts(p, K.AUTHOR_SPAN_SELECTOR)
+    by = {sub: [text(p, s) for s in selectors] for sub, selectors in K.AUTHOR_SELECTORS.items()}
+    by["cebudailynews"] += [_truthy(_first_capture(spans, "(?U)" + K.AUTHOR_SPAN_PATTERN_CEBU)), text(p, K.AUTHOR_CEBU_LAST)]
+    by["bandera"] = [_truthy(_first_capture(spans, "(?U)" + K.AUTHOR_SPAN_PATTERN_BANDERA))]
+    selector, name = K.AUTHOR_DEFAULT_BYLINE_ATTR
+    platform = texts(p, K.AUTHOR_DEFAULT_PLATFORM + " *")
+    out = _first(_truthy(attr(p, selector, name)), F.when(F.size(platform) > 2, F.try_element_at(platform, F.lit(2))), none)
+    for sub, columns in by.items():
+        out = F.when(subdomain == sub, _first(*columns, none)).otherwise(out)
+    return F.when(meta.isNotNull(), _strip(meta)).otherwise(out)
+
+
+def content_element(f: str = "f", subdomain: Column | None = None, selectors: dict[str, str] | None = None) -> Column:
+    """The content block of the page's layout (``selectors``: by subdomain, ``*`` for any
+    other); null if the page has none."""
+    selectors = K.CONTENT_SELECTORS if selectors is None else selectors
+    p = F.col(f)
+    out = element(p, selectors["*"]) if "*" in selectors else F.lit(None)
+    for sub, s in selectors.items():
+        if sub != "*":
+            out = F.when(subdomain == sub, element(p, s)).otherwise(out)
+    return out
+
+
+def content_fallback(f: str = "f", subdomain: Column | None = None, selectors: dict[str, str] | None = None,
+                     html_col: str = "html") -> Column:
+    """Markup of the content block, else the sentinel."""
+    block = content_element(f, subdomain, selectors)
+    return F.coalesce(_let(block, lambda e: outer(F.col(html_col), e)), F.lit(K.NO_CONTENT_EXTRACTED))
 
 
 def tags_fallback(f: str = "f", subdomain: Column | None = None, marker: str = K.TAG_MARKER) -> Column:
     """P11 on article pages: tag-link hrefs of the layout -> 'a, b, c'."""
-    s = F.col(f)
-    hrefs = F.when(subdomain == "pop", s["tags_pop"]).otherwise(s["tags_default"])
+    p = F.col(f)
+    hrefs = F.when(subdomain == "pop", attrs(p, K.TAG_LINK_SELECTORS["pop"], "href")).otherwise(attrs(p, K.TAG_LINK_SELECTORS["*"], "href"))
     return tags_from_hrefs(F.coalesce(hrefs, F.array().cast("array<string>")), marker)
 
 
 def publish_time_fallback(f: str = "f") -> Column:
     """P8 on article pages: published-time metas, then the body date."""
-    s = F.col(f)
-    metas = F.when(F.size(F.coalesce(s["pub_meta_0"], F.array())) > 0, s["pub_meta_0"]).otherwise(s["pub_meta_1"])
-    body = F.when(F.size(F.coalesce(s["pub_body"], F.array())) > 0, F.array_join(s["pub_body"], " "))
-    return publish_time_parse_array(F.coalesce(metas, F.array().cast("array<string>")), body)
+    p = F.col(f)
+    first, second = (attrs(p, s, "content") for s in K.PUBLISH_META_SELECTORS)
+    metas = F.coalesce(F.when(F.size(first) > 0, first).otherwise(second), F.array().cast("array<string>"))
+    body = texts(p, K.PUBLISH_BODY_SELECTOR)
+    return publish_time_parse_array(metas, F.when(F.size(body) > 0, F.array_join(body, " ")))
 
 
 def article_details(pages: DataFrame, category_col: str = "category", date_col: str = "date",
-                    url_col: str = "url") -> DataFrame:
-    """Phase-2 record per fetched article page: key from the URL, fields from
-    the page with every fallback, raw content block kept for H1."""
-    p = page_fields(pages).withColumn("_u", url_parts(url_col))
+                    url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Phase-2 record per fetched article page: key from the URL, fields from the page with
+    every fallback, and the content block both as markup and as clean text (H1), all of
+    one parse."""
+    p = page_fields(pages, html_col, "f", "crawl").withColumn("_u", url_parts(url_col))
     sub = F.col("_u.subdomain")
+    p = p.withColumn("_block", content_element("f", sub))
+    cleaned = F.when(F.col("_block").isNotNull(), clean_text(F.col("f"), within=F.col("_block"))).otherwise(F.lit(K.NO_CONTENT_EXTRACTED))
     return p.select(article_key("_u").alias("id"), F.col("_u.origin").alias("source"), F.col(url_col).alias("url"),
                     F.col(category_col).alias("category"), F.col(date_col).cast("date").alias("date"),
                     title_fallback("f", sub).alias("title"), author_fallback("f", sub).alias("author"),
                     publish_time_fallback("f").alias("publish_time"),
-                    content_fallback("f", sub).alias("raw_content"), tags_fallback("f", sub).alias("tags"))
+                    F.coalesce(outer(F.col(html_col), F.col("_block")), F.lit(K.NO_CONTENT_EXTRACTED)).alias("raw_content"),
+                    cleaned.alias("content"), tags_fallback("f", sub).alias("tags"))
 
 
 # ------------------------------------------------------------------ H1
+#: Never text, whatever a caller drops.
+_NO_TEXT = ("head", "script", "style", "template")
+
+
+def _dropped(ids, classes, tags) -> str:
+    """Pattern of paths that lead through a dropped element."""
+    parts = [f"/{re.escape(t)}(?=[#./]|$)" for t in tags]
+    parts += [f"#{re.escape(segment('', {'id': i})[2:])}(?=[./]|$)" for i in ids]
+    parts += [rf"\.{re.escape(segment('', {'class': c})[2:])}(?=[./]|$)" for c in classes]
+    return "|".join(parts)
+
+
+def clean_text(page: Column, ids=K.CRAWL_UNWANTED_IDS, classes=K.CRAWL_UNWANTED_CLASSES, tags=K.CRAWL_UNWANTED_TAGS,
+               within: Column | None = None) -> Column:
+    """H1 on a parsed page: its pieces of text (those ``within`` an element), without dropped
+    elements.  Paragraphs are parted by a blank line, lines by a line break, cells by `` | ``;
+    headings start with ``#``, items with ``*`` or their number; links, images and emphasis
+    leave their text alone; whitespace is collapsed (P14)."""
+    away = _dropped(ids, classes, (*tags, *_NO_TEXT))
+    kept = F.filter(page["pieces"], lambda r: ~r["path"].rlike(away))
+    if within is not None:
+        kept = _let(within, lambda e: F.filter(kept, lambda r: r["element"].between(e["pos"], e["last"])))
+
+    def joined(pieces: Column) -> Column:
+        def piece(r: Column, i: Column) -> Column:
+            return _let(F.get(pieces, i - 1), lambda o: F.concat(
+                F.when(o.isNull(), r["mark"]).when(o["para"] != r["para"], F.concat(F.lit("\n\n"), r["mark"]))
+                .when(o["line"] != r["line"], F.concat(F.lit("\n"), r["mark"])).when(o["cell"] != r["cell"], F.lit(" | ")).otherwise(F.lit("")),
+                r["text"]))
+        return F.array_join(F.transform(pieces, piece), "")
+
+    return whitespace_collapse(F.regexp_replace(_let(kept, joined), " *\n *", "\n"))
+
+
 def html_clean_text(df: DataFrame, html_col: str, out_col: str = "text",
                     ids=K.CRAWL_UNWANTED_IDS, classes=K.CRAWL_UNWANTED_CLASSES, tags=K.CRAWL_UNWANTED_TAGS,
                     mode: str = "crawl") -> DataFrame:
-    """H1: page markup -> clean text.  Elements are dropped by id / class /
-    tag with their content, markup becomes markdown-like text without links,
-    images or emphasis, then whitespace is collapsed (P14, built-ins)."""
-    ids, classes, tags = tuple(ids), tuple(classes), tuple(tags)
+    """H1: page markup -> clean text.  ``mode="crawl"``: escaped markup in the text counts as
+    markup; ``mode="listing"``: the whole value is unescaped before it is parsed."""
+    parsed = df.withColumn("_page", parse_page(F.col(html_col), mode))
+    return parsed.withColumn(out_col, clean_text(F.col("_page"), tuple(ids), tuple(classes), tuple(tags))).drop("_page")
 
-    @F.pandas_udf(T.StringType())
-    def _clean(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: None if h is None else clean_markup(h, ids, classes, tags, mode))
 
-    return df.withColumn(out_col, whitespace_collapse(_clean(F.col(html_col))))
+# ------------------------------------------------------------------ H3
+def _list_links(elements: Column, ul: Column) -> Column:
+    """Hrefs of the links directly in the items of a list."""
+    items = F.transform(F.filter(elements, lambda e: (e["tag"] == "li") & (e["parent"] == ul["pos"])), lambda e: e["pos"])
+    links = _let(items, lambda li: F.filter(elements, lambda a: (a["tag"] == "a") & F.array_contains(li, a["parent"])))
+    return F.array_compact(F.transform(links, lambda a: a["attrs"]["href"]))
 
 
-# ------------------------------------------------------------------ H3
-SECTIONS_TYPE = T.ArrayType(T.StructType([T.StructField("heading", T.StringType()),
-                                          T.StructField("hrefs", T.ArrayType(T.StringType()))]))
+def section_links(page: Column, heading: str = "h4", nav_lists: bool = False) -> Column:
+    """Index-page sections, array of (heading, hrefs): for each heading the links ``li > a`` of
+    its first following sibling ``ul``; ``nav_lists`` instead takes each ``ul`` inside a ``nav``
+    as one section without a heading."""
+    def sections(elements: Column) -> Column:
+        if nav_lists:
+            lists = F.filter(elements, lambda e: matches(e, "nav ul"))
+            return F.transform(lists, lambda ul: F.struct(F.lit("").alias("heading"), _list_links(elements, ul).alias("hrefs")))
 
+        def section(h: Column) -> Column:
+            after = F.filter(elements, lambda e: (e["tag"] == "ul") & (e["parent"] == h["parent"]) & (e["pos"] > h["pos"]))
+            hrefs = _let(F.get(after, F.lit(0)), lambda ul: F.when(ul.isNotNull(), _list_links(elements, ul)).otherwise(F.array().cast("array<string>")))
+            name = F.regexp_replace(F.coalesce(F.get(h["texts"], F.lit(0)), F.lit("")), r"^\s+|\s+$", "")
+            return F.struct(name.alias("heading"), hrefs.alias("hrefs"))
 
-def section_links(html_col, heading: str = "h4", nav_lists: bool = False) -> Column:
-    @F.pandas_udf(SECTIONS_TYPE)
-    def _sections(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: None if h is None else
-                     [{"heading": t, "hrefs": l} for t, l in sections(parse(h), heading, nav_lists)])
-    return _sections(F.col(html_col) if isinstance(html_col, str) else html_col)
+        return F.transform(F.filter(elements, lambda e: e["tag"] == heading), section)
+
+    return _let(page["elements"], sections)
 
 
 def harvested_links(index_pages: DataFrame, date_col: str = "date", html_col: str = "html", url_col: str = "url",
                     categories: list[str] | None = None, nav_lists: bool = False, resolve_relative: bool = False,
-                    block_rules=K.SLUG_BLOCK_RULES) -> DataFrame:
-    """Index pages -> one row per accepted link with its key and arrival order.
+                    block_rules=K.SLUG_BLOCK_RULES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Index pages -> one row per accepted link with its key and arrival order (and the
+    columns ``carry`` of its page).
 
-    Steps: sections (UDF) -> category allow-list (F4) -> optional resolution
-    of site-relative links -> https only (F5) -> URL parts (P1) -> slug block
-    rules (F6) -> article key (P2).
+    Steps: parse, sections -> category allow-list (F4) -> optional resolution of
+    site-relative links -> https only (F5) -> URL parts (P1) -> slug block rules (F6) ->
+    article key (P2).
     """
-    secs = index_pages.select(F.col(date_col).cast("date").alias("date"), F.col(url_col).alias("_page_url"),
-                              F.posexplode(section_links(html_col, nav_lists=nav_lists)).alias("_sec", "s"))
-    links = secs.select("date", "_page_url", "_sec", F.col("s.heading").alias("category"),
+    parsed = page_fields(index_pages, html_col, "_page").withColumn("_sections", section_links(F.col("_page"), nav_lists=nav_lists))
+    secs = parsed.select(*carry, F.col(date_col).cast("date").alias("date"), F.col(url_col).alias("_page_url"),
+                         F.posexplode("_sections").alias("_sec", "s"))
+    links = secs.select(*carry, "date", "_page_url", "_sec", F.col("s.heading").alias("category"),
                         F.posexplode("s.hrefs").alias("_link", "href"))
     links = category_allow(links, categories)
     url = F.col("href")
@@ -544,17 +313,19 @@ def harvested_links(index_pages: DataFrame, date_col: str = "date", html_col: st
     links = https_only(links.withColumn("url", url))
     links = links.withColumn("_u", url_parts("url"))
     links = links.filter(~slug_blocked(F.col("_u.slug"), F.col("_u.subdomain"), block_rules))
-    return links.select(article_key("_u").alias("id"), F.col("_u.origin").alias("source"), "url", "category",
+    return links.select(*carry, article_key("_u").alias("id"), F.col("_u.origin").alias("source"), "url", "category",
                         "date", "_page_url", "_sec", "_link")
 
 
-def link_harvest(index_pages: DataFrame, known_ids: DataFrame, **kw) -> DataFrame:
-    """H3: index pages -> new stub rows (id, source, url, category, date).
-
-    Links already stored are skipped (J1) and a link repeated within the run
-    keeps its first arrival (N5; order = date, page, section, position).
-    """
-    links = harvested_links(index_pages, **kw)
+def new_stubs(links: DataFrame, known_ids: DataFrame) -> DataFrame:
+    """Harvested links -> new stub rows (id, source, url, category, date): links already
+    stored are skipped (J1) and a link repeated within the run keeps its first arrival
+    (N5; order = date, page, section, position)."""
     fresh = new_only(links, known_ids, "id")
     first = first_wins(fresh, "id", ["date", "_page_url", "_sec", "_link"])
     return first.select("id", "source", "url", "category", "date")
+
+
+def link_harvest(index_pages: DataFrame, known_ids: DataFrame, **kw) -> DataFrame:
+    """H3: index pages -> new stub rows."""
+    return new_stubs(harvested_links(index_pages, **kw), known_ids)

@@ -619,33 +619,53 @@ def _pages_fields(spark, d):
     return hj.page_fields(pages).withColumn("_u", ur.url_parts("url"))
 
 
+def _articles_fields(spark, d):
+    """Article pages of every layout, parsed once."""
+    pages = fx.article_pages(fx.load(spark, d, "documents"))
+    return hj.page_fields(pages).withColumn("_u", ur.url_parts("url"))
+
+
 @register("page_fields")
 def q_page_fields(spark, d):
-    return _pages_fields(spark, d).select("page_id", F.col("f.title_tag").alias("title"),
-                                          F.size("f.links").alias("n_links"))
+    p = F.col("f")
+    return _pages_fields(spark, d).select(
+        "page_id", hj.text(p, "title").alias("title"), F.size(hj.attrs(p, "a", "href")).alias("n_links"),
+        F.size(hj.select(p, "nav > ul > li a")).alias("n_list_links"), hj.attr(p, "html", "lang").alias("lang"),
+        hj.attr(p, "meta[charset]", "charset").alias("charset"), F.size(hj.select(p, "div.ad")).alias("n_ads"))
 
 
 @register("title_fallback")
 def q_title_fallback(spark, d):
+    return _articles_fields(spark, d).select("doc_id", hj.title_fallback("f", F.col("_u.subdomain")).alias("title"))
+
+
+@register("page_titles")
+def q_page_titles(spark, d):
     return _pages_fields(spark, d).select("page_id", hj.title_fallback("f", F.col("_u.subdomain")).alias("title"))
 
 
 @register("author_fallback")
 def q_author_fallback(spark, d):
-    return _pages_fields(spark, d).select("page_id", hj.author_fallback("f", F.col("_u.subdomain")).alias("author"))
+    return _articles_fields(spark, d).select("doc_id", hj.author_fallback("f", F.col("_u.subdomain")).alias("author"))
 
 
 @register("content_fallback")
 def q_content_fallback(spark, d):
-    pages = fx.load(spark, d, "pages").withColumn("_u", ur.url_parts("url"))
-    content = hj.content_fallback(subdomain=F.col("_u.subdomain"),
-                                  selectors={"blog": "div#FOR_target_content", "*": "article"}, html_col="html")
-    return pages.select("page_id", (content != "Cannot extract article content").alias("extracted"))
+    block = hj.content_fallback("f", F.col("_u.subdomain"))
+    return _articles_fields(spark, d).select("doc_id", F.md5(block).alias("block_md5"), F.length(block).cast("long").alias("n_chars"))
+
+
+@register("article_details")
+def q_article_details(spark, d):
+    """Fields and clean text of article pages: letters of the text, so that markup counts."""
+    rows = hj.article_details(fx.article_pages(fx.load(spark, d, "documents")))
+    words = F.array_join(F.regexp_extract_all("content", F.lit(r"(\p{L}+)"), 1), " ")
+    return rows.select("id", "source", "title", "author", "tags", "category", "date", F.md5(words).alias("words_md5"))
 
 
 @register("tags_from_hrefs")
 def q_tags_from_hrefs(spark, d):
-    return _pages_fields(spark, d).select("page_id", tx.tags_from_hrefs(F.col("f.links"), "/t").alias("tags"))
+    return _pages_fields(spark, d).select("page_id", tx.tags_from_hrefs(hj.attrs(F.col("f"), "a", "href"), "/t").alias("tags"))
 
 
 @register("html_clean_text")
@@ -664,22 +684,23 @@ def _index_pages(spark, d):
 HARVEST_OPTS = {"nav_lists": True, "resolve_relative": True}
 
 
-def _first_pass_ids(spark, d):
-    idx = _index_pages(spark, d)
-    stored = idx.filter(F.col("page_id") % 2 == 0)
-    empty = spark.createDataFrame([], "id string")
-    return hj.link_harvest(stored, empty, **HARVEST_OPTS).select("id")
+def _harvested(spark, d):
+    """Links of all index pages, parsed once and written; those of every second page count
+    as stored before."""
+    path = shared_path(spark, "links")
+    hj.harvested_links(_index_pages(spark, d), carry=("page_id",), **HARVEST_OPTS).write.parquet(path)
+    links = spark.read.parquet(path)
+    return links, links.filter(F.col("page_id") % 2 == 0).select("id")
 
 
 @register("link_harvest")
 def q_link_harvest(spark, d):
-    return hj.link_harvest(_index_pages(spark, d), _first_pass_ids(spark, d), **HARVEST_OPTS)
+    return hj.new_stubs(*_harvested(spark, d))
 
 
 @register("harvest_counters")
 def q_harvest_counters(spark, d):
-    links = hj.harvested_links(_index_pages(spark, d), **HARVEST_OPTS)
-    return ag.harvest_counters(links, _first_pass_ids(spark, d), "date", ["_page_url", "_sec", "_link"])
+    return ag.harvest_counters(*_harvested(spark, d), "date", ["_page_url", "_sec", "_link"])
 
 
 # ---------------------------------------------------------------- text trends

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslake.operators.filters import pending_articles, unextracted_articles
-from newslake.operators.html import article_details, html_clean_text, link_harvest
-from newslake.operators.windows import first_wins
+from newslake.operators.html import article_details, link_harvest
+from newslake.operators.windows import best_per_key, first_wins
 from newslake.operators.writes import upsert_two_phase
 from newslake.schema import conform_articles
 
@@ -30,18 +30,19 @@ def harvest_index(table: DataFrame, index_pages: DataFrame, seq_base: int = 0, *
 
 
 def resolve_articles(table: DataFrame, fetched: DataFrame, work: str = "pending", mode: str = "or",
-                     seq_base: int = 1) -> DataFrame:
+                     seq_base: int = 1, fetched_at: str | None = None) -> DataFrame:
     """Phase 2: fill the work list from fetched pages (url, html).
 
     ``work="pending"``: stubs (title NULL); ``work="unextracted"``: rows whose
-    title or content extraction failed (``mode`` as in F2).  Each page is
-    parsed once; the content block is cleaned to text (H1); one record per id
-    is upserted, replacing the five content columns.
+    title or content extraction failed (``mode`` as in F2).  Of several
+    fetches of a URL the latest by the column ``fetched_at`` counts (without one,
+    the smallest page).  Each page is parsed once, for its fields and for the text
+    of its content block (H1); one record per id is upserted, replacing the five
+    content columns.
     """
     todo = pending_articles(table) if work == "pending" else unextracted_articles(table, mode).drop("id")
-    pages = fetched.select("url", "html").join(todo.select("url", "category", "date"), on="url", how="inner")
-    pages = first_wins(pages, "url", ["html"])          # one fetch per URL
-    recs = article_details(pages)
-    cleaned = html_clean_text(recs, "raw_content", out_col="content")
-    batch = conform_articles(cleaned.withColumn("seq", F.lit(seq_base)), extra=["seq"])
+    when = [fetched_at] if fetched_at else []
+    pages = fetched.select("url", "html", *when).join(todo.select("url", "category", "date"), on="url", how="inner")
+    pages = best_per_key(pages, "url", [F.col(fetched_at)]) if fetched_at else first_wins(pages, "url", ["html"])
+    batch = conform_articles(article_details(pages).withColumn("seq", F.lit(seq_base)), extra=["seq"])
     return upsert_two_phase(table, batch)

@@ -371,16 +371,32 @@ DECODE_TITLE = ("regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?
                 "'&amp;?', '&', 'g')")
 ORACLE["page_fields"] = f"""
 select page_id, {DECODE_TITLE} as title,
-       cast(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as integer) as n_links
+       cast(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as integer) as n_links,
+       cast(len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="([^"]*)"', 1)) as integer) as n_list_links,
+       regexp_extract(html, '<html lang="([^"]*)"', 1) as lang, regexp_extract(html, '<meta charset="([^"]*)"', 1) as charset,
+       cast(len(regexp_extract_all(html, '<div class="ad">')) as integer) as n_ads
 from pages"""
-ORACLE["title_fallback"] = f"""
+ORACLE["page_titles"] = f"""
 select page_id, case when {DECODE_TITLE} != '' then regexp_replace({DECODE_TITLE}, '^\\s+|\\s+$', '', 'g')
                      else 'No title' end as title
 from pages"""
-ORACLE["author_fallback"] = "select page_id, 'No author' as author from pages"
-ORACLE["content_fallback"] = f"""with {PAGE_PARTS}
-select p.page_id, case when s.subdomain = 'blog' then false else contains(p.html, '<article>') end as extracted
-from pages p join parts2 s on p.page_id = s.page_id"""
+W = """w as (
+  select *, doc_id % 7 as k, 'Title ' || doc_id || ' of ' || source as t, 'Writer ' || doc_id % 37 as a,
+         ['newsinfo', 'lifestyle', 'pop', 'cebudailynews', 'bandera', 'newsinfo', 'newsinfo'][doc_id % 7 + 1] as host,
+         '<' || ['div id="FOR_target_content"', 'div class="x elementor-widget-theme-post-content"', 'div id="TO_target_content"', 'div id="article-content"',
+                 'div id="FOR_target_content"', 'div id="FOR_target_content"', 'div id="other"'][doc_id % 7 + 1] || '><h2>Part</h2><p>'
+             || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p><table><tr><td>c1</td><td>c2</td></tr></table></div>' as block
+  from documents),
+wf as (select *, case when k = 6 then 'No title' else t end as title, case when k = 6 then 'No author' else a end as author,
+              case when k = 6 then 'Cannot extract article content' end as none from w)"""
+ORACLE["title_fallback"] = f"with {W} select doc_id, title from wf"
+ORACLE["author_fallback"] = f"with {W} select doc_id, author from wf"
+ORACLE["content_fallback"] = f"with {W} select doc_id, md5(coalesce(none, block)) as block_md5, length(coalesce(none, block)) as n_chars from wf"
+ORACLE["article_details"] = rf"""with {W}
+select host || ':' || doc_id || ':story' as id, 'press' as source, title, author, case when k in (2, 5) then lang else '' end as tags, lang as category,
+       cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date,
+       md5(array_to_string(regexp_extract_all(coalesce(none, 'Part ' || text || ' c c'), '(\p{{L}}+)', 1), ' ')) as words_md5
+from wf"""
 ORACLE["tags_from_hrefs"] = """
 select page_id,
        array_to_string(list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1),

@@ -2,11 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from newslake.functions import urls as ur
 from newslake.operators import html as hj
 
+SF = "/root/testdata/sf0.001"
+
 INDEX = """<html><body>
 <h4> News </h4><p>intro paragraph</p>
 <ul><li><a href="https://newsinfo.inquirer.net/1/first-story">a</a></li>
@@ -24,12 +28,47 @@ def _pages(spark, rows):
     return spark.createDataFrame(rows, "url string, html string")
 
 
-def test_sections_follow_first_sibling_list():
-    secs = hj.sections(hj.parse(INDEX))
-    assert [h for h, _ in secs] == ["News", "Sports", "Lifestyle"]
-    assert len(secs[0][1]) == 5
-    assert secs[1][1] == secs[2][1] == ["https://lifestyle.inquirer.net/5/style",
-                                        "https://cebudailynews.inquirer.net/6/daily-news"]
+def test_sections_follow_first_sibling_list(spark):
+    page = hj.page_fields(_pages(spark, [("u", INDEX)]))
+    secs = page.select(hj.section_links(F.col("f")).alias("s")).first().s
+    assert [s.heading for s in secs] == ["News", "Sports", "Lifestyle"]
+    assert len(secs[0].hrefs) == 5
+    assert secs[1].hrefs == secs[2].hrefs == ["https://lifestyle.inquirer.net/5/style",
+                                              "https://cebudailynews.inquirer.net/6/daily-news"]
+
+
+@pytest.mark.parametrize("selector,want", [
+    ("p", ["1", "2", "4"]), (".a", ["1", "3"]), ("div .a", ["3"]), ("div > p", ["2"]), ("div p", ["2", "4"]), ("#m", ["m"]), ("div#m > *", ["2", "3"]),
+    ("div.b.c p", ["2", "4"]), ("div.b p.x", ["4"]), ("[data-k]", ["4"]), ('p[data-k="v/w"]', ["4"]), ('p[data-k^="v"]', ["4"]), ('[data-k$="w"]', ["4"]),
+    ('p[data-k*="/"]', ["4"]), ('p[data-k="v"]', []), ("span div", []), (".d-e", ["4"]), ("section > p", ["4"]), (".aa", []), ("div.b.x", [])])
+def test_selectors(spark, selector, want):
+    html = ('<p class="a" title="1">x</p><div id="m" class="b c" title="m"><p title="2">x</p><span class="a" title="3">x'
+            '<section><p class="x d-e" data-k="v/w" title="4">x</section></span></div>')
+    got = hj.page_fields(_pages(spark, [("u", html)])).select(hj.attrs(F.col("f"), selector, "title").alias("t")).first().t
+    assert got == want
+
+
+def test_one_parse_node_in_every_plan(spark):
+    for key in ("link_harvest", "harvest_counters", "page_fields", "title_fallback", "author_fallback", "content_fallback", "article_details",
+                "html_clean_text", "tags_from_hrefs"):
+        plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == (0 if key in ("link_harvest", "harvest_counters") else 1), key
+
+
+def test_clean_text_of_tables_lists_and_noscript(spark):
+    page = ("<head><title>no</title></head><table><tr><th>h1</th><th>h2</th></tr><tr><td>c1<td>c2</tr></table><ol><li>one<li>two <b>b</b></ol>"
+            "<ul><li>x<ol><li>y</ol></ul><noscript>shown</noscript><p>a<br>b</p>tail<p>&nbsp;&eacute; &amp;lt;b&amp;gt; 1 &lt; 2")
+    text = hj.html_clean_text(spark.createDataFrame([(page,), (None,), ("",)], "html string"), "html").select("text").collect()
+    assert text[0].text == "h1 | h2\nc1 | c2\n\n1. one\n2. two b\n\n* x\n\n1. y\n\nshown\n\na\nb\n\ntail\n\n\u00a0é &lt;b&gt; 1 < 2"
+    assert text[1].text is None and text[2].text == ""
+
+
+def test_outer_is_the_markup_as_it_stands(spark):
+    html = "<body>\n<p>é😀</p>\n<DIV  id=FOR_target_content class='q'>\nx <br/> <b>y</DIV ><p>after"
+    p = hj.page_fields(_pages(spark, [("u", html)]))
+    assert p.select(hj.content_fallback("f", F.lit("any")).alias("c")).first().c == "<DIV  id=FOR_target_content class='q'>\nx <br/> <b>y</DIV >"
+    open_end = hj.page_fields(_pages(spark, [("u", "<div id='FOR_target_content'>cut")]))
+    assert open_end.select(hj.content_fallback("f", F.lit("any")).alias("c")).first().c == "<div id='FOR_target_content'>cut"
 
 
 def test_link_harvest_rules(spark):

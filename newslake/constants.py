@@ -30,6 +30,8 @@ WEEKDAY_ABBREVIATIONS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 
 # Zone labels stripped (not converted) from RFC-822-like publish times.
 ZONE_LABELS = ["PST", "PHT", "UTC", "GMT"]
+# Minutes ahead of UTC that the labels stand for where they are converted (PST: Philippine time).
+ZONE_OFFSETS = {"PST": 480, "PHT": 480, "UTC": 0, "GMT": 0}
 
 # Access-challenge detection: phrases searched in the first 2,000 lower-cased
 # characters of a page; the live check uses only the first phrase.

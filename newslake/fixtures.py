@@ -96,7 +96,14 @@ def _first_line(d):
     return F.split_part(d.text, F.lit("\n"), F.lit(1))
 
 
-def listing_a(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _body(d, markup: bool):
+    """Body of a listing record: the text, or markup of it, escaped once more as listings send it."""
+    if not markup:
+        return d.text
+    return F.concat(F.lit("<p>"), _escaped(_escaped(d.text)), F.lit("</p><figure>caption</figure><p>end <b>of</b> text</p>"))
+
+
+def listing_a(documents: DataFrame, markup: bool = False) -> tuple[DataFrame, DataFrame]:
     """Shape A landing rows: (page, value) listing pages of 50 items, newest
     first, and one detail record per item (some items have none)."""
     d = documents
@@ -111,11 +118,11 @@ def listing_a(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
              .agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["it"])
                                      .alias("listItem"))).alias("value")))
     details = d.filter(d.doc_id % 11 != 0).select(
-        F.to_json(F.struct(d.doc_id.alias("_id"), F.struct(d.text.alias("body_html")).alias("data"))).alias("value"))
+        F.to_json(F.struct(d.doc_id.alias("_id"), F.struct(_body(d, markup).alias("body_html")).alias("data"))).alias("value"))
     return pages, details
 
 
-def listing_b(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def listing_b(documents: DataFrame, markup: bool = False) -> tuple[DataFrame, DataFrame]:
     """Shape B landing rows: per (section, page) summaries; detail records
     with absent keys, empty bodies and failed responses mixed in."""
     d = documents
@@ -130,7 +137,7 @@ def listing_b(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                   .alias("value")))
     data = F.struct(
         d.doc_id.alias("cms_article_id"),
-        F.when(d.doc_id % 4 == 0, F.lit("")).otherwise(d.text).alias("body"),
+        F.when(d.doc_id % 4 == 0, F.lit("")).otherwise(_body(d, markup)).alias("body"),
         F.when(d.doc_id % 8 == 0, F.lit(None).cast("string")).otherwise(_first_line(d)).alias("summary"),
         F.concat(F.lit(" "), d.lang, F.lit(" ,, "), d.source, F.lit(" ")).alias("cf_article_tags"),
         F.concat(F.lit("https://sections.example.com/"), d.lang, F.lit("/"), d.doc_id.cast("string")).alias("link"),
@@ -152,7 +159,7 @@ def _source_num(d):
     return F.substring(d.source, 4, 10).cast("bigint")
 
 
-def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def listing_c(documents: DataFrame, markup: bool = False) -> tuple[DataFrame, DataFrame]:
     """Shape C landing rows: pages of 10 posts with nested ``rendered``
     fields and tag-id arrays, plus the tag dimension (id, slug)."""
     d = documents
@@ -161,7 +168,7 @@ def listing_c(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("https://posts.example.com/"), d.lang, F.lit("/"), d.doc_id.cast("string"), F.lit("/")).alias("link"),
         ts_text(_doc_ts(), "iso").alias("date"),
         F.when(d.doc_id % 9 == 0, F.lit(None)).otherwise(F.struct(_first_line(d).alias("rendered"))).alias("title"),
-        F.struct(d.text.alias("rendered")).alias("content"),
+        F.struct(_body(d, markup).alias("rendered")).alias("content"),
         F.array(_lang_code(d), _source_num(d), F.lit(999999).cast("bigint")).alias("tags"))
     pages = (d.select(F.expr("doc_id div 10").alias("page"), F.struct(d.doc_id.alias("k"), post.alias("p")).alias("x"))
              .groupBy("page")
@@ -275,6 +282,17 @@ def article_pages(documents: DataFrame) -> DataFrame:
                     d.lang.alias("category"), F.date_add(F.lit(_dt.date(2024, 1, 1)), (d.doc_id % 90).cast("int")).alias("date"))
 
 
+def index_pages(articles: DataFrame, links: int = 200) -> DataFrame:
+    """(date, url, html): index pages of ``links`` consecutive articles at most, a heading and
+    a list of links for each category."""
+    a = articles.select("date", "category", "url", F.expr(f"doc_id div {links}").alias("part"), "doc_id")
+    lists = a.groupBy("date", "part", "category").agg(F.array_sort(F.collect_list(F.struct("doc_id", "url"))).alias("ls"))
+    lists = lists.select("date", "part", "category", F.concat(F.lit("<h4> "), F.col("category"), F.lit(" </h4><ul>"), F.array_join(F.transform(
+        "ls", lambda x: F.concat(F.lit('<li><a href="'), x["url"], F.lit('">x</a></li>'))), ""), F.lit("</ul>")).alias("list"))
+    return lists.groupBy("date", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("category", "list"))), lambda x: x["list"]), "").alias("html")) \
+        .select("date", F.concat(F.lit("https://press.example/index/"), F.col("date").cast("string"), F.lit("/"), F.col("part")).alias("url"), "html")
+
+
 # ---- Adapter P: events.ts written in the text forms pages use ---------------
 ZONES = ["PST", "PHT", "UTC", "GMT"]
 

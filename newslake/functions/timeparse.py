@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newslake.constants import WEEKDAY_ABBREVIATIONS, ZONE_LABELS
+from newslake.constants import WEEKDAY_ABBREVIATIONS, ZONE_LABELS, ZONE_OFFSETS
 
 ISO_Z_FRACTION = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 SPACE_SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -30,13 +30,21 @@ def _ntz(s: Column, fmt: str, whole_seconds: bool = False) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def parse_meta_time(v) -> Column:
+def _in_zone(wall: Column, minutes: Column, zone: str) -> Column:
+    """Wall clock of ``zone`` for one written with an offset (in minutes; null: none, as is)."""
+    utc = F.timestamp_add("MINUTE", -minutes, wall)
+    return F.when(minutes.isNull(), wall).otherwise(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))
+
+
+def parse_meta_time(v, zone: str | None = None) -> Column:
     """One meta value.
 
     If the text before the first comma is a single alphabetic word, it is the
     RFC-822-like form: zone labels are stripped (not converted) and the weekday
     dropped before parsing ``d MMM yyyy HH:mm:ss``.  Otherwise ISO-8601; an
-    explicit offset is dropped and the wall clock kept.
+    explicit offset is dropped and the wall clock kept.  With ``zone`` a label
+    (``ZONE_OFFSETS``) or an offset is converted instead, to that zone's wall clock;
+    values without either stay as written.
     """
     s = F.trim(_c(v))
     head = F.trim(F.split_part(s, F.lit(","), F.lit(1)))
@@ -54,6 +62,12 @@ def parse_meta_time(v) -> Column:
     plain = F.regexp_replace(plain, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
     plain = F.regexp_replace(plain, r"(?<=[T ])(\d{2})(\d{2})(\d{2})(?=$|\.)", "$1:$2:$3")
     iso = F.when(plain.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), plain.try_cast("timestamp_ntz"))
+    if zone is not None:
+        label = F.coalesce(*[F.when(F.contains(s, F.lit(k)), F.lit(m)) for k, m in ZONE_OFFSETS.items()])
+        offset = F.regexp_extract(s, r"[T ].{2,40}?(Z|[+-]\d{2}:?\d{2})$", 1)
+        minutes = F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, -2, 2).cast("int")
+        minutes = F.when(offset == "Z", F.lit(0)).when(F.length(offset) > 1, F.when(F.startswith(offset, F.lit("-")), -minutes).otherwise(minutes))
+        rfc, iso = _in_zone(rfc, label, zone), _in_zone(iso, minutes, zone)
     return F.when(rfc_form, rfc).otherwise(iso)
 
 
@@ -63,9 +77,9 @@ def parse_body_date(text) -> Column:
     return F.when(body != "", _ntz(body, "MMMM d, yyyy"))
 
 
-def publish_time_parse(meta, body_text=None) -> Column:
+def publish_time_parse(meta, body_text=None, zone: str | None = None) -> Column:
     """Ordered multi-format parse of one meta value, then the body date text."""
-    first = parse_meta_time(meta)
+    first = parse_meta_time(meta, zone)
     return first if body_text is None else F.coalesce(first, parse_body_date(body_text))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.dates import monday_of
+from newslake.session import shared_path
 
 
 def by_source(articles: DataFrame) -> DataFrame:
@@ -89,30 +90,25 @@ def listing_frontier(rows: DataFrame, start, section: str = "section", page: str
              .agg(F.count_if(in_range).alias("n_in_range"),
                   F.count_if(in_range & ~F.coalesce(F.col(known), F.lit(False))).alias("n_new"),
                   F.max(F.col("_stop_pos").isNotNull()).alias("reached_old")))
+    # The fold below asks the summaries several times; they are written once, so that the
+    # rows themselves are scanned for the stops and for the counts and not again.
+    path = shared_path(rows.sparkSession, "frontier_pages")
+    pages.write.parquet(path)
+    pages = rows.sparkSession.read.schema(pages.schema).parquet(path)
+    stop_here = (F.col("n_in_range") == 0) | (F.col("n_new") == 0) | F.col("reached_old")
+    included = (F.col("n_in_range") > 0) & (F.col("n_new") > 0) & F.col("reached_old")
     # A page number with no rows at all ends the walk too: the page after the
     # last page, or the first gap in numbering.
     nxt = pages.select(section, (F.col(page) - 1).alias(page), F.lit(True).alias("_has_next"))
-    with_next = pages.join(nxt, on=[section, page], how="left")
-    stop_flags = with_next.select(
-        section, page,
-        ((F.col("n_in_range") == 0) | (F.col("n_new") == 0) | F.col("reached_old")).alias("_stop_here"),
-        ((F.col("n_in_range") > 0) & (F.col("n_new") > 0) & F.col("reached_old")).alias("_include"),
-        F.col("_has_next").isNull().alias("_last_before_gap"))
-    first_pages = pages.groupBy(section).agg(F.min(page).alias("_first_page"))
-    # Missing page 1..(first_page-1) would stop the walk before anything.
-    stop = (stop_flags.groupBy(section)
-            .agg(F.min(F.when(F.col("_stop_here"), F.struct(F.col(page).alias("p"),
-                                                              F.col("_include").alias("inc")))).alias("_stop"),
-                 F.min(F.when(F.col("_last_before_gap"), F.col(page) + 1)).alias("_gap_page"))
-            .withColumn("_stop_page", F.col("_stop.p"))
-            .withColumn("_stop_included", F.col("_stop.inc"))
-            .join(first_pages, on=section))
-    stop = stop.withColumn(
-        "_end", F.when(F.col("_first_page") > 1, F.lit(-1)).otherwise(
-            F.when(F.col("_stop_page").isNull() | (F.col("_gap_page") <= F.col("_stop_page")),
-                   F.col("_gap_page") - 1)
-            .otherwise(F.when(F.col("_stop_included"), F.col("_stop_page")).otherwise(F.col("_stop_page") - 1))))
-    return (pages.join(stop.select(section, "_end"), on=section)
+    ends = (pages.join(nxt, on=[section, page], how="left").groupBy(section)
+            .agg(F.min(page).alias("_first_page"),
+                 F.min(F.when(stop_here, F.struct(F.col(page).alias("p"), included.alias("inc")))).alias("_stop"),
+                 F.min(F.when(F.col("_has_next").isNull(), F.col(page))).alias("_last_page")))
+    stop_page = F.col("_stop.p") - F.when(F.col("_stop.inc"), F.lit(0)).otherwise(F.lit(1))
+    # A walk that does not begin with page 1 (or 0) finds nothing.
+    end = (F.when(F.col("_first_page") > 1, F.lit(-1))
+           .when(F.col("_stop").isNull() | (F.col("_last_page") < F.col("_stop.p")), F.col("_last_page")).otherwise(stop_page))
+    return (pages.join(ends.select(section, end.alias("_end")), on=section)
             .filter(F.col(page) <= F.col("_end"))
             .select(section, page, "n_in_range", "n_new", "reached_old"))
 

@@ -48,30 +48,29 @@ def tag_lookup(df: DataFrame, id_col: str, tag_ids_col: str, tags: DataFrame, ta
     order (ties on equal positions broken by the slug); unmatched ids drop.
     Rows whose tags all fail to resolve get ''.
 
-    Resolved tags are regrouped on the row's own (id, tag ids) with a set
-    aggregate: copies of one row reduce map-side, so even an id repeated in
-    a third of the rows never builds a group larger than its own tag list,
-    and two rows with the same id but different lists stay apart.
+    Resolved tags are regrouped on 128 bits that stand for the row's own (id, tag
+    ids), so the lists travel in no shuffle key, with a set aggregate: copies of one
+    row reduce map-side, so even an id repeated in a third of the rows never builds
+    a group larger than its own tag list, and two rows with the same id but
+    different lists stay apart.
     """
-    key = [id_col, tag_ids_col]
-    exploded = df.select(*key, F.posexplode(tag_ids_col).alias("_pos", "_tag"))
+    keyed = df.withColumns({"_k1": F.xxhash64(id_col, tag_ids_col), "_k2": F.xxhash64(F.lit("tags"), id_col, tag_ids_col)})
+    exploded = keyed.select("_k1", "_k2", F.posexplode(tag_ids_col).alias("_pos", "_tag"))
     dim = tags.select(F.col(tag_id).alias("_tag"), F.col(slug).alias("_slug"))
     resolved = (exploded.join(dim, on="_tag", how="inner")
-                .groupBy(*key)
+                .groupBy("_k1", "_k2")
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("_pos", "_slug"))),
-                                              lambda s: s["_slug"]), sep).alias(out_col)))
-    base = df.drop(out_col) if out_col in df.columns else df
-    # Null-safe: a row without an id keeps its tags.
-    found = resolved.select(F.col(id_col).alias("_id"), F.col(tag_ids_col).alias("_ids"), out_col)
-    return (base.join(found, base[id_col].eqNullSafe(found["_id"]) & base[tag_ids_col].eqNullSafe(found["_ids"]), "left")
-            .drop("_id", "_ids")
-            .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))))
-
-
-def stopword_anti(tokens: DataFrame, col: str = "token", stopwords=ENGLISH_STOPWORDS) -> DataFrame:
-    """Drop stopword tokens (case-sensitive). The list is fixed and small,
-    so it compiles to an in-set hash probe rather than a join."""
-    return tokens.filter(~F.col(col).isin(list(stopwords)))
+                                              lambda s: s["_slug"]), sep).alias("_tags")))
+    return keyed.join(resolved, ["_k1", "_k2"], "left").withColumn(out_col, F.coalesce(F.col("_tags"), F.lit(""))).drop("_k1", "_k2", "_tags")
+
+
+def stopword_anti(tokens: DataFrame, col: str = "token", stopwords=ENGLISH_STOPWORDS, case_sensitive: bool = True) -> DataFrame:
+    """Drop stopword tokens; with ``case_sensitive`` (as the source does) "The" is
+    none.  The list is fixed and small, so it compiles to an in-set hash probe rather
+    than a join."""
+    if case_sensitive:
+        return tokens.filter(~F.col(col).isin(list(stopwords)))
+    return tokens.filter(~F.lower(F.col(col)).isin(sorted({w.lower() for w in stopwords})))
 
 
 def lemma_lookup(tokens: DataFrame, lemmas: DataFrame, col: str = "token", word: str = "word",

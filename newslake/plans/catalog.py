@@ -12,6 +12,7 @@ roles; the batch side is always the whole table, never a sample.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,7 @@ from newslake.operators import topk as tk
 from newslake.operators import windows as wn
 from newslake.operators import writes as wr
 from newslake.operators.versions import FileTable
+from newslake.plans import crawl as cw
 from newslake.plans import marts as mt
 from newslake.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newslake.session import checkpoint_root, shared_path
@@ -344,6 +346,24 @@ def q_sync_incremental(spark, d):
     return summary
 
 
+@register("sync_digests")
+def q_sync_digests(spark, d):
+    """W5 by range digests: the target lacks one row in 97."""
+    arts = _docs(spark, d)
+    synced, _ = wr.sync_by_digest(arts, arts.filter(F.col("id").cast("bigint") % 97 != 0))
+    return synced
+
+
+@register("bucketed_upsert")
+def q_bucketed_upsert(spark, d):
+    """W2 into a catalog table bucketed by id: the stored side is not shuffled."""
+    v = _versions(spark, d)
+    name = "articles_" + uuid.uuid4().hex
+    first = wr.upsert_two_phase(spark.createDataFrame([], ARTICLE_SCHEMA), v.filter(F.col("seq") <= 1))
+    stored = wr.save_bucketed(first, name, "id", path=shared_path(spark, name))
+    return wr.upsert_two_phase(stored, v.filter(F.col("seq") >= 2))
+
+
 # ---------------------------------------------------------------- quality
 @register("dq_unique")
 def q_dq_unique(spark, d):
@@ -426,6 +446,17 @@ def q_csv_rejects(spark, d):
     return accepted.unionByName(broken, allowMissingColumns=True)
 
 
+@register("listing_bodies")
+def q_listing_bodies(spark, d):
+    """S7-S9 with the clean-up of bodies on: markup in, letters of the text out."""
+    docs = fx.load(spark, d, "documents")
+    a = ls.norm_listing_detail(*fx.listing_a(docs, markup=True))
+    b = ls.norm_sectioned(*fx.listing_b(docs, markup=True))
+    c = ls.norm_nested_posts(*fx.listing_c(docs, markup=True))
+    words = F.array_join(F.regexp_extract_all("content", F.lit(r"(\p{L}+)"), 1), " ")
+    return ls.union_sources(a, b, c).select("id", "source", F.md5(words).alias("words_md5"))
+
+
 def _listing_rejects(split):
     reason = F.array_join("reasons", ", ").alias("reasons")
     return (split.accepted().select(F.lit("").alias("reasons")).unionByName(split.rejected().select(reason))
@@ -581,8 +612,10 @@ def q_challenge_page_flag(spark, d):
 
 @register("newest_first_cutoff")
 def q_newest_first_cutoff(spark, d):
-    ev = fx.load(spark, d, "events")
-    return fl.newest_first_cutoff(ev, ["event_type"], "value", "ts", "2024-01-15").select("event_id", "event_type")
+    """Listings newest first; every 97th row has no time, which ends nothing."""
+    ev = fx.load(spark, d, "events").withColumn("pos", -F.unix_micros(F.col("ts").cast("timestamp")))
+    ev = ev.withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts")))
+    return fl.newest_first_cutoff(ev, ["event_type"], "pos", "ts", "2024-01-15").select("event_id", "event_type")
 
 
 @register("has_key")
@@ -703,6 +736,18 @@ def q_harvest_counters(spark, d):
     return ag.harvest_counters(*_harvested(spark, d), "date", ["_page_url", "_sec", "_link"])
 
 
+@register("two_phase_crawl")
+def q_two_phase_crawl(spark, d):
+    """Index pages -> stubs -> fetched article pages -> filled articles."""
+    articles = fx.article_pages(fx.load(spark, d, "documents"))
+    root = shared_path(spark, "crawl")
+    stubs = cw.harvest_index(spark.createDataFrame([], ARTICLE_SCHEMA), fx.index_pages(articles))
+    stored = spark.read.schema(ARTICLE_SCHEMA).parquet(wr.commit_snapshot(stubs, root))
+    filled = cw.resolve_articles(stored, articles)
+    words = F.array_join(F.regexp_extract_all("content", F.lit(r"(\p{L}+)"), 1), " ")
+    return filled.select("id", "source", "url", "title", "author", "tags", "category", "date", F.md5(words).alias("words_md5"))
+
+
 # ---------------------------------------------------------------- text trends
 def _tokens(spark, d, keep_case=False):
     docs = fx.load(spark, d, "documents")

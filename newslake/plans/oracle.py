@@ -179,6 +179,7 @@ NORM_A = """norm_a as (
          case when doc_id % 11 != 0 then text else 'No content found' end as content,
          concat(lang, ',', source) as tags
   from docs_ts where doc_id % 13 != 0 and ts >= timestamp '2024-02-01')"""
+NORM_A_ALL = NORM_A.replace(" and ts >= timestamp '2024-02-01'", "")
 NORM_B = """norm_b as (
   select cast(doc_id as varchar) as id, 'manila_bulletin' as source,
          concat('https://sections.example.com/', lang, '/', cast(doc_id as varchar)) as url,
@@ -220,6 +221,11 @@ select cast(doc_id as varchar) as id, source, concat('https://example.com/', cas
        ts as publish_time, text as content, case when doc_id % 4 = 0 then null else lang end as tags
 from docs_ts"""
 
+ORACLE["listing_bodies"] = rf"""with {DOCS_TS}, {NORM_A_ALL}, {NORM_B}, {NORM_C},
+x as (select id, source, case when content = 'No content found' then content else content || ' end of text' end as content from norm_a
+      union all select id, source, case when cast(id as bigint) % 4 = 0 then content else content || ' end of text' end from norm_b
+      union all select id, source, content || ' end of text' from norm_c)
+select id, source, md5(array_to_string(regexp_extract_all(content, '(\p{{L}}+)', 1), ' ')) as words_md5 from x"""
 ORACLE["load_rejects"] = f"""with {DOCS_TS},
 j as (select *, concat_ws(', ', case when doc_id % 13 = 0 then 'id missing' end, case when doc_id % 7 = 2 then 'date unreadable' end,
                           case when doc_id % 11 = 3 then 'publish_time unreadable' end) as reasons from docs_ts)
@@ -325,9 +331,8 @@ ORACLE["challenge_page_rules"] = """
 with rules as (select distinct lower(substr(html, 400, 14)) as needle from pages where page_id % 100 = 0)
 select page_id, exists (select 1 from rules where length(needle) > 0 and contains(lower(substr(html, 1, 2000)), needle)) as is_challenge from pages"""
 ORACLE["newest_first_cutoff"] = """
-with s as (select event_type, min(value) as sp from events where ts < timestamp '2024-01-15' group by event_type)
-select e.event_id, e.event_type from events e left join s on e.event_type = s.event_type
-where s.sp is null or e.value < s.sp"""
+with s as (select event_type, max(ts) as last from events where ts < timestamp '2024-01-15' and event_id % 97 <> 0 group by event_type)
+select e.event_id, e.event_type from events e left join s on e.event_type = s.event_type where s.last is null or e.ts > s.last"""
 ORACLE["has_key"] = f"""with {A},
 x as (select case when cast(id as bigint) % 17 = 0 then null else id end as id,
              case when cast(id as bigint) % 13 = 0 then '' else url end as url from articles)
@@ -397,6 +402,12 @@ select host || ':' || doc_id || ':story' as id, 'press' as source, title, author
        cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date,
        md5(array_to_string(regexp_extract_all(coalesce(none, 'Part ' || text || ' c c'), '(\p{{L}}+)', 1), ' ')) as words_md5
 from wf"""
+ORACLE["two_phase_crawl"] = rf"""with {W}
+select host || ':' || doc_id || ':story' as id, 'press' as source, 'https://' || host || '.press.example/' || doc_id || '/story' as url,
+       title, author, case when k in (2, 5) then lang else '' end as tags, lang as category,
+       cast(date '2024-01-01' + cast(doc_id % 90 as integer) as date) as date,
+       md5(array_to_string(regexp_extract_all(coalesce(none, 'Part ' || text || ' c c'), '(\p{{L}}+)', 1), ' ')) as words_md5
+from wf"""
 ORACLE["tags_from_hrefs"] = """
 select page_id,
        array_to_string(list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1),
@@ -496,6 +507,8 @@ order by growth desc, term limit 20"""
 ORACLE["insert_filtered"] = ORACLE["insert_ignore"]
 ORACLE["new_only_filtered"] = ORACLE["new_only"]
 ORACLE["record_exists_filtered"] = ORACLE["record_exists"]
+ORACLE["sync_digests"] = f"with {A} select * from articles"
+ORACLE["bucketed_upsert"] = ORACLE["upsert_two_phase"]
 ORACLE["update_touched_files"] = ORACLE["conditional_update"]
 ORACLE["upsert_touched_files"] = ORACLE["upsert_two_phase"]
 

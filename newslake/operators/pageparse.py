@@ -180,11 +180,12 @@ def page_of(markup: str, mode: str) -> dict:
 
 
 def parse_page(html: Column, mode: str = "page") -> Column:
-    """``PAGE`` of each page; null for null.  Pages go through one at a time, so that a batch
-    holds the rows of its pages and no trees."""
+    """``PAGE`` of each page; null for null.  A few pages at a time are Python objects,
+    whatever the size of a batch; the rest of it is packed."""
     @F.arrow_udf(PAGE)
     def parsed(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else page_of(v, mode) for v in values.to_pylist()], _ARROW)
+        packed = [pa.array([None if v is None else page_of(v, mode) for v in values.slice(i, 32).to_pylist()], _ARROW) for i in range(0, len(values), 32)]
+        return pa.concat_arrays(packed) if packed else pa.array([], _ARROW)
 
     return parsed(html)
 

@@ -83,10 +83,10 @@ def publish_time_parse(meta, body_text=None, zone: str | None = None) -> Column:
     return first if body_text is None else F.coalesce(first, parse_body_date(body_text))
 
 
-def publish_time_parse_array(metas, body_text=None) -> Column:
+def publish_time_parse_array(metas, body_text=None, zone: str | None = None) -> Column:
     """As :func:`publish_time_parse` over an array of meta values: the first
     value that parses wins, then the body date text."""
-    parsed = F.filter(F.transform(_c(metas), parse_meta_time), lambda x: x.isNotNull())
+    parsed = F.filter(F.transform(_c(metas), lambda v: parse_meta_time(v, zone)), lambda x: x.isNotNull())
     first = F.try_element_at(parsed, F.lit(1))
     return first if body_text is None else F.coalesce(first, parse_body_date(body_text))
 

@@ -223,12 +223,18 @@ def article_details(pages: DataFrame, category_col: str = "category", date_col:
 _NO_TEXT = ("head", "script", "style", "template")
 
 
-def _dropped(ids, classes, tags) -> str:
-    """Pattern of paths that lead through a dropped element."""
-    parts = [f"/{re.escape(t)}(?=[#./]|$)" for t in tags]
-    parts += [f"#{re.escape(segment('', {'id': i})[2:])}(?=[./]|$)" for i in ids]
-    parts += [rf"\.{re.escape(segment('', {'class': c})[2:])}(?=[./]|$)" for c in classes]
-    return "|".join(parts)
+def _dropped(page: Column, ids, classes, tags) -> Column:
+    """Elements that are dropped, with all inside them, by tag, id or class."""
+    def away(e: Column) -> Column:
+        out = e["tag"].isin(list(tags))
+        if ids:
+            out = out | F.coalesce(e["attrs"]["id"].isin(list(ids)), F.lit(False))
+        if classes:
+            own = F.split(F.coalesce(e["attrs"]["class"], F.lit("")), r"\s+")
+            out = out | F.arrays_overlap(own, F.array(*[F.lit(c) for c in classes]))
+        return out
+
+    return F.filter(page["elements"], away)
 
 
 def clean_text(page: Column, ids=K.CRAWL_UNWANTED_IDS, classes=K.CRAWL_UNWANTED_CLASSES, tags=K.CRAWL_UNWANTED_TAGS,
@@ -237,20 +243,23 @@ def clean_text(page: Column, ids=K.CRAWL_UNWANTED_IDS, classes=K.CRAWL_UNWANTED_
     elements.  Paragraphs are parted by a blank line, lines by a line break, cells by `` | ``;
     headings start with ``#``, items with ``*`` or their number; links, images and emphasis
     leave their text alone; whitespace is collapsed (P14)."""
-    away = _dropped(ids, classes, (*tags, *_NO_TEXT))
-    kept = F.filter(page["pieces"], lambda r: ~r["path"].rlike(away))
-    if within is not None:
-        kept = _let(within, lambda e: F.filter(kept, lambda r: r["element"].between(e["pos"], e["last"])))
-
-    def joined(pieces: Column) -> Column:
-        def piece(r: Column, i: Column) -> Column:
-            return _let(F.get(pieces, i - 1), lambda o: F.concat(
-                F.when(o.isNull(), r["mark"]).when(o["para"] != r["para"], F.concat(F.lit("\n\n"), r["mark"]))
-                .when(o["line"] != r["line"], F.concat(F.lit("\n"), r["mark"])).when(o["cell"] != r["cell"], F.lit(" | ")).otherwise(F.lit("")),
-                r["text"]))
-        return F.array_join(F.transform(pieces, piece), "")
-
-    return whitespace_collapse(F.regexp_replace(_let(kept, joined), " *\n *", "\n"))
+    def kept(gone: Column) -> Column:
+        return F.filter(page["pieces"], lambda r: ~F.exists(gone, lambda e: r["element"].between(e["pos"], e["last"])))
+
+    def inside(e: Column) -> Column:
+        return F.filter(_let(gone, kept), lambda r: r["element"].between(e["pos"], e["last"]))
+
+    def piece(r: Column, o: Column) -> Column:
+        """A piece after ``o``, the one before it (null: none)."""
+        gap = (F.when(o.isNull(), r["mark"]).when(o["para"] != r["para"], F.concat(F.lit("\n\n"), r["mark"]))
+               .when(o["line"] != r["line"], F.concat(F.lit("\n"), r["mark"])).when(o["cell"] != r["cell"], F.lit(" | ")).otherwise(F.lit("")))
+        return F.concat(gap, r["text"])
+
+    gone = _dropped(page, ids, classes, (*tags, *_NO_TEXT))
+    pieces = _let(gone, kept) if within is None else _let(within, inside)
+    joined = _let(pieces, lambda ps: F.array_join(F.zip_with(
+        ps, F.concat(F.array(F.lit(None)), F.slice(ps, F.lit(1), F.greatest(F.size(ps) - 1, F.lit(0)))), piece), ""))
+    return whitespace_collapse(F.regexp_replace(joined, " *\n *", "\n"))
 
 
 def html_clean_text(df: DataFrame, html_col: str, out_col: str = "text",

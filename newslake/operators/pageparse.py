@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 #: directly inside it, and its slice of the markup.
 ELEMENT = ("struct<pos: int, last: int, parent: int, tag: string, path: string, attrs: map<string,string>, texts: array<string>,"
            " start: int, stop: int>")
-#: A piece of text: the element it is in and its path; the paragraph, line and table cell
-#: it belongs to (numbers that go up), what its line starts with, and the text.
-PIECE = "struct<element: int, path: string, para: int, line: int, cell: int, mark: string, text: string>"
+#: A piece of text: the element it is in; the paragraph, line and table cell it belongs to
+#: (numbers that go up), what its line starts with, and the text.
+PIECE = "struct<element: int, para: int, line: int, cell: int, mark: string, text: string>"
 PAGE = f"struct<elements: array<{ELEMENT}>, pieces: array<{PIECE}>>"
 
 _ARROW = pa.struct([
     ("elements", pa.list_(pa.struct([("pos", pa.int32()), ("last", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()), ("path", pa.string()),
                                      ("attrs", pa.map_(pa.string(), pa.string())), ("texts", pa.list_(pa.string())), ("start", pa.int32()), ("stop", pa.int32())]))),
-    ("pieces", pa.list_(pa.struct([("element", pa.int32()), ("path", pa.string()), ("para", pa.int32()), ("line", pa.int32()), ("cell", pa.int32()),
+    ("pieces", pa.list_(pa.struct([("element", pa.int32()), ("para", pa.int32()), ("line", pa.int32()), ("cell", pa.int32()),
                                    ("mark", pa.string()), ("text", pa.string())])))])
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -158,15 +158,13 @@ class Page(HTMLParser):
         text = BLANKS.sub(" ", data)
         if text and (self.begun or text != " "):
             self.begun = True
-            self.pieces.append({"element": self.open[-1]["pos"] if self.open else -1, "path": self.open[-1]["path"] if self.open else "",
-                                "para": self.para, "line": self.line, "cell": self.cell, "mark": self.mark, "text": text})
+            self.pieces.append({"element": self.open[-1]["pos"] if self.open else -1, "para": self.para,
+                                "line": self.line, "cell": self.cell, "mark": self.mark, "text": text})
 
     def _nested(self, data: str) -> None:
         """Pieces of markup inside text, as if it stood in the page."""
         for p in Page(_html.unescape(data)).pieces:
-            here = self.open[-1] if self.open else {"pos": -1, "path": ""}
-            self.pieces.append({**p, "element": here["pos"], "path": here["path"] + p["path"], "para": self.para + p["para"],
-                                "line": self.line + p["line"], "cell": self.cell + p["cell"], "mark": p["mark"] or self.mark})
+            self.pieces.append({**p, "element": self.open[-1]["pos"] if self.open else -1, "para": self.para + p["para"], "line": self.line + p["line"], "cell": self.cell + p["cell"], "mark": p["mark"] or self.mark})
             self.begun = True
         if self.pieces:
             self.para, self.line, self.cell = (max(getattr(self, k), self.pieces[-1][k]) for k in ("para", "line", "cell"))

@@ -267,7 +267,7 @@ def html_clean_text(df: DataFrame, html_col: str, out_col: str = "text",
                     mode: str = "crawl") -> DataFrame:
     """H1: page markup -> clean text.  ``mode="crawl"``: escaped markup in the text counts as
     markup; ``mode="listing"``: the whole value is unescaped before it is parsed."""
-    parsed = df.withColumn("_page", parse_page(F.col(html_col), mode))
+    parsed = df.withColumn("_page", parse_page(F.col(html_col), mode, lean=True))
     return parsed.withColumn(out_col, clean_text(F.col("_page"), tuple(ids), tuple(classes), tuple(tags))).drop("_page")
 
 

@@ -58,9 +58,9 @@ class Page(HTMLParser):
     """Elements and pieces of a page.  ``markup_in_text``: text that is itself markup (it was
     escaped) counts as markup for the pieces."""
 
-    def __init__(self, markup: str, markup_in_text: bool = False):
+    def __init__(self, markup: str, markup_in_text: bool = False, lean: bool = False):
         super().__init__(convert_charrefs=True)
-        self.markup, self.markup_in_text = markup, markup_in_text
+        self.markup, self.markup_in_text, self.lean = markup, markup_in_text, lean
         self.lines = [0, *accumulate(len(x) + 1 for x in markup.split("\n"))]
         self.elements: list[dict] = []
         self.pieces: list[dict] = []
@@ -115,11 +115,15 @@ class Page(HTMLParser):
             if self.open[i]["tag"] in held:
                 break
         named = {k: "" if v is None else v for k, v in reversed(attrs)}      # the first of repeated attributes counts
-        own = segment(tag, named)
-        above = self.open[-1]["path"] if self.open else ""
-        run = self.plain[-1] + 1 if above.endswith(own) and own == f"/{tag}" and self.open and self.open[-1]["tag"] == tag else 0
-        e = {"pos": len(self.elements), "parent": self.open[-1]["pos"] if self.open else -1, "tag": tag,
-             "path": above if run >= DEEPEST_RUN else above + own, "attrs": list(named.items()), "texts": [], "start": at}
+        run, path = 0, None
+        if self.lean:
+            named = {k: named[k] for k in ("id", "class") if k in named}
+        else:
+            own = segment(tag, named)
+            above = self.open[-1]["path"] if self.open else ""
+            run = self.plain[-1] + 1 if above.endswith(own) and own == f"/{tag}" and self.open and self.open[-1]["tag"] == tag else 0
+            path = above if run >= DEEPEST_RUN else above + own
+        e = {"pos": len(self.elements), "parent": self.open[-1]["pos"] if self.open else -1, "tag": tag, "path": path, "attrs": named, "texts": [], "start": at}
         self.elements.append(e)
         self._breaks(tag, True)
         if tag in ("ul", "ol"):
@@ -150,7 +154,8 @@ class Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.open:
-            self.open[-1]["texts"].append(data)
+            if not self.lean:
+                self.open[-1]["texts"].append(data)
             if self.open[-1]["tag"] in ("script", "style"):
                 return
         if self.markup_in_text and re.search(r"<[a-zA-Z/!]", data):
@@ -163,26 +168,50 @@ class Page(HTMLParser):
 
     def _nested(self, data: str) -> None:
         """Pieces of markup inside text, as if it stood in the page."""
-        for p in Page(_html.unescape(data)).pieces:
+        for p in Page(_html.unescape(data), lean=True).pieces:
             self.pieces.append({**p, "element": self.open[-1]["pos"] if self.open else -1, "para": self.para + p["para"], "line": self.line + p["line"], "cell": self.cell + p["cell"], "mark": p["mark"] or self.mark})
             self.begun = True
         if self.pieces:
             self.para, self.line, self.cell = (max(getattr(self, k), self.pieces[-1][k]) for k in ("para", "line", "cell"))
 
 
-def page_of(markup: str, mode: str) -> dict:
+def page_of(markup: str, mode: str, lean: bool = False) -> Page:
     """``mode``: "page" (elements and pieces as they stand), "crawl" (escaped markup in text
     is markup), "listing" (the whole value is escaped once more)."""
-    p = Page(_html.unescape(markup) if mode == "listing" else markup, mode == "crawl")
-    return {"elements": p.elements, "pieces": p.pieces}
+    return Page(_html.unescape(markup) if mode == "listing" else markup, mode == "crawl", lean)
 
 
-def parse_page(html: Column, mode: str = "page") -> Column:
-    """``PAGE`` of each page; null for null.  A few pages at a time are Python objects,
+def _offsets(sizes) -> pa.Array:
+    return pa.array([0, *accumulate(sizes)], pa.int32())
+
+
+def _column(rows: list[dict], name: str, kind: pa.DataType) -> pa.Array:
+    return pa.array([r[name] for r in rows], kind)
+
+
+def _packed(pages: list[Page | None]) -> pa.Array:
+    """Pages as Arrow, column by column."""
+    elements = [e for p in pages if p for e in p.elements]
+    pieces = [r for p in pages if p for r in p.pieces]
+    attrs = [kv for e in elements for kv in e["attrs"].items()]
+    of = _ARROW.field("elements").type.value_type
+    columns = {"attrs": pa.MapArray.from_arrays(_offsets(len(e["attrs"]) for e in elements), pa.array([k for k, _ in attrs], pa.string()), pa.array([v for _, v in attrs], pa.string())),
+               "texts": pa.ListArray.from_arrays(_offsets(len(e["texts"]) for e in elements), pa.array([t for e in elements for t in e["texts"]], pa.string()))}
+    rows = pa.StructArray.from_arrays([columns[f.name] if f.name in columns else _column(elements, f.name, f.type) for f in of], fields=list(of))
+    of = _ARROW.field("pieces").type.value_type
+    text = pa.StructArray.from_arrays([_column(pieces, f.name, f.type) for f in of], fields=list(of))
+    lists = [pa.ListArray.from_arrays(_offsets(len(p.elements) if p else 0 for p in pages), rows).cast(_ARROW.field("elements").type),
+             pa.ListArray.from_arrays(_offsets(len(p.pieces) if p else 0 for p in pages), text).cast(_ARROW.field("pieces").type)]
+    return pa.StructArray.from_arrays(lists, fields=list(_ARROW), mask=pa.array([p is None for p in pages], pa.bool_()))
+
+
+def parse_page(html: Column, mode: str = "page", lean: bool = False) -> Column:
+    """``PAGE`` of each page; null for null.  ``lean``: of elements only place, tag, id and
+    class, which is what cleaning text asks for.  A few pages at a time are Python objects,
     whatever the size of a batch; the rest of it is packed."""
     @F.arrow_udf(PAGE)
     def parsed(values: pa.Array) -> pa.Array:
-        packed = [pa.array([None if v is None else page_of(v, mode) for v in values.slice(i, 32).to_pylist()], _ARROW) for i in range(0, len(values), 32)]
+        packed = [_packed([None if v is None else page_of(v, mode, lean) for v in values.slice(i, 32).to_pylist()]) for i in range(0, len(values), 32)]
         return pa.concat_arrays(packed) if packed else pa.array([], _ARROW)
 
     return parsed(html)

@@ -13,33 +13,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors in an index block, queries in a query block, levels of impact.
 BLOCK = 8192
 QUERY_BLOCK = 1024
 LEVELS = 32
-#: Integer components beyond this stop here, so that no score leaves 64 bits.
-MOST = 1 << 27
+#: Largest component and score: what a long holds.
+MOST = (1 << 63) - 1
 
 
 class ImpactIndex:
-    """Postings of one block of integer vectors by component and quantised value."""
+    """Postings of one block of integer vectors by component and quantised value.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    Sums are taken in 64 bits where they must fit, else in integers of any size.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.vectors, self.copies = ids[order], vectors[order], copies[order]
+        if self.vectors.dtype != object and np.abs(self.vectors).max() >= 1 << 60:
+            self.vectors = self.vectors.astype(object)
         self.low, self.high = self.vectors.min(0), self.vectors.max(0)
         self.step = (self.high - self.low) // LEVELS + 1
-        level = (self.vectors - self.low) // self.step
+        level = ((self.vectors - self.low) // self.step).astype(np.int64)
+        # The most that a query can add to a sum for each unit of a component.
+        self.reach = np.maximum(abs(self.low), abs(self.high)).astype(float) * 2 + self.step.astype(float) * 2
+        self._wide: ImpactIndex | None = None
         self.postings = np.argsort(level, axis=0, kind="stable").T.copy()
         self.starts = np.stack([np.searchsorted(np.sort(level[:, d]), np.arange(LEVELS + 1)) for d in range(level.shape[1])])
 
-    def search(self, query: np.ndarray, k: int, skip: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best (ties: smaller id) without the id ``skip``."""
+    def without(self, id_: int) -> ImpactIndex:
+        """This index, or a smaller one if several of its vectors have the id ``id_``."""
+        lo, hi = np.searchsorted(self.ids, [id_, id_ + 1])
+        if hi - lo < 2:
+            return self
+        keep = np.append(np.flatnonzero(self.ids != id_), lo)  # one is left for ``search`` to skip
+        return ImpactIndex(self.ids[keep], self.vectors[keep], self.copies[keep])
+
+    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best (ties: smaller id), copies repeated, without
+        the id ``own``, which one vector at most may have."""
+        if self.vectors.dtype != object and np.abs(query.astype(float)) @ self.reach >= float(1 << 62):
+            if self._wide is None:
+                self._wide = ImpactIndex(self.ids, self.vectors.astype(object), self.copies)
+            return self._wide.search(query, k, own)
         n, dims = self.vectors.shape
+        skip = bool((self.ids == own).any())
+        wide = self.vectors.dtype == object
+        query = query.astype(self.vectors.dtype)
         up = query >= 0
+        base = (query * np.where(up, self.low, self.high)).sum()  # accumulators start here
         # A segment's impact: the least its postings add above the floor of the component.
         lv = np.arange(LEVELS)
         lows = self.low[:, None] + lv * self.step[:, None]
@@ -52,9 +77,9 @@ class ImpactIndex:
         dim, lev = dim[order], lev[order]
         impact = least[dim, lev]
         spread = np.abs(query) * (self.step - 1)  # what a posting may add above its impact
-        acc = np.zeros(n, np.int64)
+        acc = np.zeros(n, self.vectors.dtype)
         slack = int(spread.sum())
-        alive = n - (skip is not None)
+        alive = n - skip
         done = 0
         while True:
             stop = min(len(dim), done + max(64, len(dim) // 16))
@@ -66,94 +91,116 @@ class ImpactIndex:
             # What a vector may still gain: of each component at most its next impact.
             rest = 0
             if done < len(dim):
-                nxt = np.zeros(dims, np.int64)
+                nxt = np.zeros(dims, self.vectors.dtype)
                 left_d, first = np.unique(dim[done:], return_index=True)
                 nxt[left_d] = impact[done:][first]
                 rest = int(nxt.sum())
             if alive <= k:
                 pick = np.arange(n)
                 break
-            low = np.partition(acc, n - k - (skip is not None))[n - k - (skip is not None)]
-            pick = np.flatnonzero(acc + (rest + slack) >= low)
+            low = np.partition(acc, n - k - skip)[n - k - skip]
+            if wide:  # scores beyond a long are equal
+                low = max(-MOST, min(MOST, low + base)) - base
+                pick = np.flatnonzero(np.maximum(acc + (rest + slack), -MOST - base) >= low)
+            else:
+                pick = np.flatnonzero(acc + (rest + slack) >= low)
             if done == len(dim) or len(pick) <= max(4 * k, n // 50):
                 break
-        if skip is not None:
-            pick = pick[self.ids[pick] != skip]
+        if skip:
+            pick = pick[self.ids[pick] != own]
         score = self.vectors[pick] @ query
+        if wide:
+            score = np.array([max(-MOST, min(MOST, x)) for x in score.tolist()], np.int64)
         best = np.lexsort((self.ids[pick], -score))[:k]
+        best = np.repeat(best, np.minimum(self.copies[pick][best], k))[:k]
         return self.ids[pick][best], score[best]
 
 
 def to_integers(embedding, scale: int):
-    """floor(scale * x) of each component as long, stopped at +-2^27; null for a vector
-    that is null or holds null or non-finite components."""
+    """floor(scale * x) of each component as long (beyond a long: the largest or, for
+    negative ones, its opposite); null for a vector that is null or holds null or
+    non-finite components."""
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    whole = F.transform(embedding, lambda x: F.greatest(F.lit(-MOST), F.least(F.lit(MOST), F.floor(x.cast("double") * scale))).cast("long"))
+    whole = F.transform(embedding, lambda x: F.greatest(F.lit(-MOST), F.floor(x.cast("double") * scale).cast("long")))
     return F.when(embedding.isNotNull() & ~bad, whole)
 
 
+def _pack(part: pd.DataFrame) -> pd.DataFrame:
+    """One row of a block: ids, copies and components of its vectors as bytes.  The order
+    depends on the rows alone, so a block that is made again is the same."""
+    m = np.zeros((len(part), max(1, *map(len, part["v"]))), np.int64)
+    for i, x in enumerate(part["v"]):
+        m[i, :len(x)] = x
+    ids, copies = part["id"].to_numpy(np.int64), part["copies"].to_numpy(np.int64)
+    order = np.lexsort((*m.T[::-1], ids))
+    wide = bool(np.abs(m).max() >= 1 << 31)
+    return pd.DataFrame({"part": [part["part"].iloc[0]], "ids": [ids[order].tobytes()], "copies": [copies[order].tobytes()],
+                         "wide": [wide], "v": [m[order].astype(np.int64 if wide else np.int32).tobytes()]})
+
+
+def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row.ids, np.int64)
+    m = np.frombuffer(row.v, np.int64 if row.wide else np.int32).astype(np.int64)
+    return ids, np.frombuffer(row.copies, np.int64), m.reshape(len(ids), -1)
+
+
+def _widened(m: np.ndarray, dims: int) -> np.ndarray:
+    return np.pad(m, ((0, 0), (0, dims - m.shape[1])))
+
+
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
                 scale: int = 1024) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` best of ``vectors`` for each of ``queries``.
+    """``query_id, rank, vec_id, score``: the ``k`` best of ``vectors`` for each row of ``queries``.
 
     Score: inner product of floor(scale * x) components; ties go to the smaller id;
-    vectors with the query's own id are no candidates.  Null ids, null vectors and
-    such with null or non-finite components take no part; a shorter vector counts
-    as filled up with zeros.  Rows that repeat an id are candidates of their own.
-
-    Blocks of vectors (by id hash) are the index.  Each block of queries goes to each
-    of them, as packed rows over an equality join; every meeting yields its ``k``
-    best, and the best of these are the result.
+    vectors with the query's own id are no candidates.  Scores are exact in a long; one
+    beyond it is the largest long, or its opposite, and ranks as such.  Null ids, null
+    vectors and such with null or non-finite components take no part; a shorter vector
+    counts as filled up with zeros.  Rows that repeat an id are candidates, and as
+    queries have lists, of their own; rows alike in id and vector are one vector with
+    its number of copies until the result.  Empty tables give no rows; other columns
+    are not read.
+
+    Blocks of vectors (by hash) are the index.  Blocks of queries, the smaller side, go
+    to each of them: a task reads a block's index once, then its queries one block
+    after another.  Every meeting yields the ``k`` best, and the best of these are the
+    result.
     """
-    def packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    def packed(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
         ints = rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), to_integers(F.col(f"`{vector_col}`").cast("array<double>"), scale).alias("v")) \
             .where(F.col("id").isNotNull() & F.col("v").isNotNull())
         n = max(1, -(-ints.count() // size))
+        # The vector is part of the key, so repeats of an id are spread too.
+        counted = ints.withColumn("part", F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")).groupBy("part", "id", "v").agg(F.count("*").alias("copies"))
+        return counted.groupBy("part").applyInPandas(_pack, "part int, ids binary, copies binary, wide boolean, v binary"), n
 
-        def pack(part: pd.DataFrame) -> pd.DataFrame:
-            dims = max(map(len, part["v"]))
-            m = np.zeros((len(part), dims), np.int64)
-            for i, x in enumerate(part["v"]):
-                m[i, :len(x)] = x
-            return pd.DataFrame({"part": [part["part"].iloc[0]], "ids": [part["id"].to_numpy(np.int64).tobytes()], "dims": [dims],
-                                 "v": [m.astype(np.int32).tobytes()]})
-
-        # Repeats of an id are spread too: the vector is part of the key.
-        return ints.withColumn("part", F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")).groupBy("part") \
-            .applyInPandas(pack, "part int, ids binary, dims int, v binary").withColumnRenamed("part", name), n
-
-    index, n_index = packed(vectors, BLOCK, "block")
-    asked, _ = packed(queries, QUERY_BLOCK, "qpart")
-    # Queries, the smaller side, go to every block.
-    sent = asked.select("qpart", F.col("ids").alias("qids"), F.col("dims").alias("qdims"), F.col("v").alias("qv"),
-                        F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))).alias("block"))
+    index, n_index = packed(vectors, BLOCK)
+    asked, _ = packed(queries, QUERY_BLOCK)
+    places = F.sequence(F.lit(0), F.lit(n_index - 1))
+    rows = index.select(F.col("part").alias("block"), F.lit(-1).alias("qpart"), "ids", "copies", "wide", "v").unionByName(
+        asked.select(F.explode(places).alias("block"), F.col("part").alias("qpart"), "ids", "copies", "wide", "v"))
 
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, index_ = None, None
+        block, index_ = None, None
         for part in parts:
             for r in part.itertuples(index=False):
-                if held != r.block:
-                    held, index_ = r.block, (np.frombuffer(r.ids, np.int64), np.frombuffer(r.v, np.int32).astype(np.int64).reshape(-1, r.dims))
-                dims = max(r.dims, r.qdims)
-                q = np.frombuffer(r.qv, np.int32).astype(np.int64).reshape(-1, r.qdims)
-                q = np.pad(q, ((0, 0), (0, dims - r.qdims)))
-                if not isinstance(index_, ImpactIndex) or index_.vectors.shape[1] != dims:
-                    ids, m = (index_.ids, index_.vectors) if isinstance(index_, ImpactIndex) else index_
-                    index_ = ImpactIndex(ids, np.pad(m, ((0, 0), (0, dims - m.shape[1]))))
+                ids, copies, m = _unpack(r)
+                if r.qpart < 0:
+                    block, index_ = r.block, ImpactIndex(ids, m, copies)
+                    continue
+                if r.block != block:  # no vector has this block's hash
+                    continue
+                dims = max(m.shape[1], index_.vectors.shape[1])
+                if index_.vectors.shape[1] < dims:
+                    index_ = ImpactIndex(index_.ids, _widened(index_.vectors, dims), index_.copies)
                 out = []
-                for qid, x in zip(np.frombuffer(r.qids, np.int64).tolist(), q, strict=True):
-                    own = np.searchsorted(index_.ids, [qid, qid + 1])
-                    if own[1] - own[0] > 1:  # an id that repeats: none of its rows is a candidate
-                        keep = index_.ids != qid
-                        ids, score = ImpactIndex(index_.ids[keep], index_.vectors[keep]).search(x, k, None) if keep.any() else ([], [])
-                    else:
-                        ids, score = index_.search(x, k, qid if own[1] > own[0] else None)
-                    out.append(pd.DataFrame({"query_id": qid, "vec_id": ids, "score": score}))
+                for pos, (qid, x) in enumerate(zip(ids.tolist(), _widened(m, dims), strict=True)):
+                    best, score = index_.without(qid).search(x, k, qid)
+                    out.append(pd.DataFrame({"qpart": r.qpart, "pos": pos, "times": copies[pos], "query_id": qid, "vec_id": best, "score": score}))
                 yield pd.concat(out)
 
-    met = index.join(sent, "block").sortWithinPartitions("block")
-    found = met.select("block", "ids", "dims", "v", "qids", "qdims", "qv").mapInPandas(search, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct(
-        (-F.col("score")).alias("s"), F.col("vec_id")))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("p", "b")).select(
-        "query_id", (F.col("p") + 1).cast("int").alias("rank"), "b.vec_id", (-F.col("b.s")).alias("score"))
+    found = rows.repartition("block").sortWithinPartitions("block", "qpart").select("block", "qpart", "ids", "copies", "wide", "v") \
+        .mapInPandas(search, "qpart int, pos int, times long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("qpart", "pos").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("col")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -225,20 +226,50 @@ def test_embedding_dedup_finds_links_at_the_threshold(spark):
     assert found[False] >= 0.985 * planted[False] and found[True] >= 0.995 * planted[True]
 
 
-def test_top_k_brute_force(spark):
-    df, rows = vectors(spark, [(500, [5e30] * 16)])
-    rows = rows + [(500, [5e30] * 16)]
-    ok = [(i, [max(-topk.MOST, min(topk.MOST, math.floor(1024 * float(x)))) for x in v] if v else []) for i, v in rows
-          if v is not None and None not in v and all(map(math.isfinite, v))]
+def brute_top_k(rows, k=10):
+    most = topk.MOST
+    ok = [(i, [max(-most, min(most, math.floor(1024 * float(x)))) for x in v] if v else []) for i, v in rows
+          if i is not None and v is not None and None not in v and all(map(math.isfinite, v))]
     want = []
     for q, x in ok:
         if q % 100 == 0:
-            best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in ok if i != q)[:10]
-            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    got = topk.exact_top_k(df, df.where("vec_id % 100 = 0").dropDuplicates(["vec_id"])).collect()
-    seen = {q for q, *_ in want}
-    assert sorted(tuple(r) for r in got) == sorted({w for w in want if w[0] in seen})
+            best = sorted((-max(-most, min(most, sum(a * b for a, b in zip(x, y)))), i) for i, y in ok if i != q)[:k]
+            want += [(q, p + 1, i, -s) for p, (s, i) in enumerate(best)]
+    return sorted(want)
+
+
+def test_top_k_brute_force(spark):
+    df, rows = vectors(spark, [(500, [5e30] * 16)])
+    rows = rows + [(500, [5e30] * 16)]
+    got = topk.exact_top_k(df, df.where("vec_id % 100 = 0")).collect()
+    assert sorted(map(tuple, got)) == brute_top_k(rows)
     assert topk.exact_top_k(df.where("false"), df.where("false")).count() == 0
+    assert topk.exact_top_k(df, df.where("false")).count() == topk.exact_top_k(df.where("false"), df).count() == 0
+
+
+def test_top_k_repeated_rows_and_clashing_names(spark):
+    r = np.random.default_rng(4)
+    rows = [(i % 150, r.standard_normal(6).tolist()) for i in range(320)]  # ids repeat with other vectors
+    rows += [rows[0]] * 40 + [rows[7]] * 40 + [(None, [1.0] * 6), (100, []), (200, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>") \
+        .selectExpr("*", "1 AS id", "2 AS v", "3 AS part", "4 AS block", "5 AS score", "6 AS copies")
+    got = sorted(map(tuple, topk.exact_top_k(df, df.where("vec_id % 100 = 0")).collect()))
+    assert got == brute_top_k(rows)
+
+
+def test_top_k_with_large_components_equals_sql(spark):
+    one = spark.createDataFrame([(0, [1.0]), (1, [200000.0]), (2, [300000.0])], "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(one, one.where("vec_id = 0"), k=2).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(2, 1024 * 307200000), (1, 1024 * 204800000)]
+    r = np.random.default_rng(5)
+    rows = [(i, (r.standard_normal(8) * 10.0 ** r.integers(-2, 6)).tolist()) for i in range(300)]  # scores below 2^62
+    embeddings = pd.DataFrame(rows, columns=["vec_id", "embedding"])
+    con = duckdb.connect()
+    con.register("embeddings", embeddings)
+    want = con.execute(queries.ORACLE["op8_exact_top_k"]).fetch_df()[["query_id", "rank", "vec_id", "score"]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(df, df.where("vec_id % 100 = 0")).collect()
+    assert sorted(map(tuple, got)) == sorted(want.itertuples(index=False, name=None)) == brute_top_k(rows)
 
 
 def test_language_parse_against_naive():

@@ -46,16 +46,19 @@ def _hash_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dims: dict[int, list[int]] = {}
         for i, v in enumerate(vectors):
             by_dims.setdefault(len(v), []).append(i)
-        keys = np.zeros((len(vectors), TABLES), np.int32)
+        keys, scaled = np.zeros((len(vectors), TABLES), np.int32), [[]] * len(vectors)
         norms = np.zeros(len(vectors))
         for rows in by_dims.values():
             m = np.array([vectors[i] for i in rows], np.float64)
-            # Scaling first keeps squares of very large or small components finite.
-            top = np.abs(m).max(1, keepdims=True)
-            keys[rows] = bucket_keys(m / top)
-            norms[rows] = np.linalg.norm(m / top, axis=1) * top[:, 0]
+            # A power of two takes the largest component below 1, without rounding, so
+            # that no square or product is infinite or lost.
+            m = np.ldexp(m, -np.frexp(np.abs(m).max(1, keepdims=True))[1])
+            keys[rows] = bucket_keys(m)
+            norms[rows] = np.linalg.norm(m, axis=1)
+            for i, v in zip(rows, m, strict=True):
+                scaled[i] = v
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(vectors) + 1) * TABLES, pa.int32()), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays([b.column(c) for c in ("rep", "copies", "v")] + [pa.array(norms), lists],
+        yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("copies"), pa.array(scaled, b.column("v").type), pa.array(norms), lists],
                                          names=["rep", "copies", "v", "norm", "keys"])
 
 
@@ -77,8 +80,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.coalesce(fit, F.lit(False)).alias("fit"),
                           F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"), v.alias("v"))
     classes = rows.where("fit").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v"))
-    kind = rows.schema["v"].dataType.simpleString()
-    hashed = classes.select("rep", "copies", "v").mapInArrow(_hash_side, f"rep long, copies long, v {kind}, norm double, keys array<int>")
+    kind = "array<float>" if rows.schema["v"].dataType.simpleString() == "array<float>" else "array<double>"
+    hashed = classes.select("rep", "copies", F.col("v").cast(kind)).mapInArrow(_hash_side, f"rep long, copies long, v {kind}, norm double, keys array<int>")
     spread = hashed.select("*", F.posexplode("keys").alias("t", "k"))
     a, b = spread.alias("a"), spread.alias("b")
     first = F.array_position(F.zip_with("a.keys", "b.keys", lambda x, y: x == y), True) == F.col("a.t") + 1

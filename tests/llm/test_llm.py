@@ -205,6 +205,18 @@ def test_embedding_dedup_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("length", [1e-200, 1.0, 1e200])
+def test_embedding_dedup_of_any_length(spark, length):
+    r = np.random.default_rng(11)
+    base = r.standard_normal((60, 12))
+    unit = np.concatenate([base, base + r.standard_normal((60, 12)) * 0.02])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, (v * length).tolist()) for i, v in enumerate(unit)], "vec_id long, embedding array<double>") \
+        .selectExpr("*", "1 AS rep", "2 AS copies", "3 AS keys", "4 AS v", "5 AS norm")
+    want = ((unit @ unit.T >= 0.95).sum(1) - 1).tolist()
+    assert [x.n_links for x in embedding_dedup.near_duplicates(df).sort("vec_id").collect()] == want
+
+
 def test_embedding_dedup_finds_links_at_the_threshold(spark):
     r = np.random.default_rng(11)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -302,6 +314,16 @@ def test_language_id(spark):
     assert langid.predict_language(empty(spark), langid.learn(empty(spark), F.lit(True))).count() == 0
 
 
+def test_sample_of_repeated_ids_and_no_labels(spark):
+    rows = [(1, "same words here", "en", None, 0)] * 500 + [(1, f"other {chr(97 + i % 26) * (i // 26 + 1)}", "de", None, 0) for i in range(200)]
+    df = spark.createDataFrame(rows, DOCS)
+    texts = dict(langid.learn(df, F.lit(True)).texts)
+    assert texts["en"] == "same words here" and texts["de"].count("other") == langid.SAMPLE_DOCS
+    bare = spark.createDataFrame([(1, "zwei Worte", None, "s", 1), (2, " 12 ", None, "s", 1), (3, None, None, "s", 1), (4, "日本", None, None, 1)], DOCS)
+    assert langid.learn(bare, F.lit(True)) == langid.Sample("", ())
+    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(spark, bare, SF).collect()) == [1, 4]
+
+
 def test_piece_lattice_draws_by_weight():
     v = pieces.read_vocabulary()
     n = 20000

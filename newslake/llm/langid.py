@@ -40,7 +40,10 @@ def _folded(text: str) -> str:
 def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Sample:
     """Collect the bounded sample: of each language the ``SAMPLE_DOCS`` usable
     documents with the smallest id hash, of these whole texts while they fit
-    ``SAMPLE_CHARS`` (the first is cut there if it is longer alone)."""
+    ``SAMPLE_CHARS`` (the first is cut there if it is longer alone).  All languages
+    together stay within ``SAMPLE_TOTAL`` symbols, shared evenly.  Of rows that repeat
+    an id, equal texts count once.  Rows with a null id, text or language teach
+    nothing; without any other the sample is empty, and so is its alphabet."""
     id_, text, lang = (F.col(f"`{c}`") for c in (id_col, text_col, lang_col))
     good = docs.where(usable & lang.isNotNull() & text.isNotNull() & id_.isNotNull())
     hashed = good.select(lang.alias("lang"), id_.alias("id"), F.xxhash64(id_).alias("h"))
@@ -48,15 +51,22 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     picked = {r.id for r in best.select("id").collect()}
     if not picked:
         return Sample("", ())
-    rows = good.where(id_.isin(list(picked))).select(lang.alias("lang"), text.alias("text"), F.xxhash64(id_).alias("h")).collect()
+    @F.pandas_udf("string")
+    def fold(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _folded(t)[:SAMPLE_CHARS + 1])
+
+    # An id may have any number of rows: equal texts count once, and no language sends
+    # the driver more than its share of cut texts.
+    cut = good.where(id_.isin(list(picked))).select(lang.alias("lang"), F.xxhash64(id_).alias("h"), fold(text).alias("t")).distinct()
+    rows = cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("r") <= SAMPLE_DOCS).collect()
     by: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
-        by.setdefault(r.lang, []).append((r.h, _folded(r.text)))
+        by.setdefault(r.lang, []).append((r.h, r.t))
     room = min(SAMPLE_CHARS, SAMPLE_TOTAL // len(by))
     texts = []
     for name in sorted(by):
         taken, held = [], 0
-        for _, t in sorted(by[name])[:SAMPLE_DOCS]:
+        for _, t in sorted(by[name]):
             if t and (not taken or held + len(t) < room):
                 taken.append(t[:room])
                 held += len(taken[-1]) + 1
@@ -183,8 +193,9 @@ _parsers: dict[Sample, CrossParser] = {}
 
 def predict_language(docs: DataFrame, sample: Sample, text_col: str = "text", out_col: str = "language_id") -> DataFrame:
     """``docs`` with a struct ``out_col`` of ``lang`` and ``score``, from the whole text
-    alone.  Null, empty and letterless texts: ``und`` with score 0.  Each worker
-    builds the automata once from the sample."""
+    alone.  Null, empty and letterless texts: ``und`` with score 0; after an empty
+    sample all texts.  Each worker builds the automata once from the sample.  A column
+    of ``docs`` called ``out_col`` is replaced; pass another name to keep it."""
     @F.pandas_udf("lang string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         if sample not in _parsers:

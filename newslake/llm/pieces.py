@@ -68,7 +68,7 @@ class Lattice:
         chars = sorted({c for p in vocab.pieces for c in p})
         self.chars = np.array([ord(c) for c in chars], np.int64)
         place = {c: i for i, c in enumerate(chars)}
-        # A trie of the pieces: sorted keys (node, character) -> child.
+        # A trie of the pieces: (node, character) -> child.
         self.width, moves, ids = len(chars) + 1, {}, [-1]
         weights = [0.0]
         for piece, i in vocab.pieces.items():
@@ -81,10 +81,44 @@ class Lattice:
                     weights.append(0.0)
                 node = moves[key]
             ids[node], weights[node] = i, vocab.weights[piece]
-        self.keys = np.array(sorted(moves), np.int64)
-        self.child = np.array([moves[k] for k in self.keys.tolist()], np.int64)
+        self._hash(np.fromiter(moves, np.int64, len(moves)), np.fromiter(moves.values(), np.int64, len(moves)))
         self.ids, self.weights = np.array(ids, np.int64), np.array(weights)
         self.byte_weight = min(weights) * 1.5
+        # Place of each code point among the characters of the pieces; the last: none of them.
+        self.place = np.full(0x110000, self.width - 1, np.int32)
+        self.place[self.chars] = np.arange(len(chars))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _hash(self, keys: np.ndarray, children: np.ndarray) -> None:
+        """Fill the table of the trie's moves: open addressing, at most an eighth full."""
+        bits = max(4, int(8 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.child = np.full((1 << bits) + 64, -1, np.int64), np.full((1 << bits) + 64, -1, np.int32)
+        self.probes, at = 0, self._slot(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]
+            own = self.keys[at] == keys  # of several keys for one free slot one has got it
+            self.child[at[own]] = children[own]
+            keys, children, at = keys[~own], children[~own], at[~own] + 1
+            self.probes += 1
+
+    def _moves(self, keys: np.ndarray) -> np.ndarray:
+        """Child of each (node, character) key, -1 if there is none."""
+        at = self._slot(keys)
+        held = self.keys[at]
+        child = np.where(held == keys, self.child[at], -1).astype(np.int64)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        for step in range(1, self.probes):
+            if not len(left):
+                break
+            held, key = self.keys[at[left] + step], keys[left]
+            hit = held == key
+            child[left[hit]] = self.child[at[left[hit]] + step]
+            left = left[~hit & (held >= 0)]
+        return child
 
     def _edges(self, codes: np.ndarray, begin: np.ndarray, end_of: np.ndarray) -> tuple[np.ndarray, ...]:
         """Every piece at every place of the chunks: start, end, symbol, log weight.
@@ -93,16 +127,14 @@ class Lattice:
         character that is no piece gets its UTF-8 bytes as one edge, with a symbol
         below zero: -1 - code point.
         """
-        at = np.minimum(np.searchsorted(self.chars, codes), len(self.chars) - 1)
-        char = np.where(self.chars[at] == codes, at, self.width - 1)
+        char = self.place[codes]
         start, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
         single = np.zeros(len(codes), bool)
         found = []
         for depth in range(self.v.longest):
-            key = node * self.width + char[start + depth]
-            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = self.keys[k] == key
-            start, node = start[ok], self.child[k[ok]]
+            child = self._moves(node * self.width + char[start + depth])
+            ok = child >= 0
+            start, node = start[ok], child[ok]
             full = self.ids[node] >= 0
             if depth == 0:
                 single[start[full]] = True
@@ -120,7 +152,7 @@ class Lattice:
         """Forward weights of all chunks, one place of every chunk at a time.
 
         Returns the edges' start places and symbols, the running chance of each edge
-        added to the rank of its end node, and the rank of each end place.
+        at its end node, and the first edge and number of edges of each end place.
         """
         codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
         stop = np.cumsum(size)
@@ -130,8 +162,8 @@ class Lattice:
         order = np.argsort(depth << 40 | end << 5 | (end - start))
         start, end, sym, weight, depth = start[order], end[order], sym[order], weight[order], depth[order]
         new = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))  # first edge of each node
-        rank = np.zeros(len(codes) + 1, np.int64)
-        rank[end[new]] = np.arange(len(new))
+        head, fan = np.zeros(len(codes) + 1, np.int64), np.zeros(len(codes) + 1, np.int64)
+        head[end[new]], fan[end[new]] = new, np.diff(np.append(new, len(end)))
         total = np.zeros(len(codes) + 1)  # by end place; what a start place holds is set below
         first = begin[start] == start
         chance = np.empty(len(start))
@@ -150,7 +182,7 @@ class Lattice:
             part = np.minimum((run - base) / np.repeat(mass, width), 1.0)
             part[np.append(cut[1:], hi - lo) - 1] = 1.0
             chance[lo:hi] = part
-        return start, sym, np.repeat(np.arange(len(new)), np.diff(np.append(new, len(start)))) + chance, rank
+        return start, sym, chance, head, fan
 
     def sample(self, texts: list[str | None], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has.
@@ -168,7 +200,7 @@ class Lattice:
         distinct = list(dict.fromkeys(chunks))
         place = {c: i for i, c in enumerate(distinct)}
         lens = np.fromiter(map(len, distinct), np.int64, len(distinct))
-        start, sym, edge_end, rank = self._filter(distinct, lens)
+        start, sym, chance, head, fan = self._filter(distinct, lens)
         which = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))
         doc = np.repeat(np.arange(len(texts)), per)
         size, base = lens[which], (np.cumsum(lens) - lens)[which]
@@ -184,7 +216,12 @@ class Lattice:
                 x *= np.uint64(by)
             x ^= x >> np.uint64(31)
             u = (x >> np.uint64(38)).astype(np.float64) / (1 << 26)
-            edge = np.searchsorted(edge_end, rank[at] + u, side="right")
+            edge = head[at]
+            ask, last = np.flatnonzero(fan[at] > 1), edge + fan[at] - 1
+            while len(ask):  # past every edge whose running chance is not above the draw
+                ask = ask[chance[edge[ask]] <= u[ask]]
+                edge[ask] += 1
+                ask = ask[edge[ask] < last[ask]]
             steps.append((live, sym[edge]))
             at = start[edge]
             go = at > base[live]
@@ -209,6 +246,23 @@ class Lattice:
         return ids.astype(np.int32), np.bincount(doc_of, minlength=len(texts))
 
 
+class Decoder:
+    """Bytes of the pieces, one after another, and where each piece's begin."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.raw = np.frombuffer(b"".join(vocab.decoded), np.uint8)
+        self.size = np.fromiter(map(len, vocab.decoded), np.int64, len(vocab.decoded))
+        self.begin = np.cumsum(self.size) - self.size
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of consecutive runs of ``ids``, ``ends`` apart; special ids carry no text."""
+        size = self.size[ids]
+        stop = np.concatenate(([0], np.cumsum(size)))
+        raw = self.raw[np.repeat(self.begin[ids] - stop[:-1], size) + np.arange(stop[-1])].tobytes()
+        at = stop[ends].tolist()
+        return [raw[x:y].decode("utf-8", "replace") for x, y in zip(at[:-1], at[1:], strict=True)]
+
+
 def decode_ids(ids: list[int], vocab: Vocabulary) -> str:
     """The text of a list of piece ids; special ids carry no text."""
     return b"".join([vocab.decoded[i] for i in ids]).decode("utf-8", "replace")
@@ -232,7 +286,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
                        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("seed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(vocab)
+        lattice, decoder = Lattice(vocab), Decoder(vocab)
         for b in slices(batches, "text", PIECE_BYTES):
             texts = b.column("text").to_pylist()
             ids, n = lattice.sample(texts, b.column("seed").to_numpy(zero_copy_only=False).astype(np.int64))
@@ -243,8 +297,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
             spans = [None if t is None else (x, y)
                      for t, x, y in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             if decoded:
-                flat = ids.tolist()
-                cols.append(pa.array([p and decode_ids(flat[p[0]:p[1]], vocab) for p in spans], pa.string()))
+                cols.append(pa.array([p and t for p, t in zip(spans, decoder.texts(ids, ends), strict=True)], pa.string()))
             if digest:
                 raw = ids.astype("<i4").tobytes()
                 cols.append(pa.array([p and hashlib.sha256(raw[4 * p[0]:4 * p[1]]).hexdigest() for p in spans], pa.string()))

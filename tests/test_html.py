@@ -2,12 +2,14 @@
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from newslake.functions import urls as ur
 from newslake.operators import html as hj
+from newslake.operators import pageparse as pp
 
 SF = "/root/testdata/sf0.001"
 
@@ -144,3 +146,13 @@ def test_deeply_nested_unclosed_tags(spark):
     df = spark.createDataFrame([(page,)], "html string")
     text = hj.html_clean_text(df, "html").first().text
     assert text.split() == ["word"] * 5000
+
+
+def test_parsed_pages_are_sent_on_a_few_at_a_time(spark):
+    pages = ["<p>a</p>", None, ""] * 40
+    got = list(pp.packs(iter([pa.array(pages), pa.array([], pa.string())])))
+    assert [len(x) for x in got] == [32, 32, 32, 24]
+    assert [x["pieces"] and [t["text"] for t in x["pieces"]] if x else x for x in pa.concat_arrays(got).to_pylist()] == [["a"], None, []] * 40
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(pages)], "i long, h string").coalesce(1)
+    rows = df.select("i", "h", pp.parse_page(F.col("h")).alias("p")).collect()
+    assert len(rows) == 120 and all((r.p is None) == (r.h is None) for r in rows)

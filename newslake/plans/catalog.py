@@ -457,12 +457,6 @@ def q_listing_bodies(spark, d):
     return ls.union_sources(a, b, c).select("id", "source", F.md5(words).alias("words_md5"))
 
 
-def _listing_rejects(split):
-    reason = F.array_join("reasons", ", ").alias("reasons")
-    return (split.accepted().select(F.lit("").alias("reasons")).unionByName(split.rejected().select(reason))
-            .groupBy("reasons").agg(F.count(F.lit(1)).alias("n")))
-
-
 @register("listing_rejects")
 def q_listing_rejects(spark, d):
     """S7-S9 with rejects: items and details of the three listing shapes by outcome."""
@@ -471,7 +465,7 @@ def q_listing_rejects(spark, d):
     splits = {"detail": rj.listing_items(fx.faulty_pages(a), "detail"), "detail record": rj.listing_details(da, "detail"),
               "sectioned": rj.listing_items(fx.faulty_pages(b), "sectioned"), "sectioned record": rj.listing_details(db, "sectioned"),
               "posts": rj.listing_items(fx.faulty_pages(c), "posts")}
-    parts = [_listing_rejects(s).withColumn("shape", F.lit(name)) for name, s in splits.items()]
+    parts = [s.outcomes().withColumn("shape", F.lit(name)) for name, s in splits.items()]
     return functools.reduce(lambda x, y: x.unionByName(y), parts)
 
 

@@ -41,6 +41,11 @@ class Split:
         counts under each."""
         return self.judged.select(F.explode_outer("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
+    def outcomes(self) -> DataFrame:
+        """``reasons`` joined by ", " (accepted: "") and ``n``, the rows of :meth:`accepted` and
+        :meth:`rejected` that have them, counted in one pass over the judged rows."""
+        return self.judged.groupBy(F.array_join("reasons", ", ").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+
     def save(self, accepted_path: str, rejects_path: str, mode: str = "append") -> None:
         self.accepted().write.mode(mode).parquet(accepted_path)
         self.rejected().write.mode(mode).parquet(rejects_path)

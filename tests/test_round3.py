@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from newslake import fixtures as fx
 from newslake.functions import timeparse as tp
 from newslake.operators import aggregates as ag
@@ -14,6 +15,7 @@ from newslake.operators import writes as wr
 from newslake.plans import crawl as cw
 from newslake.schema import ARTICLE_SCHEMA
 from newslake.session import shared_path
+from newslake.sources import rejects as rj
 
 SF = "/root/testdata/sf0.001"
 
@@ -131,3 +133,28 @@ def test_latest_fetch_counts(spark):
     fetched = spark.createDataFrame([("https://h.press.example/1/s", "<title>new and longer</title>", 2), ("https://h.press.example/1/s", "<title>a</title>", 1)],
                                     "url string, html string, at int")
     assert cw.resolve_articles(table, fetched, fetched_at="at").first().title == "new and longer"
+
+
+def test_one_pass_over_what_is_counted(spark):
+    plan = lambda name: E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan("listing_rejects").count("FileScan parquet") == 5        # each load once, not its two outcomes apart
+    assert plan("top_terms").count("Exchange") == 1                      # texts travel, their tokens do not
+
+
+def test_outcomes_count_accepted_and_rejected(spark):
+    pages = spark.createDataFrame([('{"listItem": [{"_id": 1, "slugline_url": "a", "createdDateFull": "2024-01-01T00:00:00.000Z"}, {"_id": null}]}',),
+                                   ("{",), (None,)], "value string")
+    split = rj.listing_items(pages, "detail")
+    got = {r.reasons: r.n for r in split.outcomes().collect()}
+    want = {}
+    for r in split.rejected().collect():
+        want[", ".join(r.reasons)] = want.get(", ".join(r.reasons), 0) + 1
+    assert got == {"": split.accepted().count(), **want} and got[""] == 1 and got["malformed page"] == 2
+
+
+def test_landed_files_grow_with_the_input(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 16)
+    assert spark.read.parquet(fx.land(df, str(tmp_path / "many"), 2)).count() == 1000
+    assert len(list((tmp_path / "many").glob("*.parquet"))) == 4
+    fx.land(df.coalesce(1), str(tmp_path / "few"), 3)
+    assert len(list((tmp_path / "few").glob("*.parquet"))) == 3

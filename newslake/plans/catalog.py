@@ -743,8 +743,12 @@ def q_two_phase_crawl(spark, d):
 
 
 # ---------------------------------------------------------------- text trends
-def _tokens(spark, d, keep_case=False):
+def _tokens(spark, d, keep_case=False, together=False):
+    """``together``: the texts of a document travel to one task before they are cut into
+    tokens, so that its tokens need not."""
     docs = fx.load(spark, d, "documents")
+    if together:
+        docs = docs.select("doc_id", "text").repartition("doc_id")
     return tx.tokenise(docs, "doc_id", "text", keep_case_col="raw" if keep_case else None)
 
 
@@ -759,7 +763,7 @@ def q_stopword_anti(spark, d):
 
 
 def _term_counts(spark, d):
-    toks = jn.stopword_anti(_tokens(spark, d, keep_case=True), "raw")
+    toks = jn.stopword_anti(_tokens(spark, d, keep_case=True, together=True), "raw")
     return ag.term_counts(toks, "doc_id", "token")
 
 

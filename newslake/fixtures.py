@@ -330,8 +330,10 @@ def raw_tags(part: DataFrame) -> DataFrame:
 
 # ---- landing files for the streaming jobs -----------------------------------
 def land(df: DataFrame, path: str, files: int) -> str:
-    """Write ``df`` as about ``files`` parquet files under ``path`` (append)."""
-    df.repartition(files).write.mode("append").parquet(path)
+    """Write ``df`` as about ``files`` parquet files under ``path`` (append), or one for every
+    four partitions of ``df`` if that is more, so that what a task writes or reads does not
+    grow with ``df``."""
+    df.repartition(max(files, df.rdd.getNumPartitions() // 4)).write.mode("append").parquet(path)
     return path
 
 

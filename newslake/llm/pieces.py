@@ -82,7 +82,7 @@ class Lattice:
                 node = moves[key]
             ids[node], weights[node] = i, vocab.weights[piece]
         self._hash(np.fromiter(moves, np.int64, len(moves)), np.fromiter(moves.values(), np.int64, len(moves)))
-        self.ids, self.weights = np.array(ids, np.int64), np.array(weights)
+        self.ids, self.weights = np.array(ids, np.int32), np.array(weights)
         self.byte_weight = min(weights) * 1.5
         # Place of each code point among the characters of the pieces; the last: none of them.
         self.place = np.full(0x110000, self.width - 1, np.int32)
@@ -125,7 +125,7 @@ class Lattice:
 
         ``begin`` and ``end_of`` give the bounds of the chunk of each character.  A
         character that is no piece gets its UTF-8 bytes as one edge, with a symbol
-        below zero: -1 - code point.
+        below zero: -1 - code point.  Places and symbols take four bytes each.
         """
         char = self.place[codes]
         start, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
@@ -138,14 +138,14 @@ class Lattice:
             full = self.ids[node] >= 0
             if depth == 0:
                 single[start[full]] = True
-            found.append((start[full], start[full] + depth + 1, self.ids[node[full]], self.weights[node[full]]))
+            found.append((start[full].astype(np.int32), (start[full] + depth + 1).astype(np.int32), self.ids[node[full]], self.weights[node[full]]))
             more = start + depth + 1 < end_of[start]
             start, node = start[more], node[more]
             if not len(start):
                 break
         lone = np.flatnonzero(~single)
         raw = 1 + (codes[lone] > 0x7F) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
-        found.append((lone, lone + 1, -1 - codes[lone], self.byte_weight * raw))
+        found.append((lone.astype(np.int32), (lone + 1).astype(np.int32), (-1 - codes[lone]).astype(np.int32), self.byte_weight * raw))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def _filter(self, chunks: list[str], size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -159,7 +159,7 @@ class Lattice:
         begin, end_of = np.repeat(stop - size, size), np.repeat(stop, size)
         start, end, sym, weight = self._edges(codes, begin, end_of)
         depth = end - begin[start]
-        order = np.argsort(depth << 40 | end << 5 | (end - start))
+        order = np.argsort(depth << 40 | end.astype(np.int64) << 5 | (end - start))
         start, end, sym, weight, depth = start[order], end[order], sym[order], weight[order], depth[order]
         new = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))  # first edge of each node
         head, fan = np.zeros(len(codes) + 1, np.int64), np.zeros(len(codes) + 1, np.int64)

@@ -54,3 +54,19 @@ def test_phrases_in_the_head_only(spark):
     assert {r.id: r.is_challenge for r in got.collect()} == {1: True, 2: False, 3: False, 4: False}
     none = ru.challenge_by_rules(pages, spark.createDataFrame([], "needle string"))
     assert none.where("is_challenge").count() == 0 and none.count() == 4
+
+
+def test_a_text_that_holds_every_rule_is_one_row(spark):
+    word = "abcdefghijklmnopqrstuvwxyz" * 2
+    rules = [(word[i:j], s) for i in range(26) for j in range(i + 1, 48, 3) for s in (None, "www")]
+    df, table = frames(spark, [(i, word + str(i), "www") for i in range(40)] + [(90, "-", "www")], rules)
+    assert ru.holders(df, F.col("slug"), table, F.col("subdomain")).count() == 40
+    assert [r.id for r in ru.block_by_rules(df, table).collect()] == [90]
+
+
+def test_needles_of_any_length_across_blocks(spark):
+    r = random.Random(6)
+    texts = [(i, "".join(r.choice("ab\n😀é") for _ in range(r.choice([0, 3, 900, 1030, 2500, 9000]))), r.choice(["blog", None])) for i in range(30)]
+    long = [t for _, t, _ in texts if len(t) > 800]
+    rules = [(t[i:i + n], r.choice([None, "blog"])) for t in long for n in (5, 31, 32, 63, 64, 700, 1500) for i in (0, 1000, 1023, 1025, len(t) - n) if i >= 0]
+    compared(spark, texts, rules)

@@ -93,14 +93,14 @@ def _doc_ts():
 
 
 def _first_line(d):
-    return F.split_part(d.text, F.lit("\n"), F.lit(1))
+    return F.substring_index(d.text, "\n", 1)
 
 
 def _body(d, markup: bool):
     """Body of a listing record: the text, or markup of it, escaped once more as listings send it."""
     if not markup:
         return d.text
-    return F.concat(F.lit("<p>"), _escaped(_escaped(d.text)), F.lit("</p><figure>caption</figure><p>end <b>of</b> text</p>"))
+    return F.concat(F.lit("<p>"), _escaped(d.text, 2), F.lit("</p><figure>caption</figure><p>end <b>of</b> text</p>"))
 
 
 def listing_a(documents: DataFrame, markup: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -245,8 +245,11 @@ def paged_listing(events: DataFrame, page_size: int = 25) -> DataFrame:
 
 
 # ---- Adapter W: documents as article pages of every site layout -------------
-def _escaped(c):
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+def _escaped(c, times: int = 1):
+    amp = "&" + "amp;" * times
+    for sign, name in (("&", ""), ("<", "lt;"), (">", "gt;")):
+        c = F.replace(c, F.lit(sign), F.lit(amp if not name else "&" + "amp;" * (times - 1) + name))
+    return c
 
 
 LAYOUT_HOSTS = ["newsinfo", "lifestyle", "pop", "cebudailynews", "bandera", "newsinfo", "newsinfo"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +12,33 @@ from newslake.constants import NO_CONTENT_FOUND, NO_TITLE_FOUND, UNKNOWN
 
 # Python's str.strip() removes surrounding whitespace of any kind.
 _EDGE_WS = r"^\s+|\s+$"
+# What ``$`` may stand before, besides the end of the text, and ``\s`` does not take.
+_LAST = ["\u0085", "\u2028", "\u2029"]
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def replaced(text: Column, pattern: str, by: str, *signs: str) -> Column:
+    """``regexp_replace`` of a text that holds one of the ``signs``, without which the pattern
+    matches nowhere; any other text is only looked through for them."""
+    def body(t: Column) -> Column:
+        held = [F.contains(t, F.lit(s)) for s in signs]
+        return F.when(functools.reduce(lambda a, b: a | b, held), F.regexp_replace(t, pattern, by)).otherwise(t)
+
+    return let(text, body)
+
+
 def strip_ws(x) -> Column:
-    return F.regexp_replace(_c(x), _EDGE_WS, "")
+    """``_EDGE_WS`` removed; only a text with an odd end is searched from end to end for it."""
+    x = _c(x)
+    return F.when(F.substring(x, -1, 1).isin(_LAST), F.regexp_replace(x, _EDGE_WS, "")).otherwise(F.btrim(x, F.lit(" \t\n\x0b\f\r")))
 
 
 def tags_normalise(tags) -> Column:
@@ -49,9 +71,8 @@ def fill_defaults(df: DataFrame, defaults: dict[str, str] | None = None) -> Data
 
 def whitespace_collapse(text) -> Column:
     """Three or more newlines -> two, runs of spaces -> one, strip the ends."""
-    t = F.regexp_replace(_c(text), r"\n{3,}", "\n\n")
-    t = F.regexp_replace(t, " +", " ")
-    return strip_ws(t)
+    t = replaced(_c(text), r"\n{3,}", "\n\n", "\n\n\n")
+    return let(replaced(t, " {2,}", " ", "  "), strip_ws)
 
 
 def boilerplate_cut(text, marker: str) -> Column:

@@ -10,13 +10,12 @@ evaluated.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake import constants as K
-from newslake.functions.text import tags_from_hrefs, whitespace_collapse
+from newslake.functions.text import let as _let, replaced, tags_from_hrefs, whitespace_collapse
 from newslake.functions.timeparse import publish_time_parse_array
 from newslake.functions.urls import article_key, url_parts
 from newslake.operators.filters import category_allow, https_only, slug_blocked
@@ -25,11 +24,6 @@ from newslake.operators.pageparse import parse_page, segment
 from newslake.operators.windows import first_wins
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 # ------------------------------------------------------------------ selectors
 _COMPOUND = re.compile(r"""([a-zA-Z0-9]+|\*)?((?:[#.][\w-]+|\[[^\]]+\])*)""")
 _PART = re.compile(r"""#([\w-]+)|\.([\w-]+)|\[\s*([\w:-]+)\s*(?:([*^$]?=)\s*["']?(.*?)["']?\s*)?\]""")
@@ -259,7 +253,7 @@ def clean_text(page: Column, ids=K.CRAWL_UNWANTED_IDS, classes=K.CRAWL_UNWANTED_
     pieces = _let(gone, kept) if within is None else _let(within, inside)
     joined = _let(pieces, lambda ps: F.array_join(F.zip_with(
         ps, F.concat(F.array(F.lit(None)), F.slice(ps, F.lit(1), F.greatest(F.size(ps) - 1, F.lit(0)))), piece), ""))
-    return whitespace_collapse(F.regexp_replace(joined, " *\n *", "\n"))
+    return whitespace_collapse(replaced(joined, " *\n *", "\n", " \n", "\n "))
 
 
 def html_clean_text(df: DataFrame, html_col: str, out_col: str = "text",

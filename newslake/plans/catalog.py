@@ -453,7 +453,7 @@ def q_listing_bodies(spark, d):
     a = ls.norm_listing_detail(*fx.listing_a(docs, markup=True))
     b = ls.norm_sectioned(*fx.listing_b(docs, markup=True))
     c = ls.norm_nested_posts(*fx.listing_c(docs, markup=True))
-    words = F.array_join(F.regexp_extract_all("content", F.lit(r"(\p{L}+)"), 1), " ")
+    words = F.trim(F.regexp_replace("content", r"\P{L}+", " "))
     return ls.union_sources(a, b, c).select("id", "source", F.md5(words).alias("words_md5"))
 
 

@@ -29,6 +29,12 @@ def clean_listing_content(articles: DataFrame) -> DataFrame:
                            tags=LISTING_UNWANTED_TAGS, mode="listing")
 
 
+def _records(rows: DataFrame, schema: str, value_col: str, *keep: str) -> DataFrame:
+    """``d``, the record in each row's JSON.  A generator makes it, so that what is asked of
+    ``d`` later, a filter too, does not parse the row again."""
+    return rows.select(*keep, F.explode_outer(F.array(F.from_json(F.col(value_col), schema))).alias("d"))
+
+
 # ---- shape A: listing of items + a detail record per item -----------------
 LISTING_A_PAGE = ("struct<listItem: array<struct<_id: bigint, createdDateFull: string, slugline_url: string, "
                   "category: string, title: string, author: string, tags: string>>>")
@@ -51,7 +57,7 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
     ``clean_content`` the body is converted to text (H1, listing path).
     """
     items = pages.select(F.col(page_col).alias("_page"),
-                         F.posexplode(F.from_json(F.col(value_col), LISTING_A_PAGE)["listItem"]).alias("_idx", "it"))
+                         F.posexplode_outer(F.from_json(F.col(value_col), LISTING_A_PAGE)["listItem"]).alias("_idx", "it")).filter(F.col("_idx").isNotNull())
     items = items.select(F.struct("_page", "_idx").alias("_pos"), "it.*")
     items = items.withColumn("_t", api_time_parse(F.col("createdDateFull"), ISO_Z_FRACTION))
     if start is not None:
@@ -59,7 +65,7 @@ def norm_listing_detail(pages: DataFrame, details: DataFrame, start=None, source
     items = has_key(items, ["slugline_url"])
     if known_ids is not None:        # skip stored ids before the detail join
         items = new_only(items.withColumn("id", F.col("_id").cast("string")), known_ids, "id").drop("id")
-    det = (details.select(F.from_json(F.col(value_col), LISTING_A_DETAIL).alias("d"))
+    det = (_records(details, LISTING_A_DETAIL, value_col)
            .select(F.col("d._id").alias("_id"), F.col("d.data").isNotNull().alias("_has_data"),
                    F.col("d.data.body_html").alias("_body"))
            .filter(F.col("_id").isNotNull()))
@@ -110,9 +116,9 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     older than ``start`` (A7), and rows from that one on are left out.
     """
     walk = [] if start is None else [section_col, page_col]
-    rows = (pages.select(*walk, F.from_json(F.col(value_col), LISTING_B_PAGE).alias("p"))
-            .filter(F.col("p.response") == "success")
-            .select(*walk, F.posexplode("p.data").alias("_pos", "r"))
+    rows = (_records(pages, LISTING_B_PAGE, value_col, *walk)
+            .filter(F.col("d.response") == "success")
+            .select(*walk, F.posexplode("d.data").alias("_pos", "r"))
             .select(*walk, "_pos", F.col("r.cms_article_id").alias("cms_article_id"), F.col("r.publish_time").alias("_lt")))
     rows = has_key(rows, ["cms_article_id", "_lt"])
     if start is not None:
@@ -120,7 +126,7 @@ def norm_sectioned(pages: DataFrame, details: DataFrame, source: str = SOURCE_SE
     rows = rows.select("cms_article_id").distinct()
     if known_ids is not None:        # skip stored ids before the detail join
         rows = new_only(rows.withColumn("id", F.col("cms_article_id").cast("string")), known_ids, "id").drop("id")
-    det = (details.select(F.from_json(F.col(value_col), LISTING_B_DETAIL).alias("d"))
+    det = (_records(details, LISTING_B_DETAIL, value_col)
            .filter((F.col("d.response") == "success") & F.col("d.data").isNotNull())
            .select("d.data.*"))
     j = listing_detail(rows, det, key="cms_article_id", mode="inner")
@@ -156,7 +162,7 @@ def norm_nested_posts(pages: DataFrame, tag_dim: DataFrame, source: str = SOURCE
     is converted to text (H1, listing path); with ``after`` only posts later
     than that time are kept.
     """
-    posts = (pages.select(F.explode(F.from_json(F.col(value_col), LISTING_C_PAGE)).alias("p"))
+    posts = (pages.select(F.explode_outer(F.from_json(F.col(value_col), LISTING_C_PAGE)).alias("p"))
              .select("p.*").filter(F.col("id").isNotNull()))
     posts = posts.select(F.col("id").cast("string").alias("id"), "link", "date",
                          F.col("title.rendered").alias("_title"), F.col("content.rendered").alias("_content"),

@@ -155,30 +155,41 @@ def train(flat: np.ndarray, seen: np.ndarray, line: np.ndarray, place: np.ndarra
         flat -= step
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for b in slices(batches, "text", 4 << 20):
-        yield b, [codes_of(t) for t in b.column("text").to_pylist()]
+def _codes(texts: pa.Array) -> pa.Array:
+    return pa.array([codes_of(t).astype("<u2").tobytes() for t in texts.to_pylist()], pa.binary())
 
 
 def coded(texts: DataFrame) -> DataFrame:
     """``codes`` of every text, two bytes a token; rows and partitions as in ``texts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, codes in _batches(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([c.astype("<u2").tobytes() for c in codes], pa.binary())], names=["codes"])
+        for b in slices(batches, "text", 4 << 20):
+            yield pa.RecordBatch.from_arrays([_codes(b.column("text"))], names=["codes"])
 
     return texts if "codes" in texts.columns else texts.select("text").mapInArrow(run, "codes binary")
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+def coded_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row per input row: ``rest`` (struct of all columns but the text) and ``codes`` of the
+    text, from which texts are learned and scored without being cut into words again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 4 << 20):
+            yield pa.RecordBatch.from_arrays([b.column("rest"), _codes(b.column("text"))], names=["rest", "codes"])
+
+    rest = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["rest"], T.StructField("codes", T.BinaryType())]))
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for b in slices(batches, "codes", 1 << 20):
-        yield [np.frombuffer(c, "<u2").astype(np.int64) for c in b.column("codes").to_pylist()]
+        yield b, [np.frombuffer(c, "<u2").astype(np.int64) for c in b.column("codes").to_pylist()]
 
 
 def corpus_counts(texts: DataFrame) -> np.ndarray:
     """How often each token occurs in all texts; at most ``CODES`` rows reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CODES, np.int64)
-        for codes in _coded(batches):
+        for _, codes in _coded(batches):
             total += np.bincount(np.concatenate([np.empty(0, np.int64), *codes]), minlength=CODES)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CODES)), pa.array(total)], names=["code", "n"])
 
@@ -209,7 +220,7 @@ def train_round(texts: DataFrame, flat: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, tokens, updates = shared.value.copy(), np.full(SIZE, 1e-4, np.float32), 0, 0
-        for codes in _coded(batches):
+        for _, codes in _coded(batches):
             line, place, _ = lay_out(codes)
             train(own, seen, line, place)
             tokens += len(place)
@@ -248,11 +259,17 @@ def learn(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> np.n
     kept on the executors' disks meanwhile."""
     texts = coded(docs.select(F.col(f"`{text_col}`").alias("text"))).persist(StorageLevel.DISK_ONLY)
     try:
-        flat = fresh(corpus_counts(texts))
-        for _ in range(rounds):
-            flat = train_round(texts, flat)
+        return learn_coded(texts, rounds)
     finally:
         texts.unpersist()
+
+
+def learn_coded(texts: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
+    """:func:`learn` from ``codes`` that are kept already."""
+    texts = texts.select("codes")
+    flat = fresh(corpus_counts(texts))
+    for _ in range(rounds):
+        flat = train_round(texts, flat)
     return flat
 
 
@@ -260,13 +277,16 @@ def score(docs: DataFrame, flat: np.ndarray, text_col: str = "text") -> DataFram
     """One row per input row: ``rest`` (struct of all columns but the text), ``n_tokens``,
     ``log_likelihood`` (sum of the conditional log probabilities) and ``score`` (its
     mean a token).  Null and empty texts: 0 tokens, sum 0, score null."""
-    rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_col}`").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(flat)
+    return score_coded(coded_rows(docs, text_col), flat)
+
+
+def score_coded(rows: DataFrame, flat: np.ndarray) -> DataFrame:
+    """:func:`score` of ``rest`` and ``codes`` (:func:`coded_rows`)."""
+    shared = rows.sparkSession.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = views(shared.value)
-        for b, codes in _batches(batches):
+        for b, codes in _coded(batches):
             line, place, owner = lay_out(codes)
             total = np.bincount(owner, weights=log_chances(p, line, place), minlength=len(codes)).astype(np.float64)
             n = np.array([len(c) for c in codes])

@@ -4,11 +4,14 @@ import itertools
 import json
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from newslake.functions.text import strip_ws, whitespace_collapse
+from newslake.llm import lm_score, queries
 from newslake.operators.html import html_clean_text
 from newslake.operators.pageparse import page_of
+from newslake.session import shared_path
 from newslake.sources import listings as ls
 
 
@@ -44,3 +47,16 @@ def test_blanks_of_a_text_are_one_space():
 def test_spaces_around_breaks_go(spark):
     df = spark.createDataFrame([("<p>a <br> b<br>c </p> <p> d</p>",), (None,)], "h string")
     assert [r.t for r in html_clean_text(df, "h", "t").collect()] == ["a\nb\nc\n\nd", None]
+
+
+def test_lm_score_cuts_a_text_into_words_once(spark, monkeypatch):
+    root = shared_path(spark, "t_lm_once")
+    words = [f"w{i}" for i in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(words[(i * k) % 50] for k in range(40))) for i in range(30)] + [(90, None), (91, "")], "doc_id long, text string")
+    docs.coalesce(1).write.parquet(root + "/documents.parquet")
+    got = queries.op2_lm_score(spark, root)
+    assert "documents.parquet" not in "".join(got.inputFiles())             # the last pass reads codes
+    want = lm_score.score(docs.coalesce(1), lm_score.learn(docs.coalesce(1))).select("rest.doc_id", "n_tokens", "log_likelihood", "score")
+    got, want = ({r.doc_id: r for r in df.collect()} for df in (got, want))
+    assert set(got) == set(want) and got[90].score is None and got[91].n_tokens == 0
+    assert all(got[i].n_tokens == want[i].n_tokens and np.isclose(got[i].log_likelihood, want[i].log_likelihood) for i in want)

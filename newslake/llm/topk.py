@@ -1,10 +1,11 @@
 """Exact top-k inner products over an impact-ordered index, score at a time.
 
-Every component of every vector is a posting.  Its impact for a query is how much
-it adds above the least that the component can add in its block; postings lie in
-segments of one quantised impact.  A query takes segments in order of falling
-impact and adds to its accumulators until what is left proves which vectors
-can still be among the best; these are scored exactly.
+Every component of every vector is a posting; postings lie in segments of one
+quantised value.  A segment's impact for a query is what it adds more than the mean
+of its component.  A query takes segments in order of falling impact, a round of
+them at once, and adds to its accumulators how far they exceed the next segment of
+their component.  That bounds every score from above; rounds end when the bounds
+leave few vectors that can still be among the best, and these are scored exactly.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in an index block, queries in a query block, levels of impact.
+#: Vectors in an index block, queries in a query block, levels of a component's value.
 BLOCK = 8192
 QUERY_BLOCK = 1024
-LEVELS = 32
+LEVELS = 64
+#: Rounds that take all segments, each the same number of postings.
+ROUNDS = 8
 #: Largest component and score: what a long holds.
 MOST = (1 << 63) - 1
 
@@ -28,6 +31,7 @@ class ImpactIndex:
     """Postings of one block of integer vectors by component and quantised value.
 
     Sums are taken in 64 bits where they must fit, else in integers of any size.
+    ``taken`` and ``scored`` count the postings and vectors that searches have read.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray):
@@ -38,83 +42,92 @@ class ImpactIndex:
         self.low, self.high = self.vectors.min(0), self.vectors.max(0)
         self.step = (self.high - self.low) // LEVELS + 1
         level = ((self.vectors - self.low) // self.step).astype(np.int64)
+        self.most = np.maximum(abs(self.low), abs(self.high)).astype(float)
         # The most that a query can add to a sum for each unit of a component.
-        self.reach = np.maximum(abs(self.low), abs(self.high)).astype(float) * 2 + self.step.astype(float) * 2
+        self.reach = self.most * 2 + self.step.astype(float) * 2
         self._wide: ImpactIndex | None = None
+        self._floats: np.ndarray | None = None
         self.postings = np.argsort(level, axis=0, kind="stable").T.copy()
-        self.starts = np.stack([np.searchsorted(np.sort(level[:, d]), np.arange(LEVELS + 1)) for d in range(level.shape[1])])
-
-    def without(self, id_: int) -> ImpactIndex:
-        """This index, or a smaller one if several of its vectors have the id ``id_``."""
-        lo, hi = np.searchsorted(self.ids, [id_, id_ + 1])
-        if hi - lo < 2:
-            return self
-        keep = np.append(np.flatnonzero(self.ids != id_), lo)  # one is left for ``search`` to skip
-        return ImpactIndex(self.ids[keep], self.vectors[keep], self.copies[keep])
-
-    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        self.starts = np.stack([np.searchsorted(x, np.arange(LEVELS + 1)) for x in np.sort(level, axis=0).T])
+        self.filled = np.diff(self.starts, axis=1)
+        # The least that a value of each level is above the component's lowest, or below its highest.
+        lv, step = np.arange(LEVELS), self.step[:, None]
+        span = (self.high - self.low)[:, None]
+        self.rise, self.fall = lv * step, np.maximum(span + 1 - (lv + 1) * step, 0)
+        self.mean = self.vectors.astype(float).mean(0)
+        self.first = ROUNDS // 2
+        self.taken = self.scored = 0
+
+    def _scores(self, pick: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact scores; those beyond a long are the largest long, or its opposite."""
+        self.scored += len(pick)
+        if self.vectors.dtype == object:
+            return np.array([max(-MOST, min(MOST, x)) for x in (self.vectors[pick] @ query).tolist()], np.int64)
+        if np.abs(query.astype(float)) @ self.most >= float(1 << 52):
+            return self.vectors[pick] @ query
+        if self._floats is None:  # every sum is a whole number that a double holds
+            self._floats = self.vectors.astype(float)
+        return (self._floats[pick] @ query.astype(float)).astype(np.int64)
+
+    def search(self, query: np.ndarray, k: int, own: int, floor: int = -MOST) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best (ties: smaller id), copies repeated, without
-        the id ``own``, which one vector at most may have."""
+        the id ``own`` and scores below ``floor``."""
         if self.vectors.dtype != object and np.abs(query.astype(float)) @ self.reach >= float(1 << 62):
             if self._wide is None:
                 self._wide = ImpactIndex(self.ids, self.vectors.astype(object), self.copies)
-            return self._wide.search(query, k, own)
-        n, dims = self.vectors.shape
-        skip = bool((self.ids == own).any())
-        wide = self.vectors.dtype == object
+            return self._wide.search(query, k, own, floor)
+        n = len(self.ids)
         query = query.astype(self.vectors.dtype)
-        up = query >= 0
-        base = (query * np.where(up, self.low, self.high)).sum()  # accumulators start here
-        # A segment's impact: the least its postings add above the floor of the component.
-        lv = np.arange(LEVELS)
-        lows = self.low[:, None] + lv * self.step[:, None]
-        highs = np.minimum(lows + self.step[:, None] - 1, self.high[:, None])
-        least = np.where(up[:, None], query[:, None] * (lows - self.low[:, None]), query[:, None] * (highs - self.high[:, None]))
-        least = np.maximum(least, 0)
-        filled = self.starts[:, 1:] > self.starts[:, :-1]
-        dim, lev = np.nonzero(filled & (query != 0)[:, None])
-        order = np.argsort(-least[dim, lev], kind="stable")
-        dim, lev = dim[order], lev[order]
-        impact = least[dim, lev]
-        spread = np.abs(query) * (self.step - 1)  # what a posting may add above its impact
-        acc = np.zeros(n, self.vectors.dtype)
-        slack = int(spread.sum())
-        alive = n - skip
-        done = 0
-        while True:
-            stop = min(len(dim), done + max(64, len(dim) // 16))
-            for s in range(done, stop):
-                d, a = dim[s], lev[s]
-                if impact[s]:
-                    acc[self.postings[d, self.starts[d, a]:self.starts[d, a + 1]]] += impact[s]
-            done = stop
-            # What a vector may still gain: of each component at most its next impact.
-            rest = 0
-            if done < len(dim):
-                nxt = np.zeros(dims, self.vectors.dtype)
-                left_d, first = np.unique(dim[done:], return_index=True)
-                nxt[left_d] = impact[done:][first]
-                rest = int(nxt.sum())
-            if alive <= k:
-                pick = np.arange(n)
-                break
-            low = np.partition(acc, n - k - skip)[n - k - skip]
-            if wide:  # scores beyond a long are equal
-                low = max(-MOST, min(MOST, low + base)) - base
-                pick = np.flatnonzero(np.maximum(acc + (rest + slack), -MOST - base) >= low)
-            else:
-                pick = np.flatnonzero(acc + (rest + slack) >= low)
-            if done == len(dim) or len(pick) <= max(4 * k, n // 50):
-                break
-        if skip:
-            pick = pick[self.ids[pick] != own]
-        score = self.vectors[pick] @ query
-        if wide:
-            score = np.array([max(-MOST, min(MOST, x)) for x in score.tolist()], np.int64)
+        pick = np.flatnonzero(self.ids != own)
+        if len(pick) > k:
+            pick = self._possible(query, k, own, len(pick), floor)
+        score = self._scores(pick, query)
         best = np.lexsort((self.ids[pick], -score))[:k]
+        best = best[score[best] >= floor]
         best = np.repeat(best, np.minimum(self.copies[pick][best], k))[:k]
         return self.ids[pick][best], score[best]
 
+    def _possible(self, query: np.ndarray, k: int, own: int, others: int, floor: int) -> np.ndarray:
+        """Places of the vectors, all ``others`` without the id ``own``, that are not proved
+        to be below ``floor`` or the ``k`` best."""
+        n, dims = self.vectors.shape
+        up, size = query >= 0, abs(query)
+        impact = np.where(up[:, None], self.rise, self.fall) * size[:, None]
+        above = impact.astype(float) - (size * np.where(up, self.mean - self.low, self.high - self.mean)).astype(float)[:, None]
+        order = np.argsort(-above, axis=None)
+        held = np.cumsum(self.filled.ravel()[order])
+        # Accumulators start here; a posting may add less than a step more than its segment's least.
+        base = int((query * np.where(up, self.low, self.high)).sum() + (size * (self.step - 1)).sum())
+        round_ = self.first
+        while True:
+            last = order[np.searchsorted(held, n * dims * round_ // ROUNDS)] if round_ < ROUNDS else order[-1]
+            met = above >= above.ravel()[last]
+            # Of each component, a vector that is not met yet may gain the next segment's impact.
+            rest = np.where(met | (self.filled == 0), 0, impact).max(1)
+            gain = np.repeat((impact - rest[:, None])[met], self.filled[met])
+            acc = np.zeros(n, self.vectors.dtype)
+            levels, done = met.sum(1), 0
+            for d in np.flatnonzero(levels).tolist():
+                first = LEVELS - levels[d] if up[d] else 0
+                places = self.postings[d, self.starts[d, first]:self.starts[d, first + levels[d]]]
+                np.add.at(acc, places, gain[done:done + len(places)])
+                done += len(places)
+            self.taken += done
+            top = base + int(rest.sum())
+            acc[self.ids == own] = -1  # others have 0 at least
+            lead = min(others, 4 * k)
+            leaders = np.argpartition(acc, n - lead)[n - lead:]
+            known = max(floor, int(np.partition(self._scores(leaders, query), lead - k)[lead - k]))
+            if known <= -MOST:  # scores beyond a long are equal
+                return np.flatnonzero(self.ids != own)
+            pick = np.flatnonzero(acc >= max(0, known - top))
+            if met.all() or len(pick) <= max(4 * k, n // 4):
+                break
+            round_ += 1
+        # Queries of a block are alike: the next one starts where this one ended.
+        self.first = max(1, round_ - (len(pick) < n // 16))
+        return pick
+
 
 def to_integers(embedding, scale: int):
     """floor(scale * x) of each component as long (beyond a long: the largest or, for
@@ -163,8 +176,9 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
     Blocks of vectors (by hash) are the index.  Blocks of queries, the smaller side, go
     to each of them: a task reads a block's index once, then its queries one block
-    after another.  Every meeting yields the ``k`` best, and the best of these are the
-    result.
+    after another, and keeps each query's ``k`` best scores, so that later blocks are held
+    against them.  Every meeting yields the ``k`` best not below these, and the best of
+    all are the result.
     """
     def packed(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
         ints = rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), to_integers(F.col(f"`{vector_col}`").cast("array<double>"), scale).alias("v")) \
@@ -182,6 +196,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, index_ = None, None
+        tops: dict[int, np.ndarray] = {}  # of a query block: its queries' k best scores so far, least first
         for part in parts:
             for r in part.itertuples(index=False):
                 ids, copies, m = _unpack(r)
@@ -193,11 +208,15 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
                 dims = max(m.shape[1], index_.vectors.shape[1])
                 if index_.vectors.shape[1] < dims:
                     index_ = ImpactIndex(index_.ids, _widened(index_.vectors, dims), index_.copies)
-                out = []
+                top = tops.setdefault(r.qpart, np.full((len(ids), k), -MOST))
+                found = []
                 for pos, (qid, x) in enumerate(zip(ids.tolist(), _widened(m, dims), strict=True)):
-                    best, score = index_.without(qid).search(x, k, qid)
-                    out.append(pd.DataFrame({"qpart": r.qpart, "pos": pos, "times": copies[pos], "query_id": qid, "vec_id": best, "score": score}))
-                yield pd.concat(out)
+                    best, score = index_.search(x, k, qid, int(top[pos, 0]))
+                    top[pos] = np.sort(np.concatenate([top[pos], score]))[-k:]
+                    found.append((best, score))
+                pos = np.repeat(np.arange(len(ids)), [len(best) for best, _ in found])
+                yield pd.DataFrame({"qpart": r.qpart, "pos": pos, "times": copies[pos], "query_id": ids[pos],
+                                    "vec_id": np.concatenate([best for best, _ in found]), "score": np.concatenate([score for _, score in found])})
 
     found = rows.repartition("block").sortWithinPartitions("block", "qpart").select("block", "qpart", "ids", "copies", "wide", "v") \
         .mapInPandas(search, "qpart int, pos int, times long, query_id long, vec_id long, score long")

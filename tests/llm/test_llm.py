@@ -284,6 +284,35 @@ def test_top_k_with_large_components_equals_sql(spark):
     assert sorted(map(tuple, got)) == sorted(want.itertuples(index=False, name=None)) == brute_top_k(rows)
 
 
+def test_top_k_search_stops_on_proof_and_reads_less():
+    r = np.random.default_rng(6)
+    m = np.floor(1024 * r.standard_normal((4000, 48)) / 7).astype(np.int64)
+    m[7] = m[11] = 0  # of a query of zeros all scores are equal
+    ids = np.arange(4000) // 2 * 2  # every id twice
+    index = topk.ImpactIndex(ids, m, np.ones(4000, np.int64))
+    for i in range(60):
+        score = m @ m[i]
+        order = np.lexsort((ids, -score))
+        order = order[ids[order] != ids[i]][:10]
+        got, scores = index.search(m[i], 10, int(ids[i]))
+        assert got.tolist() == ids[order].tolist() and scores.tolist() == score[order].tolist()
+        floor = int(score[order[4]])  # known from another block: what is below it is not asked for
+        assert index.search(m[i], 10, int(ids[i]), floor)[1].tolist() == [x for x in score[order] if x >= floor]
+    assert index.taken < 0.8 * 120 * m.size and index.scored < 0.25 * 120 * len(m)
+
+
+@pytest.mark.parametrize("factor", [1, 2 ** 20, 2 ** 34, 2 ** 52])
+def test_top_k_best_scores_carry_over_blocks(spark, monkeypatch, factor):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    r = np.random.default_rng(7)
+    rows = [(i, (r.integers(-2, 3, 5) * float(factor)).tolist()) for i in range(0, 6000, 20)]  # few values: many scores are equal
+    rows += rows[:30] + [(200, [float(factor)] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = topk.exact_top_k(df, df.where("vec_id % 100 = 0")).collect()
+    assert sorted(map(tuple, got)) == brute_top_k(rows)
+
+
 def test_language_parse_against_naive():
     sample = langid.Sample("abc", (("x", "abcab cab"), ("y", "ccc aab")))
     p = langid.CrossParser(sample)
